@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from .common import WORD, cut
 
 WEIGHTS = (5, 2, 1)
-SALTS = 64
+SALTS = 16
+CLASSES = 64  # of sizes, per doubling
 
 
 def word_count(text):
@@ -53,7 +54,7 @@ def offset(seed: int, source):
 def drawn(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 5) -> DataFrame:
     """sized: doc_id, source, size, one row per document.  Adds source_size, target and copies."""
     cell = ["source", "class", "salt"]
-    rows = sized.withColumn("class", F.floor(F.log2(F.col("size") + 1.0) * 8)).withColumn("salt", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SALTS)))
+    rows = sized.withColumn("class", F.floor(F.log2(F.col("size") + 1.0) * CLASSES)).withColumn("salt", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SALTS)))
     cells = rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     cells = cut(cells)
     sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest_index, mixing, packing, quality, simhash
+from . import digest_index, languages, mixing, packing, quality, secrets, simhash, transport_stream, wavelet
 from .common import documents
 
 
@@ -14,6 +14,10 @@ def op1_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "grams", "log_ratio", "mean_ratio", "gumbel", F.col("key").alias("score"), "kept")
 
 
+def op2_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transport_stream.features(transport_stream.store(documents(spark, sf_dir)))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mixed_counts(documents(spark, sf_dir))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -27,7 +31,7 @@ l AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS full_, sum(w) OVER () - coalesce
       WINDOW b AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 c AS (SELECT *, max(CASE WHEN cap / w >= (total - full_) / rest THEN (total - full_) / rest END) OVER () AS common FROM l),
 t AS (SELECT source, source_size, least(cap, coalesce(w * common, cap)) AS target FROM c),
-r AS (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0::DOUBLE) * 8), coalesce(doc_id, 0) % 64, size, doc_id NULLS LAST) AS n FROM d),
+r AS (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0::DOUBLE) * 64), coalesce(doc_id, 0) % 16, size, doc_id NULLS LAST) AS n FROM d),
 p AS (SELECT r.doc_id, r.size, t.source_size, t.target, CAST(n AS DOUBLE) AS n, CASE WHEN t.source_size = 0 THEN 0.0 ELSE t.target / t.source_size END AS rate,
         CAST(CAST('0x' || substr(md5('5|' || coalesce(r.source, '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE AS o
       FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
@@ -35,11 +39,22 @@ SELECT doc_id, size, source_size, target, CAST((floor(o + n * rate) - floor(o +
 """
 
 
+def op4_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_table(documents(spark, sf_dir))
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_groups(documents(spark, sf_dir))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = languages.is_held_out(F.col("doc_id"), 3, 1)
+    langs, log_p = languages.fit(docs.where(~held_out))
+    return languages.predict(docs, langs, log_p, [F.col("doc_id"), held_out.alias("held_out")])
+
+
 def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("source", "ids")
 
@@ -58,5 +73,9 @@ g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY h
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, h AS text_sha256 FROM d JOIN g USING (h)
 """
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op3_source_mixing, op5_simhash_groups, op7_mixture_packing, op9_digest_index)}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_transport_stream, op3_source_mixing, op4_wavelet_tokens, op5_simhash_groups, op6_language_mixture, op7_mixture_packing, op9_digest_index, op10_secret_scan)}
 ORACLES = {"op3_source_mixing": OP3_SQL, "op9_digest_index": OP9_SQL}
