@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest_index, languages, mixing, packing, quality, secrets, simhash, transport_stream, wavelet
+from . import digest_index, languages, maxent, mixing, packing, quality, secrets, simhash, transport_stream, wavelet
 from .common import documents
 
 
@@ -59,6 +59,12 @@ def op7_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("source", "ids")
 
 
+def op8_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = languages.is_held_out(F.col("doc_id"), 7, 2)
+    return maxent.scored(docs, held_out, [F.col("doc_id"), held_out.alias("held_out")])
+
+
 def op9_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     index = digest_index.DigestIndex(spark)
@@ -77,5 +83,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_transport_stream, op3_source_mixing, op4_wavelet_tokens, op5_simhash_groups, op6_language_mixture, op7_mixture_packing, op9_digest_index, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_transport_stream, op3_source_mixing, op4_wavelet_tokens, op5_simhash_groups, op6_language_mixture, op7_mixture_packing, op8_maxent_scores, op9_digest_index, op10_secret_scan)}
 ORACLES = {"op3_source_mixing": OP3_SQL, "op9_digest_index": OP9_SQL}
