@@ -119,14 +119,14 @@ def step(table: np.ndarray, squares: np.ndarray, touched: np.ndarray, f: np.ndar
     rows, first = np.unique(f[order], return_index=True)
     sums = np.add.reduceat(grad[order], first, axis=0)
     squares[rows] += sums * sums
-    table[rows] -= rate * sums / (np.sqrt(squares[rows]) + np.float32(1e-3))
+    table[rows] -= rate * sums / np.sqrt(squares[rows])
     touched[rows] += np.diff(np.append(first, len(f)))
 
 
-def trainer(v: Vocabulary, start: Weights, rate: float):
+def trainer(v: Vocabulary, start: Weights, rate: float, damping: float):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = Weights(start.first.copy(), start.second.copy())
-        squares = [np.zeros_like(x) for x in w]
+        squares = [np.full_like(x, damping) for x in w]  # rows that are rarely met move little
         touched = [np.zeros(len(x), np.int64) for x in w]
         for batch in batches:
             for at in range(0, len(batch), GROUP):
@@ -222,12 +222,12 @@ def vocabulary(counts: Counts, common: int) -> tuple[Vocabulary, np.ndarray, np.
     return v, h[order], c[order]
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: int = 2, rate: float = 0.3) -> Weights:
+def train(docs: DataFrame, v: Vocabulary, rounds: int = 2, rate: float = 0.3, damping: float = 30.0) -> Weights:
     w = Weights(np.zeros((3 * ROWS1, CLASSES), np.float32), np.zeros((2 * ROWS2, MEMBERS), np.float32))
     for k in range(rounds):
         fold = docs.where(F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(rounds)) == k).select("text")
         sums = [F.sum(f"w{j}").alias(f"w{j}") for j in range(MEMBERS)]
-        got = fold.mapInArrow(trainer(v, w, rate), CHANGES).groupBy("layer", "row").agg(F.sum("n").alias("n"), *sums).toPandas()  # weight rows
+        got = fold.mapInArrow(trainer(v, w, rate, damping), CHANGES).groupBy("layer", "row").agg(F.sum("n").alias("n"), *sums).toPandas()  # weight rows
         for layer in range(2):
             part = got[got["layer"] == layer]
             change = part[[f"w{j}" for j in range(MEMBERS)]].to_numpy(np.float64) / np.maximum(part[["n"]].to_numpy(float), 1)
@@ -282,13 +282,13 @@ def scorer(v: Vocabulary, w: Weights, words: np.ndarray, counts: np.ndarray):
     return score
 
 
-def scored(docs: DataFrame, held_out, keep: list, common: int = 1 << 17) -> DataFrame:
+def scored(docs: DataFrame, held_out, keep: list, common: int = 1 << 17, **training) -> DataFrame:
     """The `keep` columns of each row with n_tokens, n_known, train_tokens, base_score, score.
     held_out: a condition; rows that meet it are not learnt from."""
     learn = docs.where(~held_out).select("text")
     counts = counted(learn)
     v, words, c = vocabulary(counts, common)
-    w = train(learn, v)
+    w = train(learn, v, **training)
     rows = docs.select(F.struct(*keep).alias("row"), F.monotonically_increasing_id().alias("key"), "text")
     kind = rows.select("row").schema["row"].dataType.simpleString()
     first = stored(rows.mapInArrow(scorer(v, w, words, c), f"row {kind}, key long, n_tokens long, n_common long, base double, model double, rare array<struct<h:long,n:long>>"), "scored")
