@@ -13,6 +13,8 @@ from collections import ChainMap
 
 import numpy as np
 
+#: Marks the first chunk of a text; texts that hold it take the direct path.
+FIRST = "\x00"
 _MEMO: dict[str, "ChunkMemo"] = {}
 
 
@@ -65,41 +67,44 @@ class ChunkMemo:
         return [np.array(x.ids, "<u4").tobytes() for x in out]
 
     def chunks(self, text: str) -> list[str] | None:
-        """Independent chunks whose ids joined are the text's; None if the text has none."""
+        """Independent chunks whose ids joined are the text's; None if the text has none.  Of a tokenizer that keeps
+        spaces, the first chunk is marked by FIRST, as it has no space before it, and one at a line's start by the line end."""
         if not self.keeps_space:
             return text.replace("\n", " ").split(" ")
-        if "  " in text or "\n\n" in text or " \n" in text or text[:1].isspace() or text[-1:].isspace():
+        if "  " in text or "\n\n" in text or " \n" in text or FIRST in text or text[:1].isspace() or text[-1:].isspace():
             return None
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *[c if c[0] == "\n" else " " + c for c in rest]]
+        return (FIRST + text.replace("\n", " \n")).split(" ")
+
+    def spelled(self, chunk: str) -> str:
+        """The chunk as it stands in a text."""
+        return chunk if not self.keeps_space or chunk[:1] == "\n" else chunk[1:] if chunk[:1] == FIRST else " " + chunk
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.chunks(t) for t in texts]
         known = self.known
-        new = {c for x in cut if x for c in x if c not in known}
+        new = set().union(*[x for x in cut if x]).difference(known)
         odd = set()
         if new:
-            if self.keeps_space:  # white space other than a space at a chunk's start would merge with it
-                odd = {c for c in new if len(c) > 1 and c[1].isspace()}
+            if self.keeps_space:  # white space at a chunk's start would merge with the space before it
+                odd = {c for c in new if c[:1] != FIRST and c[:1] != "\n" and c[:1].isspace() or c[:1] == "\n" and c[1:2].isspace()}
                 new -= odd
-            alone = [c for c in new if c[:1] not in (" ", "\n")] if self.keeps_space else [c for c in new if not c]
+            alone = [c for c in new if c[:1] == FIRST or not c]
             rest = list(new.difference(alone))
-            got = dict(zip(alone, self.direct(alone)))
+            got = dict(zip(alone, self.direct([self.spelled(c) for c in alone])))
             for k in range(0, len(rest), 4000):
-                got.update(zip(rest[k : k + 4000], self.bulk(rest[k : k + 4000])))
+                got.update(zip(rest[k : k + 4000], self.bulk([self.spelled(c) for c in rest[k : k + 4000]])))
             if len(known) + len(got) <= self.capacity:
                 known.update(got)
             else:
                 known = ChainMap(got, known)
-        out: list[bytes | None] = []
-        late = []
+        find, out, late = known.__getitem__, [], []
         for k, x in enumerate(cut):
             if x is None or (odd and not odd.isdisjoint(x)):
                 late.append(k)
-                out.append(None)
+                out.append(b"")
             else:
-                out.append(b"".join([known[c] for c in x]))
+                out.append(b"".join(map(find, x)))
         for k, ids in zip(late, self.direct([texts[k] for k in late])):
             out[k] = ids
         return out

@@ -118,27 +118,26 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids in order: from the lowest plane up, every order is undone."""
-        values = None
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        values = np.zeros(self.n, kind)
         for plane in reversed(range(self.bits)):
             blocks = [self.plane_block(plane, k) for k in range(len(self.places[plane]))]
-            bits = np.concatenate(blocks)[: self.n].astype(bool) if blocks else np.zeros(0, bool)
-            shift = np.uint32(self.bits - 1 - plane)
-            out = np.empty(self.n, np.uint32)
-            below = np.zeros(self.n, np.uint32) if values is None else values
-            zeros = self.zeros[plane]
-            out[~bits] = below[:zeros]
-            out[bits] = below[zeros:] | np.uint32(1) << shift
+            bits = np.concatenate([np.zeros(0, np.uint8), *blocks])[: self.n].view(bool)
+            out, zeros = np.empty(self.n, kind), self.zeros[plane]
+            out[~bits] = values[:zeros]
+            out[bits] = values[zeros:] | kind(1 << self.bits - 1 - plane)
             values = out
-        return values if values is not None else np.zeros(self.n, np.uint32)
+        return values.astype(np.uint32)
 
 
-def encode(ids: np.ndarray, starts: np.ndarray, level: int = 3) -> bytes:
+def encode(ids: np.ndarray, starts: np.ndarray, level: int = 1) -> bytes:
     """The file of a shard: ids, and the place of each document's first id."""
     bits, now = max(1, int(ids.max(initial=0)).bit_length()), ids.astype(np.uint32)
+    now = now.astype(np.uint16) if bits <= 16 else now
     pack = zstandard.ZstdCompressor(level=level)
     zeros, places, ones, out, at = [], [], [], [], 0
     for plane in range(bits):
-        one = (now >> np.uint32(bits - 1 - plane) & np.uint32(1)).astype(bool)
+        one = now & now.dtype.type(1 << bits - 1 - plane) > 0
         packed = np.packbits(one, bitorder="little")
         places.append([])
         ones.append([])
