@@ -31,6 +31,7 @@ from .common import cut, stored
 from .tokens import memo, tokenizer_path
 
 WINDOW = 4096
+SMALL = 100_000  # rows of (task, source) sums that are sent to all tasks
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, ids binary"
 
 
@@ -107,6 +108,8 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
     total, table = sum(n for _, n in sums), queue_table(sums, window)
     before = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = tasks.select(F.col("task").alias("b_task"), F.col("source").alias("b_source"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    if tasks.count() <= SMALL:  # else joined by shuffle
+        bases = F.broadcast(bases)
     placed = rows.join(bases, (F.col("task") == F.col("b_task")) & F.col("source").eqNullSafe(F.col("b_source"))).select("doc_id", "source", "ids", (F.col("base") + F.col("place")).alias("first"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
