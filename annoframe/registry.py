@@ -1,2 +1,6 @@
-QUERIES = {}
-ORACLES = {}
+"""All queries over the given tables, with the SQL that checks them."""
+
+from annoframe.plans import corpus_queries
+
+QUERIES = dict(corpus_queries.QUERIES)
+ORACLES = dict(corpus_queries.ORACLES)
