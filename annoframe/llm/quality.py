@@ -1,7 +1,7 @@
 """Operator 1, quality classifier: importance resampling with hashed n-gram models and Gumbel top-k.
 
 Two bag-of-n-gram models over hashed tokens and token pairs are counted: one of the target (texts labelled good), one of
-all raw texts.  A text's weight is the mean log ratio of the two over its n-grams, times `sharpness`; adding Gumbel noise
+all raw texts, whose languages (`lang`, null one of its own) are weighted to the target's shares, so that the ratio tells good from bad and not one language from another.  A text's weight is the mean log ratio of the two over its n-grams, times `sharpness`; adding Gumbel noise
 to the weights and keeping the k largest draws k texts without replacement in proportion to the exponential of the weight.
 k is the number of texts whose mean log ratio reaches the point that separates the labelled good texts from the bad best.
 
@@ -54,16 +54,21 @@ def groups(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
 
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's buckets: of all texts, and of the texts labelled good."""
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    """Counts of a task's buckets by language: of all texts, and of the texts labelled good."""
+    counts: dict[str | None, np.ndarray] = {}
     for batch in batches:
         good = np.array(batch.column("good").fill_null(0).to_pylist(), bool)
+        langs = batch.column("lang").to_pylist()
         for a, b, texts in groups(batch.column("text")):
             bucket, owner = grams(texts)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            target += np.bincount(bucket[good[a:b][owner]], minlength=BUCKETS)
-    some = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_pydict({"bucket": pa.array(some, pa.int64()), "raw": pa.array(raw[some], pa.int64()), "target": pa.array(target[some], pa.int64())})
+            for lang in dict.fromkeys(langs[a:b]):
+                own = np.array([x == lang for x in langs[a:b]])
+                sums = counts.setdefault(lang, np.zeros((2, BUCKETS), np.int64))
+                sums[0] += np.bincount(bucket[own[owner]], minlength=BUCKETS)
+                sums[1] += np.bincount(bucket[(own & good[a:b])[owner]], minlength=BUCKETS)
+    for lang, (raw, target) in counts.items():
+        some = np.flatnonzero(raw)
+        yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(some), pa.string()), "bucket": pa.array(some, pa.int64()), "raw": pa.array(raw[some], pa.int64()), "target": pa.array(target[some], pa.int64())})
 
 
 def scorer(ratio: np.ndarray):
@@ -88,30 +93,34 @@ def _scored(docs: DataFrame, ratio: np.ndarray, columns: list[str]) -> DataFrame
 
 
 def best_limit(good: np.ndarray, bad: np.ndarray) -> float:
-    """The point with the fewest errors on either side, each side's as a share of it; in the middle of its gap."""
+    """The point with the fewest errors on either side, each side's as a share of it; in its gap nearer to the bad."""
     if not len(good) or not len(bad):
         return -np.inf
     at = np.unique(np.concatenate((good, bad)))
     lost = np.searchsorted(np.sort(good), at, "left") / len(good)
     passed = 1 - np.searchsorted(np.sort(bad), at, "left") / len(bad)
     k = int(np.argmin(lost + passed))
-    return float(at[k] if k == 0 else (at[k] + at[k - 1]) / 2)
+    return float(at[k] if k == 0 else at[k - 1] + (at[k] - at[k - 1]) / 4)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, smooth: float = 1.0) -> Model:
     """labels: doc_id, quality (1 good)."""
     some = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"))
     some = F.broadcast(cut(some.orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id").limit(max_labelled)))  # bounded by the parameter
-    texts = docs.select("doc_id", "text")
-    counts = texts.join(some, "doc_id", "left").select("text", "good").mapInArrow(count_grams, "bucket long, raw long, target long")
-    rows = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()  # BUCKETS at most
+    texts = docs.select("doc_id", "text", "lang")
+    counts = texts.join(some, "doc_id", "left").select("text", "lang", "good").mapInArrow(count_grams, "lang string, bucket long, raw long, target long")
+    counts = cut(counts.groupBy("lang", "bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
+    of_lang = counts.groupBy(F.col("lang").alias("l")).agg((F.sum("target") / F.sum("raw")).alias("weight"))
+    weighted_raw = counts.join(of_lang, F.col("lang").eqNullSafe(F.col("l"))).groupBy("bucket").agg(F.sum(F.col("raw") * F.col("weight")).alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in rows:
+    for r in weighted_raw.collect():  # BUCKETS at most
         raw[r.bucket], target[r.bucket] = r.raw, r.target
+    all_raw = counts.agg(F.sum("raw")).first()[0]
     if not target.any():
         return Model(np.zeros(BUCKETS), -np.inf)
-    log = lambda x: np.log(x + smooth) - np.log(x.sum() + smooth * BUCKETS)
-    ratio = log(target) - log(raw)
+    # one raw occurrence, as it counts after weighting, is added to either side: a bucket too rare for the target is weak evidence
+    one = smooth * target.sum() / all_raw
+    ratio = np.log(target + one) - np.log(raw + one)
     judged = _scored(texts.join(some, "doc_id").select("doc_id", "text", "good"), ratio, ["good"])
     pairs = judged.select("row.good", "mean_ratio").collect()  # max_labelled rows, unless ids repeat
     values, good = np.array([p.mean_ratio for p in pairs]), np.array([p.good for p in pairs], bool)

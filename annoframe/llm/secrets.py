@@ -2,7 +2,7 @@
 
 Base kinds are patterns (assign, access, hex).  The method adds tokens that look random: a first-order Markov model over
 character classes of random strings, trained on the values that the patterns find in the corpus, is compared with one
-of ordinary identifiers, trained on the candidate tokens of the corpus that no pattern touches.  A candidate (a run of
+of ordinary identifiers, trained on the candidate tokens of the corpus that no pattern touches and that have at most one digit in twelve characters.  A candidate (a run of
 `TOKEN_MIN` or more token characters that has a letter and a digit, outside all base spans) is added as kind `markov`
 if its mean log-likelihood ratio per transition is over `threshold`.
 
@@ -79,7 +79,8 @@ def transitions(value: Column) -> Column:
 def fit(rows: DataFrame, smooth: float = 0.5) -> dict[str, float]:
     """Log-likelihood ratio (random over ordinary) of each pair of characters.  rows: base, runs."""
     random = rows.select(F.explode("base").alias("s")).select(value_of(F.col("s.found"), F.col("s.kind")).alias("v"), F.lit(1).alias("r"))
-    ordinary = rows.select(F.explode("runs").alias("s")).select(F.col("s.found").alias("v"), F.lit(0).alias("r"))
+    few_digits = F.length(F.regexp_replace("s.found", "[^0-9]", "")) * 12 <= F.length("s.found")  # others may be secrets
+    ordinary = rows.select(F.explode("runs").alias("s")).where(few_digits).select(F.col("s.found").alias("v"), F.lit(0).alias("r"))
     pairs = random.union(ordinary).where("length(v) >= 2").select("r", F.explode(transitions(F.col("v"))).alias("pair"))
     counted = pairs.groupBy("r", "pair").count().collect()  # at most 2 x 65 x 65
     count = {(x.r, x.pair): x["count"] for x in counted}
@@ -91,7 +92,7 @@ def fit(rows: DataFrame, smooth: float = 0.5) -> dict[str, float]:
     return {a + b: log(1, a + b) - log(0, a + b) for a in seen for b in seen}
 
 
-def scanned(docs: DataFrame, threshold: float = 1.0) -> DataFrame:
+def scanned(docs: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, base and markov spans of every document."""
     rows = candidates(base_spans(docs)).select("doc_id", "base", "runs")
     ratio = fit(rows)
@@ -110,7 +111,7 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"], s["end"])), ",")
 
 
-def scan(docs: DataFrame, threshold: float = 1.0) -> DataFrame:
+def scan(docs: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov."""
     n = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     every = F.array_sort(F.concat("base", "markov"))
