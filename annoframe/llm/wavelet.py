@@ -124,8 +124,8 @@ class WaveletMatrix:
             blocks = [self.plane_block(plane, k) for k in range(len(self.places[plane]))]
             bits = np.concatenate([np.zeros(0, np.uint8), *blocks])[: self.n].view(bool)
             out, zeros = np.empty(self.n, kind), self.zeros[plane]
-            out[~bits] = values[:zeros]
-            out[bits] = values[zeros:] | kind(1 << self.bits - 1 - plane)
+            out[np.flatnonzero(~bits)] = values[:zeros]
+            out[np.flatnonzero(bits)] = values[zeros:] | kind(1 << self.bits - 1 - plane)
             values = out
         return values.astype(np.uint32)
 
@@ -150,7 +150,7 @@ def encode(ids: np.ndarray, starts: np.ndarray, level: int = 1) -> bytes:
             ones[-1].append(so_far)
             so_far += int(np.bitwise_count(piece).sum())
         zeros.append(len(now) - so_far)
-        now = np.concatenate((now[~one], now[one]))
+        now = np.concatenate((np.compress(~one, now), np.compress(one, now)))
     first = pack.compress(np.asarray(starts, "<i8").tobytes())
     head = json.dumps({"ids": len(ids), "bits": bits, "block": BLOCK, "zeros": zeros, "places": places, "ones": ones, "starts": len(first)}).encode()
     return MAGIC + len(head).to_bytes(4, "little") + head + first + b"".join(out)
