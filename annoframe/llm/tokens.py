@@ -9,7 +9,6 @@ ends, each chunk encoded once per worker, and the ids joined again.  Texts with
 from __future__ import annotations
 
 import os
-from collections import ChainMap
 
 import numpy as np
 
@@ -31,6 +30,19 @@ def memo(path: str, keeps_space: bool, capacity: int = 1_000_000) -> "ChunkMemo"
     return _MEMO[path]
 
 
+class Known(dict):
+    """Ids by chunk.  A chunk that it lacks is noted in `new` and gets a place to be filled."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> bytearray:
+        place = self[chunk] = bytearray()
+        self.new.append(chunk)
+        return place
+
+
 class ChunkMemo:
     """keeps_space: the tokenizer keeps a space as part of the next word (byte-level BPE)."""
 
@@ -41,7 +53,7 @@ class ChunkMemo:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_space, self.capacity = keeps_space, capacity
-        self.known: dict[str, bytes] = {}
+        self.known = Known()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of text that an id stands for
         for token, k in vocab.items():
@@ -82,29 +94,33 @@ class ChunkMemo:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         cut = [self.chunks(t) for t in texts]
-        known = self.known
-        new = set().union(*[x for x in cut if x]).difference(known)
-        odd = set()
-        if new:
+        known, find = self.known, self.known.__getitem__
+        places = [None if x is None else list(map(find, x)) for x in cut]  # one look at each chunk; new ones are filled below
+        new, known.new = known.new, []
+        odd: set[str] = set()
+        try:
             if self.keeps_space:  # white space at a chunk's start would merge with the space before it
                 odd = {c for c in new if c[:1] != FIRST and c[:1] != "\n" and c[:1].isspace() or c[:1] == "\n" and c[1:2].isspace()}
-                new -= odd
-            alone = [c for c in new if c[:1] == FIRST or not c]
-            rest = list(new.difference(alone))
-            got = dict(zip(alone, self.direct([self.spelled(c) for c in alone])))
+            alone = [c for c in new if c not in odd and (c[:1] == FIRST or not c)]
+            rest = [c for c in new if c not in odd and c[:1] != FIRST and c]
+            got = list(zip(alone, self.direct([self.spelled(c) for c in alone])))
             for k in range(0, len(rest), 4000):
-                got.update(zip(rest[k : k + 4000], self.bulk([self.spelled(c) for c in rest[k : k + 4000]])))
-            if len(known) + len(got) <= self.capacity:
-                known.update(got)
-            else:
-                known = ChainMap(got, known)
-        find, out, late = known.__getitem__, [], []
-        for k, x in enumerate(cut):
-            if x is None or (odd and not odd.isdisjoint(x)):
-                late.append(k)
-                out.append(b"")
-            else:
-                out.append(b"".join(map(find, x)))
-        for k, ids in zip(late, self.direct([texts[k] for k in late])):
-            out[k] = ids
+                part = rest[k : k + 4000]
+                got += zip(part, self.bulk([self.spelled(c) for c in part]))
+            for c, ids in got:
+                known[c] += ids
+            late = [k for k, x in enumerate(cut) if x is None or (odd and not odd.isdisjoint(x))]
+            out = [b"" if p is None else b"".join(p) for p in places]
+            for k, ids in zip(late, self.direct([texts[k] for k in late])):
+                out[k] = ids
+        except BaseException:
+            self.known = Known()  # no place may stay unfilled
+            raise
+        if len(known) <= self.capacity:
+            known.update(got)
+        else:
+            for c, _ in got:
+                del known[c]
+        for c in odd:
+            del known[c]
         return out
