@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 SENTENCE_PARTS = r"[^.!?\n]+[.!?]*|[.!?\n]"
 
 
-def _starts(pieces: DataFrame, extra: int) -> DataFrame:
+def starts_of(pieces: DataFrame, extra: int) -> DataFrame:
     """pieces: text_id, pos, piece; start = lengths (and separators) of all earlier pieces of the text."""
     before = Window.partitionBy("text_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     return pieces.withColumn("start", F.coalesce(F.sum(F.length("piece") + extra).over(before), F.lit(0)).cast("long"))
@@ -21,7 +21,7 @@ def words(texts: DataFrame) -> DataFrame:
     """text_id, word_id (from 1), start, end, token: runs between spaces and line ends."""
     pieces = texts.where("text is not null").select("text_id", F.posexplode(F.split("text", "[ \n]")).alias("pos", "piece"))
     number = F.row_number().over(Window.partitionBy("text_id").orderBy("pos"))
-    kept = _starts(pieces, 1).where("piece <> ''").withColumn("word_id", number)
+    kept = starts_of(pieces, 1).where("piece <> ''").withColumn("word_id", number)
     return kept.select("text_id", "word_id", "start", (F.col("start") + F.length("piece")).alias("end"), F.col("piece").alias("token"))
 
 
@@ -29,7 +29,7 @@ def sentences(texts: DataFrame) -> DataFrame:
     """text_id, sent_id (from 1), start, end, sentence: runs up to closing marks or line ends."""
     pieces = texts.where("text is not null").select("text_id", F.posexplode(F.regexp_extract_all("text", F.lit(SENTENCE_PARTS), F.lit(0))).alias("pos", "piece"))
     number = F.row_number().over(Window.partitionBy("text_id").orderBy("pos"))
-    kept = _starts(pieces, 0).where(~F.substring("piece", 1, 1).isin(".", "!", "?", "\n")).withColumn("sent_id", number)
+    kept = starts_of(pieces, 0).where(~F.substring("piece", 1, 1).isin(".", "!", "?", "\n")).withColumn("sent_id", number)
     return kept.select("text_id", "sent_id", "start", (F.col("start") + F.length("piece")).alias("end"), F.col("piece").alias("sentence"))
 
 

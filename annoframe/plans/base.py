@@ -3,9 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from annoframe.operators import collection, layers
 
+QUERIES, ORACLES = {}, {}
+
+
+def query(sql: str | None = None):
+    """Register a query, with the SQL that checks it if SQL can express it."""
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
 WORDS_SQL = """
 t AS (SELECT doc_id AS text_id, text, lang, source FROM documents),
 w0 AS (SELECT text_id, unnest(string_split_regex(text, '[ \n]')) AS piece, generate_subscripts(string_split_regex(text, '[ \n]'), 1) AS pos FROM t),
@@ -52,3 +67,15 @@ def with_words(sql: str, *more: str) -> str:
 
 def with_sentences(sql: str, *more: str) -> str:
     return with_words(sql, SENTENCES_SQL, *more)
+
+
+#: Words of sentences, split at spaces: stok (text_id, sent_id, id from 1, tok).
+STOK_SQL = """
+stok AS (SELECT text_id, sent_id, unnest(list_filter(string_split_regex(trim(sentence), ' +'), lambda x: x <> '')) AS tok, generate_subscripts(list_filter(string_split_regex(trim(sentence), ' +'), lambda x: x <> ''), 1) AS id FROM sentences),
+"""
+
+
+def sentence_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """text_id, sent_id, id (from 1), tok."""
+    parts = F.filter(F.split(F.trim("sentence"), " +"), lambda x: x != "")
+    return sentences(spark, sf_dir).select("text_id", "sent_id", F.posexplode(parts).alias("id", "tok")).withColumn("id", F.col("id") + 1)

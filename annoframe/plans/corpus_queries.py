@@ -9,19 +9,7 @@ from annoframe.operators import collection as C
 from annoframe.operators import diff as D
 from annoframe.operators import layers as L
 from annoframe.operators import sample as P
-from annoframe.plans.base import LAYERS_SQL, SHAPE_SQL, sentences, table, texts, with_sentences, with_words, words
-
-QUERIES, ORACLES = {}, {}
-
-
-def query(sql: str):
-    def add(f):
-        QUERIES[f.__name__] = f
-        ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
+from annoframe.plans.base import LAYERS_SQL, SHAPE_SQL, query, sentences, table, texts, with_sentences, with_words, words
 
 T = "WITH t AS (SELECT doc_id AS text_id, text, lang, source FROM documents) "
 
@@ -78,9 +66,9 @@ def summed_sections(spark, d):
     return L.summed_cut(sentences(spark, d), 500)
 
 
-@query(with_sentences(' SELECT l.text_id, s.start AS s_start, l.start - s.start AS start, l."end" - s.start AS "end", label FROM la l JOIN sentences s ON l.text_id = s.text_id AND l.start >= s.start AND l."end" <= s."end" WHERE s.sent_id <= 3', LAYERS_SQL))
+@query(with_sentences(' SELECT l.text_id, s.start AS s_start, l.start - s.start AS start, l."end" - s.start AS "end", label FROM la l JOIN sentences s ON l.text_id = s.text_id AND l.start >= s.start AND l."end" <= s."end"', LAYERS_SQL))
 def section_spans(spark, d):
-    return L.within(L.labelled(words(spark, d)), sentences(spark, d).where("sent_id <= 3"))
+    return L.within(L.labelled(words(spark, d)), sentences(spark, d))
 
 
 @query(with_words(" SELECT source, count(*) AS n FROM (SELECT text_id, count(*) AS n FROM words GROUP BY 1) JOIN t USING (text_id) WHERE n > 1000 GROUP BY source"))
@@ -125,9 +113,9 @@ def model_safe_texts(spark, d):
     return texts(spark, d).select("text_id", F.md5(L.model_safe(F.col("text"))).alias("safe"))
 
 
-@query(with_words(""" SELECT w.text_id, start, replace(substr(text, greatest(start - 40, 0) + 1, least("end" + 40, length(text)) - greatest(start - 40, 0)), chr(10), '\\n') AS context FROM words w JOIN t USING (text_id) WHERE word_id % 50 = 1""".replace("\\\\n", "\\n")))
+@query(with_words(""" SELECT w.text_id, start, replace(substr(text, greatest(start - 40, 0) + 1, least("end" + 40, length(text)) - greatest(start - 40, 0)), chr(10), '\\n') AS context FROM words w JOIN t USING (text_id)""".replace("\\\\n", "\\n")))
 def context_snippets(spark, d):
-    w = words(spark, d).where("word_id % 50 = 1").join(texts(spark, d).select("text_id", "text"), "text_id")
+    w = words(spark, d).join(texts(spark, d).select("text_id", "text"), "text_id")
     return w.select("text_id", "start", L.snippet(F.col("text"), F.col("start"), F.col("end"), 40).alias("context"))
 
 
@@ -255,10 +243,10 @@ def duplicate_keys(spark, d):
     return C.duplicate_keys(table(spark, d, "events"), ["event_type", "user_id"]).select("event_type", "n", "user_id")
 
 
-@query("SELECT conv_id, turn FROM conversations WHERE conv_id % 3 <> 0")
+@query("SELECT conv_id, turn FROM conversations WHERE role <> 'user'")
 def appended_rows(spark, d):
-    c = table(spark, d, "conversations").select("conv_id", "turn")
-    return C.append_missing(c.where("conv_id % 3 = 0"), c, ["conv_id", "turn"])
+    c = table(spark, d, "conversations").select("conv_id", "turn", "role")
+    return C.append_missing(c.where("role = 'user'"), c.drop("role"), ["conv_id", "turn"])
 
 
 @query(T + "SELECT text_id, source, row_number() OVER (ORDER BY source, text_id) - 1 AS global_id FROM t")

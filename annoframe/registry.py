@@ -1,6 +1,4 @@
 """All queries over the given tables, with the SQL that checks them."""
 
-from annoframe.plans import corpus_queries
-
-QUERIES = dict(corpus_queries.QUERIES)
-ORACLES = dict(corpus_queries.ORACLES)
+from annoframe.plans import corpus_queries, date_queries, entity_queries, record_queries, source_queries  # noqa: F401
+from annoframe.plans.base import ORACLES, QUERIES  # noqa: F401
