@@ -453,8 +453,8 @@ def sampled_evenly_or_any(spark, d):
     return P.pick_even_or_any(sizes(spark, d), "lang", 40, 5, "text_id")
 
 
-@query(SIZES.replace("FROM t) ", "FROM t WHERE lang <> 'es' OR text_id % 20 = 0) ") + QUOTA_SQL.format(by="lang", k=100, seed=6) + """, l AS (SELECT sum(greatest(quota - n, 0)) AS lack FROM q),
+@query(SIZES + QUOTA_SQL.format(by="lang", k=500, seed=6) + """, l AS (SELECT sum(greatest(quota - n, 0)) AS lack FROM q),
 x AS (SELECT text_id, source, lang, size, row_number() OVER (ORDER BY nth - quota, lang) AS slot FROM r JOIN q USING (lang) WHERE nth > quota)
 SELECT text_id, source, lang, size FROM r JOIN q USING (lang) WHERE nth <= quota UNION ALL SELECT text_id, source, lang, size FROM x, l WHERE slot <= lack""")
 def sampled_with_overflow(spark, d):
-    return P.pick_spread(sizes(spark, d).where("lang <> 'es' or text_id % 20 = 0"), "lang", 100, 6, "text_id")
+    return P.pick_spread(sizes(spark, d), "lang", 500, 6, "text_id")
