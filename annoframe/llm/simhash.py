@@ -52,16 +52,17 @@ def fingerprint(text: bytes, width: int = 4) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """doc_id, fp of every row."""
+def fingerprints(docs: DataFrame, width: int = 4, keep: tuple = ()) -> DataFrame:
+    """doc_id, the `keep` columns and fp of every row."""
+    names = ["doc_id", *keep]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = [fingerprint(t, width) for at in range(0, len(batch), 500) for t in texts_of(batch.column("text")[at : at + 500])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(fp, pa.int64())], names=[*names, "fp"])
 
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(of, f"doc_id {kind}, fp long")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*names).schema)
+    return docs.select(*names, "text").mapInArrow(of, f"{kinds}, fp long")
 
 
 def ball(value, bits: int, radius: int) -> list:
@@ -91,20 +92,31 @@ def links(distinct: DataFrame, most: int = 4, plan=SHORT) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
-def near_groups(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable) of every row."""
-    rows = cut(fingerprints(docs, width))
+def near_groups(docs: DataFrame, width: int = 4, most: int = 4, keep: tuple = ()) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id reachable), group (the least fingerprint reachable) and the `keep`
+    columns of every row."""
+    rows = cut(fingerprints(docs, width, keep))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     plan = SHORT if distinct.count() <= MANY else LONG
     member = components(links(distinct, most, plan))
     linked = member.join(distinct, F.col("node") == F.col("fp")).select("fp", "root", "least")
     named = linked.groupBy("root").agg(F.min("least").alias("component"))
     of_fp = distinct.join(linked.select("fp", "root"), "fp", "left").join(named, "root", "left")
-    of_fp = of_fp.select("fp", F.coalesce("component", "least").alias("component_id"))
-    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    # a root has its own name, which may be null; only fingerprints without links fall back on their own
+    of_fp = of_fp.select("fp", F.coalesce("component", "least").alias("component_id"), F.coalesce("root", "fp").alias("group"))
+    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id", "group", *keep)
 
 
 def keep_one(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with all its columns; of rows that share an id one."""
-    keep = near_groups(docs, width, most).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One document of each group, the one with the smallest doc_id, with all its columns.
+
+    Of rows without id one stays if its group has no id; of rows that share the smallest id the one with the least text
+    hash, and rows that repeat both id and text are one."""
+    hashed = docs.withColumn("__hash", F.xxhash64("text"))
+    ids = hashed.select("doc_id", "text", "__hash")
+    groups = near_groups(ids, width, most, keep=("__hash",))
+    # null ids come last; the group's key is its least fingerprint, as a group without ids has no number
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("__hash").alias("h"))
+    best = groups.groupBy("group").agg(F.min(order).alias("o")).select(F.col("o.i").alias("__id"), F.col("o.h").alias("__best"))
+    stay = hashed.join(best, hashed["doc_id"].eqNullSafe(best["__id"]) & (hashed["__hash"] == best["__best"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)
