@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import digest_index, languages, maxent, mixing, packing, quality, secrets, simhash, transport_stream, wavelet
-from .common import documents
+from .common import documents, stored
 
 
 def op1_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def op1_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transport_stream.features(transport_stream.store(documents(spark, sf_dir)))
+    return transport_stream.features(stored(transport_stream.store(documents(spark, sf_dir)), "media"))
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
