@@ -34,6 +34,25 @@ def annotate(texts: DataFrame, make: Callable[[], Annotator]) -> DataFrame:
     return texts.select("text_id", "text").mapInPandas(run, f"text_id long, spans {SPANS}, error string")
 
 
+def annotate_with_status(texts: DataFrame, make: Callable[[], Callable[[str], tuple[list[Span], dict[str, str]]]]) -> DataFrame:
+    """text_id, spans, status of every text, where a text's function gives spans and a status that is kept as metadata.
+    After an error there are no spans and the status holds `error`.  Null text is empty."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mapper = make()
+        for batch in batches:
+            out = []
+            for text_id, text in batch[["text_id", "text"]].itertuples(index=False, name=None):
+                try:
+                    found, status = mapper(text or "")
+                    out.append((text_id, [{"start": a, "end": b, "label": c} for a, b, c in found], dict(status)))
+                except Exception as e:
+                    out.append((text_id, None, {"error": f"{type(e).__name__}: {e}"}))
+            yield pd.DataFrame(out, columns=["text_id", "spans", "status"])
+
+    return texts.select("text_id", "text").mapInPandas(run, f"text_id long, spans {SPANS}, status map<string,string>")
+
+
 def good_and_bad(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per span of the texts that went well; the errors of the others."""
     layer = annotated.where("error is null").select("text_id", F.explode("spans").alias("s")).select("text_id", "s.*")

@@ -75,12 +75,14 @@ def first_and_last(rows: DataFrame, by: str, key: str, n: int) -> DataFrame:
     return r.where(f"nth <= {n} or from_end <= {n}")
 
 
-def global_ids(rows: DataFrame, file: str, key: str) -> DataFrame:
-    """Dense ids from 0 over files in order, then keys: counts per file, their running sum, and a number inside the file."""
-    sizes = rows.groupBy(file).agg(F.count("*").alias("n"))
-    base = sizes.select(file, F.coalesce(F.sum("n").over(Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    inside = F.row_number().over(Window.partitionBy(file).orderBy(key)) - 1
-    return rows.withColumn("inside", inside).join(base, file).withColumn("global_id", F.col("base") + F.col("inside")).drop("inside", "base")
+def global_ids(rows: DataFrame, file: str, key: str, block: str | None = None) -> DataFrame:
+    """Dense ids from 0 over files in order, then keys: counts per file, their running sum, and a number inside the file.
+    With `block`, a column that never falls as the key rises, a large file is counted and numbered block by block."""
+    cell = [file, block] if block else [file]
+    sizes = rows.groupBy(*cell).agg(F.count("*").alias("n"))
+    base = sizes.select(*cell, F.coalesce(F.sum("n").over(Window.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy(*cell).orderBy(key)) - 1
+    return rows.withColumn("inside", inside).join(base, cell).withColumn("global_id", F.col("base") + F.col("inside")).drop("inside", "base")
 
 
 def append_missing(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

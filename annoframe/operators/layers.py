@@ -5,6 +5,8 @@ Spans are [start, end) in characters.  Every row carries its ordinal; nothing re
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,3 +170,58 @@ def python_list(tokens: Column) -> Column:
 
 def fingerprint(tokens: Column) -> Column:
     return F.sha2(python_list(tokens), 256)
+
+
+def token_places(texts: DataFrame, tokens: DataFrame) -> DataFrame:
+    """tokens: text_id, id (in order), token.  Adds start, end and ok: whether the token stands at its place in the text
+    when spaces and line ends are skipped.  A token lies in the run of the text whose count of earlier characters is the
+    last not over its own."""
+    runs = words(texts)
+    order = Window.partitionBy("text_id").orderBy("at", "id")
+    before = lambda by, length: F.coalesce(F.sum(length).over(Window.partitionBy("text_id").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    run = F.struct("at", "start", F.col("token").alias("piece"))
+    there = runs.withColumn("at", before("word_id", F.length("token"))).select("text_id", "at", F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("token"), run.alias("run"))
+    asked = tokens.withColumn("at", before("id", F.length("token"))).select("text_id", "at", F.col("id").cast("long").alias("id"), "token", F.lit(None).cast(there.schema["run"].dataType).alias("run"))
+    met = there.union(asked).withColumn("run", F.last("run", ignorenulls=True).over(order)).where("id is not null")
+    inside = F.col("at") - F.col("run.at")
+    same = F.substring("run.piece", (inside + 1).cast("int"), F.length("token")) == F.col("token")
+    start = F.col("run.start") + inside
+    return met.select("text_id", "id", "token", start.alias("start"), (start + F.length("token")).alias("end"), F.coalesce(same, F.col("id").isNull()).alias("ok"))  # true for runs too, as a later check may be read before they are left out
+
+
+def checked_places(placed: DataFrame) -> DataFrame:
+    """The same rows; reading one that is not ok fails."""
+    said = F.concat(F.lit("token not in its place: "), F.coalesce("token", F.lit("null")))
+    return placed.where(F.assert_true("ok", said).isNull()).drop("ok")
+
+
+def routed(sentence_sizes: DataFrame, most: int, strategy: str) -> DataFrame:
+    """sentence_sizes: text_id, sent_id, n (words).  Adds route (gpu or cpu) and n_chunks of each sentence: NONE leaves long
+    sentences whole, CHUNKING cuts those, USE_CPU sends all of a text that has one to the cpu."""
+    if strategy == "NONE":
+        return sentence_sizes.withColumn("route", F.lit("gpu")).withColumn("n_chunks", F.lit(1).cast("long"))
+    if strategy == "CHUNKING":
+        return sentence_sizes.withColumn("route", F.lit("gpu")).withColumn("n_chunks", F.greatest(F.ceil(F.col("n") / most), F.lit(1)).cast("long"))
+    if strategy == "USE_CPU":
+        longest = F.max("n").over(Window.partitionBy("text_id"))
+        return sentence_sizes.withColumn("route", F.when(longest > most, "cpu").otherwise("gpu")).withColumn("n_chunks", F.lit(1).cast("long"))
+    raise ValueError(f"unknown strategy {strategy}")
+
+
+def via_helper(layer: DataFrame, helper: Callable[[DataFrame], DataFrame], annotate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Annotate a layer by way of a helper layer that is never kept: `helper` may change tokens and spans but passes
+    p_start and p_end, the place in the parent; labels of the helper's spans come out on the parent's."""
+    own = layer.withColumn("p_start", F.col("start")).withColumn("p_end", F.col("end"))
+    return annotate(helper(own)).select("text_id", F.col("p_start").alias("start"), F.col("p_end").alias("end"), "label")
+
+
+def json_sizes(layer: DataFrame) -> DataFrame:
+    """text_id, json_size: characters of the layer's spans as a JSON list without spaces; no list is built."""
+    item = F.length(F.to_json(F.struct("start", "end", "label")))
+    return layer.groupBy("text_id").agg((F.sum(item) + F.count("*") + 1).alias("json_size"))
+
+
+def guarded(layer: DataFrame, most: int = 175_000_000) -> DataFrame:
+    """json_sizes of a layer; reading a text whose layer is over `most` fails."""
+    said = F.concat(F.lit("layer too large in text "), F.coalesce(F.col("text_id").cast("string"), F.lit("null")))
+    return json_sizes(layer).where(F.assert_true(F.col("json_size") <= most, said).isNull())

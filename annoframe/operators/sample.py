@@ -50,6 +50,16 @@ def pick_even(rows: DataFrame, by: str, k: int, seed: int, key: str) -> DataFram
     return _ranked(rows, by, seed, key).join(quotas(rows, by, k), by).where("nth <= quota").select(*rows.columns)
 
 
+def pick_even_numeric(rows: DataFrame, by: str, k: int, seed: int, key: str, skipped: list[str]) -> DataFrame:
+    """Even over the categories that are not skipped, of rows whose key is a number."""
+    return pick_even(rows.where(~F.coalesce(F.col(by).isin(skipped), F.lit(False)) & F.col(key).rlike("^[0-9]+$")), by, k, seed, key)
+
+
+def total(rows: DataFrame, size: str) -> DataFrame:
+    """One row: the number of rows and the sum of their sizes."""
+    return rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("total"))
+
+
 def pick_even_or_any(rows: DataFrame, by: str, k: int, seed: int, key: str) -> DataFrame:
     """Even only if k divides by the number of categories and each is large enough; any k rows else."""
     q = quotas(rows, by, k)
