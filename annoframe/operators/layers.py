@@ -6,6 +6,7 @@ Spans are [start, end) in characters.  Every row carries its ordinal; nothing re
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,10 +159,32 @@ def joined_neighbours(spans: DataFrame) -> DataFrame:
     return s.groupBy("text_id", "label", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n")).drop("island")
 
 
+@lru_cache
+def unprintable() -> str:
+    """The characters that Python's repr escapes, as a pattern."""
+    bad = [not chr(i).isprintable() for i in range(0x110000)] + [False]
+    edges = [i for i in range(0x110001) if bad[i] != (i > 0 and bad[i - 1])]
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b - 1:X}}}" for a, b in zip(edges[::2], edges[1::2])) + "]"
+
+
+def escaped(x: Column) -> Column:
+    """Unprintable characters as Python's repr writes them."""
+    def one(c: Column) -> Column:
+        code = F.ascii(c)
+        as_hex = lambda mark, n: F.concat(F.lit("\\" + mark), F.lpad(F.lower(F.hex(code)), n, "0"))
+        short = F.when(c == "\t", "\\t").when(c == "\n", "\\n").when(c == "\r", "\\r")
+        other = F.when(code < 0x100, as_hex("x", 2)).when(code < 0x10000, as_hex("u", 4)).otherwise(as_hex("U", 8))
+        return F.when(c.rlike(unprintable()), F.coalesce(short, other)).otherwise(c)
+
+    each = F.transform(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)), one)
+    # most tokens have none of the characters past the first few hundred printable ones
+    return F.when(x.rlike(r"[^\x20-\x7E\xA1-\xAC\xAE-\u0377]"), F.array_join(each, "")).otherwise(x)
+
+
 def python_list(tokens: Column) -> Column:
-    """How Python prints a list of printable strings, the text that sentence fingerprints are taken of."""
+    """How Python prints a list of strings, the text that sentence fingerprints are taken of."""
     def quoted(x: Column) -> Column:
-        plain = F.replace(x, F.lit("\\"), F.lit("\\\\"))
+        plain = escaped(F.replace(x, F.lit("\\"), F.lit("\\\\")))
         single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
         return F.when(x.contains("'") & ~x.contains('"'), F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(single)
 
