@@ -2,10 +2,10 @@
 
 Each language has a model of hashed byte trigrams, counted over all labelled training texts.  A document is a bag of
 words drawn from a mixture of languages; a word's likelihood under a language is the product over its trigrams (with a
-space on either side).  EM estimates the document's language proportions.  The language set is selected by penalised
-likelihood: languages enter in order of their proportions under the full mixture, the mixture of each such set is fitted
-again, and the set with the largest log-likelihood less penalty * log(words) per further language stays.  The document's
-language is the one with the largest proportion in that set, ties by code.
+space on either side).  EM, run to a tolerance, estimates the document's language proportions.  The language set is
+selected by penalised likelihood (log-likelihood less penalty * log(words) per further language): it starts as the best
+single language and takes in the language that raises it most, up to all languages, then drops languages as long as
+that raises it.  The document's language is the one with the largest proportion in that set, ties by code.
 
 The models are as large as the number of languages times `BUCKETS`, whatever the input.
 
@@ -92,55 +92,81 @@ def fit(train: DataFrame, smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
     return langs, (np.log(sums + smooth) - np.log(sums.sum(0) + smooth * BUCKETS)).astype(np.float32)
 
 
-def mixture(p: np.ndarray, first: np.ndarray, n: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """EM over documents at once.  p: (words, languages) likelihoods, each row divided by its largest; first: each
-    document's first word; n: its words (at least one).  Proportions (documents, languages); log-likelihoods less the
-    rows' scale."""
+def mixture(p: np.ndarray, n: np.ndarray, tolerance: float = 1e-3, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
+    """EM over documents at once, each until no proportion moves by more than the tolerance.  p: (words, languages)
+    likelihoods, each row divided by its largest; n: each document's words (at least one).  Proportions (documents,
+    languages); log-likelihoods less the rows' scale."""
     pi = np.full((len(n), p.shape[1]), 1 / p.shape[1], np.float32)
+    todo, words, m = np.arange(len(n)), p, n
     for _ in range(rounds):
-        share = p * np.repeat(pi, n, axis=0)
+        share = words * np.repeat(pi[todo], m, axis=0)
         share /= share.sum(1, keepdims=True)
-        pi = (np.add.reduceat(share, first, axis=0) / n[:, None]).astype(np.float32)
-    mixed = np.log(np.maximum((p * np.repeat(pi, n, axis=0)).sum(1, dtype=np.float32), np.float32(1e-37)))
-    return pi, np.add.reduceat(mixed.astype(np.float64), first)
+        now = (np.add.reduceat(share, np.cumsum(m) - m, axis=0) / m[:, None]).astype(np.float32)
+        moves = np.abs(now - pi[todo]).max(1) > tolerance
+        pi[todo] = now
+        if not moves.any():
+            break
+        if not moves.all():
+            todo, words, m = todo[moves], words[np.repeat(moves, m)], m[moves]
+    first = np.cumsum(n) - n
+    mixed = np.maximum((p * np.repeat(pi, n, axis=0)).sum(1, dtype=np.float32), np.float32(1e-37))
+    return pi, np.add.reduceat(np.log(mixed).astype(np.float64), first)
 
 
-def infer(texts: list[bytes], log_p: np.ndarray, penalty: float = 2.0, most: int = 3, rounds: int = 6) -> tuple[np.ndarray, np.ndarray]:
+def infer(texts: list[bytes], log_p: np.ndarray, penalty: float = 2.0) -> tuple[np.ndarray, np.ndarray]:
     """(documents, languages): proportions within the selected set; proportions under the full mixture.
     Documents without words have zeros."""
     gram, word_first, doc_first = trigrams(texts)
     n_all = np.diff(doc_first)
     some = np.flatnonzero(n_all)
-    chosen, full = np.zeros((len(texts), log_p.shape[1])), np.zeros((len(texts), log_p.shape[1]))
+    n_langs = log_p.shape[1]
+    chosen, full = np.zeros((len(texts), n_langs)), np.zeros((len(texts), n_langs))
     if not len(some):
         return chosen, full
-    n, first = n_all[some], np.concatenate(([0], np.cumsum(n_all[some])[:-1]))
+    n = n_all[some]
+    first = np.cumsum(n) - n
     score = np.add.reduceat(log_p[gram], word_first, axis=0)
     score -= score.max(1, keepdims=True)
     # a word's evidence is bounded, so that one long word doesn't decide a text
-    p = np.exp(np.maximum(score, np.float32(-30)))
-    pi, _ = mixture(p, first, n, rounds)
-    order = np.argsort(-pi, axis=1, kind="stable")
-    single = np.add.reduceat(np.maximum(score, np.float32(-30)), first, axis=0)
+    score = np.maximum(score, np.float32(-30))
+    p = np.exp(score)
+    pi, all_value = mixture(p, n)
+    single = np.add.reduceat(score, first, axis=0)
     best_lang = single.argmax(1)
     best, picked = single[np.arange(len(n)), best_lang].astype(np.float64), np.zeros_like(pi)
     picked[np.arange(len(n)), best_lang] = 1
-    for size in range(2, min(most, pi.shape[1]) + 1):
-        todo = np.flatnonzero(pi[np.arange(len(n)), order[:, size - 1]] > 0.01)
-        if not len(todo):
-            break
-        inside = np.repeat(np.isin(np.arange(len(n)), todo), n)
-        owner = np.repeat(np.arange(len(n)), n)[inside]
-        part = np.take_along_axis(p[inside], order[owner][:, :size], axis=1)
-        part = np.maximum(part, np.float32(1e-13))
-        m = n[todo]
-        own, value = mixture(part, np.concatenate(([0], np.cumsum(m)[:-1])), m, 2 * rounds)
-        value = value - penalty * (size - 1) * np.log(m)
-        better = value > best[todo]
-        best[todo[better]] = value[better]
-        picked[todo[better]] = 0
-        for k, row in zip(todo[better], own[better]):
-            picked[k, order[k, :size]] = row
+
+    def fitted(docs: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions and penalised likelihood of documents under sets (documents, size) of languages."""
+        m = n[docs]
+        inside = np.concatenate([np.arange(first[k], first[k] + n[k]) for k in docs])
+        own, value = mixture(np.take_along_axis(p[inside], np.repeat(sets, m, axis=0), axis=1), m)
+        return own, value - penalty * (sets.shape[1] - 1) * np.log(m)
+
+    def better(docs: np.ndarray, tries: list[np.ndarray]) -> np.ndarray:
+        """Takes each document's best set of those tried, if better than its own; whether it was."""
+        before = best[docs].copy()
+        for sets in tries:
+            own, value = fitted(docs, sets)
+            up = value > best[docs]
+            best[docs[up]] = value[up]
+            picked[docs[up]] = 0
+            picked[docs[up][:, None], sets[up]] = np.maximum(own[up], np.float32(1e-9))
+        return best[docs] > before
+
+    # no set has a greater likelihood than all languages, so that most texts of one language are settled here
+    todo, size = np.flatnonzero(all_value - penalty * np.log(n) > best), 1
+    while len(todo) and size < n_langs:
+        order = np.argsort(picked[todo] == 0, axis=1, kind="stable")  # own languages first
+        won = better(todo, [np.concatenate((order[:, :size], order[:, k : k + 1]), axis=1) for k in range(size, n_langs)])
+        todo, size = todo[won], size + 1
+    sizes = (picked > 0).sum(1)
+    for size in range(n_langs, 1, -1):
+        todo = np.flatnonzero(sizes == size)
+        if len(todo):
+            order = np.argsort(picked[todo] == 0, axis=1, kind="stable")[:, :size]
+            better(todo, [np.delete(order, k, axis=1) for k in range(size)])
+            sizes = (picked > 0).sum(1)
     chosen[some], full[some] = picked, pi
     return chosen, full
 
