@@ -107,6 +107,16 @@ def near_groups(docs: DataFrame, width: int = 4, most: int = 4, keep: tuple = ()
     return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id", "group", *keep)
 
 
+def keep_least(hashed: DataFrame, groups: DataFrame, columns: list[str]) -> DataFrame:
+    """The row of each group with the smallest doc_id, of those the least __hash.  hashed: all columns and __hash; groups:
+    doc_id, __hash, group."""
+    # null ids come last; the group's key is no id, as a group without ids has no number
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("__hash").alias("h"))
+    best = groups.groupBy("group").agg(F.min(order).alias("o")).select(F.col("o.i").alias("__id"), F.col("o.h").alias("__best"))
+    stay = hashed.join(best, hashed["doc_id"].eqNullSafe(best["__id"]) & (hashed["__hash"] == best["__best"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", "__hash"]).select(*columns)
+
+
 def keep_one(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
     """One document of each group, the one with the smallest doc_id, with all its columns.
 
@@ -114,9 +124,4 @@ def keep_one(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
     hash, and rows that repeat both id and text are one."""
     hashed = docs.withColumn("__hash", F.xxhash64("text"))
     ids = hashed.select("doc_id", "text", "__hash")
-    groups = near_groups(ids, width, most, keep=("__hash",))
-    # null ids come last; the group's key is its least fingerprint, as a group without ids has no number
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("__hash").alias("h"))
-    best = groups.groupBy("group").agg(F.min(order).alias("o")).select(F.col("o.i").alias("__id"), F.col("o.h").alias("__best"))
-    stay = hashed.join(best, hashed["doc_id"].eqNullSafe(best["__id"]) & (hashed["__hash"] == best["__best"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)
+    return keep_least(hashed, near_groups(ids, width, most, keep=("__hash",)), docs.columns)
