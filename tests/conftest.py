@@ -14,7 +14,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     builder = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-    s = builder.config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", tempfile.mkdtemp()).getOrCreate()
+    s = builder.config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", tempfile.mkdtemp()).config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp()).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
