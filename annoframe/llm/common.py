@@ -6,8 +6,9 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _OWN: list[str] = []
 
@@ -21,10 +22,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir; a folder of our own only where unset."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir; a folder of our own only where that is unset
+    and everything runs on one machine.  (`sources.store` has the like, as nothing else may import this subpackage.)"""
     set_dir = spark.conf.get("spark.checkpoint.dir", "")
     if set_dir:
         return set_dir.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _OWN:
         _OWN.append("file://" + tempfile.mkdtemp(prefix="annoframe-"))
     return _OWN[0]
@@ -45,6 +49,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names have."""
+    return [df["`" + c.replace("`", "``") + "`"] for c in df.columns]
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one column `row`, beside which helper columns can stand under any name; `row.*` gives them back."""
+    return F.struct(*columns_of(df)).alias("row")
+
+
+def arrow_schema(rows: DataFrame, kept: str, added: str) -> StructType:
+    """Schema of a mapInArrow that passes the columns `kept` (comma-separated) and adds those of a DDL text."""
+    return StructType([rows.schema[c.strip()] for c in kept.split(",") if c.strip()] + StructType.fromDDL(added).fields)
+
+
+def sent_if_small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A frame of a few numbers a row, marked for broadcast if it has at most so many rows; else joined by shuffle.  The
+    frame is counted, so it should be stored or cut."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, everything else as it is; null is empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
@@ -109,3 +134,13 @@ def components(edges: DataFrame) -> DataFrame:
         large = star(both, lambda x: x.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         small = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         now = cut(star(small, lambda x: x.select(F.col("b").alias("a"), F.col("m").alias("b")).union(x.select("a", F.col("m")))))
+
+
+def sums_before(totals: DataFrame, key: str, value: str, width: int = 4096) -> DataFrame:
+    """totals: one row per whole number `key`.  Adds `before`, the sum of `value` over all smaller keys.  Sums over stretches
+    of `width` keys come first, so that one task orders only those, and each stretch is then summed alone."""
+    t = totals.withColumn("stretch", F.floor(F.col(key) / width))
+    whole = t.groupBy("stretch").agg(F.sum(value).alias("s"))
+    base = whole.select("stretch", F.coalesce(F.sum("s").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum(value).over(Window.partitionBy("stretch").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return t.withColumn("inside", inside).join(base, "stretch").select(*totals.columns, (F.col("base") + F.col("inside")).alias("before"))

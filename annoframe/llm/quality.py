@@ -1,17 +1,23 @@
 """Operator 1, quality classifier: importance resampling with hashed n-gram models and Gumbel top-k.
 
 Two bag-of-n-gram models over hashed tokens and token pairs are counted: one of the target (texts labelled good), one of
-all raw texts, whose languages (`lang`, null one of its own) are weighted to the target's shares, so that the ratio tells good from bad and not one language from another.  A text's weight is the mean log ratio of the two over its n-grams, times `sharpness`; adding Gumbel noise
-to the weights and keeping the k largest draws k texts without replacement in proportion to the exponential of the weight.
-k is the number of texts whose mean log ratio reaches the point that separates the labelled good texts from the bad best.
+all raw texts, whose languages (`lang`, null one of its own) are weighted to the target's shares, so that the ratio tells
+good from bad and not one language from another.  A text's log ratio is the sum over its n-grams, its mean ratio that sum
+per n-gram.  The raw texts are a mixture of target and other texts, so the ratio of target to raw is bounded: it is the
+chance that a text is of the target over the target's share.  That chance is read off the mean ratio by a logistic curve
+fitted on the labelled texts, and its logarithm is the text's log weight (0 for texts surely of the target).
 
-Bounds: the target model and that point are fitted on at most `max_labelled` labelled texts, picked by a hash of their id.
+Adding Gumbel noise to the log weights and keeping the k largest draws k texts without replacement in proportion to their
+weights.  k is `share` of all texts; by default the mean chance over all texts, so that as many are drawn as the target
+has.  Texts near the curve's middle stay or go by their draw, in proportion to their weight; no threshold decides.
+
+Bounds: the target model and the curve are fitted on at most `max_labelled` labelled texts, picked by a hash of their id.
 The raw model counts all texts.  The models are two vectors of `BUCKETS` numbers, whatever the input.
 
-Edge cases: null or empty text has no n-grams, mean log ratio 0 and is kept unless the separating point is above 0; a
-null id has a noise of its own; repeated rows have equal keys and stay or go together (so ties at the limit may keep a
-few rows more than k); several labels of one id count as bad if any is; without labels, or with good or bad ones only,
-every text is kept.  Other columns pass untouched, whatever their names.
+Edge cases: null or empty text has no n-grams and mean ratio 0; a null id draws its noise by its text; repeated rows have
+equal keys and stay or go together (so ties at the limit may keep a few rows more than k); several labels of one id count
+as bad if any is; without labels, or with good or bad ones only, every text has log weight 0 and, unless `share` says
+otherwise, is kept.  Other columns pass untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,20 +27,28 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, kth_largest, unit_hash
-from .hashing import WORDS_AND_MARKS, hashed_tokens, mix, texts_of
+from .common import arrow_schema, cut, kth_largest, unit_hash, whole_row
+from .hashing import WORDS_AND_MARKS, hashed_tokens, mix, slices
 
 BUCKETS = 1 << 14
 PAIR = np.uint64(0xD6E8FEB86659FD93)
-GROUP = 400  # texts handled at once
 
 
 class Model(NamedTuple):
     ratio: np.ndarray  # log p(target) - log p(raw) of each bucket
-    limit: float  # mean log ratio that separates good from bad
+    middle: float  # mean ratio at which a text is as likely of the target as not
+    slope: float  # of the logistic curve; 0 without one
+
+
+class Sample(NamedTuple):
+    rows: DataFrame  # doc_id, grams, log_ratio, mean_ratio, log_weight, gumbel, key, kept
+    limit: float  # the k-th largest key
+    k: int
+    effective: float  # effective sample size of the weights: their sum squared over the sum of their squares
+    model: Model
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -47,19 +61,13 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((h & mask, pairs & mask)).astype(np.int64), np.concatenate((owner, owner[1:][same]))
 
 
-def groups(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
-    for at in range(0, len(column), GROUP):
-        texts = texts_of(column[at : at + GROUP])
-        yield at, at + len(texts), texts
-
-
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of a task's buckets by language: of all texts, and of the texts labelled good."""
     counts: dict[str | None, np.ndarray] = {}
     for batch in batches:
         good = np.array(batch.column("good").fill_null(0).to_pylist(), bool)
         langs = batch.column("lang").to_pylist()
-        for a, b, texts in groups(batch.column("text")):
+        for a, b, texts in slices(batch.column("text")):
             bucket, owner = grams(texts)
             for lang in dict.fromkeys(langs[a:b]):
                 own = np.array([x == lang for x in langs[a:b]])
@@ -72,35 +80,44 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scorer(ratio: np.ndarray):
-    """A function for mapInArrow: the rows (row, text) with the text's n-grams and mean log ratio."""
+    """A function for mapInArrow: the rows (row, id, text) with the text's n-grams and ratios."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, total = np.zeros(len(batch), np.int64), np.zeros(len(batch))
-            for a, b, texts in groups(batch.column("text")):
+            for a, b, texts in slices(batch.column("text")):
                 bucket, owner = grams(texts)
                 n[a:b] = np.bincount(owner, minlength=b - a)
                 total[a:b] = np.bincount(owner, ratio[bucket], minlength=b - a)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))], names=["row", "grams", "log_ratio", "mean_ratio"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))], names=["row", "id", "grams", "log_ratio", "mean_ratio"])
 
     return score
 
 
-def _scored(docs: DataFrame, ratio: np.ndarray, columns: list[str]) -> DataFrame:
-    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), docs["text"].alias("text"))
-    kind = rows.select("row").schema["row"].dataType.simpleString()
-    return rows.mapInArrow(scorer(ratio), f"row {kind}, grams long, log_ratio double, mean_ratio double")
-
-
-def best_limit(good: np.ndarray, bad: np.ndarray) -> float:
-    """The point with the fewest errors on either side, each side's as a share of it; in its gap nearer to the bad."""
-    if not len(good) or not len(bad):
-        return -np.inf
-    at = np.unique(np.concatenate((good, bad)))
-    lost = np.searchsorted(np.sort(good), at, "left") / len(good)
-    passed = 1 - np.searchsorted(np.sort(bad), at, "left") / len(bad)
-    k = int(np.argmin(lost + passed))
-    return float(at[k] if k == 0 else at[k - 1] + (at[k] - at[k - 1]) / 4)
+def _scored(docs: DataFrame, ratio: np.ndarray, row: Column) -> DataFrame:
+    """row, id (a hash that the noise is drawn by), grams, log_ratio, mean_ratio."""
+    own = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    rows = docs.select(row.alias("row"), own.alias("id"), docs["text"].alias("text"))
+    return rows.mapInArrow(scorer(ratio), arrow_schema(rows, "row, id", "grams long, log_ratio double, mean_ratio double"))
+
+
+def curve(x: np.ndarray, good: np.ndarray, rounds: int = 100) -> tuple[float, float]:
+    """Middle and slope of the logistic curve of good over x, by Newton's method.  A weak pull (a normal prior of spread 10
+    on the slope per standard deviation) keeps the slope finite where x parts the two perfectly."""
+    if not good.any() or good.all() or not x.std():
+        return 0.0, 0.0
+    z = np.stack((np.ones(len(x)), (x - x.mean()) / x.std()), 1)
+    w, pull = np.zeros(2), np.diag([1e-9, 0.01])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+        move = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + pull, z.T @ (good - p) - pull @ w)
+        move *= min(1.0, 2.0 / np.abs(move).max(initial=1e-300))  # short steps, as full ones may overshoot
+        w += move
+        if np.abs(move).max() < 1e-10:
+            break
+    if w[1] <= 0:  # the ratio says nothing
+        return 0.0, 0.0
+    return float(x.mean() - w[0] / w[1] * x.std()), float(w[1] / x.std())
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, smooth: float = 1.0) -> Model:
@@ -117,33 +134,40 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, smooth:
         raw[r.bucket], target[r.bucket] = r.raw, r.target
     all_raw = counts.agg(F.sum("raw")).first()[0]
     if not target.any():
-        return Model(np.zeros(BUCKETS), -np.inf)
+        return Model(np.zeros(BUCKETS), 0.0, 0.0)
     # one raw occurrence, as it counts after weighting, is added to either side: a bucket too rare for the target is weak evidence
     one = smooth * target.sum() / all_raw
     ratio = np.log(target + one) - np.log(raw + one)
-    judged = _scored(texts.join(some, "doc_id").select("doc_id", "text", "good"), ratio, ["good"])
-    pairs = judged.select("row.good", "mean_ratio").collect()  # max_labelled rows, unless ids repeat
-    values, good = np.array([p.mean_ratio for p in pairs]), np.array([p.good for p in pairs], bool)
-    return Model(ratio, best_limit(values[good], values[~good]))
+    joined = texts.join(some, "doc_id")
+    judged = _scored(joined, ratio, joined["good"])
+    # ids may repeat in docs: at most max_labelled rows of the texts are judged
+    pairs = judged.select(F.col("row").alias("good"), "mean_ratio", "id").orderBy("id").limit(max_labelled).collect()
+    return Model(ratio, *curve(np.array([p.mean_ratio for p in pairs]), np.array([p.good for p in pairs], bool)))
 
 
-def weighted(docs: DataFrame, model: Model, columns: list[str], sharpness: float, seed: int) -> DataFrame:
-    """row (a struct of the columns), grams, log_ratio, mean_ratio, gumbel, key."""
-    scored = _scored(docs, model.ratio, columns)
-    gumbel = -F.log(-F.log(unit_hash(seed, F.col("row.doc_id"))))
-    return scored.withColumn("gumbel", gumbel).withColumn("key", F.col("mean_ratio") * F.lit(sharpness) + F.col("gumbel"))
+def weighted(docs: DataFrame, model: Model, row: Column, seed: int) -> DataFrame:
+    """row, grams, log_ratio, mean_ratio, log_weight, gumbel, key."""
+    scored = _scored(docs, model.ratio, row)
+    odds = F.lit(model.slope) * (F.col("mean_ratio") - F.lit(model.middle))
+    # log(1 / (1 + exp(-odds))) without overflow; without a curve all weights are equal
+    log_weight = F.when(odds >= 0, -F.log1p(F.exp(-odds))).otherwise(odds - F.log1p(F.exp(odds))) if model.slope else F.lit(0.0)
+    gumbel = -F.log(-F.log(unit_hash(seed, F.col("id"))))
+    return scored.withColumn("log_weight", log_weight).withColumn("gumbel", gumbel).drop("id").withColumn("key", F.col("log_weight") + F.col("gumbel"))
 
 
-def resampled(docs: DataFrame, labels: DataFrame, sharpness: float = 200.0, seed: int = 11, max_labelled: int = 20_000) -> tuple[DataFrame, float, Model]:
-    """One row per document (doc_id, grams, log_ratio, mean_ratio, gumbel, key, kept); the limit of key; the model."""
+def resampled(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 11, max_labelled: int = 20_000) -> Sample:
+    """The sample: one row per document, and what it was drawn by."""
     model = fit(docs, labels, max_labelled)
-    rows = cut(weighted(docs, model, ["doc_id"], sharpness, seed).select("row.doc_id", "grams", "log_ratio", "mean_ratio", "gumbel", "key"))
-    limit = kth_largest(rows, "key", rows.where(F.col("mean_ratio") >= F.lit(model.limit)).count())
-    return rows.withColumn("kept", F.col("key") >= F.lit(limit)), limit, model
-
-
-def keep_good(docs: DataFrame, labels: DataFrame, sharpness: float = 200.0, seed: int = 11, max_labelled: int = 20_000) -> DataFrame:
-    """The documents that the sample keeps, with all their columns.  The key is computed again beside the whole row, so
-    that no text is shuffled."""
-    _, limit, model = resampled(docs, labels, sharpness, seed, max_labelled)
-    return weighted(docs, model, docs.columns, sharpness, seed).where(F.col("key") >= F.lit(limit)).select("row.*")
+    rows = cut(weighted(docs, model, docs["doc_id"], seed).select(F.col("row").alias("doc_id"), "grams", "log_ratio", "mean_ratio", "log_weight", "gumbel", "key"))
+    weight = F.exp("log_weight")
+    n, total, squares = rows.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0.0)), F.coalesce(F.sum(weight * weight), F.lit(0.0))).first()
+    k = round(total if share is None else share * n)
+    limit = kth_largest(rows, "key", k)
+    return Sample(rows.withColumn("kept", F.col("key") >= F.lit(limit)), limit, k, total * total / squares if squares else 0.0, model)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 11, max_labelled: int = 20_000) -> DataFrame:
+    """The documents of the sample, with all their columns.  The key is computed again beside the whole row, so that no text
+    is shuffled."""
+    sample = resampled(docs, labels, share, seed, max_labelled)
+    return weighted(docs, sample.model, whole_row(docs), seed).where(F.col("key") >= F.lit(sample.limit)).select("row.*")

@@ -10,8 +10,8 @@ from .common import documents, stored
 
 
 def op1_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _, _ = quality.resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return rows.select("doc_id", "grams", "log_ratio", "mean_ratio", "gumbel", F.col("key").alias("score"), "kept")
+    rows = quality.resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).rows
+    return rows.select("doc_id", "grams", "log_ratio", "mean_ratio", "log_weight", "gumbel", F.col("key").alias("score"), "kept")
 
 
 def op2_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

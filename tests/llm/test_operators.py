@@ -78,18 +78,6 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_quality(spark, docs, empty, rows):
-    labels = spark.createDataFrame([(k, 1) for k in range(60)] + [(k, 0) for k in range(230, 236)] + [(None, 0), (3, None)], "doc_id long, quality int")
-    out, limit, _ = quality.resampled(docs, labels)
-    got = {r.doc_id: r for r in out.collect()}
-    assert out.count() == len(rows)
-    assert not any(got[k].kept for k in range(230, 240)) and all(got[k].kept for k in range(120))
-    kept = quality.keep_good(docs, labels)
-    assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in out.collect())
-    assert quality.keep_good(empty, labels).count() == 0
-    assert quality.keep_good(docs, labels.where("false")).count() == len(rows)
-
-
 def test_transport_stream_round_trip(docs, empty, rows):
     got = {(r.doc_id, r.n_bytes): r for r in transport_stream.features(transport_stream.store(docs)).collect()}
     for doc_id, text, *_ in rows:
