@@ -1,63 +1,115 @@
 """Operator 9, exact dedup: a persistent digest index, bucketed and sorted by hash.
 
-The index is a table of (digest, keep_id, group_size), bucketed and sorted by digest, so that every later batch meets it
-in a sort-merge anti-join that moves only the batch.  A batch is first reduced to its distinct digests, which removes
-any hot group before a join; digests that the index lacks are appended.  DataFrame functions only.
+The index is a table of rows (digest, keep_id, group_size), bucketed and sorted by digest.  A batch is first reduced to its
+distinct digests, which removes any hot group before a join.  It then meets the index in a sort-merge join on the buckets,
+which moves the batch only: an anti-join gives the digests that are new, and every digest of the batch is appended, new
+ones as they are, known ones as what the batch adds to their group.  Readers fold the rows of a digest: the largest
+keep_id, the sum of group sizes.  DataFrame functions only.
 
 Texts are equal when identical after lower-casing A-Z; null counts as empty.  Of equal texts the row with the largest
-doc_id stays; a row without id stays only in a group without ids.  Once indexed, a digest keeps its row: documents of later batches with it are dropped.
-Rows that repeat both id and text are one document for `keep_one` and as many rows in `resolve`.  Other columns pass.
+doc_id stays, over all batches so far; a row without id stays only in a group without ids.  A later, larger id thus takes
+over a group: `resolve` tells so, `keep_one` keeps only rows of digests that its batch brought first.  Rows that repeat both
+id and text are one document for `keep_one` and as many rows in `resolve`.  Other columns pass, whatever their names.
+
+The number of buckets is stored with the index; opening it with another is an error.  `close` takes the table out of the
+session's catalogue and leaves the files.  One writer at a time.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, shared_dir
+from .common import ascii_lower, cut, sent_if_small, shared_dir, whole_row
+
+ROWS = "digest STRING, keep_id BIGINT, group_size BIGINT"
 
 
-def digest_of(text):
+def digest_of(text: Column) -> Column:
     return F.sha2(ascii_lower(text), 256)
 
 
+def digested(docs: DataFrame) -> DataFrame:
+    """doc_id, digest of every row."""
+    return docs.select("doc_id", digest_of(docs["text"]).alias("digest"))
+
+
 class DigestIndex:
-    """An index at `path` (a folder of its own in the shared folder unless given), known to the session as a table."""
-
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64):
-        self.spark, self.buckets = spark, buckets
-        name = f"digest_index_{uuid.uuid4().hex}"
-        self.path = path or f"{shared_dir(spark)}/{name}"
-        self.table = name
-        spark.sql(f"CREATE TABLE {name} (digest STRING, keep_id BIGINT, group_size BIGINT) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'")
-
-    def add(self, docs: DataFrame) -> DataFrame:
-        """Append what is new; returns the new digests (digest, keep_id, group_size)."""
-        reduced = docs.select("doc_id", digest_of(F.col("text")).alias("digest")).groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    """An index at `path` (a folder of its own in the shared folder unless given), opened if there is one already."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        self.spark, self.table = spark, f"digest_index_{uuid.uuid4().hex}"
+        self.path = path or f"{shared_dir(spark)}/{self.table}"
+        try:
+            stored = spark.read.schema("buckets INT").parquet(f"{self.path}/buckets").first().buckets
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            stored = None
+        if stored and buckets and stored != buckets:
+            raise ValueError(f"the index has {stored} buckets, not {buckets}")
+        self.buckets = stored or buckets or 64
+        if not stored:
+            spark.range(1).select(F.lit(self.buckets).cast("int").alias("buckets")).write.parquet(f"{self.path}/buckets")
+        spark.sql(f"CREATE TABLE {self.table} ({ROWS}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}/rows'")
+
+    def add(self, digests: DataFrame) -> DataFrame:
+        """digests: doc_id, digest.  Appends the batch; returns what it brought first (digest, keep_id, group_size)."""
+        reduced = cut(digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
         known = self.spark.table(self.table)
         fresh = cut(reduced.join(known.select("digest").hint("merge"), "digest", "left_anti"))
         # dealt by the buckets' own hash, so that each bucket gets one file of one task
-        dealt = fresh.repartition(self.buckets, "digest").sortWithinPartitions("digest")
-        dealt.select("digest", "keep_id", "group_size").write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table)
+        dealt = reduced.repartition(self.buckets, "digest").sortWithinPartitions("digest")
+        dealt.select("digest", "keep_id", "group_size").write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option("path", f"{self.path}/rows").saveAsTable(self.table)
         return fresh
 
     def rows(self) -> DataFrame:
-        """The index's files, read without their buckets, so that a join with hot digests can be split."""
-        return self.spark.read.schema("digest string, keep_id long, group_size long").parquet(self.path)
+        """The index, one row per digest.  Read without its buckets, so that a join with hot digests can be split."""
+        files = self.spark.read.schema(ROWS).parquet(f"{self.path}/rows")
+        return files.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+
+    def resolve(self, digests: DataFrame) -> DataFrame:
+        """digests: doc_id, digest, of rows that were added.  Adds keep_id and group_size."""
+        return digests.join(self.rows(), "digest")
+
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
 
-    def resolve(self, docs: DataFrame) -> DataFrame:
-        """doc_id, digest, keep_id, group_size of every row of docs."""
-        rows = docs.select("doc_id", digest_of(F.col("text")).alias("digest"))
-        return rows.join(self.rows(), "digest")
+def resolved(docs: DataFrame, batches: int = 2) -> DataFrame:
+    """doc_id, digest, keep_id, group_size of every row, all fed to a new index in so many batches (dealt by a hash of the id).
+    Texts are read once."""
+    rows = cut(digested(docs))
+    index = DigestIndex(docs.sparkSession)
+    for k in range(batches):
+        index.add(rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == k))
+    index.close()
+    return index.resolve(rows)
 
 
 def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The documents that stay, with all their columns: the index's row of each digest that this batch brought."""
-    index = index or DigestIndex(docs.sparkSession)
-    fresh = index.add(docs).select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
-    rows = docs.withColumn("__digest", digest_of(docs["text"]))
-    # each digest meets its one winner by digest and id, so a hot group is spread by its ids
-    stay = rows.join(fresh, (rows["__digest"] == fresh["__digest"]) & rows["doc_id"].eqNullSafe(fresh["__keep"]), "left_semi")
-    return stay.dropDuplicates(["__digest", "doc_id"]).select(*docs.columns)
+    """The documents that stay, with all their columns: the kept row of each digest that this batch brought first.
+
+    What goes is told by digest and id, so that a hot group is spread by its ids; where few rows go, they are sent to all
+    tasks and no text moves."""
+    own = index or DigestIndex(docs.sparkSession)
+    rows = cut(digested(docs))
+    fresh = own.add(rows).select("digest", F.col("keep_id").alias("keep"), F.lit(True).alias("new"))
+    if not index:
+        own.close()
+    each = rows.groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
+    judged = cut(each.join(fresh, "digest", "left").select("doc_id", "digest", "n", (F.col("new").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep"))).alias("stays")))
+    rows = docs.select(whole_row(docs), docs["doc_id"].alias("id"), digest_of(docs["text"]).alias("own"))
+    same = lambda x: rows["id"].eqNullSafe(x["doc_id"]) & (rows["own"] == x["digest"])
+    gone = sent_if_small(judged.where("not stays"))
+    left = rows.join(gone, same(gone), "left_anti")
+    repeated = judged.where("stays and n > 1").select("doc_id", "digest")
+    if repeated.isEmpty():
+        return left.select("row.*")
+    repeated = sent_if_small(cut(repeated))
+    again = lambda how: left.join(repeated, left["id"].eqNullSafe(repeated["doc_id"]) & (left["own"] == repeated["digest"]), how)
+    once = again("left_semi").groupBy("id", "own").agg(F.first("row").alias("row"))
+    return again("left_anti").select("row").union(once.select("row")).select("row.*")

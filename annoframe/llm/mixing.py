@@ -4,29 +4,40 @@ Within a source, the expected copies of its documents are summed up in a fixed o
 document is emitted once for every integer that the sum crosses at it.  All documents of a source expect
 target / source_size copies, at most `most`, and stand in order of their size class, a salt, size and id, so that the
 sample is spread evenly over sizes.  Positions come from counts per (source, size class, salt) cell and a row number
-inside the cell; no task gets a whole source.
+inside the cell; no task gets a whole source.  The salt is a hash of the id (of the text where the id is null), so that
+no run of ids and no size fills one cell.
+
+A source's taken words come near its target: what the draw of each stretch of like sizes adds or lacks is less than one
+document of that size, so the whole is off by a few documents of the source's largest sizes; of a source of few documents
+with one very long text that can be several per cent.
 
 Sizes are words; null text has none and takes part with size 0.  A source is a value of `source`, null one of its own,
 last in code point order.  A source without words has target 0.  Repeated rows (id and text) share their order among
-themselves only.  Other columns pass untouched.
+themselves only.  Other columns pass untouched, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, whole_row
 
 WEIGHTS = (5, 2, 1)
-SALTS = 16
+SALTS = 256
 CLASSES = 64  # of sizes, per doubling
 
 
-def word_count(text):
+def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def salt_of(doc_id: Column, text: Column) -> Column:
+    """0 to SALTS - 1, from the first two hex digits of an MD5."""
+    own = F.coalesce(doc_id.cast("string"), text, F.lit(""))
+    return F.conv(F.substring(F.md5(own), 1, 2), 16, 10).cast("int")
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """source, source_size, target from one row (source, source_size) per source: the total is shared by weight; what a
     source cannot take (over `most` times its size) goes to the others by weight, until none is above.
@@ -45,18 +56,23 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
     return level.select("source", "source_size", F.least("cap", F.coalesce(F.col("w") * F.col("common"), F.col("cap"))).alias("target"))
 
 
-def offset(seed: int, source):
+def offset(seed: int, source: Column) -> Column:
     """One number in [0, 1) for each source, from the first 8 hex digits of an MD5."""
     text = F.concat(F.lit(f"{seed}|"), F.coalesce(source, F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def drawn(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 5) -> DataFrame:
-    """sized: doc_id, source, size, one row per document.  Adds source_size, target and copies."""
-    cell = ["source", "class", "salt"]
-    rows = sized.withColumn("class", F.floor(F.log2(F.col("size") + 1.0) * CLASSES)).withColumn("salt", F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SALTS)))
-    cells = rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    cells = cut(cells)
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size, salt, h (hash of the text) of every row."""
+    text = docs["text"]
+    return docs.select("doc_id", "source", word_count(text).alias("size"), salt_of(docs["doc_id"], text).alias("salt"), F.xxhash64(text).alias("h"))
+
+
+def drawn(rows: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 5) -> DataFrame:
+    """rows: doc_id, source, size, salt, one row per document.  Adds source_size, target and copies."""
+    columns, cell = rows.columns, ["source", "class", "salt"]
+    rows = rows.withColumn("class", F.floor(F.log2(F.col("size") + 1.0) * CLASSES))
+    cells = cut(rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
     goal = targets(sizes, weights, share, most).select(F.coalesce("source", F.lit("")).alias("g_source"), F.col("source").isNull().alias("g_null"), "source_size", "target")
     order = Window.partitionBy("source").orderBy("class", "salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -68,21 +84,27 @@ def drawn(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
     rank, start = (F.col("before") + F.col("inside")).cast("double"), offset(seed, F.col("source"))
     copies = F.floor(start + rank * rate) - F.floor(start + (rank - 1.0) * rate)
-    return met.withColumn("copies", copies.cast("long")).select(*sized.columns, "source_size", "target", "copies")
+    return met.withColumn("copies", copies.cast("long")).select(*columns, "source_size", "target", "copies")
 
 
 def mixed_counts(docs: DataFrame, **kw) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies of every document."""
-    return drawn(cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))), **kw)
+    """doc_id, source, size, salt, h, source_size, target, copies of every document."""
+    return drawn(cut(sized(docs)), **kw)
 
 
 def mix(docs: DataFrame, **kw) -> DataFrame:
-    """The documents of the mix with all their columns, each once per copy."""
-    plan = mixed_counts(docs, **kw).groupBy(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.col("source").alias("__source")).agg(F.collect_list("copies").alias("__copies"))
-    rows = docs.withColumn("__words", word_count(docs["text"]))
-    same = rows["doc_id"].eqNullSafe(plan["__id"]) & (rows["__words"] == plan["__size"]) & rows["source"].eqNullSafe(plan["__source"])
-    # rows that share id, size and source take the copies of their places
-    nth = F.row_number().over(Window.partitionBy("doc_id", "__words", "source").orderBy("text"))
-    rows = rows.withColumn("__nth", nth)
-    met = rows.join(plan, same).withColumn("__n", F.element_at("__copies", F.col("__nth")))
-    return met.where("__n > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("__copy")).drop("__copy")
+    """The documents of the mix with all their columns, each once per copy.  Rows that repeat id, source and text share
+    their copies, as even as can be."""
+    same = ["doc_id", "source", "h"]
+    plan = cut(mixed_counts(docs, **kw).groupBy(*same).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")))
+    plan = plan.where("copies > 0").select(*[F.col(c).alias(f"p_{c}") for c in same], "copies", "rows")
+    rows = docs.select(whole_row(docs), *[c.alias(f"d_{n}") for n, c in (("doc_id", docs["doc_id"]), ("source", docs["source"]), ("h", F.xxhash64(docs["text"])))])
+    met = rows.join(plan, (F.col("d_h") == F.col("p_h")) & F.col("d_doc_id").eqNullSafe(F.col("p_doc_id")) & F.col("d_source").eqNullSafe(F.col("p_source")))
+    if plan.where("rows > 1").isEmpty():
+        n = F.col("copies")
+    else:
+        nth = F.row_number().over(Window.partitionBy("d_doc_id", "d_source", "d_h").orderBy("d_h"))
+        met = met.withColumn("nth", nth)
+        n = F.floor(F.col("copies") / F.col("rows")) + (F.col("nth") <= F.col("copies") % F.col("rows")).cast("long")
+    met = met.withColumn("times", n.cast("int")).where("times > 0")
+    return met.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("row.*")

@@ -24,14 +24,14 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 2) AS salt, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM d GROUP BY source),
 w AS (SELECT *, CASE turn % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w, 2.0::DOUBLE * source_size AS cap, 1.5::DOUBLE * CAST(sum(source_size) OVER () AS BIGINT) AS total FROM s),
 l AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS full_, sum(w) OVER () - coalesce(sum(w) OVER b, 0) AS rest FROM w
       WINDOW b AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 c AS (SELECT *, max(CASE WHEN cap / w >= (total - full_) / rest THEN (total - full_) / rest END) OVER () AS common FROM l),
 t AS (SELECT source, source_size, least(cap, coalesce(w * common, cap)) AS target FROM c),
-r AS (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0::DOUBLE) * 64), coalesce(doc_id, 0) % 16, size, doc_id NULLS LAST) AS n FROM d),
+r AS (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0::DOUBLE) * 64), salt, size, doc_id NULLS LAST) AS n FROM d),
 p AS (SELECT r.doc_id, r.size, t.source_size, t.target, CAST(n AS DOUBLE) AS n, CASE WHEN t.source_size = 0 THEN 0.0 ELSE t.target / t.source_size END AS rate,
         CAST(CAST('0x' || substr(md5('5|' || coalesce(r.source, '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE AS o
       FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
@@ -66,10 +66,7 @@ def op8_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    index = digest_index.DigestIndex(spark)
-    index.add(docs)
-    rows = index.resolve(docs)
+    rows = digest_index.resolved(documents(spark, sf_dir))
     return rows.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
 
 

@@ -99,37 +99,6 @@ def test_transport_stream_damage():
     assert transport_stream.demux(b"").payload == b""
 
 
-def water(sizes):
-    w = {k: (5, 2, 1)[i % 3] for i, k in enumerate(sorted(sizes, key=lambda x: (x is None, x or "")))}
-    left, out, free = 1.5 * sum(sizes.values()), {}, set(sizes)
-    while free:
-        total = sum(w[k] for k in free)
-        over = [k for k in free if left * w[k] / total > 2 * sizes[k]]
-        if not over:
-            return out | {k: left * w[k] / total for k in free}
-        for k in over:
-            out[k] = 2.0 * sizes[k]
-            free.discard(k)
-        left = 1.5 * sum(sizes.values()) - sum(out.values())
-    return out
-
-
-def test_mixing(docs, empty, rows):
-    sizes = Counter()
-    for _, text, _, source in rows:
-        sizes[source] += len(words(text))
-    goal = water(sizes)
-    got = mixing.mixed_counts(docs).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        assert r.source_size == sizes[r.source] and math.isclose(r.target, goal[r.source]) and 0 <= r.copies <= 2
-    again = mixing.mixed_counts(docs.repartition(5)).collect()
-    assert Counter((r.doc_id, r.copies) for r in got) == Counter((r.doc_id, r.copies) for r in again)
-    mixed = mixing.mix(docs)
-    assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in got)
-    assert mixing.mix(empty).count() == 0
-
-
 def test_wavelet_matrix():
     rng = np.random.default_rng(1)
     for n in (0, 1, 700, 300_000):
@@ -315,25 +284,6 @@ def test_maxent_probabilities_sum_to_one(docs):
     assert np.allclose(total, 1, atol=1e-4)
 
 
-def test_digest_index(spark, docs, empty, rows):
-    norm = lambda t: hashlib.sha256((t or "").encode().translate(LOWER)).hexdigest()
-    keep, size = {}, Counter()
-    for doc_id, text, *_ in rows:
-        keep[norm(text)] = max(keep.get(norm(text), -1), -1 if doc_id is None else doc_id)
-        size[norm(text)] += 1
-    index = digest_index.DigestIndex(spark, buckets=4)
-    index.add(docs.where("doc_id is null or doc_id <> 210"))
-    late = index.add(docs.where("doc_id = 210"))
-    assert late.count() == 0 and index.add(empty).count() == 0 and index.rows().count() == len(keep)
-    whole = digest_index.DigestIndex(spark, buckets=4)
-    whole.add(docs)
-    got = Counter((r.digest, -1 if r.keep_id is None else r.keep_id, r.group_size) for r in whole.resolve(docs).collect())
-    assert got == Counter((norm(t), keep[norm(t)], size[norm(t)]) for _, t, *_ in rows)
-    kept = digest_index.keep_one(docs)
-    assert kept.columns == docs.columns and kept.count() == len(keep)
-    assert digest_index.keep_one(empty).count() == 0
-
-
 def brute_spans(t):
     t = t or ""
     a = [(m.start(), 0, m.end()) for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t) if len(m[2]) >= 12]
