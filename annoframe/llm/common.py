@@ -137,10 +137,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def sums_before(totals: DataFrame, key: str, value: str, width: int = 4096) -> DataFrame:
-    """totals: one row per whole number `key`.  Adds `before`, the sum of `value` over all smaller keys.  Sums over stretches
+    """totals: one row per whole number `key`.  key, value and `before`, the sum of `value` over all smaller keys.  Sums over stretches
     of `width` keys come first, so that one task orders only those, and each stretch is then summed alone."""
-    t = totals.withColumn("stretch", F.floor(F.col(key) / width))
-    whole = t.groupBy("stretch").agg(F.sum(value).alias("s"))
-    base = whole.select("stretch", F.coalesce(F.sum("s").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    inside = F.coalesce(F.sum(value).over(Window.partitionBy("stretch").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return t.withColumn("inside", inside).join(base, "stretch").select(*totals.columns, (F.col("base") + F.col("inside")).alias("before"))
+    t = totals.select(F.col(key).alias("k"), F.col(value).alias("v"), F.floor(F.col(key) / width).alias("part"))
+    whole = t.groupBy("part").agg(F.sum("v").alias("s"))
+    base = whole.select("part", F.coalesce(F.sum("s").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("v").over(Window.partitionBy("part").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return t.withColumn("inside", inside).join(base, "part").select(F.col("k").alias(key), F.col("v").alias(value), (F.col("base") + F.col("inside")).alias("before"))

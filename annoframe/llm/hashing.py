@@ -47,18 +47,24 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in pc.cast(column, pa.large_binary()).to_pylist()]
 
 
-def slices(column: pa.Array, rows: int = 400, size: int = 4 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
-    """The texts of a batch in runs of at most `rows` rows and about `size` bytes: first row, row after the last, texts.
-    A longer text is a run of its own."""
+def runs(column: pa.Array, rows: int = 400, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """A batch's texts in runs of at most `rows` rows and about `size` bytes: first row, row after the last.  A longer text
+    is a run of its own."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends, at = np.cumsum(sizes), 0
     while at < len(sizes):
         before = ends[at - 1] if at else 0
         end = min(max(at + 1, int(np.searchsorted(ends, before + size, "right"))), at + rows, len(sizes))
-        yield at, end, texts_of(column[at:end])
+        yield at, end
         at = end
 
 
+def slices(column: pa.Array, rows: int = 400, size: int = 4 << 20) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The same with the texts."""
+    for a, b in runs(column, rows, size):
+        yield a, b, texts_of(column[a:b])
+
+
 def segments(text: bytes, size: int = BLOCK) -> Iterator[bytes]:
     """A text in parts of about `size` bytes, cut at a space, so that no token is cut."""
     at = 0

@@ -1,19 +1,25 @@
 """Operator 7, mixture-controlled packing: deficit round-robin over source queues.
 
-Every source is a queue of its documents' tokens.  A window is one sequence; it visits the sources in order, and each
-gives the whole part of its quantum (its share of all tokens times the window) plus the deficit carried from the window
-before; what the sources so far owe together is carried on to the next source, so a window is full to the last token.
-Because quantum and carry are linear, the tokens that the first k sources have given before window n are
-floor(n * window * share_k) in closed form.  So any partition knows the deficits at its first window and cuts its own
-documents; no schedule is walked through, and tokens never move.  All queues end in the last window.
-
-Sources below `least` of a window's tokens share a queue, since a quantum of less than one token could run backwards.
+Every source is a queue of its documents, cut into pieces of at most `piece` tokens (a document of up to so many stays
+whole).  In each round every queue, in order of source, gets a quantum, its target share of a window's tokens, on top of
+what it was owed; it gives pieces as long as what it is owed covers the next one, and the rest is its deficit, carried into
+the next round.  Pieces are laid one after the other and the row of tokens is cut every `window` tokens, so sequences are
+full but for the last, and each holds every source's target share up to the deficits, which stay below one piece a source.
+A document is cut at the ends of its pieces and of sequences only.
+
+As a queue is owed n quanta after n rounds, a piece goes out in the first round n whose n quanta reach the tokens of its
+queue up to its end.  So prefix sums give the schedule: any task knows the deficits before its own documents, and no round
+is walked through.  Rounds are then laid out by sums per stretch of rounds, and a running sum inside each stretch.
+
+Target weights are given by source, or by default are the sources' own tokens, so that all queues end together.  With
+other weights a queue may run dry; the others go on by their weights.  No token is dropped and none repeated.
+
 Tokenized documents are stored once in the shared folder with their place within their task; a queue is in order of task
-and place.  The sums of tokens by task and source are joined by size, so nothing grows with the input in one task but
-one row per source, and one per task and source.
+and place, so the packing depends on how the input is split.  Nothing that grows with the input is in one task but one row
+per source, one per task of a source, and one per 4096 stretches of rounds.
 
-Edge cases: null text is empty and has the end id alone; null is a source of its own; repeated rows are packed each.
-Other columns are not read.
+Edge cases: null text is empty and has the end id alone; null is a source of its own, last; repeated rows are packed each;
+text that spells one of the tokenizer's special tokens gets its id, as the library gives it.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,109 +30,100 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, stored
+from .common import arrow_schema, cut, sent_if_small, stored, sums_before
+from .hashing import runs
 from .tokens import memo, tokenizer_path
 
-WINDOW = 4096
-SMALL = 100_000  # rows of (task, source) sums that are sent to all tasks
-PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, ids binary"
+WINDOW, PIECE = 4096, 1024
+STRETCH = 64  # rounds laid out by one group
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id, source, ids (little-endian unsigned 16-bit, with the end id), n, task, place (tokens of the same source before it in its task)."""
+def tokenized(docs: DataFrame, path: str, end_id: int, wide: int) -> DataFrame:
+    """doc_id, source, ids (little-endian, `wide` bytes each, with the end id), n, task, place (tokens of the same source before it in its task)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, task, so_far = memo(path, keeps_space=False), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
+            for a, b in runs(batch.column("text"), 500):
+                part = batch.slice(a, b - a)
                 ids = [np.frombuffer(x, "<u4") for x in words.encode([t or "" for t in part.column("text").to_pylist()])]
-                packed = [np.append(x, end_id).astype("<u2").tobytes() for x in ids]
-                n = [len(x) // 2 for x in packed]
+                packed = [np.append(x, end_id).astype(f"<u{wide}").tobytes() for x in ids]
+                n = [len(x) // wide for x in packed]
                 places = []
                 for source, k in zip(part.column("source").to_pylist(), n):
                     places.append(so_far.get(source, 0))
                     so_far[source] = places[-1] + k
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), pa.array(packed, pa.binary()), pa.array(n, pa.int64()), pa.array([task] * len(n), pa.int64()), pa.array(places, pa.int64())], names=["doc_id", "source", "ids", "n", "task", "place"])
 
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return docs.select("doc_id", "source", "text").mapInArrow(encode, f"doc_id {kind}, source string, ids binary, n long, task long, place long")
-
-
-def queue_table(sums: list[tuple[str | None, int]], window: int, least: int = 1) -> dict[str | None, tuple[int, int, int]]:
-    """For each source: tokens of the queues before its own, its queue's tokens, tokens of its queue before the source.
-    sums: one (source, tokens) per source."""
-    total = sum(n for _, n in sums)
-    order = sorted(sums, key=lambda x: (x[0] is None, x[0] or ""))
-    small = [x for x in order if x[1] * window < least * total]
-    large = [x for x in order if x[1] * window >= least * total]
-    queues = [[x] for x in large]
-    if small:
-        if sum(n for _, n in small) * window < least * total and queues:
-            queues[-1] += small
-        else:
-            queues.append(small)
-    out, before = {}, 0
-    for queue in queues:
-        size, inside = sum(n for _, n in queue), 0
-        for source, n in queue:
-            out[source] = (before, size, inside)
-            inside += n
-        before += size
-    return out
-
-
-def owed(windows: list[int], window: int, tokens: int, total: int) -> list[int]:
-    """Tokens that queues of so many tokens together have given before each window."""
-    return [min(n * window, total) * tokens // total for n in windows]
-
-
-def cuts(first: int, length: int, before: int, size: int, window: int, total: int) -> list[tuple[int, int, int, int]]:
-    """Where a stretch of a queue goes: (place in the stretch, length, window, offset in the window).
-    first: tokens of the queue before the stretch; before: tokens of earlier queues; size: of this queue."""
-    n = max(0, first * total // (window * size) - 2)
-    last = (first + length) * total // (window * size) + 3
-    marks = list(range(n, last + 2))
-    lower, upper = owed(marks, window, before, total), owed(marks, window, before + size, total)
-    out = []
-    for k in range(len(marks) - 1):
-        a, b = upper[k] - lower[k], upper[k + 1] - lower[k + 1]
-        begin, end = max(a, first), min(b, first + length)
-        if begin < end:
-            out.append((begin - first, end - begin, marks[k], lower[k + 1] - lower[k] + begin - a))
-    return out
-
-
-def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, window: int = WINDOW) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, ids (unsigned 32-bit)."""
-    rows = stored(tokenized(docs, tokenizer_path(tokenizer), end_id), "tokens")
+    return docs.select("doc_id", "source", "text").mapInArrow(encode, arrow_schema(docs, "doc_id, source", "ids binary, n long, task long, place long"))
+
+
+def quanta(sums: DataFrame, targets: dict[str | None, float] | None, window: int) -> DataFrame:
+    """source, turn (place in a round), quantum.  sums: one row (source, n) per source."""
+    turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
+    rows = sums.select("source", F.col("n").cast("double").alias("weight"), turn.alias("turn"))
+    if targets is not None:
+        given = sums.sparkSession.createDataFrame([(k, float(v)) for k, v in targets.items()], "t_source string, weight double")
+        known = sums.select("source", turn.alias("turn")).join(given, F.col("source").eqNullSafe(F.col("t_source")), "left")
+        unknown = F.raise_error(F.concat(F.lit("no positive target for source "), F.coalesce("source", F.lit("null")))).cast("double")
+        rows = known.select("source", "turn", F.when(F.col("weight") > 0, F.col("weight")).otherwise(unknown).alias("weight"))
+    return rows.select("source", "turn", (F.lit(float(window)) * F.col("weight") / F.sum("weight").over(Window.partitionBy())).alias("quantum"))
+
+
+def queued(rows: DataFrame, targets: dict[str | None, float] | None, window: int) -> DataFrame:
+    """Adds turn, quantum and first (tokens of its queue before a document)."""
     tasks = cut(rows.groupBy("task", "source").agg(F.sum("n").alias("n")))
-    sums = [(r.source, r.n) for r in tasks.groupBy("source").agg(F.sum("n").alias("n")).collect()]  # one per source
-    total, table = sum(n for _, n in sums), queue_table(sums, window)
     before = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    bases = tasks.select(F.col("task").alias("b_task"), F.col("source").alias("b_source"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    if tasks.count() <= SMALL:  # else joined by shuffle
-        bases = F.broadcast(bases)
-    placed = rows.join(bases, (F.col("task") == F.col("b_task")) & F.col("source").eqNullSafe(F.col("b_source"))).select("doc_id", "source", "ids", (F.col("base") + F.col("place")).alias("first"))
+    bases = tasks.select("task", "source", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    own = quanta(tasks.groupBy("source").agg(F.sum("n").alias("n")), targets, window)
+    bases = bases.join(own.withColumnRenamed("source", "q_source"), F.col("source").eqNullSafe(F.col("q_source")))
+    bases = sent_if_small(cut(bases.select(F.col("task").alias("b_task"), F.col("source").alias("b_source"), "base", "turn", "quantum")))
+    met = rows.join(bases, (F.col("task") == F.col("b_task")) & F.col("source").eqNullSafe(F.col("b_source")))
+    return met.withColumn("first", F.col("base") + F.col("place")).drop("b_task", "b_source", "base", "task", "place")
+
+
+def pieces(rows: DataFrame, piece: int, *columns: Column | str) -> DataFrame:
+    """One row per piece of a document: the columns, turn, first (tokens of its queue before it), start, length, round, stretch."""
+    starts = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(piece).cast("long"))
+    cut_up = rows.select(*columns, "n", "turn", "quantum", "first", F.explode(starts).alias("start"))
+    cut_up = cut_up.withColumn("length", F.least(F.lit(piece), F.col("n") - F.col("start"))).withColumn("first", F.col("first") + F.col("start"))
+    round_ = F.ceil((F.col("first") + F.col("length")) / F.col("quantum"))
+    return cut_up.withColumn("round", round_).withColumn("stretch", F.floor(F.col("round") / STRETCH)).drop("quantum")
+
+
+def pack(docs: DataFrame, targets: dict[str | None, float] | None = None, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
+    """One row per stretch of a document in a sequence: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, ids (unsigned 32-bit)."""
+    path = tokenizer_path(tokenizer)
+    wide = 2 if max(end_id, *memo(path, keeps_space=False).tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+    rows = queued(stored(tokenized(docs, path, end_id, wide), "tokens"), targets, window)
+    totals = cut(pieces(rows, piece).groupBy("stretch").agg(F.sum("length").alias("n")))
+    bases = sent_if_small(cut(sums_before(totals, "stretch", "n").select("stretch", F.col("before").alias("base"))))
+    laid = pieces(rows, piece, "doc_id", "source", "ids")
+    laid = laid.withColumn("ids", F.substring("ids", (F.col("start") * wide + 1).cast("int"), (F.col("length") * wide).cast("int"))).join(bases, "stretch")
+    earlier = Window.partitionBy("stretch").orderBy("round", "turn", "first").rowsBetween(Window.unboundedPreceding, -1)
+    laid = laid.withColumn("at", F.col("base") + F.coalesce(F.sum("length").over(earlier), F.lit(0)))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 200):
-                part = batch.slice(at, 200)
+            for a in range(0, len(batch), 2000):
+                part = batch.slice(a, 2000)
                 owner, out = [], []
-                for k, (source, raw, first) in enumerate(zip(part.column("source").to_pylist(), part.column("ids").to_pylist(), part.column("first").to_pylist())):
-                    ids = np.frombuffer(raw, "<u2").astype("<u4").tobytes()
-                    n = len(ids) // 4
-                    queue, size, inside = table[source]
-                    for start, length, sequence, offset in cuts(inside + first, n, queue, size, window, total):
-                        piece = ids[4 * start : 4 * (start + length)]
+                for k, (at, start, n, raw) in enumerate(zip(*[part.column(c).to_pylist() for c in ("at", "start", "n", "ids")])):
+                    ids = np.frombuffer(raw, f"<u{wide}").astype("<u4").tobytes()
+                    length, done = len(ids) // 4, 0
+                    while done < length:  # at most one end of a sequence for each `window` tokens
+                        sequence, offset = divmod(at + done, window)
+                        take = min(length - done, window - offset)
+                        own = ids[4 * done : 4 * (done + take)]
                         owner.append(k)
-                        out.append((start, length, zlib.crc32(piece), n, sequence, offset, source, piece))
-                columns = [pa.array(x, t) for x, t in zip(zip(*out), [pa.int64()] * 6 + [pa.string(), pa.binary()])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(owner, pa.int64())), *columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "ids"])
-
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return placed.mapInArrow(split, PIECES.format(id=kind))
+                        out.append((start + done, take, zlib.crc32(own), n, sequence, offset, own))
+                        done += take
+                own = pa.array(owner, pa.int64())
+                columns = [pa.array(x, t) for x, t in zip(zip(*out), [pa.int64()] * 6 + [pa.binary()])]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(own), *columns[:6], part.column("source").take(own), columns[6]], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "ids"])
+
+    schema = arrow_schema(docs, "doc_id", "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, ids binary")
+    return laid.select("doc_id", "source", "ids", "start", "n", "at").mapInArrow(split, schema)

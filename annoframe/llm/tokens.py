@@ -3,7 +3,8 @@
 A public tokenizer spends most of its time on text pieces it has already seen.  Both tokenizers
 used here split on white space before anything else, so a text can be cut at single spaces and line
 ends, each chunk encoded once per worker, and the ids joined again.  Texts with runs of white space
-(where the byte-level tokenizer merges the white space itself) take the direct path.
+(where the byte-level tokenizer merges the white space itself) and texts that hold one of the
+tokenizer's added tokens take the direct path, so all ids are those that the library gives.
 """
 
 from __future__ import annotations
@@ -51,7 +52,8 @@ class ChunkMemo:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.first = {c for t in self.added for c in (t[:1], t[:1].upper())}
         self.keeps_space, self.capacity = keeps_space, capacity
         self.known = Known()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -79,8 +81,10 @@ class ChunkMemo:
         return [np.array(x.ids, "<u4").tobytes() for x in out]
 
     def chunks(self, text: str) -> list[str] | None:
-        """Independent chunks whose ids joined are the text's; None if the text has none.  Of a tokenizer that keeps
+        """Independent chunks whose ids joined are the text's; None if the text has none or holds an added token.  Of a tokenizer that keeps
         spaces, the first chunk is marked by FIRST, as it has no space before it, and one at a line's start by the line end."""
+        if any(c in text for c in self.first) and any(t in (low := text.lower()) for t in self.added):
+            return None
         if not self.keeps_space:
             return text.replace("\n", " ").split(" ")
         if "  " in text or "\n\n" in text or " \n" in text or FIRST in text or text[:1].isspace() or text[-1:].isspace():

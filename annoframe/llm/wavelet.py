@@ -8,16 +8,18 @@ decoding the rest.  Planes are compressed in blocks, so that a look inflates one
 
 File: magic, header size, JSON header (bits, ids, block size, offsets of compressed blocks, document starts as a
 compressed block), blocks.  Text ids are read once; documents go to shards by ranges of doc_id, so that shards in order
-are documents in order.
+are documents in order.  Shards are cut by their number of ids, whatever the length of texts; one text is never cut.
 
-Edge cases: null text is empty and has the end id alone; rows without doc_id come first; rows that share a doc_id are in
-order of their text; an empty table writes no file.  Other columns are not read.
+Edge cases: null text is empty and has the end id alone; rows without doc_id come first; rows that share a doc_id (or have
+none) are in order of a hash of their text, which also deals them to tasks; an empty table writes no file; text that spells
+one of the tokenizer's special tokens gets its id, as the library gives it.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from bisect import bisect_right
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -27,11 +29,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, shared_dir, stored
+from .common import arrow_schema, cut, shared_dir, stored, sums_before
+from .hashing import runs
 from .tokens import memo, tokenizer_path
 
 MAGIC = b"WAVMAT01"
 BLOCK = 1 << 15  # bytes of a plane compressed together
+FILES_BITS = 20  # a shard's number is its task's number times 2**20, plus its place among the task's files
 
 
 class WaveletMatrix:
@@ -77,12 +81,11 @@ class WaveletMatrix:
         return ones if bit else i - ones
 
     def select(self, plane: int, k: int, bit: int = 1) -> int:
-        """Place of the k-th (from 0) such bit of a plane."""
-        low, high = 0, self.n
-        while high - low > 1:
-            mid = (low + high) // 2
-            low, high = (mid, high) if self.rank(plane, mid, bit) <= k else (low, mid)
-        return low
+        """Place of the k-th (from 0) such bit of a plane: a binary search over the counts before blocks, then one block."""
+        ones, wide = self.ones[plane], self.block * 8
+        before = lambda j: ones[j] if bit else j * wide - ones[j]
+        j = bisect_right(range(len(ones)), k, key=before) - 1
+        return j * wide + int(np.flatnonzero(self.plane_block(plane, j) == bit)[k - before(j)])
 
     def _down(self, plane: int, i: int, bit: int) -> int:
         return self.rank(plane, i, bit) + (self.zeros[plane] if bit else 0)
@@ -156,35 +159,45 @@ def encode(ids: np.ndarray, starts: np.ndarray, level: int = 1) -> bytes:
     return MAGIC + len(head).to_bytes(4, "little") + head + first + b"".join(out)
 
 
-def write(docs: DataFrame, folder: str | None = None, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, shard_rows: int = 4_000) -> tuple[str, DataFrame]:
-    """Write one file per shard of about `shard_rows` documents; the folder, and one row per document: doc_id, shard, part_start, n.
+def write(docs: DataFrame, folder: str | None = None, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, shard_ids: int = 4_000_000, task_bytes: int = 24 << 20) -> tuple[str, DataFrame]:
+    """Write shard files; the folder, and one row per document: doc_id, shard, nth, n.
 
-    Files are named by shard and written by rename, so a task that runs twice leaves one."""
+    Tasks get ranges of about `task_bytes` of text, in order of doc_id and of the text's hash, and close a file once it holds
+    `shard_ids` ids, so a task holds one shard (or one longer text).  Files are named by task and number and written by
+    rename, so a task that runs twice leaves one of each."""
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark)}/wavelet-{cut_name()}"
     path = tokenizer_path(tokenizer)
-    shards = max(1, -(-docs.count() // shard_rows))
+    size = docs.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 8)).first()[0] or 0
+    tasks = max(1, -(-size // task_bytes))
 
-    def of_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words, shard = memo(path, keeps_space=True), TaskContext.get().partitionId()
-        raw, names = [], []
+        words, number, nth = memo(path, keeps_space=True), TaskContext.get().partitionId() << FILES_BITS, 0
+        raw, names, held = [], [], 0
+
+        def closed() -> pa.RecordBatch:
+            nonlocal raw, names, held, nth
+            shard, sizes = number + nth, np.fromiter(map(len, raw), np.int64, len(raw))
+            save(f"{folder}/shard-{shard:015d}.wm", encode(np.concatenate(raw), np.concatenate(([0], np.cumsum(sizes)))))
+            out = pa.RecordBatch.from_arrays([pa.concat_arrays(names), pa.array([shard] * len(sizes), pa.int64()), pa.array(np.arange(len(sizes))), pa.array(sizes)], names=["doc_id", "shard", "nth", "n"])
+            raw, names, held, nth = [], [], 0, nth + 1
+            return out
+
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                raw += [np.append(np.frombuffer(x, "<u4"), end_id).astype("<u4") for x in words.encode([t or "" for t in part.column("text").to_pylist()])]
-                names.append(part.column("doc_id"))
-        if not raw:
-            return
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        save(f"{folder}/shard-{shard:06d}.wm", encode(np.concatenate(raw), starts))
-        yield pa.RecordBatch.from_arrays([pa.concat_arrays(names), pa.array([shard] * len(sizes), pa.int64()), pa.array(np.arange(len(sizes))), pa.array(sizes)], names=["doc_id", "shard", "nth", "n"])
-
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    rows = docs.select("doc_id", "text").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
-    return folder, stored(rows.mapInArrow(of_shard, f"doc_id {kind}, shard long, nth long, n long"), "shard-rows")
+            for a, b in runs(batch.column("text"), 500):
+                raw += [np.append(np.frombuffer(x, "<u4"), end_id).astype("<u4") for x in words.encode([t or "" for t in batch.column("text")[a:b].to_pylist()])]
+                names.append(batch.column("doc_id")[a:b])
+                held += sum(map(len, raw[a - b :]))
+                if held >= shard_ids:
+                    yield closed()
+        if raw:
+            yield closed()
+
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).repartitionByRange(tasks, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    schema = arrow_schema(docs, "doc_id", "shard long, nth long, n long")
+    return folder, stored(rows.select("doc_id", "text").mapInArrow(of_task, schema), "shard-rows")
 
 
 def cut_name() -> str:
@@ -228,7 +241,7 @@ def token_table(docs: DataFrame, **kw) -> DataFrame:
     names = rows.select("doc_id", "shard", "nth")
     found = cut(read(spark, folder)) if not rows.isEmpty() else spark.createDataFrame([], "shard long, nth long, n_tokens long, ids_crc32 long")
     shards = found.groupBy("shard").agg(F.sum("n_tokens").alias("total"))  # one row per file
-    base = shards.select("shard", F.coalesce(F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    base = sums_before(shards, "shard", "total", 1 << (FILES_BITS + 10)).select("shard", F.col("before").alias("base"))
     inside = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = found.withColumn("inside", inside).join(base, "shard")
     return names.join(placed, ["shard", "nth"]).select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")

@@ -16,35 +16,7 @@ from annoframe.llm import common, digest_index, languages, maxent, mixing, packi
 from annoframe.llm.hashing import LOWER, hashed_tokens
 from annoframe.llm.tokens import memo, tokenizer_path
 
-KIND = "doc_id long, text string, lang string, source string, n_chars long, kept string, score double"
-
-
-def prose(rng, n, stems):
-    return " ".join(rng.choice(stems) + rng.choice(stems) for _ in range(n))
-
-
-EN, DE = ["the", "ing", "ha", "on", "wh"], ["ung", "sch", "ß", "ver", "ich"]
-
-
-@pytest.fixture(scope="module")
-def rows():
-    rng = random.Random(3)
-    out = [(k, prose(rng, rng.randint(1, 60), EN if k % 3 else DE), "en" if k % 3 else "de", f"s{k % 4}") for k in range(120)]
-    out += [(200, None, None, None), (201, "", "en", "s1"), (202, " \t\n ", "de", None), (203, "x", "en", "s1"), (204, "12 34 !?", "en", "s0")]
-    out += [(210, out[5][1], "en", "s2"), (211, out[5][1].upper(), "en", "s2"), (212, out[7][1] + " end", "en", "s3")]
-    out += [(220, prose(rng, 60_000, EN), "en", "s0"), (221, "a" * 70_000, "en", "s1"), (222, "Ünïcode naïve  two\n\nlines \n", "de", "s1")]
-    out += [(k, "*** %%% ### *** %%% @@ ##", "en", "s0") for k in range(230, 240)]
-    return out + [(None, "no id here", "en", "s1"), (203, "x", "en", "s1")]
-
-
-@pytest.fixture(scope="module")
-def docs(spark, rows):
-    return spark.createDataFrame([(*r, 0, "clash", 0.5) for r in rows], KIND).repartition(3)
-
-
-@pytest.fixture(scope="module")
-def empty(spark):
-    return spark.createDataFrame([], KIND)
+from tests.llm.conftest import DE, EN, prose  # noqa: E402
 
 
 def words(text):
@@ -112,19 +84,6 @@ def test_wavelet_matrix():
             assert all(w.occurrence(int(ids[0]), k) == places[k] for k in range(0, len(places), max(1, len(places) // 4))) and w.occurrence(int(ids[0]), len(places)) is None
 
 
-def test_wavelet_tokens(docs, empty, rows):
-    encode = memo(tokenizer_path("byte_bpe_50k.json"), True).direct
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
-    at, want = 0, []
-    for (doc_id, *_), ids in zip(order, encode([r[1] or "" for r in order])):
-        ids += bytes(4)
-        want.append((doc_id, at, len(ids) // 4, zlib.crc32(ids)))
-        at += len(ids) // 4
-    got = [tuple(r) for r in wavelet.token_table(docs, shard_rows=40).collect()]
-    assert Counter(got) == Counter(want)
-    assert wavelet.token_table(empty).count() == 0
-
-
 @pytest.mark.parametrize(("name", "space"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_chunk_memo_agrees_with_direct(name, space):
     rng, m = random.Random(5), memo(tokenizer_path(name), space)
@@ -204,58 +163,6 @@ def test_language(docs, empty, rows):
     assert languages.fit(empty)[0] == [] and languages.predict(docs, [], log_p[:, :0], [F.col("doc_id")]).where("lang_pred <> 'und'").count() == 0
 
 
-def test_packing(docs, empty, rows):
-    encode = memo(tokenizer_path("word_bpe_49k.json"), False).direct
-    whole = Counter((r[0], ids + (2).to_bytes(4, "little")) for r, ids in zip(rows, encode([r[1] or "" for r in rows])))
-    for window in (64, 4096):
-        pieces = packing.pack(docs, window=window).collect()
-        sequences, texts = {}, {}
-        for p in pieces:
-            assert zlib.crc32(p.ids) == p.ids_crc32 and len(p.ids) == 4 * p.length > 0
-            sequences.setdefault(p.sequence_id, []).append(p)
-            texts.setdefault((p.doc_id, p.doc_tokens, p.source), []).append(p)
-        total = sum(p.length for p in pieces)
-        assert total == sum(len(i) // 4 * n for (_, i), n in whole.items()) and len(sequences) == -(-total // window)
-        share = Counter()
-        for p in pieces:
-            share[p.source] += p.length / total
-        for k, own in sequences.items():
-            at = 0
-            for p in sorted(own, key=lambda p: p.offset):
-                assert p.offset == at
-                at += p.length
-            assert at == min(window, total - k * window)
-        # every window holds each large source's share, up to a token
-        large = [s for s in share if share[s] * window >= 1]
-        if len(large) == len(share):
-            for k, own in sequences.items():
-                if k < len(sequences) - 1:
-                    for s in large:
-                        assert abs(sum(p.length for p in own if p.source == s) - share[s] * window) <= 2
-        for (doc_id, tokens, _), own in texts.items():
-            own.sort(key=lambda p: p.start)
-            if sum(p.length for p in own) == tokens:
-                assert (doc_id, b"".join(p.ids for p in own)) in whole
-    assert packing.pack(empty).count() == 0
-
-
-def test_cuts_cover_all_tokens():
-    rng = random.Random(4)
-    for _ in range(30):
-        sums = [(f"s{k}", rng.choice([1, 2, 5, 300, 5000])) for k in range(rng.randint(1, 7))]
-        total, window = sum(n for _, n in sums), rng.choice([8, 64, 100])
-        filled = Counter()
-        for source, n in sums:
-            before, size, inside = packing.queue_table(sums, window)[source]
-            at = 0
-            while at < n:
-                length = min(n - at, rng.randint(1, 90))
-                for place, m, sequence, offset in packing.cuts(inside + at, length, before, size, window, total):
-                    filled.update((sequence, offset + j) for j in range(m))
-                at += length
-        assert set(filled) == {(k // window, k % window) for k in range(total)} and max(filled.values()) == 1
-
-
 def test_maxent(docs, empty, rows):
     held = languages.is_held_out(F.col("doc_id"), 7, 2)
     out = maxent.scored(docs, held, [F.col("doc_id"), held.alias("held_out")], common=20).collect()
