@@ -11,7 +11,8 @@ doc_id stays, over all batches so far; a row without id stays only in a group wi
 over a group: `resolve` tells so, `keep_one` keeps only rows of digests that its batch brought first.  Rows that repeat both
 id and text are one document for `keep_one` and as many rows in `resolve`.  Other columns pass, whatever their names.
 
-The number of buckets is stored with the index; opening it with another is an error.  `close` takes the table out of the
+The number of buckets (the session's shuffle partitions, unless given) is stored with the index; opening it with another
+is an error.  `close` takes the table out of the
 session's catalogue and leaves the files.  One writer at a time.
 """
 
@@ -51,7 +52,7 @@ class DigestIndex:
             stored = None
         if stored and buckets and stored != buckets:
             raise ValueError(f"the index has {stored} buckets, not {buckets}")
-        self.buckets = stored or buckets or 64
+        self.buckets = stored or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if not stored:
             spark.range(1).select(F.lit(self.buckets).cast("int").alias("buckets")).write.parquet(f"{self.path}/buckets")
         spark.sql(f"CREATE TABLE {self.table} ({ROWS}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}/rows'")
