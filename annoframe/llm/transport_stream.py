@@ -2,15 +2,20 @@
 
 `mux` stores a payload in a stream of 188-byte packets: a program association table, a program map table, then one
 elementary stream of access units, each in a packetised elementary packet with a presentation time stamp, its first
-packet marked as a random-access point with a clock reference.  `demux` parses the tables and their checksums, counts
-breaks of the continuity counters, reassembles the elementary packets, and lists time stamps and random-access points.
+packet marked as a random-access point with a clock reference.  `demux` parses the tables (all sections of all programs,
+with their checksums), checks the continuity counters, reassembles the elementary packets of every elementary stream, and
+lists time stamps and random-access points.
 
-All packets of equal access units are built and read as one array; a text costs a few array operations, and a task
-holds one text's stream at a time beside its batch.
+An elementary packet counts only if it is whole: it begins with a start code, no counter break, transport error or
+scrambled packet lies inside, and its bytes are as many as its length field says (a length of 0 runs to the next start).
+A packet that is sent twice, with the same counter and bytes, counts once.  What is not whole is left out and counted.
+
+All packets of equal access units are built and read as one array; a text costs a few array operations.  A task holds a
+few copies of one text's stream beside its batch, so the longest text bounds its memory.
 
 Edge cases: null or empty text is a payload of padding only; damaged or foreign bytes (`demux`) give whatever elementary
-packets are whole, and counts of what is wrong; a stream without tables gives an empty payload.  Repeated rows are
-repeated; other columns are not read.
+packets are whole, and counts of what is wrong; a stream without tables has no elementary streams and an empty payload.
+Repeated rows are repeated; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .hashing import texts_of
+from .common import arrow_schema
+from .hashing import slices
 
 PACKET, SYNC = 188, 0x47
 UNIT = 576
@@ -119,65 +125,112 @@ def mux(payload: bytes) -> bytes:
     return packets.tobytes()
 
 
+class Elementary(NamedTuple):
+    pid: int
+    kind: int  # stream type of the program map
+    payload: bytes  # of its whole elementary packets
+    breaks: int  # of continuity counters
+    repeats: int  # packets sent twice
+    torn: int  # elementary packets that are not whole
+    times: np.ndarray  # time stamps of the whole elementary packets that have one
+    access: np.ndarray  # packet numbers of random-access points
+
+
 class Stream(NamedTuple):
-    payload: bytes
     programs: int
     packets: int
     bad_sync: int
     crc_errors: int
-    breaks: int  # of continuity counters
-    times: np.ndarray  # time stamp of each elementary packet
-    access: np.ndarray  # packet numbers of random-access points
+    streams: list[Elementary]  # in the order that the tables list them
+
+    @property
+    def payload(self) -> bytes:
+        return self.streams[0].payload if self.streams else b""
 
 
-def _section(packet: np.ndarray) -> tuple[bytes, bool]:
-    raw = packet.tobytes()
-    at = 4 + (1 + raw[4] if raw[3] & 0x20 else 0)
-    at += 1 + raw[at] if at < PACKET else 0
-    size = 3 + ((raw[at + 1] & 0x0F) << 8 | raw[at + 2]) if at + 2 < PACKET else 0
-    section = raw[at : at + size]
-    return section, size < 12 or len(section) < size or section_crc(section) != 0
+def payload_starts(m: np.ndarray) -> np.ndarray:
+    """Where each packet's payload begins; PACKET where it has none."""
+    control = m[:, 3] >> 4 & 3
+    skip = np.where(control & 2, 5 + m[:, 4].astype(np.int64), 4)
+    return np.where(control & 1, np.minimum(skip, PACKET), PACKET)
+
+
+def sections(m: np.ndarray) -> tuple[list[bytes], int]:
+    """The sections in one PID's packets whose checksums hold, each once; the number of those that don't."""
+    out: dict[bytes, None] = {}
+    wrong, data = 0, None
+    for row, skip in zip(m, payload_starts(m).tolist()):
+        raw = row.tobytes()
+        if raw[1] & 0x40 and skip < PACKET:
+            skip += 1 + raw[skip]  # the pointer field
+            data = b""
+        if data is None:
+            continue
+        data += raw[skip:]
+        while len(data) >= 3 and data[0] != 0xFF:
+            size = 3 + ((data[1] & 0x0F) << 8 | data[2])
+            if len(data) < size:
+                break
+            section, data = data[:size], data[size:]
+            if size < 12 or section_crc(section):
+                wrong += 1
+            else:
+                out[section] = None
+    return list(out), wrong + (data is not None and len(data) >= 3 and data[0] != 0xFF)
+
+
+def elementary(a: np.ndarray, where: np.ndarray, pid: int, kind: int) -> Elementary:
+    """Reassemble the packets a[where] of one PID."""
+    m = a[where]
+    again = np.zeros(len(m), bool)
+    again[1:] = (m[1:] == m[:-1]).all(1) & (m[1:, 3] & 0x10 > 0)
+    where, m = where[~again], m[~again]
+    counter, control = m[:, 3] & 15, m[:, 3] >> 4 & 3
+    broken = np.zeros(len(m), bool)  # a counter moves on with every packet that has a payload
+    broken[1:] = (counter[1:] - counter[:-1] - (control[1:] & 1)) & 15 != 0
+    bad = (m[:, 1] & 0x80 > 0) | (m[:, 3] & 0xC0 > 0)  # transport error, scrambled
+    skip = payload_starts(m)
+    access = where[(control & 2 > 0) & (m[:, 4] > 0) & (m[:, 5] & 0x40 > 0)]
+    starts = np.flatnonzero((m[:, 1] & 0x40 > 0) & (skip < PACKET))
+    pieces, times, torn = [], [], int(len(m) > 0 and (len(starts) == 0 or starts[0] > 0))
+    # an elementary packet ends before the next start, break or bad packet
+    stops = np.concatenate((np.flatnonzero(broken | bad), starts, [len(m)]))
+    stops.sort()
+    ends = stops[np.searchsorted(stops, starts, "right")]
+    taken_to = np.concatenate(([0], np.cumsum(PACKET - skip)))
+    cut_short = np.append(broken | bad, False)[ends]  # so that a packet without a length has no known end
+    sound = ~bad[starts] & (skip[starts] <= PACKET - 9)
+    bodies = np.arange(PACKET) >= skip[:, None]
+    for s, e, ok, short, size in zip(starts.tolist(), ends.tolist(), sound.tolist(), cut_short.tolist(), (taken_to[ends] - taken_to[starts]).tolist()):
+        head = m[s, skip[s] :].tobytes()
+        declared = int.from_bytes(head[4:6], "big")
+        ok = ok and head[:3] == b"\0\0\1" and 9 + head[8] <= size and (declared == size - 6 or declared == 0 and not short)
+        if not ok:
+            torn += 1
+            continue
+        pieces.append(m[s:e][bodies[s:e]].tobytes()[9 + head[8] :])
+        if head[7] & 0x80 and len(head) >= PES_HEADER:
+            times.append((head[9] >> 1 & 7) << 30 | head[10] << 22 | head[11] >> 1 << 15 | head[12] << 7 | head[13] >> 1)
+    return Elementary(pid, kind, b"".join(pieces), int(broken.sum()), int(again.sum()), torn, np.array(times, np.int64), access)
 
 
 def demux(stream: bytes) -> Stream:
     a = np.frombuffer(stream[: len(stream) // PACKET * PACKET], np.uint8).reshape(-1, PACKET)
     good = a[:, 0] == SYNC
     pid = (a[:, 1].astype(np.int32) & 0x1F) << 8 | a[:, 2]
-    starts = a[:, 1] & 0x40 > 0
-    crc_errors, media, programs = 0, None, []
-    for row in a[good & (pid == PAT_PID) & starts][:1]:
-        section, wrong = _section(row)
+    packets_of = lambda p: np.flatnonzero(good & (pid == p))
+    tables, crc_errors = sections(a[packets_of(PAT_PID)])
+    programs = {(t[k + 2] & 0x1F) << 8 | t[k + 3]: None for t in tables if t[0] == 0 for k in range(8, len(t) - 7, 4) if t[k : k + 2] != b"\0\0"}
+    listed: dict[int, int] = {}
+    for program in programs:
+        maps, wrong = sections(a[packets_of(program)])
         crc_errors += wrong
-        for k in range(8, len(section) - 4, 4):
-            if not wrong and section[k : k + 2] != b"\0\0":
-                programs.append((section[k + 2] & 0x1F) << 8 | section[k + 3])
-    for program in programs[:1]:
-        for row in a[good & (pid == program) & starts][:1]:
-            section, wrong = _section(row)
-            crc_errors += wrong
-            k = 12 + ((section[10] & 0x0F) << 8 | section[11]) if not wrong else len(section)
-            if k + 5 <= len(section) - 4:  # the first elementary stream
-                media = (section[k + 1] & 0x1F) << 8 | section[k + 2]
-    where = np.flatnonzero(good & (pid == media)) if media is not None else np.zeros(0, np.int64)
-    m = a[where]
-    counter, control = m[:, 3] & 15, m[:, 3] >> 4 & 3
-    # a counter moves on with every packet that has a payload
-    breaks = int(((counter[1:] - counter[:-1] - (control[1:] & 1)) & 15 != 0).sum()) if len(m) else 0
-    skip = np.where(control & 2, 5 + m[:, 4].astype(np.int64), 4)
-    skip = np.where(control & 1, np.minimum(skip, PACKET), PACKET)
-    access = where[(control & 2 > 0) & (m[:, 4] > 0) & (m[:, 5] & 0x40 > 0)]
-    first = np.flatnonzero((m[:, 1] & 0x40 > 0) & (skip <= PACKET - PES_HEADER))
-    if not len(first):
-        return Stream(b"", len(programs), len(a), int((~good).sum()), crc_errors, breaks, np.zeros(0, np.int64), access)
-    header = m[first[:, None], skip[first][:, None] + np.arange(PES_HEADER)].astype(np.int64)
-    real = (header[:, :3] == (0, 0, 1)).all(1)
-    timed = real & (header[:, 7] & 0x80 > 0)
-    h = header[timed]
-    times = (h[:, 9] >> 1 & 7) << 30 | h[:, 10] << 22 | h[:, 11] >> 1 << 15 | h[:, 12] << 7 | h[:, 13] >> 1
-    skip[first[real]] += 9 + header[real, 8]
-    keep = np.arange(PACKET) >= skip[:, None]
-    keep[: first[0]] = False  # before the first start nothing can be placed
-    return Stream(m[keep].tobytes(), len(programs), len(a), int((~good).sum()), crc_errors, breaks, times, access)
+        for t in maps:
+            k = 12 + ((t[10] & 0x0F) << 8 | t[11])
+            while t[0] == 2 and k + 5 <= len(t) - 4:
+                listed.setdefault((t[k + 1] & 0x1F) << 8 | t[k + 2], t[k])
+                k += 5 + ((t[k + 3] & 0x0F) << 8 | t[k + 4])
+    return Stream(len(programs), len(a), int((~good).sum()), crc_errors, [elementary(a, packets_of(p), p, kind) for p, kind in listed.items()])
 
 
 def padded(text: bytes) -> bytes:
@@ -190,26 +243,26 @@ def store(docs: DataFrame) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                texts = texts_of(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array([mux(padded(t)) for t in texts], pa.binary())], names=["doc_id", "n_bytes", "media"])
+            for at, end, texts in slices(batch.column("text"), 256):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[at:end], pa.array([len(t) for t in texts], pa.int64()), pa.array([mux(padded(t)) for t in texts], pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    kind = docs.select("doc_id").schema[0].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(build, f"doc_id {kind}, n_bytes long, media binary")
+    return docs.select("doc_id", "text").mapInArrow(build, arrow_schema(docs, "doc_id", "n_bytes long, media binary"))
 
 
 FEATURES = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 def features(media: DataFrame) -> DataFrame:
-    """Of each stream, read back: its payload's size and digests, and what the tables and packets say."""
+    """Of each stream, read back: its first elementary stream's size and digests, and what the tables and packets say."""
 
     def read(media: bytes | None) -> tuple:
         s = demux(media or b"")
-        times = f"{s.times[0]}-{s.times[-1]}" if len(s.times) else "none"
-        feature = f"programs={s.programs};packets={s.packets};bad_sync={s.bad_sync};crc_errors={s.crc_errors};breaks={s.breaks};pes={len(s.times)};pts={times};random_access={len(s.access)}@{zlib.crc32(s.access.astype('<i8').tobytes()):08x}"
-        return len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-32:]), len(media or b""), hashlib.sha256(media or b"").hexdigest(), feature
+        said = [f"programs={s.programs}", f"packets={s.packets}", f"bad_sync={s.bad_sync}", f"crc_errors={s.crc_errors}"]
+        for e in s.streams:
+            times = f"{e.times[0]}-{e.times[-1]}" if len(e.times) else "none"
+            said += [f"pid={e.pid}", f"type={e.kind}", f"breaks={e.breaks}", f"repeats={e.repeats}", f"torn={e.torn}", f"pes={len(e.times)}", f"pts={times}", f"random_access={len(e.access)}@{zlib.crc32(e.access.astype('<i8').tobytes()):08x}"]
+        payload = s.payload
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media or b""), hashlib.sha256(media or b"").hexdigest(), ";".join(said)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,5 +271,4 @@ def features(media: DataFrame) -> DataFrame:
             columns = [pa.array(x, t) for x, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *columns], names=["doc_id", "n_bytes", *[f.split()[0] for f in FEATURES.split(", ")]])
 
-    kind = media.select("doc_id").schema[0].dataType.simpleString()
-    return media.mapInArrow(parse, f"doc_id {kind}, n_bytes long, {FEATURES}")
+    return media.mapInArrow(parse, arrow_schema(media, "doc_id, n_bytes", FEATURES))

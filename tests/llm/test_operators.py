@@ -50,48 +50,6 @@ def test_components(spark):
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_transport_stream_round_trip(docs, empty, rows):
-    got = {(r.doc_id, r.n_bytes): r for r in transport_stream.features(transport_stream.store(docs)).collect()}
-    for doc_id, text, *_ in rows:
-        b = (text or "").encode()
-        p = b + b"\xff" * (-len(b) % 576 if b else 576)
-        r = got[doc_id, len(b)]
-        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))
-        assert r.media_bytes % 188 == 0 and "bad_sync=0;crc_errors=0;breaks=0" in r.feature
-    assert transport_stream.features(transport_stream.store(empty)).count() == 0
-
-
-def test_transport_stream_damage():
-    stream = bytearray(transport_stream.mux(bytes(576 * 40)))
-    whole = transport_stream.demux(bytes(stream))
-    assert whole.payload == bytes(576 * 40) and list(whole.times[:2]) == [3600, 7200] and len(whole.access) == 3
-    assert transport_stream.demux(bytes(stream[: 188 * 5] + stream[188 * 6 :])).breaks == 1
-    stream[188 + 20] ^= 1
-    assert transport_stream.demux(bytes(stream)).crc_errors == 1
-    assert transport_stream.demux(b"").payload == b""
-
-
-def test_wavelet_matrix():
-    rng = np.random.default_rng(1)
-    for n in (0, 1, 700, 300_000):
-        ids = rng.integers(0, 40, n)
-        w = wavelet.WaveletMatrix(wavelet.encode(ids, np.array([0, n])))
-        assert (w.decode() == ids).all()
-        for i in range(0, n, max(1, n // 5)):
-            assert w.access(i) == ids[i] and w.count(int(ids[i]), 0, i) == (ids[:i] == ids[i]).sum()
-        if n:
-            places = np.flatnonzero(ids == ids[0])
-            assert all(w.occurrence(int(ids[0]), k) == places[k] for k in range(0, len(places), max(1, len(places) // 4))) and w.occurrence(int(ids[0]), len(places)) is None
-
-
-@pytest.mark.parametrize(("name", "space"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_chunk_memo_agrees_with_direct(name, space):
-    rng, m = random.Random(5), memo(tokenizer_path(name), space)
-    parts = ["a", "The", ".", "''", "'s", " ", "  ", "\n", "\n\n", "\t", " ", "　", "é", "ß", "İ", "é", "Σ", "12", "<|endoftext|>", "\x00", "日本", "👍🏽"]
-    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
-    assert m.encode(texts) == m.direct(texts)
-
-
 def brute_fingerprint(text):
     w = words(text)
     s = [b" ".join(w[k : k + 4]) for k in range(max(1, len(w) - 3))] if w else []
