@@ -75,8 +75,11 @@ def drawn(rows: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.
     cells = cut(rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("words")))
     sizes = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
     goal = targets(sizes, weights, share, most).select(F.coalesce("source", F.lit("")).alias("g_source"), F.col("source").isNull().alias("g_null"), "source_size", "target")
-    order = Window.partitionBy("source").orderBy("class", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    placed = cells.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    earlier = lambda by, order: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    classes = cells.groupBy("source", "class").agg(F.sum("n").alias("n"))  # a source has some thousand at most
+    classes = classes.select(F.col("source").alias("k_source"), F.col("class").alias("k_class"), earlier(["source"], "class").alias("earlier"))
+    placed = cells.withColumn("inside", earlier(["source", "class"], "salt")).join(classes, F.col("source").eqNullSafe(F.col("k_source")) & (F.col("class") == F.col("k_class")))
+    placed = placed.select(*cells.columns, (F.col("earlier") + F.col("inside")).alias("before"))
     placed = placed.join(goal, (F.coalesce("source", F.lit("")) == F.col("g_source")) & (F.col("source").isNull() == F.col("g_null")))
     placed = placed.select(F.coalesce("source", F.lit("")).alias("c_source"), F.col("source").isNull().alias("c_null"), F.col("class").alias("c_class"), F.col("salt").alias("c_salt"), "before", "source_size", "target")
     inside = F.row_number().over(Window.partitionBy(*cell).orderBy("size", F.col("doc_id").asc_nulls_last()))

@@ -1,109 +1,169 @@
 """Operator 10, secret scans: patterns, and character Markov models compared by log-likelihood ratio.
 
-Base kinds are patterns (assign, access, hex).  The method adds tokens that look random: a first-order Markov model over
-character classes of random strings, trained on the values that the patterns find in the corpus, is compared with one
-of ordinary identifiers, trained on the candidate tokens of the corpus that no pattern touches and that have at most one digit in twelve characters.  A candidate (a run of
-`TOKEN_MIN` or more token characters that has a letter and a digit, outside all base spans) is added as kind `markov`
-if its mean log-likelihood ratio per transition is over `threshold`.
-
-DataFrame functions only.  A span's place comes from the lengths of the pieces between matches (`split`) and of the
-matches (`regexp_extract_all`).  The models are two tables of at most 65 x 65 counts of characters.
-
-Edge cases: null text is empty; a text without matches has no spans; spans of different kinds may overlap; without
-training strings of either sort nothing is added; repeated rows are scanned each.  Other columns are not read.
+Base kinds are patterns (assign, access, hex).  The method adds tokens that look random: a first-order Markov model of
+characters of random strings is compared with one of ordinary identifiers, and the sum of the log-likelihood ratios of a
+candidate's transitions is told from its `threshold`.  A candidate is a stretch of `TOKEN_MIN` or more token characters
+outside all base spans; what a base span leaves of a longer run is a candidate of its own.  Added spans are of kind
+`markov`.
+
+Both models and the threshold are trained from labelled samples (`labelled`: value, random).  By default
+(`default_samples`) random strings are digests in four spellings, which are random by construction, and ordinary ones are
+the words of about `max_docs` documents (all if there are fewer; picked by a hash of their id), alone and joined as
+identifiers are; that bound is the only one.  Half of the samples train the models, the others set the threshold: the least value that at most
+`false_rate` of the ordinary ones exceed.  `quality_of` gives precision and recall on any labelled strings.
+
+DataFrame functions only.  Every text is matched once: the pieces between matches (`split`) and the matches
+(`regexp_extract_all`) are stored in short rows, and places come from running sums over them, in time in proportion to the
+matches.  The models are a table of at most 67 x 67 pairs of characters.
+
+Edge cases: null text is empty; a text without matches has no spans; spans of different kinds may overlap; without samples
+of either sort nothing is added; repeated rows are scanned each.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import WORD, cut, stored
+
 # Fixed patterns. Leftmost matches, not overlapping within a kind; a match stays if it, or its value, is long enough.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_MIN = 12
 #: The whole match of a run of one class that starts anywhere in the run, if long enough.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-TOKEN_MIN = 16
-TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
+TOKEN_MIN = 12
+TOKEN = r"[A-Za-z0-9+/_=-]{12,}"
+PATTERNS = (ASSIGN, ACCESS, HEX, TOKEN)
 KINDS = ("assign", "access", "hex", "markov")
+MARKOV = 3
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 
 
-def spans(text: Column, pattern: str, kind: int) -> Column:
-    """Array of (start, kind, end, found) of a pattern's matches, in code points; empty where there is none."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    # each match starts after the gap before it and all earlier gaps and matches
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("found"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,found:string>>").alias("out"))
+class Models(NamedTuple):
+    ratio: dict[str, float]  # of each pair of characters: log-likelihood under random less that under ordinary
+    unseen: float  # of pairs with a character of neither
+    threshold: float  # infinite without samples of both sorts
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        end = begin + F.length(x["found"])
-        item = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["found"].alias("found"))
-        return F.struct(end.alias("at"), F.array_append(acc["out"], item).alias("out"))
 
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,found:string>>")
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(none)
+def matches(text: Column, pattern: str, kind: int) -> Column:
+    """Array of (kind, nth, gap, found): each match and the length of the text between it and the one before; empty where
+    there is none."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.slice(F.transform(F.split(text, pattern, -1), F.length), 1, F.size(found))
+    item = lambda x, k: F.struct(F.lit(kind).alias("kind"), k.alias("nth"), x["gap"].alias("gap"), x["found"].alias("found"))
+    each = F.transform(F.arrays_zip(gaps.alias("gap"), found.alias("found")), item)
+    return F.when(text.rlike(pattern), each).otherwise(F.array().cast("array<struct<kind:int,nth:int,gap:int,found:string>>"))
 
 
-def value_of(found: Column, kind: Column) -> Column:
-    """The secret itself: an assignment's value, the whole match of other kinds."""
-    return F.when(kind == 0, F.regexp_extract(found, ASSIGN, 2)).otherwise(found)
+def scanned(docs: DataFrame) -> DataFrame:
+    """key (a number of the row), doc_id, found (matches of all patterns), stored; texts are left behind."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"))
+    every = F.concat(*[matches(F.col("text"), p, k) for k, p in enumerate(PATTERNS)])
+    return stored(rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", every.alias("found")), "matches")
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, text, base (spans of the three patterns in order of start, then kind)."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"))
-    assign = F.filter(spans(F.col("text"), ASSIGN, 0), lambda x: F.length(F.regexp_extract(x["found"], ASSIGN, 2)) >= ASSIGN_MIN)
-    found = F.array_sort(F.concat(assign, spans(F.col("text"), ACCESS, 1), spans(F.col("text"), HEX, 2)))
-    return rows.select("doc_id", "text", found.alias("base"))
+def placed(rows: DataFrame) -> DataFrame:
+    """key, kind, start, end, found of every match that is long enough."""
+    each = rows.select("key", F.explode("found").alias("m")).select("key", "m.*")
+    so_far = Window.partitionBy("key", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.length("found")).over(so_far).cast("int")
+    spans = each.withColumn("end", end).withColumn("start", F.col("end") - F.length("found"))
+    long_enough = (F.col("kind") != 0) | (F.length(F.regexp_extract("found", ASSIGN, 2)) >= ASSIGN_MIN)
+    return spans.where(long_enough).select("key", "kind", "start", "end", "found")
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """Adds `runs`: token runs outside all base spans."""
-    runs = spans(F.col("text"), TOKEN, 3)
-    free = F.filter(runs, lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return rows.withColumn("runs", free)
+def candidates(spans: DataFrame) -> DataFrame:
+    """key, start, end, found: stretches of token runs outside all base spans, TOKEN_MIN long at least.
+
+    The edges of all spans of a text are walked in order: a stretch lies in a run and in no base span."""
+    run = F.col("kind") == MARKOV
+    info = F.when(run, F.struct("start", "found"))
+    keyed = spans.join(spans.where(run).select("key").distinct(), "key", "left_semi")  # texts with a run
+    edges = keyed.select("key", F.col("start").alias("at"), run.cast("int").alias("runs"), (~run).cast("int").alias("bases"), info.alias("opens"))
+    edges = edges.union(keyed.select("key", "end", -run.cast("int"), -(~run).cast("int"), F.lit(None).cast(edges.schema["opens"].dataType)))
+    edges = edges.groupBy("key", "at").agg(F.sum("runs").alias("runs"), F.sum("bases").alias("bases"), F.max("opens").alias("opens"))
+    order = Window.partitionBy("key").orderBy("at")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    walked = edges.select("key", F.col("at").alias("start"), F.lead("at").over(order).alias("end"), F.sum("runs").over(so_far).alias("runs"), F.sum("bases").over(so_far).alias("bases"), F.last("opens", ignorenulls=True).over(so_far).alias("run"))
+    free = walked.where((F.col("runs") > 0) & (F.col("bases") == 0) & (F.col("end") - F.col("start") >= TOKEN_MIN))
+    return free.select("key", "start", "end", F.substring("run.found", F.col("start") - F.col("run.start") + 1, F.col("end") - F.col("start")).alias("found"))
 
 
 def transitions(value: Column) -> Column:
     """Pairs of neighbouring characters of a string."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(value) - 1, F.lit(1))), lambda i: F.substring(value, i, F.lit(2)))
-
-
-def fit(rows: DataFrame, smooth: float = 0.5) -> dict[str, float]:
-    """Log-likelihood ratio (random over ordinary) of each pair of characters.  rows: base, runs."""
-    random = rows.select(F.explode("base").alias("s")).select(value_of(F.col("s.found"), F.col("s.kind")).alias("v"), F.lit(1).alias("r"))
-    few_digits = F.length(F.regexp_replace("s.found", "[^0-9]", "")) * 12 <= F.length("s.found")  # others may be secrets
-    ordinary = rows.select(F.explode("runs").alias("s")).where(few_digits).select(F.col("s.found").alias("v"), F.lit(0).alias("r"))
-    pairs = random.union(ordinary).where("length(v) >= 2").select("r", F.explode(transitions(F.col("v"))).alias("pair"))
-    counted = pairs.groupBy("r", "pair").count().collect()  # at most 2 x 65 x 65
-    count = {(x.r, x.pair): x["count"] for x in counted}
+    return F.when(F.length(value) >= 2, F.transform(F.sequence(F.lit(1), F.length(value) - 1), lambda i: F.substring(value, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+
+
+def default_samples(docs: DataFrame, max_docs: int = 2_000, n_random: int = 20_000) -> DataFrame:
+    """value, random: digests of numbers in hexadecimal, base 64 and two mixtures of letters and digits, of many lengths; words
+    of documents, and two or three of them joined by _ or - or capitals, some with a number."""
+    spark = docs.sparkSession
+    digest = F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 512)))
+    length = (F.lit(TOKEN_MIN) + F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(37))).cast("int")
+    kind = F.pmod(F.col("id"), F.lit(4))
+    plain = F.regexp_replace(digest, "[+/=\n\r]", "")
+    spelled = F.when(kind == 0, F.sha2(F.col("id").cast("string"), 256)).when(kind == 1, F.regexp_replace(digest, "[\n\r]", "")).when(kind == 2, plain).otherwise(F.regexp_replace(plain, "[0-9]", ""))
+    random = spark.range(n_random).select(F.substring(spelled, F.lit(1), length).alias("value"), F.lit(True).alias("random"))
+    share = min(1.0, max_docs / max(1, docs.count()))
+    own = F.xxhash64(F.lit(3), "doc_id", F.length("text"))
+    picked = docs.where(F.col("text").isNotNull() & (F.pmod(own, F.lit(1 << 30)) < F.lit(share * (1 << 30)))).select("text", own.alias("h"))
+    word = F.regexp_replace(F.col("w"), "^[^A-Za-z]+|[^A-Za-z]+$", "")
+    words = cut(picked.select("h", F.posexplode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("pos", "w")).select("h", "pos", word.alias("w")).where("w rlike '^[A-Za-z][a-z]+$'"))
+    distinct = words.groupBy("w").agg(F.min(F.struct("h", "pos")).alias("p")).select("w", F.xxhash64(F.lit(5), "w").alias("t"), F.xxhash64(F.lit(7), "w").alias("u"))
+    # each word with two others: the next ones in the order of a hash, inside groups by another hash
+    inside = Window.partitionBy(F.pmod("u", F.lit(64))).orderBy("t")
+    three = distinct.select("w", F.lead("w").over(inside).alias("x"), F.lead("w", 2).over(inside).alias("y"), F.pmod("t", F.lit(6)).alias("form"), F.pmod("u", F.lit(2000)).cast("string").alias("n")).where("y is not null")
+    form = F.col("form")
+    joined = F.when(form == 0, F.concat_ws("_", "w", "x", "y")).when(form == 1, F.concat_ws("-", "w", "x", "y")).when(form == 2, F.concat("w", F.initcap("x"), F.initcap("y"))).when(form == 3, F.upper(F.concat_ws("_", "w", "x")))
+    joined = joined.when(form == 4, F.concat_ws("_", "w", "x", "n")).otherwise(F.concat_ws("/", "w", "x", "y"))
+    ordinary = three.select(F.explode(F.array("w", joined)).alias("value"), F.lit(False).alias("random"))
+    return random.union(ordinary)
+
+
+def fit(samples: DataFrame, smooth: float = 0.5, false_rate: float = 0.001) -> Models:
+    """Models from one half of the samples (by a hash of the value), the threshold from the ordinary ones of the other."""
+    held = F.pmod(F.xxhash64(F.lit(11), "value"), F.lit(2)) == 1
+    samples = cut(samples.where("value is not null").select("value", F.col("random").cast("int").alias("r"), held.alias("held")))
+    pairs = samples.where("not held").select("r", F.explode(transitions(F.col("value"))).alias("pair"))
+    count = {(x.r, x.pair): x["count"] for x in pairs.groupBy("r", "pair").count().collect()}  # pairs of characters
     if not any(r for r, _ in count) or all(r for r, _ in count):
-        return {}
-    seen = sorted({c for _, pair in count for c in pair})
+        return Models({}, 0.0, math.inf)
+    seen = sorted({c for _, pair in count for c in pair} | set(ALPHABET))
     first = {(r, a): sum(n for (q, p), n in count.items() if q == r and p[0] == a) for r in (0, 1) for a in seen}
-    log = lambda r, p: math.log((count.get((r, p), 0) + smooth) / (first[r, p[0]] + smooth * len(ALPHABET)))
-    return {a + b: log(1, a + b) - log(0, a + b) for a in seen for b in seen}
+    log = lambda r, p: math.log((count.get((r, p), 0) + smooth) / (first[r, p[0]] + smooth * len(seen)))
+    ratio = {a + b: log(1, a + b) - log(0, a + b) for a in seen for b in seen}
+    models = Models(ratio, 0.0, 0.0)
+    others = samples.where("held and r = 0").where(F.length("value") >= TOKEN_MIN).agg(F.percentile(score(models, F.col("value")), 1 - false_rate)).first()[0]
+    return models._replace(threshold=max(0.0, others or 0.0))
+
+
+def score(models: Models, value: Column) -> Column:
+    """Sum of the log-likelihood ratios of a string's transitions."""
+    table = F.create_map(*[x for k, v in sorted(models.ratio.items()) for x in (F.lit(k), F.lit(v))])
+    return F.aggregate(transitions(value), F.lit(0.0), lambda acc, p: acc + F.coalesce(F.try_element_at(table, p), F.lit(models.unseen)))
+
+
+def quality_of(models: Models, samples: DataFrame) -> tuple[float, float]:
+    """Precision and recall on labelled strings (value, random) of TOKEN_MIN characters or more."""
+    said = samples.where(F.length("value") >= TOKEN_MIN).select("random", (score(models, F.col("value")) > models.threshold).alias("said"))
+    hit, told, there = said.agg(F.count_if(F.col("random") & F.col("said")), F.count_if("said"), F.count_if("random")).first()
+    return hit / told if told else 1.0, hit / there if there else 1.0
 
 
-def scanned(docs: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """doc_id, base and markov spans of every document."""
-    rows = candidates(base_spans(docs)).select("doc_id", "base", "runs")
-    ratio = fit(rows)
-    if ratio:
-        table = F.create_map(*[x for k, v in sorted(ratio.items()) for x in (F.lit(k), F.lit(v))])
-        mean = lambda s: F.aggregate(transitions(s["found"]), F.lit(0.0), lambda acc, p: acc + F.coalesce(F.try_element_at(table, p), F.lit(0.0))) / (F.length(s["found"]) - 1)
-        mixed = lambda s: s["found"].rlike("[0-9]") & s["found"].rlike("[A-Za-z]")
-        added = F.filter("runs", lambda s: mixed(s) & (mean(s) > threshold))
-    else:
-        added = F.filter("runs", lambda s: F.lit(False))
-    return rows.select("doc_id", "base", added.alias("markov"))
+def found_spans(rows: DataFrame, models: Models) -> DataFrame:
+    """key, kind, start, end of all base spans and of the candidates over the threshold.  rows: as of `scanned`."""
+    spans = cut(placed(rows))
+    base = spans.where(F.col("kind") != MARKOV).select("key", "kind", "start", "end")
+    if not models.ratio:
+        return base
+    added = candidates(spans).where(score(models, F.col("found")) > models.threshold)
+    return base.union(added.select("key", F.lit(MARKOV), "start", "end"))
 
 
 def listed(spans: Column) -> Column:
@@ -111,8 +171,18 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s), s["start"], s["end"])), ",")
 
 
-def scan(docs: DataFrame, threshold: float = 0.3) -> DataFrame:
+def scan(docs: DataFrame, models: Models | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov."""
-    n = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
-    every = F.array_sort(F.concat("base", "markov"))
-    return scanned(docs, threshold).select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(every).alias("spans"), F.size("markov").cast("long").alias("n_markov"))
+    models = models or fit(default_samples(docs))
+    rows = scanned(docs)
+    of_text = found_spans(rows, models).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("all"))
+    every = F.coalesce("all", F.array().cast("array<struct<start:int,kind:int,end:int>>"))
+    out = rows.select("key", "doc_id").join(of_text, "key", "left").select("doc_id", every.alias("all"))
+    n = lambda k: F.size(F.filter("all", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("all", lambda s: s["kind"] != MARKOV)
+    return out.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("all")).alias("spans"), n(MARKOV).alias("n_markov"))
+
+
+def session_models(spark: SparkSession, path: str) -> Models:
+    """Models from a table of labelled samples (value, random) of one's own."""
+    return fit(spark.read.parquet(path))
