@@ -42,11 +42,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write a table in the shared folder and read it back; for rows with payloads, which stay columnar and compressed."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return stored_at(df, name)[0]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table that stored_at wrote and that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def columns_of(df: DataFrame) -> list[Column]:
@@ -70,6 +80,26 @@ def sent_if_small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def rows_that_stay(docs: DataFrame, own: Column, judged: DataFrame) -> DataFrame:
+    """The rows of docs that stay, with all their columns.  judged: doc_id, own, n (rows that repeat both), stays, one row for
+    each pair of doc_id and `own` (a hash of the text) in docs; of repeated rows that stay, one does.
+
+    Where few rows go, they are sent to all tasks and no text moves; else rows meet by id and hash, so that a hot group is
+    spread by its ids."""
+    judged = cut(judged)
+    rows = docs.select(whole_row(docs), docs["doc_id"].alias("id"), own.alias("own"))
+    same = lambda x, y: x["id"].eqNullSafe(y["doc_id"]) & (x["own"] == y["own"])
+    gone = sent_if_small(judged.where("not stays"))
+    left = rows.join(gone, same(rows, gone), "left_anti")
+    repeated = judged.where("stays and n > 1")
+    if repeated.isEmpty():
+        return left.select("row.*")
+    repeated = sent_if_small(repeated)
+    again = lambda how: left.join(repeated, same(left, repeated), how)
+    once = again("left_semi").groupBy("id", "own").agg(F.first("row").alias("row"))
+    return again("left_anti").select("row").union(once.select("row")).select("row.*")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, everything else as it is; null is empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)

@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, sent_if_small, shared_dir, whole_row
+from .common import ascii_lower, cut, rows_that_stay, shared_dir
 
 ROWS = "digest STRING, keep_id BIGINT, group_size BIGINT"
 
@@ -92,25 +92,13 @@ def resolved(docs: DataFrame, batches: int = 2) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The documents that stay, with all their columns: the kept row of each digest that this batch brought first.
-
-    What goes is told by digest and id, so that a hot group is spread by its ids; where few rows go, they are sent to all
-    tasks and no text moves."""
+    """The documents that stay, with all their columns: the kept row of each digest that this batch brought first."""
     own = index or DigestIndex(docs.sparkSession)
     rows = cut(digested(docs))
     fresh = own.add(rows).select("digest", F.col("keep_id").alias("keep"), F.lit(True).alias("new"))
     if not index:
         own.close()
     each = rows.groupBy("doc_id", "digest").agg(F.count("*").alias("n"))
-    judged = cut(each.join(fresh, "digest", "left").select("doc_id", "digest", "n", (F.col("new").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep"))).alias("stays")))
-    rows = docs.select(whole_row(docs), docs["doc_id"].alias("id"), digest_of(docs["text"]).alias("own"))
-    same = lambda x: rows["id"].eqNullSafe(x["doc_id"]) & (rows["own"] == x["digest"])
-    gone = sent_if_small(judged.where("not stays"))
-    left = rows.join(gone, same(gone), "left_anti")
-    repeated = judged.where("stays and n > 1").select("doc_id", "digest")
-    if repeated.isEmpty():
-        return left.select("row.*")
-    repeated = sent_if_small(cut(repeated))
-    again = lambda how: left.join(repeated, left["id"].eqNullSafe(repeated["doc_id"]) & (left["own"] == repeated["digest"]), how)
-    once = again("left_semi").groupBy("id", "own").agg(F.first("row").alias("row"))
-    return again("left_anti").select("row").union(once.select("row")).select("row.*")
+    stays = F.col("new").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep"))
+    judged = each.join(fresh, "digest", "left").select("doc_id", F.col("digest").alias("own"), "n", stays.alias("stays"))
+    return rows_that_stay(docs, digest_of(docs["text"]), judged)

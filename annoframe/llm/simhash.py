@@ -5,6 +5,11 @@ Two fingerprints that differ in at most r bits differ, in some segment i, by at
 the small Hamming ball around its own value, and what it meets is verified on all 64 bits inside the join, so that only
 true links come out.  Copies share a fingerprint and are one node.  Links become components by star rounds.
 
+Only components are asked for, so not all links are made: first every probe is compared with one fingerprint of each bucket,
+and then with the others only where the two are not in one component yet.  A dense family that such stars unite costs its
+size in links.  Which segments and radii are taken follows from a count of rows moved and pairs compared (`cost`); all give
+the same components.
+
 Edge cases: null or empty text, or text of spaces only, has fingerprint zero and links like any other; fewer than
 `width` words make one shingle; repeated rows fall together; documents without id take part but give no component its
 number (a component of such alone has null).  Other columns are not read.
@@ -20,13 +25,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut
-from .hashing import LOWER, texts_of
+from .common import arrow_schema, components, cut, rows_that_stay
+from .hashing import LOWER, slices
 
-#: (bits, radius) of each segment: with up to 2**26 fingerprints short segments and few probes, beyond that long segments.
+#: (bits, radius) of each segment: short segments with few probes, or long ones with small buckets.
 SHORT = ((21, 1), (21, 1), (22, 0))
 LONG = ((32, 2), (32, 1))
-MANY = 1 << 26
+PAIR_COST = 0.05  # of comparing two fingerprints, where moving one row costs 1
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -58,47 +63,63 @@ def fingerprints(docs: DataFrame, width: int = 4, keep: tuple = ()) -> DataFrame
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = [fingerprint(t, width) for at in range(0, len(batch), 500) for t in texts_of(batch.column("text")[at : at + 500])]
+            fp = [fingerprint(t, width) for _, _, texts in slices(batch.column("text")) for t in texts]
             yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(fp, pa.int64())], names=[*names, "fp"])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return docs.select(*names, "text").mapInArrow(of, f"{kinds}, fp long")
+    rows = docs.select(*names, "text")
+    return rows.mapInArrow(of, arrow_schema(rows, ",".join(names), "fp long"))
 
 
-def ball(value, bits: int, radius: int) -> list:
-    """Columns of the values within the radius, the value itself first."""
-    masks = [0]
+def masks(bits: int, radius: int) -> list[int]:
+    """What a value is combined with to get the values within the radius, the value itself first."""
+    out = [0]
     if radius >= 1:
-        masks += [1 << a for a in range(bits)]
+        out += [1 << a for a in range(bits)]
     if radius >= 2:
-        masks += [1 << a | 1 << b for a in range(bits) for b in range(a)]
-    return [value.bitwiseXOR(F.lit(m)) for m in masks]
+        out += [1 << a | 1 << b for a in range(bits) for b in range(a)]
+    return out
+
+
+def cost(plan: tuple, n: int) -> float:
+    """Of a plan for n fingerprints, by fingerprint: rows stored and probes, and the pairs that probes meet by chance."""
+    balls = [len(masks(*p)) for p in plan]
+    met = n * sum(ball / (1 << bits) for ball, (bits, _) in zip(balls, plan))
+    return len(plan) + sum(balls) + PAIR_COST * met
 
 
-def links(distinct: DataFrame, most: int = 4, plan=SHORT) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints that differ in at most `most` bits."""
+def links(distinct: DataFrame, most: int = 4, plan: tuple = SHORT) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct fingerprints (column fp) that differ in at most `most` bits: as many as give the
+    components of all such pairs."""
     assert sum(bits for bits, _ in plan) == 64 and sum(r + 1 for _, r in plan) > most
-    stored, probes, shift = [], [], 0
-    for k, (bits, radius) in enumerate(plan):
-        value = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << bits) - 1))
-        tag = lambda v, k=k: F.struct(F.lit(k).alias("seg"), v.alias("value"))
-        stored.append(tag(value))
-        probes += [tag(v) for v in ball(value, bits, radius)]
-        shift += bits
-    table = distinct.select(F.col("fp").alias("a"), F.explode(F.array(*stored)).alias("key")).select("a", "key.*")
-    asked = distinct.select(F.col("fp").alias("b"), F.explode(F.array(*probes)).alias("key")).select("b", "key.*")
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most)
-    met = table.hint("merge").join(asked, (table["seg"] == asked["seg"]) & (table["value"] == asked["value"]) & near)
-    return met.select("a", "b").distinct()
-
-
-def near_groups(docs: DataFrame, width: int = 4, most: int = 4, keep: tuple = ()) -> DataFrame:
+
+    def dealt(rows: DataFrame, name: str, near: bool) -> DataFrame:
+        keys, shift = [], 0
+        for k, (bits, radius) in enumerate(plan):
+            value = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << bits) - 1))
+            keys += [F.struct(F.lit(k).alias("seg"), value.bitwiseXOR(F.lit(m)).alias("value")) for m in (masks(bits, radius) if near else [0])]
+            shift += bits
+        named = rows.select(*[F.col(c).alias(name if c == "fp" else f"{name}_{c}") for c in rows.columns], F.explode(F.array(*keys)).alias("key"))
+        return named.select(*[c for c in named.columns if c != "key"], "key.*")
+
+    within = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    first = dealt(distinct.select("fp"), "a", False).groupBy("seg", "value").agg(F.min("a").alias("a"))
+    probes = dealt(distinct.select("fp"), "b", True)
+    stars = cut(first.hint("merge").join(probes, ["seg", "value"]).where((F.col("a") != F.col("b")) & within).select(*pair).distinct())
+    member = components(stars).select(F.col("node").alias("fp"), "root")
+    rooted = cut(distinct.select("fp").join(member, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")))
+    met = dealt(rooted, "a", False).hint("merge").join(dealt(rooted, "b", True), ["seg", "value"])
+    apart = (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & within
+    return stars.union(met.where(apart).select("a", "b").distinct())
+
+
+def near_groups(docs: DataFrame, width: int = 4, most: int = 4, keep: tuple = (), plan: tuple | None = None) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable), group (the least fingerprint reachable) and the `keep`
     columns of every row."""
     rows = cut(fingerprints(docs, width, keep))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    plan = SHORT if distinct.count() <= MANY else LONG
-    member = components(links(distinct, most, plan))
+    n = distinct.count()
+    member = components(links(distinct, most, plan or min(SHORT, LONG, key=lambda p: cost(p, n))))
     linked = member.join(distinct, F.col("node") == F.col("fp")).select("fp", "root", "least")
     named = linked.groupBy("root").agg(F.min("least").alias("component"))
     of_fp = distinct.join(linked.select("fp", "root"), "fp", "left").join(named, "root", "left")
@@ -107,21 +128,19 @@ def near_groups(docs: DataFrame, width: int = 4, most: int = 4, keep: tuple = ()
     return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id", "group", *keep)
 
 
-def keep_least(hashed: DataFrame, groups: DataFrame, columns: list[str]) -> DataFrame:
-    """The row of each group with the smallest doc_id, of those the least __hash.  hashed: all columns and __hash; groups:
-    doc_id, __hash, group."""
+def keep_least(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The row of each group with the smallest doc_id, of those the one with the least hash of its text.  groups: doc_id, own
+    (xxhash64 of the text), group, one row per row of docs.  Of rows without id one stays if its group has no id; rows that
+    repeat both id and text are one."""
     # null ids come last; the group's key is no id, as a group without ids has no number
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("__hash").alias("h"))
-    best = groups.groupBy("group").agg(F.min(order).alias("o")).select(F.col("o.i").alias("__id"), F.col("o.h").alias("__best"))
-    stay = hashed.join(best, hashed["doc_id"].eqNullSafe(best["__id"]) & (hashed["__hash"] == best["__best"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "__hash"]).select(*columns)
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("own").alias("h"))
+    best = groups.groupBy("group").agg(F.min(order).alias("best"))
+    each = groups.groupBy("group", "doc_id", "own").agg(F.count("*").alias("n"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.i")) & (F.col("own") == F.col("best.h"))
+    return rows_that_stay(docs, F.xxhash64(docs["text"]), each.join(best, "group").select("doc_id", "own", "n", stays.alias("stays")))
 
 
 def keep_one(docs: DataFrame, width: int = 4, most: int = 4) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with all its columns.
-
-    Of rows without id one stays if its group has no id; of rows that share the smallest id the one with the least text
-    hash, and rows that repeat both id and text are one."""
-    hashed = docs.withColumn("__hash", F.xxhash64("text"))
-    ids = hashed.select("doc_id", "text", "__hash")
-    return keep_least(hashed, near_groups(ids, width, most, keep=("__hash",)), docs.columns)
+    """One document of each group, the one with the smallest doc_id, with all its columns."""
+    ids = docs.select("doc_id", "text", F.xxhash64("text").alias("own"))
+    return keep_least(docs, near_groups(ids, width, most, keep=("own",)))

@@ -1,18 +1,24 @@
-"""Near copies by exact shingle similarity: all pairs of texts whose sets of five-word shingles have a Jaccard similarity of
-0.8 or more.
+"""Near copies by fingerprints and exact shingle similarity: the components of all pairs of texts whose sets of five-word
+shingles have a Jaccard similarity of 0.8 or more.
 
 Majority-bit fingerprints of two such texts differ in about 10 of 64 bits at 0.8, often in more, which is beyond what small
-Hamming balls reach (see `simhash`).  This join loses no pair.  Shingles have one order, rare ones first.  Two sets of
-similarity t or more share a shingle among the first n - ceil(t n) + 1 of each (n its size), so only those are indexed.
-The order needs only to be the same for all texts; which shingles are common is read off a sample of texts, so that lines
-found in many texts come last and make no large buckets.
+Hamming balls reach.  So the links that `simhash` finds among the texts' fingerprints come first and unite most copies, and
+a join that loses no pair finds what they leave.  Every link is verified on the whole sets.
 
-Candidates are verified on the whole sets.  First every text is compared with leaders drawn from each bucket; then, as
-only components are asked for, pairs of each bucket that are not in one component yet.  A large family that the leaders
-link costs its size; texts of one bucket that no link joins cost the square of their number, as none may be left out.
+The join: shingles have one order, rare ones first, hashes among equals.  Of two sets of similarity t or more, the first
+shingle that they share is among the first n - ceil(t n) + 1 of each (n its size), so only those are indexed, with their
+places.  From it on the two must hold all that they share: one of size n with the shingle in place i (from 0) and one of m
+and j go together only if 1 + min(n - i - 1, m - j - 1) reaches t / (1 + t) (n + m).  The order needs only to be the same
+for all texts; which shingles are common is read off a sample of texts, so that lines found in many texts come last, where
+places part those that share only such lines.
+
+Candidates: in each bucket (texts with one indexed shingle) every text is compared with a leader; then, as only components are asked
+for, texts of a bucket that are not in one component yet.  Those are met by classes of (size, place) that can go together, so that
+texts that only share a passage are never paired one by one.  A large family that the leaders link costs its size; texts of one bucket
+that could go together and do not cost the square of their number, as none may be left out.
 
 Edge cases: fewer than `width` words make one shingle; texts without words have the same, empty set; texts with one set
-are one node; null ids and repeated rows as in `simhash.keep_one`.  Other columns are not read.
+are one node; null ids and repeated rows as in `simhash.keep_least`.  Other columns pass untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,28 +29,35 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, stored
-from .hashing import hashed_tokens, mix, texts_of
-from .simhash import keep_least
+from .common import arrow_schema, components, cut, sent_if_small, stored
+from .hashing import hashed_tokens, mix, slices
+from .simhash import LONG, SHORT, cost, keep_least, links
 
 K = np.uint64(0xC13FA9A902A6328F)
 SAMPLE, LISTED, SEEN = 50_000, 1 << 18, 3
-GROUP = 300
-TURNS, LEADERS = 2, 8  # before all pairs left are taken
+BITS = 4  # that linked fingerprints differ in
 
 
-def shingle_sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
-    """The set of shingle hashes of each text, sorted."""
+def shingles_of(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
+    """The shingle hashes of each text, repeats included."""
     words, first, _ = hashed_tokens(texts)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         n = min(width, b - a)
         h = np.zeros(b - a - n + 1 if n else 0, np.uint64)
         for k in range(n):
             h = h * K + words[a + k : b - n + k + 1]
-        yield np.unique(mix(h))
+        yield mix(h)
+
+
+def majority(h: np.ndarray) -> int:
+    """The fingerprint of shingle hashes, as a signed 64-bit number."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), 1 << 16):
+        ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(h), bitorder="little").view(np.int64)[0])
 
 
 def shared_least(n: int, similarity: float) -> int:
@@ -52,19 +65,23 @@ def shared_least(n: int, similarity: float) -> int:
     return math.ceil(similarity * n - 1e-9)
 
 
+def lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *[h.view(np.int64) for h in found]]), pa.int64()))
+
+
 def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles found in several texts of a sample, sorted, and their counts."""
     share = min(1.0, SAMPLE / max(1, docs.count()))
-    part = docs.where(F.pmod(F.xxhash64(F.lit(7), "text"), F.lit(1_000_000)) < math.ceil(share * 1_000_000))
+    part = docs.where(F.pmod(F.xxhash64(F.lit(7), "own"), F.lit(1_000_000)) < math.ceil(share * 1_000_000))
 
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), GROUP):
-                sets = list(shingle_sets(texts_of(batch.column("text")[at : at + GROUP]), width))
-                h, n = np.unique(np.concatenate(sets), return_counts=True)
+            for _, _, texts in slices(batch.column("text")):
+                h, n = np.unique(np.concatenate([np.unique(h) for h in shingles_of(texts, width)]), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
-    counts = part.select("text").mapInArrow(shingles, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN)
+    counts = part.select("text").mapInArrow(counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN)
     top = counts.orderBy(F.desc("n"), "h").limit(LISTED).toPandas()
     h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     order = np.argsort(h)
@@ -72,30 +89,27 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def nodes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """doc_id, __hash, node (hash of the set), n (its size), prefix (the shingles to index) of every row."""
+    """doc_id, own, node (hash of the set), n (its size), fp, prefix (the shingles to index, in order) of every row."""
     listed, counts = common_shingles(docs, width)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), GROUP):
-                part = batch.slice(at, GROUP)
-                name, size, prefix = [], [], []
-                for h in shingle_sets(texts_of(part.column("text")), width):
+            for a, b, texts in slices(batch.column("text")):
+                name, size, fp, prefix = [], [], [], []
+                for h in shingles_of(texts, width):
+                    fp.append(majority(h))
+                    h = np.unique(h)
                     name.append(xxhash.xxh64_intdigest(h.tobytes(), 7))
                     size.append(len(h))
                     most = len(h) - shared_least(len(h), similarity) + 1 if len(h) else 0
                     if len(listed):
                         place = np.minimum(np.searchsorted(listed, h), len(listed) - 1)
                         h = h[np.argsort(np.where(listed[place] == h, counts[place], 0), kind="stable")]
-                    prefix.append(h[:most].view(np.int64))
-                ends = np.cumsum([0, *map(len, prefix)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefix), pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("__hash"), pa.array(np.array(name, np.uint64).view(np.int64)), pa.array(size, pa.int64()), lists], names=["doc_id", "__hash", "node", "n", "prefix"]
-                )
+                    prefix.append(h[:most])
+                columns = [pa.array(np.array(name, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), lists(prefix)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], batch.column("own")[a:b], *columns], names=["doc_id", "own", "node", "n", "fp", "prefix"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "__hash", "text").mapInArrow(of, f"doc_id {kind}, __hash long, node long, n long, prefix array<long>")
+    return docs.select("doc_id", "own", "text").mapInArrow(of, arrow_schema(docs, "doc_id, own", "node long, n long, fp long, prefix array<long>"))
 
 
 def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -103,64 +117,76 @@ def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, sim
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), GROUP):
-                part = batch.slice(at, GROUP)
-                found = [pa.array(h.view(np.int64)) for h in shingle_sets(texts_of(part.column("text")), width)]
-                ends = np.cumsum([0, *map(len, found)])
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(found))], names=["node", "shingles"])
+            for a, b, texts in slices(batch.column("text")):
+                yield pa.RecordBatch.from_arrays([batch.column("node")[a:b], lists([np.unique(h) for h in shingles_of(texts, width)])], names=["node", "shingles"])
 
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    one = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min("__hash").alias("__hash"))
-    texts = docs.select("__hash", "text").join(one, "__hash").dropDuplicates(["node"]).select("node", "text")
+    one = sent_if_small(cut(rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min("own").alias("own"))))
+    texts = docs.select("own", "text").join(one, "own").dropDuplicates(["node"]).select("node", "text")
     whole = stored(texts.mapInArrow(sets, "node long, shingles array<long>"), "shingles")
     both = pairs.join(whole.toDF("a", "of_a"), "a").join(whole.toDF("b", "of_b"), "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
     return both.where(common >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - common) - F.lit(1e-9)).select("a", "b")
 
 
+def go_together(n: Column, i: Column, m: Column, j: Column, similarity: float) -> Column:
+    """Whether sets of n and m whose first shared shingle is in places i and j may be similar."""
+    rest = F.least(n - i, m - j)
+    return (rest >= F.lit(similarity / (1 + similarity)) * (n + m) - F.lit(1e-9)) & (F.least(n, m) >= F.lit(similarity) * F.greatest(n, m) - F.lit(1e-9))
+
+
 def groups_of(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id, __hash (of the text), group (the least node reachable) of every row.  docs: doc_id, text, __hash."""
+    """doc_id, own, group (the least node reachable) of every row.  docs: doc_id, text, own (hash of the text)."""
     rows = stored(nodes(docs, width, similarity), "nodes")
-    index = rows.dropDuplicates(["node"]).select("node", "n", F.explode("prefix").alias("h"))
+    single = rows.dropDuplicates(["node"])
+    near = tested = None
+    member = rows.sparkSession.createDataFrame([], "node long, root long")
+
+    def tested_now(pairs: DataFrame) -> None:
+        """Verify new pairs and unite what they link."""
+        nonlocal near, tested, member
+        new = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        new = cut(new if tested is None else new.join(tested, ["a", "b"], "left_anti"))
+        tested = new if tested is None else tested.union(new)
+        if not new.isEmpty():
+            found = cut(verified(new, rows, docs, width, similarity))
+            near = found if near is None else near.union(found)
+            member = cut(components(near))
+
+    # fingerprints: texts with the same one, and links between fingerprints, each by one text of a fingerprint
+    of_fp = cut(single.groupBy("fp").agg(F.min("node").alias("rep")))
+    n = of_fp.count()
+    linked = links(of_fp.select("fp"), BITS, min(SHORT, LONG, key=lambda p: cost(p, n)))
+    reps = linked.join(of_fp.toDF("a", "x"), "a").join(of_fp.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    tested_now(reps.union(single.join(of_fp, "fp").select("node", "rep")))
+
+    # shingles: leaders of buckets, then all that is left
+    index = single.select("node", "n", F.posexplode("prefix").alias("i", "h"))
     buckets = index.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     shared = stored(index.join(buckets, "h", "left_semi"), "shared")
 
-    like = lambda x, y: (F.least(x, y) >= F.lit(similarity) * F.greatest(x, y) - F.lit(1e-9))
-    pair = [F.least("node", "x.node").alias("a"), F.greatest("node", "x.node").alias("b")]
-    near = tested = member = None
-    for turn in range(TURNS):
-        left = shared if member is None else shared.join(member, "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("root"))
-        # buckets of a family share few leaders, other ones in each turn
-        draw = F.xxhash64(F.lit(turn), F.pmod("h", F.lit(LEADERS)), "node")
-        columns = ["node", "n"] if member is None else ["node", "n", "root"]
-        leader = left.groupBy("h").agg(F.min_by(F.struct(*columns), draw).alias("x"))
-        stars = left.join(leader, "h").where((F.col("node") != F.col("x.node")) & like(F.col("n"), F.col("x.n")))
-        if member is not None:
-            stars = stars.where(F.col("root") != F.col("x.root"))
-        stars = stars.select(*pair).distinct()
-        stars = cut(stars if tested is None else stars.join(tested, ["a", "b"], "left_anti"))
-        tested = stars if tested is None else tested.union(stars)
-        if not stars.isEmpty():
-            found = cut(verified(stars, rows, docs, width, similarity))
-            near = found if near is None else near.union(found)
-            member = cut(components(near))
+    def rooted() -> DataFrame:
+        return shared.join(member, "node", "left").select("h", "node", "n", "i", F.coalesce("root", "node").alias("root"))
+
+    leader = rooted().groupBy("h").agg(F.min_by(F.struct("node", "n", "i", "root"), F.struct("i", F.xxhash64("node"))).alias("x"))
+    stars = rooted().join(leader, "h").where((F.col("root") != F.col("x.root")) & go_together(F.col("n"), F.col("i"), F.col("x.n"), F.col("x.i"), similarity))
+    tested_now(stars.select(F.col("node").alias("a"), F.col("x.node").alias("b")))
+
+    left = rooted()
+    classes = cut(left.groupBy("h", "n", "i").agg(F.min("root").alias("low"), F.max("root").alias("high")))
+    mixed = classes.groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("h")
+    classes = classes.join(mixed, "h", "left_semi")
+    x, y = classes.toDF("h", "n", "i", "low", "high"), classes.toDF("h", "m", "j", "low_", "high_")
+    together = go_together(F.col("n"), F.col("i"), F.col("m"), F.col("j"), similarity) & (F.least("low", "low_") != F.greatest("high", "high_"))
+    together = x.join(y, "h").where(together & (F.struct("n", "i") <= F.struct("m", "j"))).select("h", "n", "i", "m", "j")
+    a = left.select("h", "n", "i", F.col("node").alias("a"), F.col("root").alias("root_a")).join(together, ["h", "n", "i"])
+    b = left.select("h", F.col("n").alias("m"), F.col("i").alias("j"), F.col("node").alias("b"), F.col("root").alias("root_b"))
+    tested_now(a.join(b, ["h", "m", "j"]).where("root_a <> root_b").select("a", "b"))
 
-    if member is None:  # no two texts share a bucket
-        return rows.select("doc_id", "__hash", F.col("node").alias("group"))
-    # what the turns left: pairs of a bucket that are not in one component
-    rest = shared.join(member, "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("root"))
-    mixed = rest.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
-    rest = rest.join(mixed, "h", "left_semi")
-    x, y = rest.toDF("h", "a", "n", "root_a"), rest.toDF("h", "b", "m", "root_b")
-    more = x.join(y, "h").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & like(F.col("n"), F.col("m")))
-    more = cut(more.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        member = components(near.union(verified(more, rows, docs, width, similarity)))
-    found = rows.select("doc_id", "__hash", "node").join(member, "node", "left")
-    return found.select("doc_id", "__hash", F.coalesce("root", "node").alias("group"))
+    return rows.select("doc_id", "own", "node").join(member, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("group"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group, as `simhash.keep_one` does."""
-    hashed = docs.withColumn("__hash", F.xxhash64("text"))
-    return keep_least(hashed, groups_of(hashed.select("doc_id", "text", "__hash"), width, similarity), docs.columns)
+    ids = docs.select("doc_id", "text", F.xxhash64("text").alias("own"))
+    return keep_least(docs, groups_of(ids, width, similarity))

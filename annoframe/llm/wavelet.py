@@ -159,17 +159,15 @@ def encode(ids: np.ndarray, starts: np.ndarray, level: int = 1) -> bytes:
     return MAGIC + len(head).to_bytes(4, "little") + head + first + b"".join(out)
 
 
-def write(docs: DataFrame, folder: str | None = None, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, shard_ids: int = 4_000_000, task_bytes: int = 24 << 20) -> tuple[str, DataFrame]:
+def write(docs: DataFrame, folder: str | None = None, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, shard_ids: int = 2_000_000) -> tuple[str, DataFrame]:
     """Write shard files; the folder, and one row per document: doc_id, shard, nth, n.
 
-    Tasks get ranges of about `task_bytes` of text, in order of doc_id and of the text's hash, and close a file once it holds
-    `shard_ids` ids, so a task holds one shard (or one longer text).  Files are named by task and number and written by
-    rename, so a task that runs twice leaves one of each."""
+    Tasks get ranges in order of doc_id and of the text's hash (as many as the session's shuffle partitions, small ones put
+    together by adaptive execution), and close a file once it holds `shard_ids` ids, so a task holds one shard (or one longer
+    text).  Files are named by task and number and written by rename, so a task that runs twice leaves one of each."""
     spark = docs.sparkSession
     folder = folder or f"{shared_dir(spark)}/wavelet-{cut_name()}"
     path = tokenizer_path(tokenizer)
-    size = docs.agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 8)).first()[0] or 0
-    tasks = max(1, -(-size // task_bytes))
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -195,7 +193,7 @@ def write(docs: DataFrame, folder: str | None = None, tokenizer: str = "byte_bpe
         if raw:
             yield closed()
 
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).repartitionByRange(tasks, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
     schema = arrow_schema(docs, "doc_id", "shard long, nth long, n long")
     return folder, stored(rows.select("doc_id", "text").mapInArrow(of_task, schema), "shard-rows")
 

@@ -1,6 +1,5 @@
 """Each training-data operator against a brute-force version on a small, awkward table."""
 
-import hashlib
 import math
 import random
 import re
@@ -12,11 +11,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from annoframe.llm import common, digest_index, languages, maxent, mixing, packing, quality, secrets, simhash, transport_stream, wavelet
+from annoframe.llm import common, languages, maxent, simhash
 from annoframe.llm.hashing import LOWER, hashed_tokens
-from annoframe.llm.tokens import memo, tokenizer_path
-
-from tests.llm.conftest import DE, EN, prose  # noqa: E402
+from tests.llm.conftest import DE, EN, prose
 
 
 def words(text):
@@ -61,9 +58,6 @@ def test_simhash(docs, empty, rows):
     fp = [brute_fingerprint(r[1]) if len(words(r[1])) < 5000 else None for r in rows]
     got = simhash.near_groups(docs).collect()
     assert len(got) == len(rows)
-    by = {}
-    for r in got:
-        by.setdefault(r.doc_id, r)
     known = {r.fp & (1 << 64) - 1 for r in got}
     part = {f: f for f in known}
 
@@ -81,9 +75,8 @@ def test_simhash(docs, empty, rows):
         if r.doc_id is not None:
             k = root(r.fp & (1 << 64) - 1)
             least[k] = min(least.get(k, r.doc_id), r.doc_id)
-    for (doc_id, *_), f in zip(rows, fp):
-        if f is not None:
-            assert by[doc_id].fp & (1 << 64) - 1 == f
+    count = Counter((r.doc_id, r.fp & (1 << 64) - 1) for r in got)
+    assert all(count[doc_id, f] for (doc_id, *_), f in zip(rows, fp) if f is not None)
     assert all(r.component_id == least.get(root(r.fp & (1 << 64) - 1)) for r in got)
     kept = simhash.keep_one(docs)
     groups = {root(f) for f in known}
@@ -95,14 +88,44 @@ def test_simhash(docs, empty, rows):
 
 
 @pytest.mark.parametrize("plan", [simhash.SHORT, simhash.LONG])
-def test_links_lose_nothing(spark, plan):
+def test_links_join_all_that_are_near(spark, plan):
     rng = random.Random(2)
     base = [rng.getrandbits(64) for _ in range(12)]
     values = set(base) | {b ^ sum({1 << rng.randrange(64) for _ in range(rng.randint(1, 5))}) for b in base for _ in range(8)}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
+    near = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
     got = {(r.a, r.b) for r in simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), 4, plan).collect()}
-    assert got == want
+    assert got <= near
+    assert parts(got, signed) == parts(near, signed)
+
+
+def parts(pairs, nodes):
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    least = {}
+    for x in nodes:
+        least[find(x)] = min(least.get(find(x), x), x)
+    return {x: least[find(x)] for x in nodes}
+
+
+def test_a_dense_family_costs_few_links(spark):
+    """All pairs of 800 fingerprints within 4 bits of each other would be 319,600 links; each of the 45 probes makes one at most."""
+    values = list({1 << a | 1 << b for a in range(41) for b in range(41)})[:800]
+    got = simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), 4).collect()
+    assert len(values) == 800 and len(got) < 45 * len(values) and len(set(parts({(r.a, r.b) for r in got}, values).values())) == 1
+
+
+def test_long_segments_give_the_same_groups(docs):
+    of = lambda plan: sorted(map(str, simhash.near_groups(docs, plan=plan).collect()))
+    assert of(simhash.SHORT) == of(simhash.LONG)
+    assert simhash.cost(simhash.SHORT, 10**6) < simhash.cost(simhash.LONG, 10**6) and simhash.cost(simhash.SHORT, 10**10) > simhash.cost(simhash.LONG, 10**10)
 
 
 def test_language(docs, empty, rows):

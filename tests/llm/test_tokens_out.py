@@ -50,7 +50,7 @@ def test_wavelet_tokens(spark, docs, empty, rows):
         raw = np.array([*ids, 0], "<u4").tobytes()
         want.append((doc_id, at, len(raw) // 4, zlib.crc32(raw)))
         at += len(raw) // 4
-    for kw in ({}, {"shard_ids": 500, "task_bytes": 30_000}, {"shard_ids": 1}):
+    for kw in ({}, {"shard_ids": 500}, {"shard_ids": 1}):
         assert Counter(tuple(r) for r in wavelet.token_table(docs, **kw).collect()) == Counter(want)
     assert wavelet.token_table(empty).count() == 0
 
