@@ -7,7 +7,9 @@ selected by penalised likelihood (log-likelihood less penalty * log(words) per f
 single language and takes in the language that raises it most, up to all languages, then drops languages as long as
 that raises it.  The document's language is the one with the largest proportion in that set, ties by code.
 
-The models are as large as the number of languages times `BUCKETS`, whatever the input.
+Sets are tried by adding or dropping one language at a time, so one that only two additions at once would improve is not
+found.  The models are as large as the number of languages times `BUCKETS`, whatever the input; a text takes memory for its
+words times the languages.
 
 Edge cases: null text or text without a letter is `und` with score 0 and no languages; without training texts every text
 is `und`; rows with null lang train nothing; a null id counts as the text ``null`` when rows are dealt to the held-out
@@ -23,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import BLOCK, LOWER, SPACES, segments, texts_of
+from .common import arrow_schema
+from .hashing import BLOCK, LOWER, SPACES, segments, slices
 
 BUCKETS = 1 << 15
 UNKNOWN = "und"
@@ -70,10 +73,9 @@ def count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
         langs = batch.column("lang").to_pylist()
-        for at in range(0, len(langs), 400):
-            texts = texts_of(batch.column("text")[at : at + 400])
-            for lang in sorted(set(langs[at : at + 400])):
-                own = [p for t, x in zip(texts, langs[at : at + 400]) if x == lang for p in segments(t, BLOCK // 4)]
+        for at, end, texts in slices(batch.column("text")):
+            for lang in sorted(set(langs[at:end])):
+                own = [p for t, x in zip(texts, langs[at:end]) if x == lang for p in segments(t, BLOCK // 4)]
                 sums = counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 for _, parts in text_blocks(own):
                     sums += np.bincount(trigrams(parts)[0], minlength=BUCKETS)
@@ -113,10 +115,25 @@ def mixture(p: np.ndarray, n: np.ndarray, tolerance: float = 1e-3, rounds: int =
     return pi, np.add.reduceat(np.log(mixed).astype(np.float64), first)
 
 
+def word_scores(texts: list[bytes], log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, languages): log-likelihood of each word less that of its best language, and where each text's words begin.
+    A word's evidence is bounded, so that one long word doesn't decide a text."""
+
+    def of(part: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        gram, word_first, doc_first = trigrams(part)
+        score = np.add.reduceat(log_p[gram], word_first, axis=0) if len(word_first) else np.zeros((0, log_p.shape[1]), np.float32)
+        return np.maximum(score - score.max(1, keepdims=True), np.float32(-30)), doc_first
+
+    if len(texts) > 1 or len(texts[0]) <= BLOCK // 2:
+        return of(texts)
+    parts = [of([s])[0] for s in segments(texts[0], BLOCK // 4)]  # a long text's letters are never laid out at once
+    return np.concatenate(parts), np.array([0, sum(map(len, parts))])
+
+
 def infer(texts: list[bytes], log_p: np.ndarray, penalty: float = 2.0) -> tuple[np.ndarray, np.ndarray]:
     """(documents, languages): proportions within the selected set; proportions under the full mixture.
     Documents without words have zeros."""
-    gram, word_first, doc_first = trigrams(texts)
+    score, doc_first = word_scores(texts, log_p)
     n_all = np.diff(doc_first)
     some = np.flatnonzero(n_all)
     n_langs = log_p.shape[1]
@@ -125,10 +142,6 @@ def infer(texts: list[bytes], log_p: np.ndarray, penalty: float = 2.0) -> tuple[
         return chosen, full
     n = n_all[some]
     first = np.cumsum(n) - n
-    score = np.add.reduceat(log_p[gram], word_first, axis=0)
-    score -= score.max(1, keepdims=True)
-    # a word's evidence is bounded, so that one long word doesn't decide a text
-    score = np.maximum(score, np.float32(-30))
     p = np.exp(score)
     pi, all_value = mixture(p, n)
     single = np.add.reduceat(score, first, axis=0)
@@ -179,8 +192,7 @@ def predict(docs: DataFrame, langs: list[str], log_p: np.ndarray, keep: list, pe
             size = len(batch)
             lang, score, mixed = [UNKNOWN] * size, np.zeros(size), [""] * size
             letters = np.array(batch.column("letters").fill_null(False).to_pylist(), bool)
-            for at in range(0, size if langs else 0, 400):
-                texts = texts_of(batch.column("text")[at : at + 400])
+            for at, _, texts in slices(batch.column("text")) if langs else ():
                 for owners, parts in text_blocks(texts):
                     chosen, full = infer(parts, log_p, penalty)
                     top = chosen.argmax(1)
@@ -193,5 +205,4 @@ def predict(docs: DataFrame, langs: list[str], log_p: np.ndarray, keep: list, pe
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(lang, pa.string()), pa.array(score), pa.array(mixed, pa.string())], names=["row", "lang_pred", "score", "languages"])
 
     rows = docs.select(F.struct(*keep).alias("row"), F.col("text"), F.col("text").rlike(r"\p{L}").alias("letters"))
-    kind = rows.select("row").schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, lang_pred string, score double, languages string").select("row.*", "lang_pred", "score", "languages")
+    return rows.mapInArrow(run, arrow_schema(rows, "row", "lang_pred string, score double, languages string")).select("row.*", "lang_pred", "score", "languages")
