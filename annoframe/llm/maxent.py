@@ -1,26 +1,36 @@
 """Operator 8, LM scoring: a hashed maximum-entropy model with class-factored softmax.
 
-log p(word | history) = log p(class | history) + log p(word | class, history).  The `CLASSES` classes are blocks of the
-most frequent training words, and `TAILS` classes of all other words by their last two bytes.  The class softmax has
-hashed features of the history (the word before, the two before together, and the one before the last alone: a skip
-feature).  Within a frequent class a second softmax has hashed features of history and class; within a tail class
-a word has its add-one share of the class's training tokens, unknown words counting as one more type.
-
-Training: rounds over disjoint folds of the training texts, so that all take part.  In a round each task makes AdaGrad
-steps on its texts from the same weights; the changes of each weight row are averaged over tasks by how often they touched
-it, in one aggregation, and added on the driver.  Scoring runs in sparse batches: only weight rows of features that occur.
-
-Counts of all training words are kept as a table of hashes.  Scoring looks the `common` most frequent ones up inside tasks; all other words of a text are
-joined with the table, so nothing that grows with the corpus is sent to tasks or the driver.  Words are told apart by
-64-bit hashes; with a billion distinct words the odds that any given one shares its hash are below 1 in 10**10.
+Every word has a path of digits from 0 to `BRANCH` - 1, and its probability is the product of one softmax for each digit,
+given the digits before it and the history.  The `FREQUENT` first values of the first digit hold the most frequent training
+words, `BRANCH` each, which two digits name.  All other words, unknown ones too, share the other values, by their last two
+bytes, and then go by digits of their hash to about as many leaf classes as the square root of the vocabulary (`depth`
+digits, which grows with it); in its leaf a word has its add-one share of the leaf's training tokens.  So every class of
+words is modelled in its context, and leaves hold few frequent words each.
+
+The first softmax has hashed features of the word before, of the two before together, and of the one before the last alone (a
+skip feature); later ones have the word before and the skip feature, each together with the digits so far.  Every softmax
+starts from the training shares.
+
+Training: rounds over disjoint folds of the training texts, so that all take part once.  In a round each of `workers` tasks
+(by default as many as cores) makes AdaGrad steps on its texts from the same weights; the changes of each weight row that a
+task touched are averaged by how often, in one aggregation, and added on the driver.  What is exchanged grows with rounds,
+workers and weight rows (`WEIGHT_ROWS` x `BRANCH` floats at most), not with the corpus.  Weights, and so scores, depend on
+how the input is split among workers; counts and base scores don't.  Scoring runs in sparse batches: only weight rows of
+features that occur.
+
+Counts of all training words are kept as a table of hashes.  Scoring looks the `common` most frequent ones up inside tasks;
+all other words of a text are joined with the table, so nothing that grows with the corpus is sent to tasks or the driver but
+one number per leaf.  Words are told apart by 64-bit hashes; with a billion distinct words the odds that any given one
+shares its hash are below 1 in 10**10.
 
 Edge cases: null or empty text is the end token alone; without training texts all counts are 0 and the model is uniform
-over its classes; repeated rows train and are scored each; a null id counts as the text ``null`` when rows are dealt to
+over its leaves; repeated rows train and are scored each; a null id counts as the text ``null`` when rows are dealt to
 the held-out part.  Other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,35 +39,54 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
-from .hashing import hashed_tokens, mix, texts_of
+from .common import arrow_schema, stored
+from .hashing import hashed_tokens, mix, slices
 
-FREQUENT, TAILS, MEMBERS = 16, 16, 32
-CLASSES = FREQUENT + TAILS
-ROWS1, ROWS2 = 1 << 13, 1 << 12  # weight rows per feature
+BRANCH, FREQUENT = 32, 16
+BITS = 5  # of a digit
+HEAD = FREQUENT * BRANCH  # words with a path of their own
+TAILS = BRANCH - FREQUENT
+ROWS1, ROWS2 = 1 << 14, 1 << 16  # weight rows of each feature of the first digit, and of later ones; 16-bit numbers sort fast
+WEIGHT_ROWS = 3 * ROWS1 + 2 * ROWS2
 END = np.uint64(0)
 BEFORE = np.uint64(1)  # stands before the first word
 K1, K2, K3, K4 = (np.uint64(k) for k in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC13FA9A902A6328F, 0xD1B54A32D192ED03))
-GROUP, BATCH = 300, 8192
+BATCH = 1 << 14
 
 
 class Vocabulary(NamedTuple):
-    words: np.ndarray  # hashes of frequent words, sorted
+    words: np.ndarray  # hashes of the words of the head, sorted
     rank: np.ndarray  # of each: place by frequency
-    prior: np.ndarray  # log share of each class
-    member: np.ndarray  # (class, member) log share within a frequent class; very low where there is no member
-    tail: np.ndarray  # log10 of the denominator of each tail class
+    prior: list[np.ndarray]  # of each digit: (nodes, BRANCH) log share of the digit's values
+    tail: np.ndarray  # log10 of the denominator of each leaf
+
+    @property
+    def depth(self) -> int:
+        return len(self.prior)
 
 
 class Weights(NamedTuple):
-    first: np.ndarray  # (3 * ROWS1, CLASSES)
-    second: np.ndarray  # (2 * ROWS2, MEMBERS)
+    first: np.ndarray  # (3 * ROWS1, BRANCH)
+    later: np.ndarray  # (2 * ROWS2, BRANCH)
+
+
+class Step(NamedTuple):
+    """One digit of some tokens."""
+
+    which: np.ndarray | slice  # the tokens that have it
+    node: np.ndarray  # of each: number of the digits before it
+    digit: np.ndarray
 
 
 def tail_class(tail: np.ndarray) -> np.ndarray:
     return ((tail.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64) % TAILS
 
 
+def depth_for(n_words: int) -> int:
+    """Digits that give about the square root of n leaves (the nearest power), two at least."""
+    return max(2, 1 + round((math.log2(max(1, n_words)) / 2 - math.log2(TAILS)) / BITS))
+
+
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words with an end after each text; tail classes; where texts begin (one more than texts)."""
     h, first, tail = hashed_tokens(texts)
@@ -74,23 +103,33 @@ def histories(t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return one, two
 
 
-def features(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    hashed = (mix(one * K1), mix(one * K2 + two * K3), mix(two * K4))
-    return np.stack([(x & np.uint64(ROWS1 - 1)).astype(np.int64) + k * ROWS1 for k, x in enumerate(hashed)], 1)
+def features(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
+    """Weight rows of the first digit's features, each counted from its own first row."""
+    return [(mix(x) & np.uint64(ROWS1 - 1)).astype(np.uint16) for x in (one * K1, one * K2 + two * K3, two * K4)]
 
 
-def inner_features(one: np.ndarray, two: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    c = cls.astype(np.uint64)
-    hashed = (mix(one * K3 + c), mix(two * K2 + c * K1))
-    return np.stack([(x & np.uint64(ROWS2 - 1)).astype(np.int64) + k * ROWS2 for k, x in enumerate(hashed)], 1)
+def later_features(one: np.ndarray, two: np.ndarray, level: int, node: np.ndarray) -> list[np.ndarray]:
+    """The same of a later digit; level: which digit, from 1."""
+    own = node.astype(np.uint64) * np.uint64(64) + np.uint64(level)
+    return [(mix(x) & np.uint64(ROWS2 - 1)).astype(np.uint16) for x in (one * K3 + own * K1, two * K2 + own * K4)]
 
 
-def place(v: Vocabulary, t: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each token; whether it is a frequent word; its member number if so."""
+def digits(v: Vocabulary, t: np.ndarray, tails: np.ndarray) -> tuple[list[Step], np.ndarray, np.ndarray]:
+    """The steps of all tokens' paths; which tokens are not of the head; the leaf of each of those."""
     at = np.minimum(np.searchsorted(v.words, t), len(v.words) - 1)
-    known = v.words[at] == t
+    head = v.words[at] == t
     rank = v.rank[at]
-    return np.where(known, rank // MEMBERS, FREQUENT + tails), known, rank % MEMBERS
+    digit = lambda k, x: (x >> np.uint64(BITS * k)).astype(np.int64) & (BRANCH - 1)
+    first = np.where(head, rank // BRANCH, FREQUENT + tails)
+    second = np.where(head, rank % BRANCH, digit(0, t))
+    every = slice(None)
+    steps = [Step(every, np.zeros(len(t), np.int64), first), Step(every, first, second)]
+    rest = np.flatnonzero(~head)
+    leaf = tails[rest] * BRANCH + second[rest]
+    for k in range(1, v.depth - 1):
+        steps.append(Step(rest, leaf, digit(k, t[rest])))
+        leaf = leaf * BRANCH + steps[-1].digit
+    return steps, rest, leaf
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -100,64 +139,72 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def outer(w: Weights, v: Vocabulary, f: np.ndarray) -> np.ndarray:
-    x = w.first[f[:, 0]] + w.first[f[:, 1]]
-    x += w.first[f[:, 2]]
-    x += v.prior
+def chances(tables: list[np.ndarray], rows: list[np.ndarray], prior: np.ndarray, node: np.ndarray) -> np.ndarray:
+    x = tables[0][rows[0]]
+    for table, f in zip(tables[1:], rows[1:]):
+        x += table[f]
+    x += prior[node] if len(prior) > 1 else prior
     return softmax(x)
 
 
-def inner(w: Weights, v: Vocabulary, g: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    x = w.second[g[:, 0]] + w.second[g[:, 1]]
-    x += v.member[cls]
-    return softmax(x)
+def parts(x: np.ndarray, level: int) -> list[np.ndarray]:
+    """The rows of each feature of a digit, of an array with a row for each weight row."""
+    size = ROWS2 if level else ROWS1
+    return [x[k : k + size] for k in range(0, len(x), size)]
+
 
+def rows_of(level: int, one: np.ndarray, two: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
+    return later_features(one, two, level, node) if level else features(one, two)
 
-def step(table: np.ndarray, squares: np.ndarray, touched: np.ndarray, f: np.ndarray, grad: np.ndarray, rate: float) -> None:
-    """One AdaGrad step for the rows of one feature."""
+
+def update(table: np.ndarray, squares: np.ndarray, touched: np.ndarray, f: np.ndarray, grad: np.ndarray, rate: float) -> None:
+    """One AdaGrad step for the rows of one feature; a row's numbers share one sum of squares."""
     order = np.argsort(f, kind="stable")
-    rows, first = np.unique(f[order], return_index=True)
-    sums = np.add.reduceat(grad[order], first, axis=0)
-    squares[rows] += sums * sums
-    table[rows] -= rate * sums / np.sqrt(squares[rows])
-    touched[rows] += np.diff(np.append(first, len(f)))
+    now = f[order]
+    first = np.flatnonzero(np.concatenate(([True], now[1:] != now[:-1])))
+    n = np.diff(np.append(first, len(f)))
+    sums = grad[order[first]]
+    more = np.flatnonzero(n > 1)
+    if len(more):  # summing rows met once would only copy them
+        sums[more] = np.add.reduceat(grad[order[np.repeat(n > 1, n)]], np.cumsum(n[more]) - n[more], axis=0)
+    rows = now[first]
+    squares[rows] += np.einsum("ij,ij->i", sums, sums)
+    sums *= (rate / np.sqrt(squares[rows]))[:, None]
+    table[rows] -= sums
+    touched[rows] += n
 
 
 def trainer(v: Vocabulary, start: Weights, rate: float, damping: float):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = Weights(start.first.copy(), start.second.copy())
-        squares = [np.full_like(x, damping) for x in w]  # rows that are rarely met move little
+        w = Weights(start.first.copy(), start.later.copy())
+        squares = [np.full(len(x), damping, np.float32) for x in w]  # rows that are rarely met move little
         touched = [np.zeros(len(x), np.int64) for x in w]
         for batch in batches:
-            for at in range(0, len(batch), GROUP):
-                t, tails, first = tokens(texts_of(batch.column("text")[at : at + GROUP]))
+            for _, _, texts in slices(batch.column("text"), size=1 << 20):
+                t, tails, first = tokens(texts)
                 one, two = histories(t, first)
-                cls, known, member = place(v, t, tails)
                 for a in range(0, len(t), BATCH):
                     s = slice(a, a + BATCH)
-                    f, c = features(one[s], two[s]), cls[s]
-                    p = outer(w, v, f)
-                    p[np.arange(len(c)), c] -= 1
-                    for k in range(3):
-                        step(w.first, squares[0], touched[0], f[:, k], p, rate)
-                    k = np.flatnonzero(known[s])
-                    if len(k):
-                        g = inner_features(one[s][k], two[s][k], c[k])
-                        p = inner(w, v, g, c[k])
-                        p[np.arange(len(k)), member[s][k]] -= 1
-                        for j in range(2):
-                            step(w.second, squares[1], touched[1], g[:, j], p, rate)
+                    o, u = one[s], two[s]
+                    for level, (which, node, digit) in enumerate(digits(v, t[s], tails[s])[0]):
+                        if not len(digit):
+                            continue
+                        k, rows = min(level, 1), rows_of(level, o[which], u[which], node)
+                        p = chances(parts(w[k], level), rows, v.prior[level], node)
+                        p[np.arange(len(digit)), digit] -= 1
+                        for f, *tables in zip(rows, *(parts(x[k], level) for x in (w, squares, touched))):
+                            update(*tables, f, p, rate)
         for k in range(2):
             rows = np.flatnonzero(touched[k])
             n = touched[k][rows]
             change = (w[k][rows] - start[k][rows]) * n[:, None]
-            names = ["layer", "row", "n", *[f"w{j}" for j in range(MEMBERS)]]
-            yield pa.RecordBatch.from_arrays([pa.array([k] * len(rows), pa.int32()), pa.array(rows, pa.int64()), pa.array(n), *[pa.array(np.ascontiguousarray(change[:, j], np.float32)) for j in range(MEMBERS)]], names=names)
+            names = ["layer", "row", "n", *[f"w{j}" for j in range(BRANCH)]]
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(rows), pa.int32()), pa.array(rows, pa.int64()), pa.array(n), *[pa.array(np.ascontiguousarray(change[:, j], np.float32)) for j in range(BRANCH)]], names=names)
 
     return train
 
 
-CHANGES = "layer int, row long, n long, " + ", ".join(f"w{j} float" for j in range(MEMBERS))
+CHANGES = "layer int, row long, n long, " + ", ".join(f"w{j} float" for j in range(BRANCH))
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,8 +217,8 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     parts, size = [], 0
     for batch in batches:
-        for at in range(0, len(batch), GROUP):
-            parts.append(tokens(texts_of(batch.column("text")[at : at + GROUP])))
+        for _, _, texts in slices(batch.column("text")):
+            parts.append(tokens(texts))
             size += len(parts[-1][0])
             if size > 5_000_000:
                 yield merged(parts)
@@ -193,48 +240,78 @@ def counted(train: DataFrame) -> Counts:
     return Counts(table, n, v)
 
 
-def vocabulary(counts: Counts, common: int) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
+def vocabulary(counts: Counts, common: int, depth: int | None = None) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
     """The classes; hashes (sorted) and counts of the `common` most frequent words, the end among them."""
     top = counts.table.orderBy(F.desc("c"), "h").select("h", "tail", "c").limit(common).toPandas()
     h, tail, c = top["h"].to_numpy(np.int64).view(np.uint64), top["tail"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
     if END not in h:  # a word of its own even if rare
         row = counts.table.where("h = 0").select("c").first()
         h, tail, c = np.insert(h, 0, END), np.insert(tail, 0, 0), np.insert(c, 0, row.c if row else 0)
-    size = FREQUENT * MEMBERS
-    head = np.argsort(-c, kind="stable")[:size]
+    head = np.argsort(-c, kind="stable")[:HEAD]
     end = int(np.flatnonzero(h == END)[0])
     if end not in head:
         head[-1] = end
-    sums = {r.tail: (r.n, r.v) for r in counts.table.groupBy("tail").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
-    n_tail = np.array([sums.get(k, (0, 0))[0] for k in range(TAILS)], float)
-    v_tail = np.array([sums.get(k, (0, 0))[1] for k in range(TAILS)], float)
-    np.subtract.at(n_tail, tail[head], c[head])
-    np.subtract.at(v_tail, tail[head], c[head] > 0)
-    share = np.zeros((FREQUENT, MEMBERS))
-    share.ravel()[: len(head)] = c[head] + 1
-    mass = np.concatenate((share.sum(1), n_tail + v_tail + 1))
-    with np.errstate(divide="ignore"):
-        prior = np.where(mass > 0, np.log(mass / mass.sum()), -1e4)
-        member = np.where(share > 0, np.log(share / np.maximum(share.sum(1, keepdims=True), 1)), -1e4)
+    depth = depth or depth_for(counts.v)
+    leaf = F.col("tail").cast("long")
+    for k in range(depth - 1):
+        leaf = leaf * BRANCH + F.shiftrightunsigned("h", BITS * k).bitwiseAND(F.lit(BRANCH - 1))
+    sums = counts.table.groupBy(leaf.alias("leaf")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).toPandas()  # about sqrt(v) rows
+    n = np.zeros((2, TAILS * BRANCH ** (depth - 1)))
+    n[:, sums["leaf"].to_numpy(np.int64)] = sums[["n", "v"]].to_numpy(float).T
+    own = tail[head]
+    for k in range(depth - 1):
+        own = own * BRANCH + ((h[head] >> np.uint64(BITS * k)).astype(np.int64) & (BRANCH - 1))
+    there = c[head] > 0
+    np.subtract.at(n, (0, own[there]), c[head][there])
+    np.subtract.at(n, (1, own[there]), 1)
+    mass = n.sum(0) + 1  # of each leaf, with one for unknown words
+    of_head = np.zeros(HEAD)
+    of_head[: len(head)] = c[head] + 1
+    levels, now = [], mass
+    for _ in range(depth - 2):
+        levels.insert(0, now.reshape(-1, BRANCH))
+        now = levels[0].sum(1)
+    levels.insert(0, np.concatenate((of_head, now)).reshape(BRANCH, BRANCH))
+    levels.insert(0, levels[0].sum(1)[None, :])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        prior = [np.where(x > 0, np.log(x / x.sum(1, keepdims=True)), -1e4).astype(np.float32) for x in levels]
     order = np.argsort(h[head])
-    v = Vocabulary(h[head][order], order, prior.astype(np.float32), member.astype(np.float32), np.log10(n_tail + v_tail + 1))
+    v = Vocabulary(h[head][order], order, prior, np.log10(mass))
     order = np.argsort(h)
     return v, h[order], c[order]
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: int = 2, rate: float = 0.3, damping: float = 30.0) -> Weights:
-    w = Weights(np.zeros((3 * ROWS1, CLASSES), np.float32), np.zeros((2 * ROWS2, MEMBERS), np.float32))
+def train(docs: DataFrame, v: Vocabulary, rounds: int = 3, workers: int | None = None, rate: float = 1.0, damping: float = 10.0) -> Weights:
+    w = Weights(np.zeros((3 * ROWS1, BRANCH), np.float32), np.zeros((2 * ROWS2, BRANCH), np.float32))
+    workers = workers or docs.sparkSession.sparkContext.defaultParallelism
     for k in range(rounds):
-        fold = docs.where(F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(rounds)) == k).select("text")
-        sums = [F.sum(f"w{j}").alias(f"w{j}") for j in range(MEMBERS)]
-        got = fold.mapInArrow(trainer(v, w, rate, damping), CHANGES).groupBy("layer", "row").agg(F.sum("n").alias("n"), *sums).toPandas()  # weight rows
+        fold = docs.where(F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(rounds)) == k).select("text").coalesce(workers)
+        means = [(F.sum(f"w{j}") / F.sum("n")).cast("float").alias(f"w{j}") for j in range(BRANCH)]
+        got = fold.mapInArrow(trainer(v, w, rate, damping), CHANGES).groupBy("layer", "row").agg(*means).toPandas()  # WEIGHT_ROWS at most
         for layer in range(2):
             part = got[got["layer"] == layer]
-            change = part[[f"w{j}" for j in range(MEMBERS)]].to_numpy(np.float64) / np.maximum(part[["n"]].to_numpy(float), 1)
-            w[layer][part["row"].to_numpy(np.int64)] += change.astype(np.float32)
+            w[layer][part["row"].to_numpy(np.int64)] += part[[f"w{j}" for j in range(BRANCH)]].to_numpy(np.float32)
     return w
 
 
+def log_chances(v: Vocabulary, w: Weights, t: np.ndarray, tails: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability of each token, for words outside the head less the logarithm of their count and one; which those are."""
+    one, two = histories(t, first)
+    out, outside = np.zeros(len(t)), np.zeros(len(t), bool)
+    for a in range(0, len(t), BATCH):
+        s = slice(a, a + BATCH)
+        o, u = one[s], two[s]
+        steps, rest, leaf = digits(v, t[s], tails[s])
+        part = out[s]
+        for level, (which, node, digit) in enumerate(steps):
+            if len(digit):
+                p = chances(parts(w[min(level, 1)], level), rows_of(level, o[which], u[which], node), v.prior[level], node)
+                part[which] += np.log10(np.maximum(p[np.arange(len(digit)), digit], np.float32(1e-30)))
+        part[rest] -= v.tail[leaf]
+        outside[a + rest] = True
+    return out, outside
+
+
 def scorer(v: Vocabulary, w: Weights, words: np.ndarray, counts: np.ndarray):
     """A function for mapInArrow over (row, key, text): row, key, tokens, the parts of both scores that need no join, and
     the other words with their numbers."""
@@ -242,28 +319,16 @@ def scorer(v: Vocabulary, w: Weights, words: np.ndarray, counts: np.ndarray):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), GROUP):
-                part = batch.slice(at, GROUP)
-                t, tails, first = tokens(texts_of(part.column("text")))
-                size = len(part)
+            for a, b, texts in slices(batch.column("text"), size=1 << 20):
+                t, tails, first = tokens(texts)
+                size = b - a
                 owner = np.repeat(np.arange(size), np.diff(first))
-                one, two = histories(t, first)
-                cls, frequent, member = place(v, t, tails)
-                model = np.empty(len(t))
-                for a in range(0, len(t), BATCH):
-                    s = slice(a, a + BATCH)
-                    c = cls[s]
-                    p = outer(w, v, features(one[s], two[s]))
-                    model[s] = np.log10(np.maximum(p[np.arange(len(c)), c], np.float32(1e-30)))
-                    k = np.flatnonzero(frequent[s])
-                    if len(k):
-                        p = inner(w, v, inner_features(one[s][k], two[s][k], c[k]), c[k])
-                        model[a + k] += np.log10(np.maximum(p[np.arange(len(k)), member[s][k]], np.float32(1e-30)))
-                place_ = np.minimum(np.searchsorted(words, t), len(words) - 1)
-                common = words[place_] == t
-                base = np.where(common, log_counts[place_], 0.0)
-                known = common & (counts[place_] > 0)
-                model += np.where(frequent, 0.0, base - v.tail[np.maximum(cls - FREQUENT, 0)])
+                model, outside = log_chances(v, w, t, tails, first)
+                place = np.minimum(np.searchsorted(words, t), len(words) - 1)
+                common = words[place] == t
+                base = np.where(common, log_counts[place], 0.0)
+                known = common & (counts[place] > 0)
+                model += np.where(outside, base, 0.0)
                 rare_owner, rare = owner[~common], t[~common].view(np.int64)
                 order = np.lexsort((rare, rare_owner))
                 rare_owner, rare = rare_owner[order], rare[order]
@@ -275,7 +340,7 @@ def scorer(v: Vocabulary, w: Weights, words: np.ndarray, counts: np.ndarray):
                 items = pa.StructArray.from_arrays([pa.array(rare[begin], pa.int64()), pa.array(times, pa.int64())], names=["h", "n"])
                 total = lambda x: np.bincount(owner, x, minlength=size)  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("key"), pa.array(np.diff(first)), pa.array(total(known).astype(np.int64)), pa.array(total(base)), pa.array(total(model)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
+                    [batch.column("row")[a:b], batch.column("key")[a:b], pa.array(np.diff(first)), pa.array(total(known).astype(np.int64)), pa.array(total(base)), pa.array(total(model)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)],
                     names=["row", "key", "n_tokens", "n_common", "base", "model", "rare"],
                 )
 
@@ -290,8 +355,8 @@ def scored(docs: DataFrame, held_out, keep: list, common: int = 1 << 17, **train
     v, words, c = vocabulary(counts, common)
     w = train(learn, v, **training)
     rows = docs.select(F.struct(*keep).alias("row"), F.monotonically_increasing_id().alias("key"), "text")
-    kind = rows.select("row").schema["row"].dataType.simpleString()
-    first = stored(rows.mapInArrow(scorer(v, w, words, c), f"row {kind}, key long, n_tokens long, n_common long, base double, model double, rare array<struct<h:long,n:long>>"), "scored")
+    schema = arrow_schema(rows, "row, key", "n_tokens long, n_common long, base double, model double, rare array<struct<h:long,n:long>>")
+    first = stored(rows.mapInArrow(scorer(v, w, words, c), schema), "scored")
     other = first.select("key", F.explode("rare").alias("x")).select("key", "x.h", "x.n")
     met = other.join(counts.table.select("h", "c"), "h")  # words that are not there have count 0 and add nothing
     late = met.groupBy("key").agg(F.sum("n").alias("n_late"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("log_late"))

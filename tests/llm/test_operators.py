@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from annoframe.llm import common, languages, maxent, simhash
+from annoframe.llm import common, languages, simhash
 from annoframe.llm.hashing import LOWER, hashed_tokens
 from tests.llm.conftest import DE, EN, prose
 
@@ -142,31 +142,3 @@ def test_language(docs, empty, rows):
     mixed = languages.predict(both, langs, log_p, [F.col("doc_id")]).first()
     assert mixed.lang_pred == "en" and re.match(r"en:0\.[67]\d*,de:0\.[23]", mixed.languages)
     assert languages.fit(empty)[0] == [] and languages.predict(docs, [], log_p[:, :0], [F.col("doc_id")]).where("lang_pred <> 'und'").count() == 0
-
-
-def test_maxent(docs, empty, rows):
-    held = languages.is_held_out(F.col("doc_id"), 7, 2)
-    out = maxent.scored(docs, held, [F.col("doc_id"), held.alias("held_out")], common=20).collect()
-    assert len(out) == len(rows)
-    rest = lambda k: zlib.crc32(("null" if k is None else str(k)).encode()) % 7 == 2
-    tokens = [(r[0], [*words(r[1]), None]) for r in rows]
-    c = Counter(w for k, t in tokens if not rest(k) for w in t)
-    n = sum(c.values())
-    want = Counter((k, rest(k), len(t), sum(w in c for w in t), n, round(sum(math.log10((c[w] + 1) / (n + len(c) + 1)) for w in t), 6)) for k, t in tokens)
-    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out) == want
-    assert all(math.isfinite(r.score) and r.score < 0 for r in out)
-    assert maxent.scored(empty, held, [F.col("doc_id")]).count() == 0
-    assert maxent.scored(docs, F.lit(True), [F.col("doc_id")]).agg(F.sum("n_known")).first()[0] == 0
-
-
-def test_maxent_probabilities_sum_to_one(docs):
-    counts = maxent.counted(docs)
-    v, hashes, c = maxent.vocabulary(counts, 50)
-    w = maxent.train(docs, v)
-    one, two = np.array([5, 9], np.uint64), np.array([7, 1], np.uint64)
-    p = maxent.outer(w, v, maxent.features(one, two))
-    total = p[:, maxent.FREQUENT :].sum(1)
-    for k in range(maxent.FREQUENT):
-        cls = np.array([k, k])
-        total += p[:, k] * maxent.inner(w, v, maxent.inner_features(one, two, cls), cls).sum(1)
-    assert np.allclose(total, 1, atol=1e-4)
