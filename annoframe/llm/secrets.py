@@ -95,9 +95,15 @@ def candidates(spans: DataFrame) -> DataFrame:
     return free.select("key", "start", "end", F.substring("run.found", F.col("start") - F.col("run.start") + 1, F.col("end") - F.col("start")).alias("found"))
 
 
+def characters(value: Column) -> Column:
+    return F.regexp_extract_all(value, F.lit("(?s)."), F.lit(0))
+
+
 def transitions(value: Column) -> Column:
     """Pairs of neighbouring characters of a string."""
-    return F.when(F.length(value) >= 2, F.transform(F.sequence(F.lit(1), F.length(value) - 1), lambda i: F.substring(value, i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    c = characters(value)
+    pairs = F.arrays_zip(F.slice(c, 1, F.size(c) - 1).alias("x"), F.slice(c, 2, F.size(c) - 1).alias("y"))
+    return F.when(F.length(value) >= 2, F.transform(pairs, lambda p: F.concat(p["x"], p["y"]))).otherwise(F.array().cast("array<string>"))
 
 
 def default_samples(docs: DataFrame, max_docs: int = 2_000, n_random: int = 20_000) -> DataFrame:
@@ -143,10 +149,25 @@ def fit(samples: DataFrame, smooth: float = 0.5, false_rate: float = 0.001) -> M
     return models._replace(threshold=max(0.0, others or 0.0))
 
 
+def constants(values: list, kind: str) -> Column:
+    """An array of numbers as one constant."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def score(models: Models, value: Column) -> Column:
-    """Sum of the log-likelihood ratios of a string's transitions."""
-    table = F.create_map(*[x for k, v in sorted(models.ratio.items()) for x in (F.lit(k), F.lit(v))])
-    return F.aggregate(transitions(value), F.lit(0.0), lambda acc, p: acc + F.coalesce(F.try_element_at(table, p), F.lit(models.unseen)))
+    """Sum of the log-likelihood ratios of a string's transitions, in one walk over its characters.  A pair with a character
+    of neither model counts as `unseen`."""
+    known = sorted({c for pair in models.ratio for c in pair})
+    n = len(known) + 1
+    place = constants([known.index(chr(k)) if chr(k) in known else n - 1 for k in range(128)], "int")
+    table = constants([models.ratio.get(a + b, models.unseen) for a in [*known, ""] for b in [*known, ""]], "double")
+    own = lambda c: F.coalesce(F.get(place, F.ascii(c)), F.lit(n - 1))
+
+    def step(acc: Column, c: Column) -> Column:
+        added = F.when(acc["last"] >= 0, F.get(table, acc["last"] * n + own(c))).otherwise(0.0)
+        return F.struct(own(c).alias("last"), (acc["sum"] + added).alias("sum"))
+
+    return F.aggregate(characters(value), F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum")), step, lambda acc: acc["sum"])
 
 
 def quality_of(models: Models, samples: DataFrame) -> tuple[float, float]:

@@ -120,3 +120,8 @@ def test_time_grows_with_matches_only(spark, models):
         took.append(time.time() - began)
         assert r.n_assign == n
     assert took[1] < 20 * took[0] + 10
+    rng = random.Random(5)
+    one = spark.createDataFrame([(1, "".join(rng.choices(LETTERS, k=1_000_000)))], "doc_id long, text string")  # one candidate
+    began = time.time()
+    assert secrets.scan(one, models).first().spans == "markov:0:1000000"
+    assert time.time() - began < 60
