@@ -39,13 +39,14 @@ from .tokens import memo, tokenizer_path
 
 WINDOW, PIECE = 4096, 1024
 STRETCH = 64  # rounds laid out by one group
+CHUNKS = 400_000  # of text that a worker remembers; it keeps them while other stages run
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int, wide: int) -> DataFrame:
     """doc_id, source, ids (little-endian, `wide` bytes each, with the end id), n, task, place (tokens of the same source before it in its task)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, task, so_far = memo(path, keeps_space=False), TaskContext.get().partitionId(), {}
+        words, task, so_far = memo(path, keeps_space=False, capacity=CHUNKS), TaskContext.get().partitionId(), {}
         for batch in batches:
             for a, b in runs(batch.column("text"), 500):
                 part = batch.slice(a, b - a)
@@ -97,7 +98,7 @@ def pieces(rows: DataFrame, piece: int, *columns: Column | str) -> DataFrame:
 def pack(docs: DataFrame, targets: dict[str | None, float] | None = None, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
     """One row per stretch of a document in a sequence: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, ids (unsigned 32-bit)."""
     path = tokenizer_path(tokenizer)
-    wide = 2 if max(end_id, *memo(path, keeps_space=False).tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
+    wide = 2 if max(end_id, *memo(path, keeps_space=False, capacity=CHUNKS).tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
     rows = queued(stored(tokenized(docs, path, end_id, wide), "tokens"), targets, window)
     totals = cut(pieces(rows, piece).groupBy("stretch").agg(F.sum("length").alias("n")))
     bases = sent_if_small(cut(sums_before(totals, "stretch", "n").select("stretch", F.col("before").alias("base"))))
