@@ -95,7 +95,7 @@ def creation_time_mixed(file: Column, subcorpus: Column, magazine_issue: Column,
     """Creation time of a mixed collection by file name, in the order of its rules; null where undecided."""
     chat = rf"^.*(?:{'|'.join(CHAT_ROOMS)})(\d\d)(\d\d)(\d\d)\."
     chat_year = F.regexp_extract(file, chat, 3)
-    chats = F.when(subcorpus == "jututoavestlus", _part(file, chat, F.when(chat_year.startswith("0"), F.concat(F.lit("20"), chat_year)).otherwise(chat_year), "-", 2, "-", 1))
+    chats = F.when(subcorpus == "jututoavestlus", _part(file, chat, _century(chat_year), "-", 2, "-", 1))
     parliament = r"^.*rkogu_(\d{4})_(\d+)\."
     doctors, doctors_title = r"^.*tea_eesti_arst_(\d{4})\.", r"^Nr (\d+) (\S+) (\d{4})"
     doctors_month = F.coalesce(F.when(title.rlike(doctors_title), month_number(F.lower(F.regexp_extract(title, doctors_title, 2)))), F.lit("XX"))

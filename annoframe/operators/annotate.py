@@ -53,6 +53,24 @@ def annotate_with_status(texts: DataFrame, make: Callable[[], Callable[[str], tu
     return texts.select("text_id", "text").mapInPandas(run, f"text_id long, spans {SPANS}, status map<string,string>")
 
 
+def chained(*makers: Callable) -> Callable[[], Annotator]:
+    """One annotator of several: the first sees the text, each later one the text and the spans so far, which it may change,
+    drop or add to.  What the last gives is the result."""
+
+    def make() -> Annotator:
+        first, *rest = [m() for m in makers]
+
+        def one(text: str) -> list[Span]:
+            spans = first(text)
+            for step in rest:
+                spans = step(text, spans)
+            return spans
+
+        return one
+
+    return make
+
+
 def good_and_bad(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per span of the texts that went well; the errors of the others."""
     layer = annotated.where("error is null").select("text_id", F.explode("spans").alias("s")).select("text_id", "s.*")

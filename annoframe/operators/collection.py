@@ -34,9 +34,56 @@ def metadata_table(meta: DataFrame, keys: list[str], rename: dict[str, str]) ->
     return meta.select("text_id", *[F.col("meta")[k].alias(rename.get(k, k)) for k in keys])
 
 
-def field_registry(meta: DataFrame, by: str) -> DataFrame:
-    """Keys that occur, with the first text that has each, per category."""
-    return meta.select(by, "text_id", F.explode(F.map_keys("meta")).alias("field")).groupBy(by, "field").agg(F.min("text_id").alias("first_text"), F.count("*").alias("n"))
+#: Names that metadata fields may not have.
+RESERVED = ("id", "text_id", "initial_id", "initial_src")
+
+
+def metadata_names(fields: list[str], reserved: tuple = RESERVED, keep_id: bool = True, rename_src: bool = True, merge_numbered: bool = True) -> dict[str, str]:
+    """Column name of each metadata field: id becomes initial_id (or goes), src initial_src; a numbered field goes if the
+    name without its number is a field too; other fields must not have reserved names."""
+    out = {}
+    for field in fields:
+        bare = field.rstrip("0123456789")
+        if field == "id":
+            if keep_id:
+                out[field] = "initial_id"
+        elif field == "src":
+            out[field] = "initial_src" if rename_src else field
+        elif field in reserved:
+            raise ValueError(f"metadata field has a reserved name: {field}")
+        elif not (merge_numbered and bare and bare != field and bare in fields):
+            out[field] = field
+    return out
+
+
+def discovered_metadata(meta: DataFrame, most: int = 5_000, **rules) -> DataFrame:
+    """meta: text_id, meta (map).  One text column per field that occurs, in order of name.  More than `most` fields are an
+    error, as a table needs them as columns."""
+    found = meta.select(F.explode(F.map_keys("meta")).alias("field")).distinct().orderBy("field").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} metadata fields")
+    return metadata_table(meta, list(names := metadata_names([r.field for r in found], **rules)), names)
+
+
+def field_registry(meta: DataFrame, by: str, earlier: DataFrame | None = None) -> DataFrame:
+    """meta: by, text_id, meta.  Per category its fields (those that begin with _ are internal and left out) in the order in
+    which they are first seen: by, field, nth (from 1), first_text, n.  earlier: by, field, nth of a list made before, whose
+    fields come first; first_text is null for fields that only it has."""
+    each = meta.select(by, "text_id", F.posexplode(F.map_keys("meta")).alias("pos", "field")).where(~F.col("field").startswith("_"))
+    found = each.groupBy(by, "field").agg(F.min(F.struct("text_id", "pos")).alias("first"), F.count("*").alias("n"))
+    before = F.lit(None).cast("int")
+    if earlier is not None:
+        found = found.join(earlier.select(by, "field", F.col("nth").alias("old")), [by, "field"], "full")
+        before = F.col("old")
+    order = Window.partitionBy(by).orderBy(before.asc_nulls_last(), "first", "field")  # fields of a category
+    return found.select(by, "field", F.row_number().over(order).alias("nth"), F.col("first.text_id").alias("first_text"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def field_commonness(registry: DataFrame, by: str) -> DataFrame:
+    """In how many categories each field occurs, and in what share of them, in per cent."""
+    total = registry.agg(F.count_distinct(by).alias("total"))
+    n = registry.groupBy("field").agg(F.count_distinct(by).alias("n")).crossJoin(F.broadcast(total))  # one row
+    return n.select("field", "n", F.round(F.col("n") / F.col("total") * 100, 4).alias("pct"))
 
 
 def block(rows: DataFrame, key: str, divisor: int, remainder: int) -> DataFrame:
@@ -70,9 +117,27 @@ def insert_status(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def first_and_last(rows: DataFrame, by: str, key: str, n: int) -> DataFrame:
-    up, down = Window.partitionBy(by).orderBy(key), Window.partitionBy(by).orderBy(F.desc(key))
-    r = rows.withColumn("nth", F.row_number().over(up)).withColumn("from_end", F.row_number().over(down))
-    return r.where(f"nth <= {n} or from_end <= {n}")
+    """The first and the last n rows of each category: adds nth and from_end (both from 1).  Each end is limited before rows
+    are gathered, so no task sees a whole category."""
+    total = rows.groupBy(by).agg(F.count("*").alias("total"))
+
+    def end(order, own: str, other: str) -> DataFrame:
+        few = rows.withColumn(own, F.row_number().over(Window.partitionBy(by).orderBy(order))).where(F.col(own) <= n)
+        return few.join(total, by).withColumn(other, F.col("total") - F.col(own) + 1)
+
+    first, last = end(F.col(key), "nth", "from_end"), end(F.desc(key), "from_end", "nth").where(F.col("nth") > n)
+    columns = [*rows.columns, "nth", "from_end"]
+    return first.select(*columns).union(last.select(*columns))
+
+
+def numbered(rows: DataFrame, by: str, key: str, block: str) -> DataFrame:
+    """Adds nth, the place (from 1) of a row in its category in order of the key.  `block`, a column that never falls as the
+    key rises, deals a category to tasks: rows are counted by block and numbered inside it."""
+    sizes = rows.groupBy(by, block).agg(F.count("*").alias("n"))
+    base = sizes.select(F.col(by).alias("b_by"), F.col(block).alias("b_block"), F.coalesce(F.sum("n").over(Window.partitionBy(by).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy(by, block).orderBy(key))
+    met = rows.withColumn("inside", inside).join(base, F.col(by).eqNullSafe(F.col("b_by")) & F.col(block).eqNullSafe(F.col("b_block")))
+    return met.select(*rows.columns, (F.col("base") + F.col("inside")).alias("nth"))
 
 
 def global_ids(rows: DataFrame, file: str, key: str, block: str | None = None) -> DataFrame:
@@ -85,6 +150,11 @@ def global_ids(rows: DataFrame, file: str, key: str, block: str | None = None) -
     return rows.withColumn("inside", inside).join(base, cell).withColumn("global_id", F.col("base") + F.col("inside")).drop("inside", "base")
 
 
+def chunk_key(file: Column, doc: Column, par: Column | None = None, sent: Column | None = None) -> Column:
+    """file:doc[:par[:sent]], the key of what a row was made from; parts that are null are left out."""
+    return F.concat_ws(":", file, *[c.cast("string") for c in (doc, par, sent) if c is not None])
+
+
 def append_missing(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """New rows whose key the old table lacks."""
     return new.join(old.select(*key), key, "left_anti")
@@ -94,8 +164,28 @@ def duplicate_keys(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def over_size(layer: DataFrame, most: int) -> DataFrame:
-    return layer.select("text_id", F.length(F.to_json("spans")).alias("size")).where(F.col("size") > most)
+def unique(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The same rows; reading one whose key is not its own fails."""
+    said = F.concat(F.lit("key occurs twice: "), F.concat_ws(", ", *key))
+    return rows.withColumn("own_n", F.count("*").over(Window.partitionBy(*key))).where(F.assert_true(F.col("own_n") == 1, said).isNull()).drop("own_n")
+
+
+def appended(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """Continue a table: the new rows whose key it lacks.  A key that is twice among those is an error."""
+    return unique(append_missing(old, new, key), key)
+
+
+def inserted(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
+    """Insert all new rows: a key that the table has, or that is twice among the new rows, is an error."""
+    there = old.select(*key).distinct().withColumn("there", F.lit(True))
+    said = F.concat(F.lit("key is there already: "), F.concat_ws(", ", *key))
+    met = unique(new, key).join(there, key, "left")
+    return met.where(F.assert_true(F.col("there").isNull(), said).isNull()).select(*new.columns)
+
+
+def human_size(n: Column) -> Column:
+    """Bytes as B, KB or MB with one digit."""
+    return F.when(n < 1024, F.format_string("%.1f B", n.cast("double"))).when(n < 1 << 20, F.format_string("%.1f KB", n / 1024)).otherwise(F.format_string("%.1f MB", n / (1 << 20)))
 
 
 def exact_copies(t: DataFrame, by: str) -> DataFrame:
@@ -126,3 +216,14 @@ def near_copies(t: DataFrame) -> DataFrame:
     ratio = F.round(F.col("shared") / (F.col("size") + F.col("first_size") - F.col("shared")), 2)
     out = s.select("text_id", "first_id", ratio.alias("ratio")).where("ratio >= 0.1")
     return out.withColumn("class", F.when(F.col("ratio") == 1, "exact").when(F.col("ratio") < 0.7, "far").otherwise("near"))
+
+
+def carried_by_place(pairs: DataFrame, source_words: DataFrame, target_words: DataFrame, attributes: list[str]) -> DataFrame:
+    """Attributes of source words for target words in the same place.  pairs: text_id, from_id (a text and the one that it takes
+    from); words: text_id, word_id, start, end (and the attributes).  Texts of unequal numbers of words are an error."""
+    n = lambda w, name: w.groupBy("text_id").agg(F.count("*").alias(name))
+    counts = pairs.join(n(target_words, "n_own"), "text_id", "left").join(n(source_words, "n_from").withColumnRenamed("text_id", "from_id"), "from_id", "left")
+    said = F.concat(F.lit("texts differ in words: "), F.concat_ws(", ", "text_id", "from_id"))
+    even = counts.where(F.assert_true(F.coalesce("n_own", F.lit(0)) == F.coalesce("n_from", F.lit(0)), said).isNull()).select("text_id", "from_id")
+    given = source_words.select(F.col("text_id").alias("from_id"), "word_id", *attributes)
+    return target_words.select("text_id", "word_id", "start", "end").join(even, "text_id").join(given, ["from_id", "word_id"]).select("text_id", "word_id", "start", "end", *attributes)

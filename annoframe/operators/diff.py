@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,13 +62,48 @@ def records(diff: DataFrame, pairs: DataFrame) -> DataFrame:
     return lone.join(hit, ["text_id", "start", "end", "of_a"], "left_anti").select(*both.columns).union(both)
 
 
+def text_counts(diff: DataFrame) -> DataFrame:
+    """text_id and how many of its spans have each status."""
+    n = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return diff.groupBy("text_id").agg(*map(n, ("unchanged", "modified", "missing", "extra")))
+
+
 def summary(diff: DataFrame, category: DataFrame) -> DataFrame:
-    """Per category and in total: documents, share of equal spans, shares found in one version only, and modified share."""
-    d = diff.join(category, "text_id")
-    n = lambda s: F.count_if(F.col("status") == s)
-    unchanged, modified, missing, extra = n("unchanged"), n("modified"), n("missing"), n("extra")
+    """Per category and in total: documents, share of equal spans, shares found in one version only, and modified share.
+    Spans are counted by text first, so that only texts meet their category."""
+    unchanged, modified, missing, extra = (F.sum(s) for s in ("unchanged", "modified", "missing", "extra"))
     len_a, len_b = unchanged + modified + missing, unchanged + modified + extra
-    agg = d.rollup("category").agg(F.countDistinct("text_id").alias("docs"), unchanged.alias("unchanged"), modified.alias("modified"), missing.alias("missing"), extra.alias("extra"),
-                                   F.round(2 * unchanged / (len_a + len_b), 6).alias("equal_share"), F.round(missing / len_a, 6).alias("only_a"), F.round(extra / len_b, 6).alias("only_b"),
-                                   F.round(modified / (unchanged + modified), 6).alias("modified_share"))
+    agg = text_counts(diff).join(category, "text_id").rollup("category").agg(
+        F.count("*").alias("docs"), unchanged.alias("unchanged"), modified.alias("modified"), missing.alias("missing"), extra.alias("extra"),
+        F.round(2 * unchanged / (len_a + len_b), 6).alias("equal_share"), F.round(missing / len_a, 6).alias("only_a"), F.round(extra / len_b, 6).alias("only_b"),
+        F.round(modified / (unchanged + modified), 6).alias("modified_share"))
     return agg.withColumn("category", F.coalesce("category", F.lit("TOTAL")))
+
+
+def by_category(diff: DataFrame, category: DataFrame) -> DataFrame:
+    """Differing spans of each category and their share of all, in per cent."""
+    differing = (F.sum("modified") + F.sum("missing") + F.sum("extra")).alias("n")
+    n = text_counts(diff).join(category, "text_id").groupBy("category").agg(differing).where("n > 0")
+    return n.withColumn("pct", F.round(F.col("n") * 100 / F.sum("n").over(Window.partitionBy()), 4))  # one row per category
+
+
+def linked_groups(pairs: DataFrame) -> DataFrame:
+    """Conflict groups of layers whose own spans may overlap: text_id, grp (from 1), start, end, n_pairs.  In order of place,
+    a pair joins the last group if one of its spans is in it or begins where one of its spans ends.  A group reaches from its
+    first start to the last end.  One text's pairs are walked in one group."""
+
+    def walk(batch: pd.DataFrame) -> pd.DataFrame:
+        rows = batch[["a_start", "a_end", "b_start", "b_end"]].drop_duplicates()
+        rows["low"], rows["high"] = rows[["a_start", "b_start"]].min(axis=1), rows[["a_end", "b_end"]].max(axis=1)
+        out, spans, ends = [], set(), set()
+        for a, b, c, d, low, high in rows.sort_values(["low", "high", "a_start", "a_end", "b_start", "b_end"]).itertuples(index=False):
+            if not out or not ({(a, b), (c, d)} & spans or {a, c} & ends):
+                out.append([low, high, 0])
+                spans, ends = set(), set()
+            spans |= {(a, b), (c, d)}
+            ends |= {b, d}
+            out[-1][1] = max(out[-1][1], high)
+            out[-1][2] += 1
+        return pd.DataFrame([(batch["text_id"].iloc[0], k, *g) for k, g in enumerate(out, 1)], columns=["text_id", "grp", "start", "end", "n_pairs"])
+
+    return pairs.groupBy("text_id").applyInPandas(walk, "text_id long, grp long, start long, end long, n_pairs long")

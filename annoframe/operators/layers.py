@@ -5,35 +5,32 @@ Spans are [start, end) in characters.  Every row carries its ordinal; nothing re
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-SENTENCE_PARTS = r"[^.!?\n]+[.!?]*|[.!?\n]"
+from annoframe.functions import pieces
+from annoframe.operators.collection import numbered
 
-
-def starts_of(pieces: DataFrame, extra: int) -> DataFrame:
-    """pieces: text_id, pos, piece; start = lengths (and separators) of all earlier pieces of the text."""
+def starts_of(parts: DataFrame, extra: int) -> DataFrame:
+    """parts: text_id, pos, piece; start = lengths (and separators) of all earlier pieces of the text."""
     before = Window.partitionBy("text_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return pieces.withColumn("start", F.coalesce(F.sum(F.length("piece") + extra).over(before), F.lit(0)).cast("long"))
+    return parts.withColumn("start", F.coalesce(F.sum(F.length("piece") + extra).over(before), F.lit(0)).cast("long"))
 
 
 def words(texts: DataFrame) -> DataFrame:
     """text_id, word_id (from 1), start, end, token: runs between spaces and line ends."""
-    pieces = texts.where("text is not null").select("text_id", F.posexplode(F.split("text", "[ \n]")).alias("pos", "piece"))
-    number = F.row_number().over(Window.partitionBy("text_id").orderBy("pos"))
-    kept = starts_of(pieces, 1).where("piece <> ''").withColumn("word_id", number)
-    return kept.select("text_id", "word_id", "start", (F.col("start") + F.length("piece")).alias("end"), F.col("piece").alias("token"))
+    return pieces.cut_texts(texts, pieces.words, "word_id", "token")
 
 
 def sentences(texts: DataFrame) -> DataFrame:
     """text_id, sent_id (from 1), start, end, sentence: runs up to closing marks or line ends."""
-    pieces = texts.where("text is not null").select("text_id", F.posexplode(F.regexp_extract_all("text", F.lit(SENTENCE_PARTS), F.lit(0))).alias("pos", "piece"))
-    number = F.row_number().over(Window.partitionBy("text_id").orderBy("pos"))
-    kept = starts_of(pieces, 0).where(~F.substring("piece", 1, 1).isin(".", "!", "?", "\n")).withColumn("sent_id", number)
-    return kept.select("text_id", "sent_id", "start", (F.col("start") + F.length("piece")).alias("end"), F.col("piece").alias("sentence"))
+    return pieces.cut_texts(texts, pieces.sentences, "sent_id", "sentence")
 
 
 def shape(token: Column) -> Column:
@@ -63,44 +60,142 @@ def flat(layer: DataFrame) -> DataFrame:
     return layer.select("text_id", F.posexplode("spans").alias("span_id", "s")).select("text_id", "span_id", "s.*")
 
 
-def greedy_cut(sentence_layer: DataFrame, most: int) -> DataFrame:
-    """Chunks that close at the first sentence whose end is `most` or more after the chunk's start."""
-    spans = sentence_layer.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    zero = F.struct(F.lit(None).cast("long").alias("open"), F.lit(None).cast("long").alias("last"), empty.alias("done"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = F.coalesce(acc["open"], x["start"])
-        full = x["end"] - begin >= most
-        done = F.when(full, F.array_append(acc["done"], F.struct(begin.alias("start"), x["end"].alias("end")))).otherwise(acc["done"])
-        return F.struct(F.when(~full, begin).alias("open"), x["end"].alias("last"), done.alias("done"))
+def renamed(structure: DataFrame, names: dict[str, str]) -> DataFrame:
+    """structure: layer, parent, enveloping (names of layers or null).  The same with new names, wherever a name stands."""
+    new = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))]) if names else None
+    own = lambda c: F.coalesce(F.try_element_at(new, F.col(c)), F.col(c)).alias(c) if names else F.col(c)
+    return structure.select(own("layer"), own("parent"), own("enveloping"))
+
+
+def write_layers(tables: dict[str, DataFrame], structure: DataFrame, folder: str, names: dict[str, str]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Write each layer as a table of its own, in order of text_id, and the structure beside them, under new names; read both
+    back.  Two layers of one name are an error."""
+    spark, new = structure.sparkSession, {k: names.get(k, k) for k in tables}
+    if len(set(new.values())) < len(new):
+        raise ValueError(f"two layers of one name: {sorted(new.values())}")
+    for old, name in new.items():
+        tables[old].repartitionByRange("text_id").sortWithinPartitions("text_id").write.parquet(f"{folder}/{name}__layer")
+    renamed(structure, names).write.parquet(f"{folder}/structure")
+    return {name: spark.read.parquet(f"{folder}/{name}__layer") for name in new.values()}, spark.read.parquet(f"{folder}/structure")
+
+
+def as_label(layer: DataFrame, attribute: str, pick_first: bool = False) -> DataFrame:
+    """text_id, start, end, label: one attribute under the common name.  layer: one row per annotation with its number
+    ann_id; of an ambiguous span all stay, or the first."""
+    if pick_first:
+        first = layer.groupBy("text_id", "start", "end").agg(F.min_by(attribute, "ann_id").alias("label"))
+        return first.select("text_id", "start", "end", "label")
+    return layer.select("text_id", "start", "end", F.col(attribute).alias("label"))
+
+
+def cut_out(spans: DataFrame, texts: DataFrame) -> DataFrame:
+    """Spans of several pieces as spans without gaps.  spans: text_id, span_id, start, end, label, one row per piece.  Pieces
+    with only white space between them become one; other gaps stay open: text_id, span_id, part (from 1), start, end, label."""
+    order = Window.partitionBy("text_id", "span_id").orderBy("start")
+    met = spans.withColumn("last", F.lag("end").over(order)).join(texts.select("text_id", "text"), "text_id")
+    between = F.substr("text", (F.col("last") + 1).cast("int"), (F.col("start") - F.col("last")).cast("int"))
+    opens = met.select("text_id", "span_id", "start", "end", "label", F.when(F.col("last").isNull() | between.rlike(r"\S"), 1).otherwise(0).alias("opens"))
+    part = F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return opens.withColumn("part", part).groupBy("text_id", "span_id", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.first("label").alias("label"))
+
+
+def sparse(layer: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The layer without texts that have no spans in it, which is how it is kept, and one row: how many texts that skips."""
+    skipped = texts.join(layer.select("text_id").distinct(), "text_id", "left_anti").agg(F.count("*").alias("skipped"))
+    return layer, skipped
+
+
+def swapped(layer: DataFrame, a: str, b: str, flag: str) -> DataFrame:
+    """Two attributes exchanged and the flag turned over.  A span with more than one annotation is an error."""
+    said = F.concat(F.lit("more than one annotation at "), F.concat_ws(":", "text_id", "start", "end"))
+    one = F.count("*").over(Window.partitionBy("text_id", "start", "end")) == 1
+    own = [F.col(b).alias(a) if c == a else F.col(a).alias(b) if c == b else (~F.col(c)).alias(c) if c == flag else F.col(c) for c in layer.columns]
+    return layer.withColumn("one", one).where(F.assert_true("one", said).isNull()).select(*own)
+
+
+def fragments(texts: DataFrame) -> DataFrame:
+    """Sentences as texts of their own: text_id, para_nr (paragraphs are lines with text, from 1), sent_nr (from 1 through the
+    whole text), para_start, sent_start, sent_end (in the paragraph), text."""
+    paragraphs = pieces.cut_texts(texts, pieces.lines, "para_nr", "line").drop("line")
+    met = contained(sentences(texts), paragraphs)
+    return met.select("text_id", F.col("s.para_nr").alias("para_nr"), F.col("x.sent_id").alias("sent_nr"), F.col("s.start").alias("para_start"), (F.col("x.start") - F.col("s.start")).alias("sent_start"), (F.col("x.end") - F.col("s.start")).alias("sent_end"), F.col("x.sentence").alias("text"))
+
+
+def fingerprint_map(hashed: DataFrame) -> DataFrame:
+    """hashed: text_id, sentence_id, sha256.  The sentences of each hash, one row each, numbered: sha256, nth (from 1), text_id,
+    sentence_id.  A hot hash keeps its rows apart: they are numbered by text ranges."""
+    return numbered(hashed.withColumn("part", F.expr("text_id div 1000")), "sha256", F.struct("text_id", "sentence_id"), "part").drop("part")
+
+
+def _closed(spans: DataFrame, most: int, summed: bool) -> DataFrame:
+    """Sentences with the number of their chunk.  A chunk closes at the first sentence that brings it to `most`: by the distance
+    from its start, or by the sum of its sentences' lengths.  One walk over each text's sentences, in arrays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("s")
+            offsets, flat = lists.offsets.to_numpy(), lists.flatten()
+            offsets = offsets - offsets[0]
+            start, end = (flat.field(k).to_numpy() for k in ("start", "end"))
+            # what is measured from a chunk's first sentence on: ends, or sums of lengths
+            reach = np.cumsum(end - start) if summed else end
+            base = reach - (end - start) if summed else start
+            chunk = np.zeros(len(start), np.int64)
+            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                at, n = a, 0
+                while at < b:
+                    stop = min(b, at + 1 + int(np.searchsorted(reach[at:b], base[at] + most)))
+                    chunk[at:stop] = n
+                    at, n = stop, n + 1
+            owner = pa.array(np.repeat(np.arange(len(batch)), np.diff(offsets)))
+            yield pa.RecordBatch.from_arrays([batch.column("text_id").take(owner), pa.array(chunk), pa.array(start), pa.array(end)], names=["text_id", "chunk", "start", "end"])
+
+    lists = spans.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"))
+    return lists.mapInArrow(run, StructType([spans.schema["text_id"], *StructType.fromDDL("chunk long, start long, end long").fields]))
 
-    def finish(acc: Column) -> Column:
-        return F.when(acc["open"].isNotNull(), F.array_append(acc["done"], F.struct(acc["open"].alias("start"), acc["last"].alias("end")))).otherwise(acc["done"])
 
-    chunks = spans.select("text_id", F.aggregate("s", zero, step, finish).alias("c"))
-    return chunks.select("text_id", F.posexplode("c").alias("chunk", "c")).select("text_id", "chunk", "c.*")
+def greedy_cut(sentence_layer: DataFrame, most: int) -> DataFrame:
+    """Chunks that close at the first sentence whose end is `most` or more after the chunk's start: text_id, chunk (from 0),
+    start, end, separator (what of the text lies before the next chunk, as [end, next start); null after the last)."""
+    chunks = _closed(sentence_layer, most, False).groupBy("text_id", "chunk").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    following = F.lead("start").over(Window.partitionBy("text_id").orderBy("chunk"))
+    return chunks.withColumn("separator", F.when(following.isNotNull(), F.struct(F.col("end").alias("start"), following.alias("end")))).withColumn("chunk", F.col("chunk").cast("int"))
 
 
 def summed_cut(sentence_layer: DataFrame, most: int) -> DataFrame:
-    """Chunks that close when their summed sentence lengths reach `most`: text_id, chunk count, sentences of the first."""
-    spans = sentence_layer.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"))
-    zero = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("done"))
-
-    def step(acc: Column, x: Column) -> Column:
-        total, n = acc["sum"] + x["end"] - x["start"], acc["n"] + 1
-        full = total >= most
-        return F.struct(F.when(full, F.lit(0).cast("long")).otherwise(total).alias("sum"), F.when(full, 0).otherwise(n).alias("n"), F.when(full, F.array_append(acc["done"], n)).otherwise(acc["done"]).alias("done"))
-
-    done = F.aggregate("s", zero, step, lambda acc: F.when(acc["n"] > 0, F.array_append(acc["done"], acc["n"])).otherwise(acc["done"]))
-    return spans.select("text_id", F.posexplode(done).alias("chunk", "n_sentences"))
-
-
-def within(layer: DataFrame, sections: DataFrame) -> DataFrame:
-    """Spans inside a section, with places counted from its start."""
-    s = sections.select(F.col("text_id"), F.col("start").alias("s_start"), F.col("end").alias("s_end"))
-    met = layer.join(s, "text_id").where("start >= s_start and end <= s_end")
-    return met.select("text_id", "s_start", (F.col("start") - F.col("s_start")).alias("start"), (F.col("end") - F.col("s_start")).alias("end"), "label")
+    """Chunks that close when their summed sentence lengths reach `most`: text_id, chunk (from 0), n_sentences."""
+    chunks = _closed(sentence_layer, most, True).groupBy("text_id", "chunk").agg(F.count("*").cast("int").alias("n_sentences"))
+    return chunks.withColumn("chunk", F.col("chunk").cast("int"))
+
+
+def contained(layer: DataFrame, sections: DataFrame, bucket: int = 256) -> DataFrame:
+    """Spans inside a section: text_id, x (row of the layer), s (row of the section).  Sections are dealt to the stretches of
+    text that they touch and spans to the one that they begin in, so a long text is spread and never joined as a whole."""
+    a = layer.select("text_id", F.expr(f"start div {bucket}").alias("bucket"), F.struct(*layer.columns).alias("x"))
+    touched = F.sequence(F.expr(f"start div {bucket}"), F.expr(f"end div {bucket}"))
+    b = sections.select("text_id", F.explode(touched).alias("bucket"), F.struct(*sections.columns).alias("s"))
+    return a.join(b, ["text_id", "bucket"]).where("x.start >= s.start and x.end <= s.end").drop("bucket")
+
+
+def within(layer: DataFrame, sections: DataFrame, trim_overlapping: bool = False) -> DataFrame:
+    """Spans inside a section, with places counted from its start.  trim_overlapping: spans that reach over a section's
+    edge are cut there; otherwise they are left out."""
+    if trim_overlapping:
+        met = overlapping(layer, sections).select("text_id", "s", F.greatest("x.start", "s.start").alias("start"), F.least("x.end", "s.end").alias("end"), F.col("x.label").alias("label"))
+    else:
+        met = contained(layer, sections).select("text_id", "s", F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.col("x.label").alias("label"))
+    return met.select("text_id", F.col("s.start").alias("s_start"), (F.col("start") - F.col("s.start")).alias("start"), (F.col("end") - F.col("s.start")).alias("end"), "label")
+
+
+def overlapping(a: DataFrame, b: DataFrame, bucket: int = 64) -> DataFrame:
+    """Pairs of spans of one text that share a character: text_id, x (row of a), s (row of b).  Both sides are dealt to the
+    stretches that they touch; a pair counts where its later start lies."""
+    def dealt(rows: DataFrame, name: str) -> DataFrame:
+        touched = F.sequence(F.expr(f"start div {bucket}"), F.expr(f"(end - 1) div {bucket}"))
+        return rows.where("start < end").select("text_id", F.explode(touched).alias("bucket"), F.struct(*rows.columns).alias(name))
+
+    met = dealt(a, "x").join(dealt(b, "s"), ["text_id", "bucket"]).where("x.start < s.end and s.start < x.end")
+    return met.where(f"bucket = greatest(x.start, s.start) div {bucket}").drop("bucket")
 
 
 def chunked_ids(tree: DataFrame, most: int) -> DataFrame:

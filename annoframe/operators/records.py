@@ -14,10 +14,21 @@ LINK_LEMMAS = ("mis", "kes", "milline", "see", "missugune")
 
 
 def facts(layer: DataFrame, name: str, mapping: DataFrame) -> DataFrame:
-    """mapping: facts_layer, fact_attr (a column of the layer), fact_name.  text_id and its facts (name, value, start, end)."""
-    long = layer.select("text_id", "start", "end", F.explode(F.create_map(F.lit("label"), "label")).alias("fact_attr", "value"))
-    met = long.join(mapping.where(F.col("facts_layer") == name).select("fact_attr", "fact_name"), "fact_attr")
-    return met.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "fact_name", "value"))).alias("facts"))
+    """mapping: facts_layer, fact_attr and value_attr (columns of the layer or null), fact_name, value, fact_type.  text_id and
+    its facts (start, end, fact_name, value, fact_type): the fact's name is the mapping's or else the attribute's value, its
+    value the attribute's or else the mapping's."""
+    attributes = [c for c in layer.columns if c not in ("text_id", "start", "end")]
+    values = F.create_map(*[x for c in attributes for x in (F.lit(c), F.col(c).cast("string"))])
+    own = mapping.where(F.col("facts_layer") == name).select("fact_attr", "fact_name", "value_attr", "value", "fact_type")
+    met = layer.select("text_id", "start", "end", values.alias("a")).crossJoin(F.broadcast(own.limit(10_000)))  # a mapping is a list by hand
+    told = F.struct("start", "end", F.coalesce("fact_name", F.try_element_at("a", F.col("fact_attr"))).alias("fact_name"), F.coalesce(F.try_element_at("a", F.col("value_attr")), "value").alias("value"), F.col("fact_type").alias("fact_type"))
+    return met.select("text_id", told.alias("f")).where("f.fact_name is not null").groupBy("text_id").agg(F.array_sort(F.collect_list("f")).alias("facts"))
+
+
+def exported(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """One JSON text per document: its text, metadata and facts."""
+    met = texts.join(found, "text_id", "left")
+    return met.select("text_id", F.to_json(F.struct(*[c for c in texts.columns if c != "text_id"], F.coalesce("facts", F.array().cast(found.schema["facts"].dataType)).alias("facts"))).alias("json"))
 
 
 def tasks(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -27,12 +38,19 @@ def tasks(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def split_parts(texts: DataFrame, cuts: DataFrame) -> DataFrame:
-    """cuts: text_id, chunk (from 0), start, end.  Parts of texts with more than one: number, file name, text."""
+    """cuts: text_id, chunk (from 0), start, end.  Parts of texts with more than one: number, file name, text; `_split_document`
+    says that a part is one of several."""
     n = cuts.withColumn("n", F.count("*").over(Window.partitionBy("text_id")))
     part = F.col("chunk") + 1
     met = n.join(texts.select("text_id", "text"), "text_id")
     piece = F.substr("text", (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
-    return met.select("text_id", F.when(F.col("n") > 1, part).alias("part"), F.when(F.col("n") > 1, F.format_string("doc_%02d.json", part)).otherwise("doc.json").alias("file"), piece.alias("text"))
+    return met.select("text_id", F.when(F.col("n") > 1, part).alias("part"), F.when(F.col("n") > 1, F.format_string("doc_%02d.json", part)).otherwise("doc.json").alias("file"), piece.alias("text"), (F.col("n") > 1).alias("_split_document"))
+
+
+def whole_documents(parts: DataFrame) -> DataFrame:
+    """The same rows; reading a part of a split document fails."""
+    said = F.concat(F.lit("split document: "), F.col("text_id").cast("string"))
+    return parts.where(F.assert_true(~F.col("_split_document"), said).isNull())
 
 
 def add_layers(tables: dict[str, DataFrame], new: dict[str, DataFrame], only: list[str], update: bool = False) -> dict[str, DataFrame]:
@@ -91,6 +109,29 @@ def best_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
     return met.groupBy("b_id").agg(F.max("common").alias("common"), F.min_by("a_id", F.struct(-F.col("common"), "a_id")).alias("a_id"))
 
 
+def error_counts(errors: DataFrame) -> DataFrame:
+    """errors: text_id, err_type.  How often each type occurs, and the sum over all."""
+    n = errors.groupBy("err_type").agg(F.count("*").alias("n"))
+    return n.withColumn("total", F.sum("n").over(Window.partitionBy()))  # one row per type
+
+
+def with_wanted_errors(errors: DataFrame, prefixes: list[str]) -> DataFrame:
+    """The texts that have an error of a type that begins with one of the prefixes."""
+    wanted = F.lit(False)
+    for p in prefixes:
+        wanted = wanted | F.col("err_type").startswith(p)
+    return errors.where(wanted).select("text_id").distinct()
+
+
+def field_changes(met: DataFrame, fields: list[str]) -> DataFrame:
+    """met: one row per word with the columns a_<field> and b_<field>.  One row: words, how many differ in each field and in
+    head or relation, and the share of each in per cent."""
+    differs = {f: ~F.col(f"a_{f}").eqNullSafe(F.col(f"b_{f}")) for f in fields}
+    differs["head_or_deprel"] = differs["head"] | differs["deprel"]
+    counts = met.agg(F.count("*").alias("words"), *[F.count_if(c).alias(f"d_{f}") for f, c in differs.items()])
+    return counts.select("*", *[F.round(F.col(f"d_{f}") * 100 / F.col("words"), 4).alias(f"pct_{f}") for f in differs])
+
+
 def control_sentences(clauses: DataFrame, errors: DataFrame, lemmas: list[str]) -> DataFrame:
     """clauses: text_id, sent_id, clause, embedded, n_words, second_lemma; errors: text_id, sent_id.  Sentences without
     errors where, at or after an embedded clause, one of three or more words has such a second lemma."""

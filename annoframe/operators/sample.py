@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annoframe.operators.collection import numbered
+
 
 def turn(seed: int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
@@ -21,21 +23,29 @@ def pick_bounded(rows: DataFrame, k: int, seed: int, key: str, size: str, least:
 
 
 def goals(rows: DataFrame, by: str, size: str, wanted: int) -> DataFrame:
-    """Each category's share of all sizes, and the whole part of that share of the wanted size."""
+    """Each category's share of all sizes, and the whole part of that share of the wanted size.  More than there is is an error."""
     sums = rows.groupBy(by).agg(F.sum(size).alias("total"))
-    share = F.col("total") / F.sum("total").over(Window.partitionBy())
+    everything = F.sum("total").over(Window.partitionBy())
+    share = F.when(everything >= wanted, F.col("total") / everything).otherwise(F.raise_error(F.lit(f"{wanted} wanted, which is over the whole")).cast("double"))
     return sums.select(by, "total", F.round(share, 6).alias("share"), F.floor(share * wanted).alias("goal"))
 
 
 def pick_budget(rows: DataFrame, by: str, size: str, wanted: int, seed: int, key: str) -> DataFrame:
-    """Rows of each category until their sizes reach its goal; the row that crosses it is in."""
-    order = Window.partitionBy(by).orderBy(turn(seed, F.col(key)), key).rowsBetween(Window.unboundedPreceding, -1)
-    r = rows.withColumn("before", F.coalesce(F.sum(size).over(order), F.lit(0))).join(goals(rows, by, size, wanted).select(by, "goal"), by)
-    return r.where("before < goal").select(*rows.columns)
+    """Rows of each category until their sizes reach its goal; the row that crosses it is in.  Sizes are summed by the first two
+    digits of the order's hash, so that only stretches that begin below the goal are put in order, each by itself."""
+    r = rows.withColumn("turn", turn(seed, F.col(key))).withColumn("part", F.substring("turn", 1, 2))
+    sums = r.groupBy(by, "part").agg(F.sum(size).alias("n"))
+    base = F.coalesce(F.sum("n").over(Window.partitionBy(by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = sums.select(by, "part", base.alias("base")).join(goals(rows, by, size, wanted).select(by, "goal"), by).where("base < goal")
+    order = Window.partitionBy(by, "part").orderBy("turn", key).rowsBetween(Window.unboundedPreceding, -1)
+    near = r.join(parts, [by, "part"]).withColumn("before", F.col("base") + F.coalesce(F.sum(size).over(order), F.lit(0)))
+    return near.where("before < goal").select(*rows.columns)
 
 
-def _ranked(rows: DataFrame, by: str, seed: int, key: str) -> DataFrame:
-    return rows.withColumn("nth", F.row_number().over(Window.partitionBy(by).orderBy(turn(seed, F.col(key)), key)))
+def _ranked(rows: DataFrame, by: str, seed: int, key: str, most: int) -> DataFrame:
+    """The first `most` rows of each category, numbered; limited before rows are gathered."""
+    nth = F.row_number().over(Window.partitionBy(by).orderBy(turn(seed, F.col(key)), key))
+    return rows.withColumn("nth", nth).where(F.col("nth") <= most)
 
 
 def quotas(rows: DataFrame, by: str, k: int) -> DataFrame:
@@ -47,7 +57,7 @@ def quotas(rows: DataFrame, by: str, k: int) -> DataFrame:
 
 def pick_even(rows: DataFrame, by: str, k: int, seed: int, key: str) -> DataFrame:
     """As many rows of each category, as far as it has them."""
-    return _ranked(rows, by, seed, key).join(quotas(rows, by, k), by).where("nth <= quota").select(*rows.columns)
+    return _ranked(rows, by, seed, key, k).join(quotas(rows, by, k), by).where("nth <= quota").select(*rows.columns)
 
 
 def pick_even_numeric(rows: DataFrame, by: str, k: int, seed: int, key: str, skipped: list[str]) -> DataFrame:
@@ -73,7 +83,7 @@ def pick_spread(rows: DataFrame, by: str, k: int, seed: int, key: str) -> DataFr
     """Even; what short categories lack goes to the others, one each per round in order of name."""
     q = quotas(rows, by, k)
     lack = q.agg(F.sum(F.greatest(F.col("quota") - F.col("n_rows"), F.lit(0))).alias("lack"))
-    ranked = _ranked(rows, by, seed, key).join(q, by)
+    ranked = _ranked(rows, by, seed, key, 2 * k).join(q, by)  # a quota and as many more at most
     base = ranked.where("nth <= quota")
     more = ranked.where("nth > quota").withColumn("round", F.col("nth") - F.col("quota"))
     more = more.where(F.col("round") <= k)  # no further round can be reached
@@ -82,6 +92,19 @@ def pick_spread(rows: DataFrame, by: str, k: int, seed: int, key: str) -> DataFr
     return base.select(*rows.columns).union(extra.select(*rows.columns))
 
 
-def round_robin(rows: DataFrame, by: str, n: int, key: str) -> DataFrame:
-    """Groups 0..n-1 in turn within each category."""
-    return rows.withColumn("grp", F.pmod(F.row_number().over(Window.partitionBy(by).orderBy(key)) - 1, F.lit(n)))
+def round_robin(rows: DataFrame, by: str, n: int, key: str, block: str) -> DataFrame:
+    """Groups 0..n-1 in turn within each category.  block: as in `collection.numbered`."""
+    return numbered(rows, by, key, block).withColumn("grp", F.pmod(F.col("nth") - 1, F.lit(n))).drop("nth")
+
+
+def checked_size(rows: DataFrame, k: int) -> DataFrame:
+    """The same rows; k over their number is an error."""
+    n = rows.count()
+    if k > n:
+        raise ValueError(f"{k} rows wanted of {n}")
+    return rows
+
+
+def extremes(rows: DataFrame, size: str) -> DataFrame:
+    """One row: number of rows, sum of sizes, least and largest."""
+    return rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("total"), F.min(size).alias("least"), F.max(size).alias("most"))

@@ -40,8 +40,10 @@ lb AS (SELECT text_id, start, start + length(token) AS "end", CASE WHEN {SHAPE_S
 da AS (SELECT text_id, start, "end", list_sort(list(DISTINCT label)) AS a FROM la GROUP BY ALL),
 db AS (SELECT text_id, start, "end", list_sort(list(DISTINCT label)) AS b FROM lb GROUP BY ALL),
 diff AS (SELECT text_id, start, "end", a, b, CASE WHEN b IS NULL THEN 'missing' WHEN a IS NULL THEN 'extra' WHEN a = b THEN 'unchanged' ELSE 'modified' END AS status FROM da FULL JOIN db USING (text_id, start, "end")),
-pairs AS (SELECT la.text_id, la.start AS a_start, la."end" AS a_end, la.label AS a_label, lb.start AS b_start, lb."end" AS b_end, lb.label AS b_label
-  FROM la JOIN lb ON la.text_id = lb.text_id AND la.start < lb."end" AND lb.start < la."end" AND (la.start <> lb.start OR la."end" <> lb."end")),
+ka AS (SELECT *, unnest(range(start // 32, ("end" - 1) // 32 + 1)) AS k FROM la WHERE start < "end"),
+kb AS (SELECT *, unnest(range(start // 32, ("end" - 1) // 32 + 1)) AS k FROM lb WHERE start < "end"),
+pairs AS (SELECT DISTINCT ka.text_id, ka.start AS a_start, ka."end" AS a_end, ka.label AS a_label, kb.start AS b_start, kb."end" AS b_end, kb.label AS b_label
+  FROM ka JOIN kb ON ka.text_id = kb.text_id AND ka.k = kb.k AND ka.start < kb."end" AND kb.start < ka."end" AND (ka.start <> kb.start OR ka."end" <> kb."end")),
 """
 
 

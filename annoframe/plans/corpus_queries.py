@@ -9,7 +9,9 @@ from annoframe.operators import collection as C
 from annoframe.operators import diff as D
 from annoframe.operators import layers as L
 from annoframe.operators import sample as P
-from annoframe.plans.base import LAYERS_SQL, SHAPE_SQL, query, sentences, table, texts, with_sentences, with_words, words
+from annoframe.plans.base import LAYERS_SQL, SENTENCES_SQL, STOK_SQL, query, sentences, table, texts, with_sentences, with_words, words
+from annoframe.sources import markup as M
+from annoframe.sources.store import new_folder
 
 T = "WITH t AS (SELECT doc_id AS text_id, text, lang, source FROM documents) "
 
@@ -53,9 +55,11 @@ def exported_layer(spark, d):
 r AS (SELECT text_id, sent_id, start AS open, "end" AS stop, "end" - start >= 500 AS closed FROM n WHERE sent_id = 1
   UNION ALL SELECT n.text_id, n.sent_id, CASE WHEN r.closed THEN n.start ELSE r.open END, n."end", n."end" - CASE WHEN r.closed THEN n.start ELSE r.open END >= 500 FROM r JOIN n ON n.text_id = r.text_id AND n.sent_id = r.sent_id + 1),
 c AS (SELECT text_id, open, max(stop) AS stop FROM r GROUP BY text_id, open)
-SELECT text_id, row_number() OVER (PARTITION BY text_id ORDER BY open) - 1 AS chunk, open AS start, stop AS "end" FROM c""")[5:])
+SELECT text_id, row_number() OVER (PARTITION BY text_id ORDER BY open) - 1 AS chunk, open AS start, stop AS "end", coalesce(lead(open) OVER (PARTITION BY text_id ORDER BY open) - stop, -1) AS gap FROM c""")[5:])
 def greedy_sections(spark, d):
-    return L.greedy_cut(sentences(spark, d), 500)
+    """Sections, with the length of what separates each from the next."""
+    gap = F.coalesce(F.col("separator.end") - F.col("separator.start"), F.lit(-1))
+    return L.greedy_cut(sentences(spark, d), 500).withColumn("gap", gap).drop("separator")
 
 
 @query("WITH RECURSIVE " + with_sentences("""
@@ -71,12 +75,33 @@ def section_spans(spark, d):
     return L.within(L.labelled(words(spark, d)), sentences(spark, d))
 
 
+#: Sections of 100 characters, whatever stands at their edges.
+TRIMMED_SQL = """, c AS (SELECT text_id, unnest(range(0, CAST(length(text) AS BIGINT), 100)) AS s FROM t), b AS (SELECT *, unnest(range(start // 100, ("end" - 1) // 100 + 1)) * 100 AS s FROM la)
+SELECT b.text_id, c.s AS s_start, greatest(start, c.s) - c.s AS start, least("end", c.s + 100) - c.s AS "end", label FROM b JOIN c USING (text_id, s)"""
+
+
+@query(with_words(TRIMMED_SQL, LAYERS_SQL))
+def trimmed_section_spans(spark, d):
+    """Spans of fixed sections; those that reach over an edge are cut there."""
+    n = F.length("text").cast("long")
+    s = texts(spark, d).where("length(text) > 0").select("text_id", n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), n - 1, F.lit(100).cast("long"))).alias("start"))
+    s = s.select("text_id", "start", F.least(F.col("start") + 100, F.col("n")).alias("end"))
+    return L.within(L.labelled(words(spark, d)), s, trim_overlapping=True)
+
+
 @query(with_words(" SELECT source, count(*) AS n FROM (SELECT text_id, count(*) AS n FROM words GROUP BY 1) JOIN t USING (text_id) WHERE n > 1000 GROUP BY source"))
 def long_texts(spark, d):
     n = words(spark, d).groupBy("text_id").agg(F.count("*").alias("n")).where("n > 1000")
     return n.join(texts(spark, d), "text_id").groupBy("source").agg(F.count("*").alias("n"))
 
 
+@query(with_sentences(" SELECT text_id, sent_id, count(*) AS n FROM stok GROUP BY ALL HAVING count(*) > 60", STOK_SQL))
+def long_sentences(spark, d):
+    """Sentences of more than 60 words."""
+    n = F.size(F.filter(F.split(F.trim("sentence"), " +"), lambda x: x != "")).cast("long")
+    return sentences(spark, d).select("text_id", "sent_id", n.alias("n")).where("n > 60")
+
+
 TREE_SQL = ", tree AS (SELECT text_id, 1 AS sent_id, word_id AS id, CASE WHEN word_id % 7 = 1 THEN 0 WHEN word_id % 3 = 0 THEN word_id - 2 ELSE word_id - 1 END AS head, token FROM words) "
 
 
@@ -155,6 +180,31 @@ def repeated_sentences(spark, d):
     return sentences(spark, d).groupBy(F.md5("sentence").alias("h")).agg(F.count("*").alias("n"), F.min("text_id").alias("first_text")).where("n > 1")
 
 
+@query("WITH h AS (" + with_sentences(HASH_SQL) + ") SELECT sha256, row_number() OVER (PARTITION BY sha256 ORDER BY text_id, sentence_id) AS nth, text_id, sentence_id FROM h")
+def fingerprint_map(spark, d):
+    """The sentences that share a fingerprint."""
+    return L.fingerprint_map(sentence_fingerprints(spark, d))
+
+
+PARTS_SQL = """, l AS (SELECT text_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM t),
+m AS (SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY text_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM l),
+p AS (SELECT text_id, row_number() OVER (PARTITION BY text_id ORDER BY pos) AS para_nr, start, start + length(line) AS "end" FROM m WHERE line <> ''),
+n AS (SELECT text_id, row_number() OVER (PARTITION BY source ORDER BY text_id) AS doc_nr FROM t)
+SELECT coalesce(source, '') || ':' || doc_nr || ':' || para_nr || ':' || sent_id AS key, s.text_id, s.start - p.start AS sent_start, s."end" - p.start AS sent_end, p.start AS para_start, md5(sentence) AS md5
+FROM sentences s JOIN p ON p.text_id = s.text_id AND s.start >= p.start AND s."end" <= p."end" JOIN n ON n.text_id = s.text_id JOIN t ON t.text_id = s.text_id"""
+
+
+@query(with_sentences(PARTS_SQL))
+def document_parts(spark, d):
+    """Sentences as texts of their own, with the numbers of their document in its file, paragraph and sentence."""
+    t = texts(spark, d)
+    parts = L.fragments(t)
+    numbers = C.numbered(t.select("text_id", "source", F.expr("text_id div 1000").alias("block")), "source", "text_id", "block").select("text_id", F.col("nth").alias("doc_nr"), F.coalesce("source", F.lit("")).alias("file"))
+    met = parts.join(numbers, "text_id")
+    key = C.chunk_key(F.col("file"), F.col("doc_nr"), F.col("para_nr"), F.col("sent_nr"))
+    return met.select(key.alias("key"), "text_id", "sent_start", "sent_end", "para_start", F.md5("text").alias("md5"))
+
+
 @query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS para_nr, CAST(coalesce(sum(length(text) + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM conversations")
 def numbered_fragments(spark, d):
     w = Window.partitionBy("conv_id").orderBy("turn")
@@ -162,10 +212,27 @@ def numbered_fragments(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.row_number().over(w).alias("para_nr"), start.alias("start"))
 
 
-@query(r"SELECT page_id, len(regexp_extract_all(html, '<[a-zA-Z][^<>]*>')) AS n_tags, regexp_extract(html, '([a-z]+)=\"([^\"]*)\"', 1) AS first_key, regexp_extract(html, '([a-z]+)=\"([^\"]*)\"', 2) AS first_value FROM pages")
+@query(r"""WITH g AS (SELECT page_id, unnest(regexp_extract_all(html, '<[a-zA-Z](?:"[^"]*"|[^"<>])*>')) AS tag, generate_subscripts(regexp_extract_all(html, '<[a-zA-Z](?:"[^"]*"|[^"<>])*>'), 1) AS nth FROM pages),
+k AS (SELECT page_id, nth, unnest(regexp_extract_all(tag, '([^\s="<>/]+)="([^"]*)"', 1)) AS key, unnest(regexp_extract_all(tag, '([^\s="<>/]+)="([^"]*)"', 2)) AS value, generate_subscripts(regexp_extract_all(tag, '([^\s="<>/]+)="([^"]*)"', 1), 1) AS i FROM g)
+SELECT page_id, nth, key, max_by(value, i) AS value FROM k GROUP BY 1, 2, 3""")
 def tag_attributes(spark, d):
-    attr = r'([a-z]+)="([^"]*)"'
-    return table(spark, d, "pages").select("page_id", F.regexp_count("html", F.lit("<[a-zA-Z][^<>]*>")).cast("long").alias("n_tags"), F.regexp_extract("html", attr, 1).alias("first_key"), F.regexp_extract("html", attr, 2).alias("first_value"))
+    """Attributes of every tag of every page; of one that repeats the last."""
+    tags = F.regexp_extract_all("html", F.lit(r'<[a-zA-Z](?:"[^"]*"|[^"<>])*>'), F.lit(0))
+    found = table(spark, d, "pages").select("page_id", F.posexplode(tags).alias("nth", "tag"))
+    return found.select("page_id", (F.col("nth") + 1).cast("long").alias("nth"), F.explode(M.attributes(F.col("tag"))).alias("key", "value"))
+
+
+TAG_SQL = """SELECT doc_id AS text_id, CASE doc_id % 5 WHEN 0 THEN 'd' || doc_id WHEN 1 THEN 'doaj<' || doc_id || '>' WHEN 2 THEN 'isbn' || doc_id WHEN 3 THEN 'http://x.ee/' || doc_id || '?a<b(doc@line:' || (doc_id + 7) || ')' ELSE '(doc@line:' || (doc_id + 7) || ')' END AS id FROM documents"""
+
+
+@query(TAG_SQL)
+def tag_ids(spark, d):
+    """The id of a document's tag, or what stands for it."""
+    k, n = F.col("text_id") % 5, F.col("text_id").cast("string")
+    own = F.when(k == 0, F.concat(F.lit(' id="d'), n, F.lit('"'))).when(k == 1, F.concat(F.lit(' doaj_id="doaj<'), n, F.lit('>" ISBN="1"'))).when(k == 2, F.concat(F.lit(' ISBN="isbn'), n, F.lit('"')))
+    own = own.when(k == 3, F.concat(F.lit(' url="http://x.ee/'), n, F.lit('?a<b" src="Feeds 2014–2021"'))).otherwise(F.concat(F.lit(' url="http://x.ee/'), n, F.lit('" src="Web"')))
+    tag = F.concat(F.lit("<doc"), own, F.lit(">"))
+    return texts(spark, d).select("text_id", M.document_id(M.attributes(tag), F.col("text_id") + 7).alias("id"))
 
 
 # --- collections --------------------------------------------------------------------------------------------------
@@ -180,9 +247,10 @@ def unique_ids(spark, d):
     return texts(spark, d).agg(F.count("*").alias("n"), F.count_distinct("text_id").alias("n_ids"), F.count_if(F.col("source") == "src1").alias("in_chunk"))
 
 
-@query(T + "SELECT source, list_aggregate(list_sort(list(printf('%012d', text_id))), 'string_agg', ',') AS ids FROM t GROUP BY source")
+@query(T + "SELECT source, row_number() OVER (PARTITION BY source ORDER BY text_id) AS nth, text_id FROM t")
 def document_id_index(spark, d):
-    return texts(spark, d).groupBy("source").agg(F.array_join(F.array_sort(F.collect_list(F.format_string("%012d", "text_id"))), ",").alias("ids"))
+    """The ids of each file in order, one row each."""
+    return C.numbered(texts(spark, d).select("source", "text_id", F.expr("text_id div 1000").alias("block")), "source", "text_id", "block").drop("block")
 
 
 @query(T + "SELECT source, count(*) AS n, CAST(sum(text_id) AS BIGINT) AS ids FROM t WHERE text_id % 4 = 3 GROUP BY source")
@@ -227,10 +295,35 @@ def metadata_table(spark, d):
     return C.metadata_table(C.metadata(texts(spark, d)), ["src", "lang", "id"], {"src": "initial_src", "id": "initial_id"})
 
 
-@query(T + "SELECT source, field, min(text_id) AS first_text, count(*) AS n FROM (SELECT source, text_id, unnest(['src', 'lang', 'id']) AS field FROM t) GROUP BY ALL")
-def field_registry(spark, d):
+FIELDS_SQL = T + """, f AS (SELECT source, text_id, unnest(['src', '_made', 'lang', 'id2', 'id']) AS field, unnest([source, 'x', lang, CASE WHEN text_id % 3 = 0 THEN 'y' END, 'z']) AS v, unnest([1, 2, 3, 4, 5]) AS pos FROM t),
+g AS (SELECT source, field, min((text_id, pos)) AS first, min(text_id) AS first_text, count(*) AS n FROM f WHERE v IS NOT NULL AND field <> '_made' GROUP BY 1, 2),
+r AS (SELECT source, field, row_number() OVER (PARTITION BY source ORDER BY first, field) AS nth, first_text, n FROM g) """
+
+
+def _fields(spark, d):
+    """text_id, source and metadata of every text, with an internal field and a numbered one."""
     t = texts(spark, d)
-    return C.field_registry(C.metadata(t).join(t.select("text_id", "source"), "text_id"), "source")
+    meta = F.create_map(F.lit("src"), "source", F.lit("_made"), F.lit("x"), F.lit("lang"), "lang", F.lit("id2"), F.when(F.col("text_id") % 3 == 0, "y"), F.lit("id"), F.lit("z"))
+    return t.select("text_id", "source", F.map_filter(meta, lambda _, v: v.isNotNull()).alias("meta"))
+
+
+@query(FIELDS_SQL + "SELECT * FROM r")
+def field_registry(spark, d):
+    """Metadata fields of each source in the order in which they are first seen."""
+    return C.field_registry(_fields(spark, d), "source")
+
+
+@query(FIELDS_SQL + "SELECT field, count(DISTINCT source) AS n, round(count(DISTINCT source) * 100 / (SELECT count(DISTINCT source) FROM r), 4) AS pct FROM r GROUP BY 1")
+def metadata_commonness(spark, d):
+    """In how many sources each metadata field occurs."""
+    return C.field_commonness(C.field_registry(_fields(spark, d), "source"), "source")
+
+
+@query(T + "SELECT text_id, CASE WHEN source IS NOT NULL THEN 'x' END AS _made_, 'z' AS initial_id, lang, source AS initial_src FROM t")
+def discovered_metadata(spark, d):
+    """A metadata table whose columns are the fields that occur; the numbered field goes with its namesake."""
+    found = C.discovered_metadata(_fields(spark, d).select("text_id", "meta"))
+    return found.select("text_id", F.when(F.col("initial_src").isNotNull(), F.col("_made")).alias("_made_"), "initial_id", "lang", "initial_src")
 
 
 @query(with_words(" SELECT label, count(*) AS n, count(DISTINCT text_id) AS texts FROM la WHERE label <> 'other' GROUP BY label", LAYERS_SQL))
@@ -238,25 +331,55 @@ def sparse_layer(spark, d):
     return L.labelled(words(spark, d)).where("label <> 'other'").groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("text_id").alias("texts"))
 
 
+@query(with_words(" SELECT (SELECT count(*) FROM la WHERE label = 'digit') AS spans, (SELECT count(*) FROM t) - (SELECT count(DISTINCT text_id) FROM la WHERE label = 'digit') AS skipped", LAYERS_SQL))
+def skipped_texts(spark, d):
+    """Spans of a layer that few texts have, and how many texts are not stored with it."""
+    kept, skipped = L.sparse(L.labelled(words(spark, d)).where("label = 'digit'"), texts(spark, d))
+    return kept.agg(F.count("*").alias("spans")).crossJoin(F.broadcast(skipped))  # one row each
+
+
+@query(with_words(""" SELECT 'new_words' AS layer, CAST(NULL AS VARCHAR) AS parent, CAST(NULL AS VARCHAR) AS enveloping, count(*) AS n FROM words
+UNION ALL SELECT 'shapes', 'new_words', NULL, count(*) FROM la UNION ALL SELECT 'clauses', NULL, 'new_words', count(*) FROM sentences""", SENTENCES_SQL, LAYERS_SQL))
+def written_layers(spark, d):
+    """Layers written as tables under new names, read back with the structure that links them."""
+    w = words(spark, d)
+    tables = {"words": w, "shapes": L.labelled(w), "sentences": sentences(spark, d)}
+    links = spark.createDataFrame([("words", None, None), ("shapes", "words", None), ("sentences", None, "words")], "layer string, parent string, enveloping string")
+    stored, structure = L.write_layers(tables, links, new_folder(spark, "layers"), {"words": "new_words", "sentences": "clauses"})
+    counts = [x.agg(F.lit(name).alias("layer"), F.count("*").alias("n")) for name, x in stored.items()]
+    return structure.join(counts[0].union(counts[1]).union(counts[2]), "layer").select("layer", "parent", "enveloping", "n")
+
+
+@query("SELECT doc_id AS text_id, md5(coalesce(text, '')) AS md5, doc_id % 2 = 0 AS late FROM documents")
+def inserted_texts(spark, d):
+    """Two inserts that share no text; a second one of the same text would fail."""
+    t = texts(spark, d).select("text_id", F.md5(F.coalesce("text", F.lit(""))).alias("md5"))
+    first = C.inserted(t.where("false"), t.where("text_id % 2 = 1"), ["text_id"])
+    later = C.inserted(first, t.where("text_id % 2 = 0"), ["text_id"])
+    return first.withColumn("late", F.lit(False)).union(later.withColumn("late", F.lit(True)))
+
+
 @query("SELECT event_type, count(*) AS n, CAST(coalesce(max(user_id), 0) AS BIGINT) AS user_id FROM events GROUP BY event_type, user_id HAVING count(*) > 1")
 def duplicate_keys(spark, d):
     return C.duplicate_keys(table(spark, d, "events"), ["event_type", "user_id"]).select("event_type", "n", "user_id")
 
 
-@query("SELECT conv_id, turn FROM conversations WHERE role <> 'user'")
+@query("SELECT 'chats:' || conv_id || ':' || turn AS key, md5(text) AS md5 FROM conversations WHERE role <> 'user'")
 def appended_rows(spark, d):
-    c = table(spark, d, "conversations").select("conv_id", "turn", "role")
-    return C.append_missing(c.where("role = 'user'"), c.drop("role"), ["conv_id", "turn"])
+    """A table continued: turns whose key it lacks."""
+    key = C.chunk_key(F.lit("chats"), F.col("conv_id"), F.col("turn"))
+    c = table(spark, d, "conversations").select(key.alias("key"), F.md5("text").alias("md5"), "role")
+    return C.appended(c.where("role = 'user'"), c.drop("role"), ["key"])
 
 
 @query(T + "SELECT text_id, source, row_number() OVER (ORDER BY source, text_id) - 1 AS global_id FROM t")
 def global_text_ids(spark, d):
-    return C.global_ids(texts(spark, d).select("text_id", "source"), "source", "text_id")
+    return C.global_ids(texts(spark, d).select("text_id", "source", F.expr("text_id div 1000").alias("block")), "source", "text_id", "block").drop("block")
 
 
 @query(T + "SELECT text_id, source, (row_number() OVER (PARTITION BY source ORDER BY text_id) - 1) % 4 AS grp FROM t")
 def round_robin_subsets(spark, d):
-    return P.round_robin(texts(spark, d).select("text_id", "source"), "source", 4, "text_id")
+    return P.round_robin(texts(spark, d).select("text_id", "source", F.expr("text_id div 1000").alias("block")), "source", 4, "text_id", "block").drop("block")
 
 
 @query(T + "SELECT source, md5(text) AS hash, min(text_id) AS first_id, count(*) AS n, count(DISTINCT lang) > 1 AS meta_differs FROM t GROUP BY 1, 2 HAVING count(*) > 1")
@@ -329,19 +452,34 @@ def diff_summary(spark, d):
 
 @query(with_sentences(""" SELECT l.text_id, sent_id, count(*) AS n, min_by(label, l.start) AS first_label, max_by(label, l.start) AS last_label FROM la l JOIN sentences s ON s.text_id = l.text_id AND l.start >= s.start AND l."end" <= s."end" GROUP BY 1, 2""", LAYERS_SQL))
 def clause_words(spark, d):
-    s = sentences(spark, d).select("text_id", "sent_id", F.col("start").alias("s"), F.col("end").alias("e"))
-    met = L.labelled(words(spark, d)).join(s, "text_id").where("start >= s and end <= e")
-    return met.groupBy("text_id", "sent_id").agg(F.count("*").alias("n"), F.min_by("label", "start").alias("first_label"), F.max_by("label", "start").alias("last_label"))
+    met = L.contained(L.labelled(words(spark, d)), sentences(spark, d).drop("sentence"))
+    return met.groupBy("text_id", F.col("s.sent_id").alias("sent_id")).agg(F.count("*").alias("n"), F.min_by("x.label", "x.start").alias("first_label"), F.max_by("x.label", "x.start").alias("last_label"))
 
 
 # --- statistics ---------------------------------------------------------------------------------------------------
 
-@query(with_words(" SELECT coalesce(source, 'TOTAL') AS source, count(DISTINCT text_id) AS docs, count(*) AS words FROM words JOIN t USING (text_id) GROUP BY ROLLUP (source)"))
+@query(with_sentences(""", w AS (SELECT text_id, count(*) AS words FROM words GROUP BY 1), s AS (SELECT text_id, count(*) AS sentences FROM sentences GROUP BY 1)
+SELECT coalesce(source, 'TOTAL') AS source, count(*) AS docs, CAST(sum(coalesce(sentences, 0)) AS BIGINT) AS sentences, CAST(sum(words) AS BIGINT) AS words FROM w JOIN t USING (text_id) LEFT JOIN s USING (text_id) GROUP BY ROLLUP (source)"""))
 def corpus_counts(spark, d):
-    r = words(spark, d).join(texts(spark, d).select("text_id", "source"), "text_id").rollup("source").agg(F.count_distinct("text_id").alias("docs"), F.count("*").alias("words"))
+    """Documents that have words, their sentences and words, per source and in all; counted inside each text."""
+    n = lambda pattern: F.regexp_count("text", F.lit(pattern))
+    r = texts(spark, d).select("source", n("[^ \n]+").alias("w"), n("[^.!?\n]+[.!?]*").alias("s")).where("w > 0")
+    r = r.rollup("source").agg(F.count("*").alias("docs"), F.sum("s").alias("sentences"), F.sum("w").alias("words"))
     return r.withColumn("source", F.coalesce("source", F.lit("TOTAL")))
 
 
+@query(with_sentences(""", w AS (SELECT text_id, count(*) AS words FROM words GROUP BY 1), s AS (SELECT text_id, count(*) AS sentences FROM sentences GROUP BY 1)
+SELECT text_id, coalesce(source, '__') AS source, coalesce(lang, '__') AS lang, coalesce(CAST(quality AS VARCHAR), '__') AS quality, CAST(coalesce(length(text), 0) AS BIGINT) AS chars, coalesce(words, 0) AS words, coalesce(sentences, 0) AS sentences
+FROM t LEFT JOIN w USING (text_id) LEFT JOIN s USING (text_id) LEFT JOIN (SELECT doc_id AS text_id, min(quality) AS quality FROM labels GROUP BY 1) USING (text_id)"""))
+def document_word_index(spark, d):
+    """Characters, words and sentences of each document with its metadata; what is missing shows as __."""
+    n = lambda pattern: F.coalesce(F.regexp_count("text", F.lit(pattern)), F.lit(0)).cast("long")
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("__")).alias(c)
+    quality = table(spark, d, "labels").groupBy(F.col("doc_id").alias("text_id")).agg(F.min("quality").alias("quality"))
+    sized = texts(spark, d).select("text_id", "source", "lang", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"), n("[^ \n]+").alias("words"), n("[^.!?\n]+[.!?]*").alias("sentences"))
+    return sized.join(quality, "text_id", "left").select("text_id", shown("source"), shown("lang"), shown("quality"), "chars", "words", "sentences")
+
+
 @query(T + """, e AS (SELECT unnest(['src', 'lang']) AS k, unnest([source, lang]) AS v FROM t), c AS (SELECT k, v, count(*) AS n FROM e GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, v) AS nth, count(*) OVER (PARTITION BY k) AS n_values FROM c)
 SELECT k, v, n, nth, n_values FROM r WHERE nth <= 10""")
 def metadata_values(spark, d):
@@ -369,6 +507,21 @@ def size_model(spark, d):
     return n.agg(F.round(F.regr_slope("chars", "words"), 6).alias("slope"), F.round(F.regr_intercept("chars", "words"), 4).alias("intercept"))
 
 
+SIZE_SQL = """, n AS (SELECT text_id, count(*) AS words, any_value(length(text)) AS chars FROM words JOIN t USING (text_id) GROUP BY 1), f AS (SELECT regr_slope(chars, words) AS a, regr_intercept(chars, words) AS b FROM n),
+p AS (SELECT text_id, words, CAST(trunc(a * words + b + 0.0001) AS BIGINT) AS predicted FROM n, f)
+SELECT text_id, words, predicted, CASE WHEN predicted < 1024 THEN printf('%.1f B', CAST(predicted AS DOUBLE)) WHEN predicted < 1048576 THEN printf('%.1f KB', predicted / 1024) ELSE printf('%.1f MB', predicted / 1048576) END AS size FROM p ORDER BY words DESC, text_id LIMIT 10"""
+
+
+@query(with_words(SIZE_SQL))
+def predicted_sizes(spark, d):
+    """The texts with most words, and the size in characters that the model predicts for them."""
+    n = texts(spark, d).select("text_id", F.regexp_count("text", F.lit("[^ \n]+")).cast("long").alias("words"), F.length("text").alias("chars")).where("words > 0")
+    fitted = n.agg(F.regr_slope("chars", "words").alias("a"), F.regr_intercept("chars", "words").alias("b"))
+    top = n.select("text_id", "words").orderBy(F.desc("words"), "text_id").limit(10).crossJoin(F.broadcast(fitted))  # one row
+    p = top.select("text_id", "words", (F.col("a") * F.col("words") + F.col("b") + 0.0001).cast("long").alias("predicted"))
+    return p.withColumn("size", C.human_size(F.col("predicted")))
+
+
 @query(with_words(" SELECT label, count(*) AS n, round(count(*) * 100 / sum(count(*)) OVER (), 4) AS pct FROM la GROUP BY label", LAYERS_SQL))
 def type_distribution(spark, d):
     c = L.labelled(words(spark, d)).groupBy("label").agg(F.count("*").alias("n"))
@@ -410,6 +563,12 @@ def differences_by_category(spark, d):
     return c.withColumn("pct", F.round(F.col("n") * 100 / F.sum("n").over(Window.partitionBy()), 4))
 
 
+@query(with_words(""", x AS (SELECT coalesce(source, '') AS category, count(*) AS n FROM diff JOIN t USING (text_id) WHERE status <> 'unchanged' GROUP BY 1) SELECT category, n, round(n * 100 / sum(n) OVER (), 4) AS pct FROM x""", LAYERS_SQL))
+def differences_by_source(spark, d):
+    """Differing spans of each source, and their share of all."""
+    return D.by_category(D.span_diff(*both(spark, d)), texts(spark, d).select("text_id", F.coalesce("source", F.lit("")).alias("category")))
+
+
 @query(T + "SELECT source, count(*) FILTER (length(text) = 0) AS empty, count(*) FILTER (text IS NULL) AS missing FROM t GROUP BY source")
 def empty_texts(spark, d):
     return texts(spark, d).groupBy("source").agg(F.count_if(F.length("text") == 0).alias("empty"), F.count_if(F.col("text").isNull()).alias("missing"))

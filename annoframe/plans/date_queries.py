@@ -46,7 +46,7 @@ def creation_time_report(spark, d):
 #: Files of a mixed collection in turn, and what each is known to say.
 MIXED = (("rkogu_{y}_{m}.x", "strftime(o_orderdate, '%Y-%m-XX')"), ("tea_eesti_arst_{y}.x", "strftime(o_orderdate, '%Y-%m-XX')"), ("tea_AA_{yy}_2.x", "strftime(o_orderdate, '%Y-04-XX')"),
          ("xagraar_{y}.x", "strftime(o_orderdate, '%Y-XX-XX')"), ("horisont_{y}.x", "strftime(o_orderdate, '%Y-XX-XX')"),
-         ("delfi{dd}{mm}{yy}.x", "CASE WHEN year(o_orderdate) BETWEEN 2000 AND 2009 THEN '20' ELSE '' END || strftime(o_orderdate, '%y-%m-%d')"),  # other years keep two digits
+         ("delfi{dd}{mm}{yy}.x", "strftime(o_orderdate, '%Y-%m-%d')"),
          ("tea_ESA_49.x", "'2003-XX-XX'"), ("tea_x.x", "'XXXX-XX-XX'"), ("ilu_x.x", "'XXXX-XX-XX'"), ("none.x", "'none'"), ("aja_EPL_{y}_{m}_{d}.x", "strftime(o_orderdate, '%Y-%m-%d')"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from annoframe.operators import layers as L
 from annoframe.operators import records as R
 from annoframe.operators import sample as P
 from annoframe.plans.base import LAYERS_SQL, STOK_SQL, query, sentence_tokens, sentences, table, texts, with_sentences, with_words, words
+from annoframe.sources.store import clustered, new_folder
 
 T = "WITH t AS (SELECT doc_id AS text_id, text, lang, source FROM documents) "
 
@@ -30,15 +33,28 @@ def focus_sources(spark, d):
     return C.chosen(t, t.join(toxic, "text_id").select("source").distinct(), "source")
 
 
-@query(with_words(" SELECT text_id, string_agg(printf('%08d:SHAPE=%s', start, label), ' ' ORDER BY start) AS facts FROM la WHERE label <> 'other' GROUP BY text_id", LAYERS_SQL))
+@query(with_words(""", f AS (SELECT text_id, start, 'SHAPE' AS name, label AS value, 'str' AS kind FROM la WHERE label <> 'other' UNION ALL SELECT text_id, start, label, 'yes', 'flag' FROM la WHERE label <> 'other')
+SELECT text_id, string_agg(printf('%08d:%s=%s/%s', start, name, value, kind), ' ' ORDER BY start, name) AS facts FROM f GROUP BY text_id""", LAYERS_SQL))
 def exported_facts(spark, d):
-    """Texts with the facts that a mapping takes from a layer."""
-    mapping = spark.createDataFrame([("words", "label", "SHAPE"), ("sentences", "label", "KIND")], "facts_layer string, fact_attr string, fact_name string")
+    """Texts with the facts that a mapping takes from a layer: a named fact with an attribute's value, and one named by the attribute."""
+    rows = [("words", None, "SHAPE", "label", None, "str"), ("words", "label", None, None, "yes", "flag"), ("sentences", None, "KIND", "label", None, "str")]
+    mapping = spark.createDataFrame(rows, "facts_layer string, fact_attr string, fact_name string, value_attr string, value string, fact_type string")
     found = R.facts(L.labelled(words(spark, d)).where("label <> 'other'"), "words", mapping)
-    fact = lambda s: F.format_string("%08d:%s=%s", s["start"], s["fact_name"], s["value"])
+    fact = lambda s: F.format_string("%08d:%s=%s/%s", s["start"], s["fact_name"], s["value"], s["fact_type"])
     return found.select("text_id", F.array_join(F.transform("facts", fact), " ").alias("facts"))
 
 
+@query(with_words(""", f AS (SELECT text_id, count(*) AS n FROM la WHERE label = 'digit' GROUP BY 1) SELECT text_id, md5(text) AS md5, source, coalesce(n, 0) AS n_facts FROM t LEFT JOIN f USING (text_id)""", LAYERS_SQL))
+def exported_documents(spark, d):
+    """Documents written as JSON lines with their facts, and read back."""
+    mapping = spark.createDataFrame([("words", None, "DIGIT", "label", None, "str")], "facts_layer string, fact_attr string, fact_name string, value_attr string, value string, fact_type string")
+    found = R.facts(L.labelled(words(spark, d)).where("label = 'digit'"), "words", mapping)
+    folder = new_folder(spark, "facts")
+    R.exported(texts(spark, d), found).select(F.concat(F.lit('{"text_id":'), F.col("text_id"), F.lit(',"doc":'), F.col("json"), F.lit("}")).alias("value")).write.text(folder)
+    rows = spark.read.schema("text_id long, doc struct<text: string, source: string, facts: array<struct<start: long, value: string>>>").json(folder)
+    return rows.select("text_id", F.md5("doc.text").alias("md5"), "doc.source", F.size("doc.facts").cast("long").alias("n_facts"))
+
+
 @query(T + "SELECT text_id AS document_nr, md5(text) AS text, source AS subcorpus, lang AS language FROM t")
 def rewritten_texts(spark, d):
     """Texts copied with renamed metadata."""
@@ -68,6 +84,13 @@ def split_documents(spark, d):
     return parts.select("text_id", F.coalesce("part", F.lit(0)).cast("long").alias("part"), "file", F.md5("text").alias("md5"))
 
 
+@query("WITH RECURSIVE " + with_sentences(SPLIT_SQL.partition("SELECT text_id, CASE WHEN n > 1 THEN part ELSE 0")[0] + " SELECT text_id, md5(substr(text, open + 1, stop - open)) AS md5 FROM k JOIN t USING (text_id) WHERE n = 1")[5:])
+def unsplit_documents(spark, d):
+    """What an import takes: documents in one part; a split one would fail it."""
+    parts = R.split_parts(texts(spark, d), L.greedy_cut(sentences(spark, d), 1500))
+    return R.whole_documents(parts.where(~F.col("_split_document"))).select("text_id", F.md5("text").alias("md5"))
+
+
 @query(with_words(""", s AS (SELECT text_id, start, "end", 'a' AS side, label FROM la UNION ALL SELECT text_id, start, "end", 'b', label FROM lb)
 SELECT text_id, md5(string_agg(printf('%s:%d-%d:%s', side, start, "end", label), ' ' ORDER BY start, "end", side, label)) AS spans, count(*) AS n FROM s GROUP BY text_id""", LAYERS_SQL))
 def annotation_tasks(spark, d):
@@ -78,18 +101,18 @@ def annotation_tasks(spark, d):
     return t.select("text_id", F.md5(F.array_join(shown, " ")).alias("spans"), F.size("spans").cast("long").alias("n"))
 
 
-@query(with_words(' SELECT text_id, start, "end", lower(token) AS form, token AS extended_form FROM words'))
+@query(with_words(' SELECT text_id, start, "end", lower(token) AS form, token AS extended_form, true AS is_swapped FROM words'))
 def swapped_attributes(spark, d):
     """Two attributes of a layer exchanged."""
-    layer = words(spark, d).select("text_id", "start", "end", F.col("token").alias("form"), F.lower("token").alias("extended_form"))
-    return layer.select("text_id", "start", "end", F.col("extended_form").alias("form"), F.col("form").alias("extended_form"))
+    layer = words(spark, d).select("text_id", "start", "end", F.col("token").alias("form"), F.lower("token").alias("extended_form"), F.lit(False).alias("is_swapped"))
+    return L.swapped(layer, "form", "extended_form", "is_swapped")
 
 
-@query(with_words(""" SELECT text_id, start, "end", lower(token) AS lemma, length(token) AS pos, word_id AS id, word_id - 1 AS head, CASE WHEN word_id = 1 THEN 'root' ELSE 'dep' END AS deprel FROM words"""))
+@query(with_words(""" SELECT text_id, start, "end", word_id AS id, lower(token) AS lemma, left(token, 2) AS root_tokens, right(token, 1) AS clitic, length(token) AS xpostag, CASE WHEN length(token) > 5 THEN 'Long=Yes' ELSE '_' END AS feats, token AS extended_feats, word_id - 1 AS head, CASE WHEN word_id = 1 THEN 'root' ELSE 'dep' END AS deprel FROM words"""))
 def morphosyntax_layer(spark, d):
-    """Morphology and syntax of the same words in one layer."""
+    """Morphology and syntax of the same words in one layer of nine attributes."""
     w = words(spark, d)
-    morph = w.select("text_id", "start", "end", F.lower("token").alias("lemma"), F.length("token").alias("pos"))
+    morph = w.select("text_id", "start", "end", F.lower("token").alias("lemma"), F.left("token", F.lit(2)).alias("root_tokens"), F.right("token", F.lit(1)).alias("clitic"), F.length("token").alias("xpostag"), F.when(F.length("token") > 5, "Long=Yes").otherwise("_").alias("feats"), F.col("token").alias("extended_feats"))
     syntax = w.select("text_id", "start", "end", F.col("word_id").alias("id"), (F.col("word_id") - 1).alias("head"), F.when(F.col("word_id") == 1, "root").otherwise("dep").alias("deprel"))
     return R.morphosyntax(morph, syntax)
 
@@ -147,6 +170,19 @@ def field_differences(spark, d):
     return _parses(spark, d).agg(F.count("*").alias("words"), F.count_if("d_head").alias("d_head"), F.count_if("d_deprel").alias("d_deprel"), F.count_if(either).alias("d_any"), F.round(F.count_if(either) * 100 / F.count("*"), 4).alias("pct"))
 
 
+CHANGES_SQL = ", ".join(f"count(*) FILTER ({c}) AS d_{f}, round(count(*) FILTER ({c}) * 100 / count(*), 4) AS pct_{f}" for f, c in {"lemma": "contains(tok, 'q')", "upos": "length(tok) = 3", "feats": "length(tok) = 9", "head": "length(tok) = 7", "deprel": "contains(tok, 'x')", "head_or_deprel": "length(tok) = 7 OR contains(tok, 'x')"}.items())
+
+
+@query(with_sentences(f" SELECT count(*) AS words, {CHANGES_SQL} FROM stok", STOK_SQL))
+def field_changes(spark, d):
+    """Words that differ between two parses, by field, with shares."""
+    tok, n = F.col("tok"), F.length("tok")
+    a = [F.lower("tok").alias("a_lemma"), F.lit("X").alias("a_upos"), F.lit("_").alias("a_feats"), F.lit(1).alias("a_head"), F.lit("dep").alias("a_deprel")]
+    b = [F.when(tok.contains("q"), None).otherwise(F.lower("tok")).alias("b_lemma"), F.when(n == 3, "Y").otherwise("X").alias("b_upos"), F.when(n == 9, "Case=Nom").otherwise("_").alias("b_feats"), F.when(n == 7, 2).otherwise(1).alias("b_head"), F.when(tok.contains("x"), "obj").otherwise("dep").alias("b_deprel")]
+    t, key = sentence_tokens(spark, d), ["text_id", "sent_id", "id"]
+    return R.field_changes(t.select(*key, *a).join(t.select(*key, *b), key), ["lemma", "upos", "feats", "head", "deprel"])
+
+
 @query(with_sentences(FIELDS_SQL + ", s AS (SELECT text_id, sent_id, bool_or(head OR deprel) AS differs FROM p GROUP BY 1, 2) SELECT source, count(*) AS sentences, count(*) FILTER (differs) AS differing FROM s JOIN t USING (text_id) GROUP BY source", STOK_SQL))
 def differing_sentences(spark, d):
     """Sentences with a difference, by source."""
@@ -201,8 +237,8 @@ def erroneous_sentences(spark, d):
     """Sentences with errors as texts of their own, with their layer."""
     _, errors = _clauses(spark, d)
     s = sentences(spark, d).join(errors, ["text_id", "sent_id"], "left_semi")
-    out = L.within(L.labelled(words(spark, d)), s)
-    return out.join(s.select("text_id", "sent_id", F.col("start").alias("s_start")), ["text_id", "s_start"]).select("text_id", "sent_id", "start", "end", "label")
+    met = L.contained(L.labelled(words(spark, d)), s.drop("sentence"))
+    return met.select("text_id", F.col("s.sent_id").alias("sent_id"), (F.col("x.start") - F.col("s.start")).alias("start"), (F.col("x.end") - F.col("s.start")).alias("end"), F.col("x.label").alias("label"))
 
 
 DIFF_TEXT_SQL = """, x AS (SELECT text_id, start, "end", status, text_id || '/' || start || '/' || "end" AS key FROM diff WHERE status <> 'unchanged')
@@ -251,3 +287,61 @@ def picked_documents(spark, d):
     keys = table(spark, d, "benchmark").select((F.col("item_id") + 900).alias("text_id"))
     t = texts(spark, d).select("text_id")
     return C.chosen(t, keys, "text_id").withColumn("found", F.lit(True)).union(C.unknown_keys(t, keys, "text_id").withColumn("found", F.lit(False)))
+
+
+@query(with_words(""", k AS (SELECT source, md5(text) AS h, min(text_id) AS from_id FROM t GROUP BY 1, 2)
+SELECT w.text_id, w.word_id, w.start, w."end", lower(w.token) AS lemma FROM words w JOIN t ON t.text_id = w.text_id JOIN k ON k.source = t.source AND k.h = md5(t.text) WHERE k.from_id <> w.text_id"""))
+def carried_morphology(spark, d):
+    """Attributes of the first of equal texts for the words of the others, word by word."""
+    t, w = texts(spark, d), words(spark, d)
+    first = t.groupBy("source", F.md5("text").alias("h")).agg(F.min("text_id").alias("from_id"))
+    pairs = t.select("text_id", "source", F.md5("text").alias("h")).join(first, ["source", "h"]).where("text_id <> from_id").select("text_id", "from_id")
+    return C.carried_by_place(pairs, w.withColumn("lemma", F.lower("token")), w, ["lemma"])
+
+
+@query(with_words(" SELECT 'words' AS layer, count(*) AS n FROM words UNION ALL SELECT 'shapes', count(*) FROM la WHERE label <> 'other'", LAYERS_SQL))
+def added_layers(spark, d):
+    """A layer added to a collection; one that it has is kept."""
+    w = words(spark, d)
+    tables = R.add_layers({"words": w}, {"words": w.where("false"), "shapes": L.labelled(w).where("label <> 'other'"), "unused": w}, ["words", "shapes"], update=True)
+    a, b = (x.agg(F.lit(name).alias("layer"), F.count("*").alias("n")) for name, x in tables.items())
+    return a.union(b)
+
+
+@query("SELECT doc_id AS text_id, md5(coalesce(text, '')) AS md5, quality FROM documents JOIN labels USING (doc_id)")
+def clustered_lookup(spark, d):
+    """Two tables clustered by the text, joined on it without moving rows."""
+    name = f"annoframe_{uuid.uuid4().hex}"
+    a = clustered(texts(spark, d).select("text_id", F.md5(F.coalesce("text", F.lit(""))).alias("md5")), f"{name}_texts", buckets=8)
+    b = clustered(table(spark, d, "labels").select(F.col("doc_id").alias("text_id"), "quality"), f"{name}_labels", buckets=8)
+    return a.join(b, "text_id")
+
+
+@query(with_words(""", v AS (SELECT *, CASE WHEN label = 'other' THEN 'k' || length(token) % 2 ELSE label END AS pos FROM words JOIN la USING (text_id, start, "end")),
+g AS (SELECT *, unnest(CASE WHEN length(token) % 4 = 0 THEN [1, 2] ELSE [1] END) AS ann_id FROM v)
+SELECT text_id, start, "end", min_by(CASE WHEN ann_id = 2 THEN 'second' ELSE pos END, ann_id) AS label FROM g GROUP BY 1, 2, 3""", LAYERS_SQL))
+def first_annotations(spark, d):
+    """One attribute of an ambiguous layer under the common name, the first annotation of each span."""
+    w = words(spark, d)
+    shape = L.shape(F.col("token"))
+    pos = F.when(shape == "other", F.concat(F.lit("k"), F.length("token") % 2)).otherwise(shape)
+    number = F.explode(F.when(F.length("token") % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    layer = w.select("text_id", "start", "end", pos.alias("own"), number.alias("ann_id")).withColumn("pos", F.when(F.col("ann_id") == 2, "second").otherwise(F.col("own")))
+    return L.as_label(layer, "pos", pick_first=True)
+
+
+@query(with_words(""", s AS (SELECT w.text_id, (word_id - 1) // 3 AS span_id, start, "end", lag("end") OVER (PARTITION BY w.text_id, (word_id - 1) // 3 ORDER BY start) AS last, text FROM words w JOIN t USING (text_id) WHERE word_id % 3 <> 2 OR length(token) < 4),
+o AS (SELECT *, sum(CASE WHEN last IS NULL OR regexp_matches(substr(text, last + 1, start - last), '[^ \n]') THEN 1 ELSE 0 END) OVER (PARTITION BY text_id, span_id ORDER BY start) AS part FROM s)
+SELECT text_id, span_id, CAST(part AS BIGINT) AS part, min(start) AS start, max("end") AS "end" FROM o GROUP BY 1, 2, 3"""))
+def spans_without_gaps(spark, d):
+    """Spans of three words of which some long ones are missing, cut where text lies between."""
+    w = words(spark, d).where("word_id % 3 <> 2 or length(token) < 4")
+    s = w.select("text_id", F.expr("(word_id - 1) div 3").alias("span_id"), "start", "end", F.lit("x").alias("label"))
+    return L.cut_out(s, texts(spark, d)).drop("label")
+
+
+@query()
+def linked_conflict_groups(spark, d):
+    """Conflict groups by the rule for layers whose own spans may overlap (tested against a plain loop)."""
+    w = words(spark, d)
+    return D.linked_groups(D.conflicts(L.labelled(w), L.trimmed(w)))

@@ -1,8 +1,8 @@
 """Marked-up corpus files: vert, vrt, prevert, TEI XML, logs, indexes, JSON documents.
 
 Files with one block per document are read with the block's opening tag as record separator, so that Spark splits them
-anywhere.  Numbers inside a file come from counts per split and a running sum over the splits of a file; no task sees a
-whole file.  A block starts where its tag stands at a line's start; a missing closing tag is tolerated, and text before
+anywhere.  Numbers inside a file come from counts per split and a running sum over the splits of a file (logs too); no task
+sees a whole file but for archives.  A block starts where its tag stands at a line's start; a missing closing tag is tolerated, and text before
 the first block is dropped.  Empty files give no rows; attributes that repeat keep their last value.
 """
 
@@ -34,6 +34,16 @@ def attributes(tag: Column) -> Column:
     return F.map_from_arrays(own, F.transform(own, lambda k: F.element_at(values, F.array_position(keys, k).cast("int"))))
 
 
+#: Sources whose documents are named by their address.
+ADDRESSED_SOURCES = ("Feeds 2014–2021", "Timestamped 2014–2023")
+
+
+def document_id(meta: Column, line: Column) -> Column:
+    """A tag's id; without one its doaj_id, its ISBN, in some sources its url with the line, else the line alone."""
+    at = F.concat(F.lit("(doc@line:"), line.cast("string"), F.lit(")"))
+    return F.coalesce(meta["id"], meta["doaj_id"], meta["ISBN"], F.when(meta["src"].isin(*ADDRESSED_SOURCES), F.concat(meta["url"], at)), at)
+
+
 def blocks(spark: SparkSession, path: str, tag: str) -> DataFrame:
     """file, doc_nr (from 0 in the file), start_line (from 1), n_lines, meta, body of every block `<tag ...>`."""
     opening = f"<{tag} "
@@ -122,20 +132,35 @@ def text_types(found: DataFrame) -> DataFrame:
 
 
 TEI_SCHEMA = "_id string, _src string, p array<struct<s: array<string>>>"
+TEI_WORDS_SCHEMA = "_id string, _src string, p array<struct<s: array<struct<w: array<string>>>>>"
 
 
-def tei_texts(spark: SparkSession, path: str, div: str = "div1", sentence_break: str = "\n", keep_empty: bool = True) -> DataFrame:
-    """id, src, text of every `div`: sentences joined by sentence_break, paragraphs by a blank line."""
-    raw = spark.read.format("xml").option("rowTag", div).schema(TEI_SCHEMA).load(path)
-    full = F.transform("p", lambda p: F.array_join(F.filter(p["s"], lambda s: F.trim(s) != ""), sentence_break))
-    text = F.coalesce(F.array_join(F.filter(full, lambda x: x != ""), "\n\n"), F.lit(""))
-    out = raw.select(F.col("_id").alias("id"), F.col("_src").alias("src"), text.alias("text"))
+def tei_text(p: Column, sentence_break: str, of_words: bool) -> Column:
+    """The text of a division's paragraphs: words joined by a space, sentences by sentence_break, paragraphs by a blank line."""
+    sentences = lambda x: F.transform(x["s"], lambda s: F.array_join(s["w"], " ")) if of_words else x["s"]
+    full = F.transform(p, lambda x: F.array_join(F.filter(sentences(x), lambda s: F.trim(s) != ""), sentence_break))
+    return F.coalesce(F.array_join(F.filter(full, lambda x: x != ""), "\n\n"), F.lit(""))
+
+
+def tei_texts(spark: SparkSession, path: str, div: str = "div1", sentence_break: str = "\n", keep_empty: bool = True, of_words: bool = False) -> DataFrame:
+    """id, src, text of every `div` of the files: sentences are plain text, or lists of <w> elements if of_words."""
+    raw = spark.read.format("xml").option("rowTag", div).schema(TEI_WORDS_SCHEMA if of_words else TEI_SCHEMA).load(path)
+    out = raw.select(F.col("_id").alias("id"), F.col("_src").alias("src"), tei_text(F.col("p"), sentence_break, of_words).alias("text"))
     return out if keep_empty else out.where("text <> ''")
 
 
-def archive_members(spark: SparkSession, path: str, ending: str = ".xml", focus: list[str] | None = None) -> DataFrame:
-    """archive, member, content (text) of the files in .zip and .tar.gz archives; `focus` keeps members of these names.
-    An archive is read in one task, as neither form can be split."""
+def tei_members(members: DataFrame, div: str = "div1", sentence_break: str = "\n", keep_empty: bool = True, of_words: bool = False) -> DataFrame:
+    """The same of XML texts (archive, member, content) that archives hold: archive, member, id, src, text."""
+    inner = (TEI_WORDS_SCHEMA if of_words else TEI_SCHEMA).replace(" string", ": string").replace("p array", "p: array")
+    parsed = members.select("archive", "member", F.from_xml("content", f"`{div}` array<struct<{inner}>>").alias("x"))
+    raw = parsed.select("archive", "member", F.explode(f"x.{div}").alias("d")).select("archive", "member", "d.*")
+    out = raw.select("archive", "member", F.col("_id").alias("id"), F.col("_src").alias("src"), tei_text(F.col("p"), sentence_break, of_words).alias("text"))
+    return out if keep_empty else out.where("text <> ''")
+
+
+def members_of(files: DataFrame, ending: str = ".xml", focus: list[str] | None = None) -> DataFrame:
+    """files: path, content (bytes of .zip and .tar archives).  archive, member, content (text) of the files in them; `focus`
+    keeps members of these names.  An archive is read in one task, as neither form can be split, one member at a time."""
     wanted = set(focus) if focus is not None else None
 
     def chosen(name: str) -> bool:
@@ -154,12 +179,17 @@ def archive_members(spark: SparkSession, path: str, ending: str = ".xml", focus:
                             if m.isfile() and chosen(m.name):
                                 yield pd.DataFrame({"archive": [name], "member": [m.name], "content": [t.extractfile(m).read().decode()]})
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    return files.mapInPandas(members, "archive string, member string, content string")
+    return files.select("path", "content").mapInPandas(members, "archive string, member string, content string")
+
+
+def archive_members(spark: SparkSession, path: str, ending: str = ".xml", focus: list[str] | None = None) -> DataFrame:
+    """The members of the archives in a folder."""
+    return members_of(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path), ending, focus)
 
 
 def json_documents(spark: SparkSession, root: str, schema: str, name: str = "doc*.json") -> DataFrame:
-    """Documents kept one to a file below <collection>/<file>/<group>/<id>/: schema, and id and name from the path."""
+    """Documents kept one to a file below <collection>/<file>/<group>/<id>/: schema, and id and name from the path.  Rows are in
+    no order; their numeric path_id gives it."""
     raw = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", name).option("multiLine", "true").json(root)
     place = F.col("_metadata.file_path")
     return raw.select("*", F.regexp_extract(place, r"/(\d+)/[^/]+$", 1).try_cast("long").alias("path_id"), F.regexp_extract(place, r"([^/]+)$", 1).alias("path_name"))
@@ -171,14 +201,25 @@ def index_rows(spark: SparkSession, path: str, schema: str, separator: str = "||
 
 def log_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Blocks of an error log: file, nth, err_type, err_nr, judgement, text_id (the last one named before), lines.
-    A block's head `type::n [judgement]` stands between two separator lines."""
+    A block's head `type::n [judgement]` stands between two separator lines.  What a split needs of others (the text named
+    last, the lines after its last head, heads before it) comes from one row per split."""
     head, named, noise = r"^\s*([^:\n]+)::(\d+)\s*(\S*)\s*$", r"(?s).*\(!\) \w+ in text with id (\d+)", r"^\s*(INFO:|\(!\) \w+ in text with id |>\s*')"
-    order = Window.partitionBy("file").orderBy("split", "at")
+    inside, so_far = Window.partitionBy("file", "split").orderBy("at"), lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
     rows = _records(spark, path, f"\n{LOG_SEPARATOR}\n").withColumn("named", F.when(F.col("value").rlike(named), F.regexp_extract("value", named, 1)))
-    rows = rows.withColumn("text_id", F.last("named", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("after", F.lead("value").over(order))
-    rows = rows.where(F.col("value").rlike(head)).withColumn("nth", F.row_number().over(order))
-    kept = F.filter(F.split(F.coalesce("after", F.lit("")), "\n"), lambda x: (F.trim(x) != "") & ~x.rlike(noise))
-    return rows.select("file", "nth", F.regexp_extract("value", head, 1).alias("err_type"), F.regexp_extract("value", head, 2).cast("long").alias("err_nr"), F.regexp_extract("value", head, 3).alias("judgement"), F.col("text_id").cast("long").alias("text_id"), kept.alias("lines"))
+    rows = rows.withColumn("is_head", F.col("value").rlike(head).cast("long"))
+    splits = rows.groupBy("file", "split").agg(F.max_by("named", F.when(F.col("named").isNotNull(), F.col("at"))).alias("named"), F.min_by("value", "at").alias("first"), F.sum("is_head").alias("heads"))
+    over = Window.partitionBy("file").orderBy("split")
+    before = over.rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "split", F.last("named", ignorenulls=True).over(before).alias("named_before"), F.lead("first").over(over).alias("first_after"), F.coalesce(F.sum("heads").over(before), F.lit(0)).alias("heads_before"))
+    rows = rows.withColumn("own", F.last("named", ignorenulls=True).over(so_far(inside))).withColumn("next", F.lead("value").over(inside)).withColumn("own_nth", F.sum("is_head").over(so_far(inside)))
+    rows = rows.where("is_head = 1").join(splits, ["file", "split"])
+    kept = F.filter(F.split(F.coalesce("next", "first_after", F.lit("")), "\n"), lambda x: (F.trim(x) != "") & ~x.rlike(noise))
+    return rows.select("file", (F.col("heads_before") + F.col("own_nth")).alias("nth"), F.regexp_extract("value", head, 1).alias("err_type"), F.regexp_extract("value", head, 2).cast("long").alias("err_nr"), F.regexp_extract("value", head, 3).alias("judgement"), F.coalesce("own", "named_before").cast("long").alias("text_id"), kept.alias("lines"))
+
+
+def multiword_tokens(tokens: DataFrame) -> DataFrame:
+    """Tokens with inner spaces that are no numbers, with how often they occur."""
+    return tokens.where(F.col("token").contains(" ") & ~F.col("token").rlike(r"^\d[\d ]*$")).groupBy("token").agg(F.count("*").alias("n"))
 
 
 def write_lines(rows: DataFrame, folder: str, order: list[str], by: str | None = None) -> None:
