@@ -1,4 +1,4 @@
-"""Differences printed for readers: one numbered block per conflict group, both versions under each other."""
+"""Differences printed for readers: one numbered block per conflict group, both versions under each other or span by span."""
 
 from __future__ import annotations
 
@@ -9,25 +9,55 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RULE = "=" * 85  # fixed value
+RULE, THIN_RULE = "=" * 85, "-" * 25  # fixed values
 
 
 def shown(text: str, start: int, end: int) -> str:
     return text[max(start, 0) : max(end, 0)].replace("\n", "\\n")
 
 
-def version_line(text: str, name: str, spans: list[tuple[int, int, str]], place: tuple[int, int], width: int) -> str:
-    """A version's spans in braces with labels, the text between them, and `width` characters on either side; without
-    spans, the surroundings of the place."""
-    first, last = (spans[0][0], spans[-1][1]) if spans else (place[0], place[0])
-    parts, at = [f" {name}   ...", shown(text, first - width, first)], first
-    for start, end, label in spans:
-        parts += [shown(text, at, start), "{", shown(text, start, end), "} /", label]
-        at = end
-    return "".join(parts) + shown(text, last, (last if spans else place[1]) + width) + "..."
+def around(text: str, spans: list[tuple[int, int, str]], place: tuple[int, int], width: int) -> tuple[str, str]:
+    """`width` characters on either side of a version's spans; without spans, of the place's start, and the place itself."""
+    first, last, far = (spans[0][0], spans[-1][1], spans[-1][1]) if spans else (place[0], place[0], place[1])
+    return "..." + shown(text, first - width, first), shown(text, last, far + width) + "..."
 
 
-def printed(texts: DataFrame, pairs: DataFrame, groups: DataFrame, names: tuple[str, str] = ("a", "b"), width: int = 40) -> DataFrame:
+def beside(text: str, versions: dict[str, list[tuple[int, int, str]]], place: tuple[int, int], width: int) -> list[str]:
+    """A line per version: its spans in braces with labels, and the text between and around them."""
+    lines = []
+    for name, spans in versions.items():
+        before, after = around(text, spans, place, width)
+        parts, at = [f" {name}   {before}"], None
+        for start, end, label in spans:
+            parts += [shown(text, start if at is None else at, start), "{", shown(text, start, end), "} /", label]
+            at = end
+        lines.append("".join(parts) + after)
+    return lines
+
+
+def stacked(text: str, versions: dict[str, list[tuple[int, int, str]]], place: tuple[int, int], width: int) -> list[str]:
+    """A line per span, version under version, between rules; the text around the first version that has spans stands above
+    and below, with asterisks where it is not that of the other."""
+    sides = [around(text, spans, place, width) for spans in versions.values()]
+    own = next((side for side, spans in zip(sides, versions.values()) if spans), sides[0])
+    same = [len({side[k] for side in sides}) == 1 for k in (0, 1)]
+    blank = " " * (len(next(iter(versions))) + 4)
+    lines = [blank + ("" if same[0] else "*** ") + own[0], THIN_RULE]
+    for name, spans in versions.items():
+        for k, (start, end, label) in enumerate(spans):
+            between = shown(text, spans[k - 1][1], start) if k else ""
+            lines += [blank + between] if between.strip() else []
+            lines.append(f" {name}   {shown(text, start, end)} // {label}")
+        lines += [f" {name}   "] if not spans else []
+        lines.append(THIN_RULE)
+    return [*lines, blank + own[1] + ("" if same[1] else " ***")]
+
+
+#: How a group is laid out, and how many characters are shown around it.
+LAYOUTS = {"vertical": (beside, 40), "horizontal": (stacked, 70)}
+
+
+def printed(texts: DataFrame, pairs: DataFrame, groups: DataFrame, names: tuple[str, str] = ("a", "b"), form: str = "vertical") -> DataFrame:
     """texts: text_id, category, file, text; pairs: of conflicts; groups: text_id, start, end, global_id.
     text_id, global_id, block.  A text meets its groups and spans once, as lists no longer than the text."""
 
@@ -37,7 +67,7 @@ def printed(texts: DataFrame, pairs: DataFrame, groups: DataFrame, names: tuple[
 
     places = groups.groupBy("text_id").agg(F.collect_list(F.struct("start", "end", "global_id")).alias("places"))
     rows = texts.select("text_id", "category", "file", "text").join(places, "text_id").join(spans("a"), "text_id").join(spans("b"), "text_id")
-    pad = max(map(len, names))
+    pad, (lay_out, width) = max(map(len, names)), LAYOUTS[form]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -47,10 +77,8 @@ def printed(texts: DataFrame, pairs: DataFrame, groups: DataFrame, names: tuple[
                 starts = [[s[0] for s in v] for v in versions]
                 for p in r.places:
                     place = (p["start"], p["end"])
-                    lines = []
-                    for name, v, at in zip(names, versions, starts):
-                        inside = v[bisect_left(at, place[0]) : bisect_left(at, place[1])]
-                        lines.append(version_line(r.text, name.ljust(pad), inside, place, width))
+                    inside = {name.ljust(pad): v[bisect_left(at, place[0]) : bisect_left(at, place[1])] for name, v, at in zip(names, versions, starts)}
+                    lines = lay_out(r.text, inside, place, width)
                     head = "::".join(x for x in (r.category, r.file, str(p["global_id"])) if x)
                     out.append((r.text_id, p["global_id"], "\n".join([RULE, "", "  " + head, "", *lines, "", ""])))
             yield pd.DataFrame(out, columns=["text_id", "global_id", "block"])

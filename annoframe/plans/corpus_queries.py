@@ -244,7 +244,7 @@ def path_layout(spark, d):
 
 @query(T + "SELECT count(*) AS n, count(DISTINCT text_id) AS n_ids, count(*) FILTER (WHERE source = 'src1') AS in_chunk FROM t")
 def unique_ids(spark, d):
-    return texts(spark, d).agg(F.count("*").alias("n"), F.count_distinct("text_id").alias("n_ids"), F.count_if(F.col("source") == "src1").alias("in_chunk"))
+    return C.unique(texts(spark, d), ["text_id"]).agg(F.count("*").alias("n"), F.count_distinct("text_id").alias("n_ids"), F.count_if(F.col("source") == "src1").alias("in_chunk"))
 
 
 @query(T + "SELECT source, row_number() OVER (PARTITION BY source ORDER BY text_id) AS nth, text_id FROM t")

@@ -115,9 +115,39 @@ def _both(spark, d):
     return L.labelled(w), L.trimmed(w)
 
 
-@query()
-def printed_differences(spark, d):
-    """Every conflict group as a printed block."""
+def _shown(start: str, end: str) -> str:
+    return f"replace(substr(text, greatest({start}, 0) + 1, greatest({end}, 0) - greatest({start}, 0)), chr(10), chr(92) || 'n')"
+
+
+def _block(*lines: str) -> str:
+    """SQL of a block: each group of these layers has one span on either side."""
+    head = "'  ' || CASE category WHEN '' THEN '' ELSE category || '::' END || 'doc_' || i.text_id || '::' || global_id"
+    parts = ", ".join(["repeat('=', 85)", "''", head, "''", *lines, "''", "''"])
+    return GROUPS_SQL + f"""SELECT i.text_id, global_id, array_to_string([{parts}], chr(10)) AS block FROM i JOIN pairs ON pairs.text_id = i.text_id AND least(a_start, b_start) = i.start JOIN t ON t.text_id = i.text_id"""
+
+
+def _beside(v: str) -> str:
+    return f"' {v}   ...' || {_shown(f'{v}_start - 40', f'{v}_start')} || '{{' || {_shown(f'{v}_start', f'{v}_end')} || '}} /' || {v}_label || {_shown(f'{v}_end', f'{v}_end + 40')} || '...'"
+
+
+_AFTER = [_shown(f"{v}_end", f"{v}_end + 70") for v in "ab"]
+_STACKED = ["'     ...' || " + _shown("a_start - 70", "a_start"), "repeat('-', 25)"] + [x for v in "ab" for x in (f"' {v}   ' || {_shown(f'{v}_start', f'{v}_end')} || ' // ' || {v}_label", "repeat('-', 25)")]
+_STACKED.append(f"'     ' || {_AFTER[0]} || '...' || CASE WHEN {_AFTER[0]} = {_AFTER[1]} THEN '' ELSE ' ***' END")
+
+
+def _printed(spark, d, form):
     pairs = D.conflicts(*_both(spark, d))
     named = texts(spark, d).select("text_id", F.coalesce("source", F.lit("")).alias("category"), F.concat(F.lit("doc_"), F.col("text_id")).alias("file"), "text")
-    return layout.printed(named, pairs, numbered_groups(spark, d, pairs))
+    return layout.printed(named, pairs, numbered_groups(spark, d, pairs), form=form)
+
+
+@query(with_words(_block(_beside("a"), _beside("b")), LAYERS_SQL))
+def printed_differences(spark, d):
+    """Every conflict group as a printed block, a line per version."""
+    return _printed(spark, d, "vertical")
+
+
+@query(with_words(_block(*_STACKED), LAYERS_SQL))
+def stacked_differences(spark, d):
+    """Every conflict group as a printed block, a line per span."""
+    return _printed(spark, d, "horizontal")

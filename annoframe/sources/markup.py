@@ -131,6 +131,14 @@ def text_types(found: DataFrame) -> DataFrame:
     return found.select(F.col("meta")["id"].alias("id"), F.col("meta")["texttype"].alias("texttype")).where("id is not null")
 
 
+def covered(types: DataFrame, wanted: DataFrame) -> DataFrame:
+    """types: id, texttype; wanted: id.  The type of each wanted id; one that has none is an error."""
+    there = types.groupBy("id").agg(F.first("texttype").alias("texttype"), F.lit(True).alias("there"))
+    said = F.concat(F.lit("no text type for "), F.col("id"))
+    met = wanted.select("id").distinct().join(there, "id", "left")
+    return met.where(F.assert_true(F.col("there").isNotNull(), said).isNull()).select("id", "texttype")
+
+
 TEI_SCHEMA = "_id string, _src string, p array<struct<s: array<string>>>"
 TEI_WORDS_SCHEMA = "_id string, _src string, p array<struct<s: array<struct<w: array<string>>>>>"
 

@@ -68,8 +68,19 @@ def test_printed(spark):
     pairs = spark.createDataFrame([(1, 4, 8, "x", 4, 7, "y")], "text_id long, a_start long, a_end long, a_label string, b_start long, b_end long, b_label string")
     groups = diff.conflict_groups(pairs).withColumn("global_id", F.lit(5).cast("long"))
     named = spark.createDataFrame([(1, "cat", "file", text)], "text_id long, category string, file string, text string")
-    block = layout.printed(named, pairs, groups, ("first", "b"), 3).first().block
-    assert block == "=" * 85 + "\n\n  cat::file::5\n\n first   ...ne {two.} /x\\nth...\n b       ...ne {two} /y.\\nt...\n\n"
+    block = layout.printed(named, pairs, groups, ("first", "b")).first().block
+    assert block == "=" * 85 + "\n\n  cat::file::5\n\n first   ...one {two.} /x\\nthree...\n b       ...one {two} /y.\\nthree...\n\n"
+    block = layout.printed(named, pairs, groups, ("first", "b"), "horizontal").first().block
+    thin = "-" * 25
+    assert block == "=" * 85 + f"\n\n  cat::file::5\n\n         ...one \n{thin}\n first   two. // x\n{thin}\n b       two // y\n{thin}\n         \\nthree... ***\n\n"
+
+
+def test_layouts_of_odd_groups():
+    text, thin = "aa bb cc dd", "-" * 25
+    both = {"x": [(0, 2, "A"), (6, 8, "C")], "y": []}
+    assert layout.beside(text, both, (0, 8), 3) == [" x   ...{aa} /A bb {cc} /C dd...", " y   ...aa bb cc dd..."]
+    assert layout.stacked(text, both, (0, 8), 3) == ["     ...", thin, " x   aa // A", "      bb ", " x   cc // C", thin, " y   ", thin, "      dd... ***"]
+    assert layout.stacked(text, {"x": [], "y": [(3, 5, "B")]}, (2, 5), 3)[0] == "     *** ...aa "
 
 
 def test_clustered_table_keeps_rows(spark):
