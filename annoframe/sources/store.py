@@ -11,9 +11,12 @@ _OWN: list[str] = []
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A folder name not yet used, below spark.checkpoint.dir; below a folder of our own only where that is unset."""
+    """A folder name not yet used, below spark.checkpoint.dir; below a folder of our own only where that is unset and
+    everything runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", "")
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _OWN:
             _OWN.append("file://" + tempfile.mkdtemp(prefix="annoframe-"))
         root = _OWN[0]
