@@ -155,6 +155,12 @@ def chunk_key(file: Column, doc: Column, par: Column | None = None, sent: Column
     return F.concat_ws(":", file, *[c.cast("string") for c in (doc, par, sent) if c is not None])
 
 
+def with_metadata(parts: DataFrame, meta: DataFrame, minimal: list[str] | None = None) -> DataFrame:
+    """Parts of documents with their document's metadata (text_id, meta): all of it, or the fields of a minimal list."""
+    own = F.col("meta") if minimal is None else F.map_filter("meta", lambda k, _: k.isin(*minimal))
+    return parts.join(meta.select("text_id", own.alias("meta")), "text_id", "left")
+
+
 def append_missing(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """New rows whose key the old table lacks."""
     return new.join(old.select(*key), key, "left_anti")

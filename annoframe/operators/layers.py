@@ -290,6 +290,20 @@ def fingerprint(tokens: Column) -> Column:
     return F.sha2(python_list(tokens), 256)
 
 
+def known_fingerprints(hashed: DataFrame, known: DataFrame) -> DataFrame:
+    """hashed, known: text_id, sha256 (and more).  The same rows as hashed; a sentence whose fingerprint the other side of its
+    text lacks is an error."""
+    there = known.select("text_id", "sha256").distinct().withColumn("there", F.lit(True))
+    said = F.concat(F.lit("sentence is not known in text "), F.col("text_id").cast("string"))
+    met = hashed.join(there, ["text_id", "sha256"], "left").where(F.assert_true(F.col("there").isNotNull(), said).isNull())
+    return met.select(*hashed.columns)
+
+
+def only_fields(layer: DataFrame, fields: list[str], kept: list[str], instead: str = "_") -> DataFrame:
+    """A layer as input for an annotator that may see some of its fields only: the others hold `instead`."""
+    return layer.select(*[F.lit(instead).alias(c) if c in fields and c not in kept else F.col(c) for c in layer.columns])
+
+
 def token_places(texts: DataFrame, tokens: DataFrame) -> DataFrame:
     """tokens: text_id, id (in order), token.  Adds start, end and ok: whether the token stands at its place in the text
     when spaces and line ends are skipped.  A token lies in the run of the text whose count of earlier characters is the

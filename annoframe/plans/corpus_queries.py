@@ -205,6 +205,24 @@ def document_parts(spark, d):
     return met.select(key.alias("key"), "text_id", "sent_start", "sent_end", "para_start", F.md5("text").alias("md5"))
 
 
+@query(with_sentences(""", l AS (SELECT text_id, source, lang, count(*) AS n FROM sentences JOIN t USING (text_id) GROUP BY ALL)
+SELECT text_id, n, 'minimal' AS kind, CASE WHEN source IS NULL THEN '' ELSE 'src' END AS fields FROM l UNION ALL SELECT text_id, n, 'complete', 'id' || CASE WHEN lang IS NULL THEN '' ELSE ',lang' END || CASE WHEN source IS NULL THEN '' ELSE ',src' END FROM l"""))
+def fragment_metadata(spark, d):
+    """Fragments of documents with minimal and with complete metadata: how many, and which fields they have."""
+    t = texts(spark, d)
+    meta = C.metadata(t).select("text_id", F.map_filter("meta", lambda _, v: v.isNotNull()).alias("meta"))
+    parts = L.fragments(t).select("text_id", "sent_nr")
+    each = lambda kind, minimal: C.with_metadata(parts, meta, minimal).groupBy("text_id").agg(F.count("*").alias("n"), F.first(F.array_join(F.array_sort(F.map_keys("meta")), ",")).alias("fields")).select("text_id", "n", F.lit(kind).alias("kind"), "fields")
+    return each("minimal", ["src"]).union(each("complete", None))
+
+
+@query(with_words(" SELECT text_id, word_id, '_' AS lemma, CASE WHEN length(token) % 2 = 0 THEN 'S' ELSE 'V' END AS pos, '_' AS form FROM words"))
+def pos_only_words(spark, d):
+    """Words as an annotator sees them that may read parts of speech only."""
+    layer = words(spark, d).select("text_id", "word_id", F.lower("token").alias("lemma"), F.when(F.length("token") % 2 == 0, "S").otherwise("V").alias("pos"), F.col("token").alias("form"))
+    return L.only_fields(layer, ["lemma", "pos", "form"], ["pos"])
+
+
 @query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS para_nr, CAST(coalesce(sum(length(text) + 2) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM conversations")
 def numbered_fragments(spark, d):
     w = Window.partitionBy("conv_id").orderBy("turn")
