@@ -93,16 +93,19 @@ def best_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
     """a: a_id, words; b: b_id, words (arrays of distinct words).  For each b, the a that shares most words with it, if any
     and all but two of the smaller set; the least a_id of equals.
 
-    Whatever three words of the smaller set are taken, one of them must be shared, so the three rarest of either side
-    find all partners."""
-    wa, wb = (x.select(i, F.explode("words").alias("word")) for x, i in ((a, "a_id"), (b, "b_id")))
+    Whatever three words of the smaller set are taken, one of them must be shared, so the three rarest of each set meet the
+    sets that are at least as large.  A word's sets are told apart by size before any pair is made."""
+    wa, wb = (x.select(i, F.size("words").alias("n"), F.explode("words").alias("word")) for x, i in ((a, "a_id"), (b, "b_id")))
     rarity = wa.select("word").union(wb.select("word")).groupBy("word").agg(F.count("*").alias("freq"))
 
     def rarest(x: DataFrame, i: str) -> DataFrame:
         nth = F.row_number().over(Window.partitionBy(i).orderBy("freq", "word"))
-        return x.join(rarity, "word").withColumn("nth", nth).where("nth <= 3").select(i, "word")
+        return x.join(rarity, "word").withColumn("nth", nth).where("nth <= 3").select(i, F.col("n").alias("least"), "word")
 
-    found = rarest(wa, "a_id").join(wb, "word").select("a_id", "b_id").union(wa.join(rarest(wb, "b_id"), "word").select("a_id", "b_id")).distinct()
+    larger = F.col("n") >= F.col("least")
+    by_a = rarest(wa, "a_id").join(wb, "word").where(larger).select("a_id", "b_id")
+    by_b = wa.join(rarest(wb, "b_id"), "word").where(larger).select("a_id", "b_id")
+    found = by_a.union(by_b).distinct()
     met = found.join(a.select("a_id", F.col("words").alias("w_a")), "a_id").join(b.select("b_id", F.col("words").alias("w_b")), "b_id")
     met = met.withColumn("common", F.size(F.array_intersect("w_a", "w_b")).cast("long"))
     met = met.where((F.col("common") > 0) & (F.col("common") + 2 >= F.least(F.size("w_a"), F.size("w_b"))))
