@@ -52,7 +52,7 @@ class DigestIndex:
             stored = None
         if stored and buckets and stored != buckets:
             raise ValueError(f"the index has {stored} buckets, not {buckets}")
-        self.buckets = stored or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = stored or buckets or min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions")))  # Spark's limit
         if not stored:
             spark.range(1).select(F.lit(self.buckets).cast("int").alias("buckets")).write.parquet(f"{self.path}/buckets")
         spark.sql(f"CREATE TABLE {self.table} ({ROWS}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}/rows'")
