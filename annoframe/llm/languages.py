@@ -87,10 +87,11 @@ def count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit(train: DataFrame, smooth: float = 0.5) -> tuple[list[str], np.ndarray]:
     """Languages in order of their code, and log-probabilities (bucket, language)."""
     counts = train.where("lang is not null and text is not null").select("text", "lang").mapInArrow(count_languages, "lang string, bucket long, n long")
-    rows = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()  # languages x BUCKETS at most
-    langs = sorted(rows["lang"].unique())
+    rows = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # languages x BUCKETS at most
+    langs = sorted(set(rows.column("lang").to_pylist()))
     sums = np.zeros((BUCKETS, len(langs)))
-    sums[rows["bucket"].to_numpy(np.int64), np.searchsorted(langs, rows["lang"].to_numpy(str)) if langs else []] = rows["n"].to_numpy(float)
+    place = {lang: k for k, lang in enumerate(langs)}
+    sums[rows.column("bucket").to_numpy(), np.array([place[x] for x in rows.column("lang").to_pylist()], np.int64)] = rows.column("n").to_numpy()
     return langs, (np.log(sums + smooth) - np.log(sums.sum(0) + smooth * BUCKETS)).astype(np.float32)
 
 

@@ -242,8 +242,9 @@ def counted(train: DataFrame) -> Counts:
 
 def vocabulary(counts: Counts, common: int, depth: int | None = None) -> tuple[Vocabulary, np.ndarray, np.ndarray]:
     """The classes; hashes (sorted) and counts of the `common` most frequent words, the end among them."""
-    top = counts.table.orderBy(F.desc("c"), "h").select("h", "tail", "c").limit(common).toPandas()
-    h, tail, c = top["h"].to_numpy(np.int64).view(np.uint64), top["tail"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
+    top = counts.table.orderBy(F.desc("c"), "h").select("h", "tail", "c").limit(common).toArrow()
+    h, tail, c = (top.column(x).to_numpy().astype(np.int64) for x in ("h", "tail", "c"))
+    h = h.view(np.uint64)
     if END not in h:  # a word of its own even if rare
         row = counts.table.where("h = 0").select("c").first()
         h, tail, c = np.insert(h, 0, END), np.insert(tail, 0, 0), np.insert(c, 0, row.c if row else 0)
@@ -255,9 +256,10 @@ def vocabulary(counts: Counts, common: int, depth: int | None = None) -> tuple[V
     leaf = F.col("tail").cast("long")
     for k in range(depth - 1):
         leaf = leaf * BRANCH + F.shiftrightunsigned("h", BITS * k).bitwiseAND(F.lit(BRANCH - 1))
-    sums = counts.table.groupBy(leaf.alias("leaf")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).toPandas()  # about sqrt(v) rows
+    sums = counts.table.groupBy(leaf.alias("leaf")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).toArrow()  # about sqrt(v) rows
     n = np.zeros((2, TAILS * BRANCH ** (depth - 1)))
-    n[:, sums["leaf"].to_numpy(np.int64)] = sums[["n", "v"]].to_numpy(float).T
+    for k, x in enumerate(("n", "v")):
+        n[k, sums.column("leaf").to_numpy()] = sums.column(x).to_numpy()
     own = tail[head]
     for k in range(depth - 1):
         own = own * BRANCH + ((h[head] >> np.uint64(BITS * k)).astype(np.int64) & (BRANCH - 1))
@@ -287,10 +289,12 @@ def train(docs: DataFrame, v: Vocabulary, rounds: int = 3, workers: int | None =
     for k in range(rounds):
         fold = docs.where(F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(rounds)) == k).select("text").coalesce(workers)
         means = [(F.sum(f"w{j}") / F.sum("n")).cast("float").alias(f"w{j}") for j in range(BRANCH)]
-        got = fold.mapInArrow(trainer(v, w, rate, damping), CHANGES).groupBy("layer", "row").agg(*means).toPandas()  # WEIGHT_ROWS at most
+        got = fold.mapInArrow(trainer(v, w, rate, damping), CHANGES).groupBy("layer", "row").agg(*means).toArrow()  # WEIGHT_ROWS at most
+        layers, rows = got.column("layer").to_numpy(), got.column("row").to_numpy()
         for layer in range(2):
-            part = got[got["layer"] == layer]
-            w[layer][part["row"].to_numpy(np.int64)] += part[[f"w{j}" for j in range(BRANCH)]].to_numpy(np.float32)
+            own = layers == layer
+            for j in range(BRANCH):
+                w[layer][rows[own], j] += got.column(f"w{j}").to_numpy()[own]
     return w
 
 

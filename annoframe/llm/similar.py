@@ -82,8 +82,8 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
                 yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
     counts = part.select("text").mapInArrow(counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN)
-    top = counts.orderBy(F.desc("n"), "h").limit(LISTED).toPandas()
-    h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    top = counts.orderBy(F.desc("n"), "h").limit(LISTED).toArrow()
+    h, n = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(h)
     return h[order], n[order]
 
