@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from annoframe.operators import annotate as A
 from annoframe.operators import entities as E
 from annoframe.operators import layers as L
-from annoframe.plans.base import LAYERS_SQL, SHAPE_SQL, query, texts, with_words, words
+from annoframe.plans.base import LAYERS_SQL, SHAPE_SQL, WORDS_SQL, query, texts, with_words, words
 
 #: Entities: the first three letters of words that start with a capital; tokens: words in pieces of three.
 ENTITIES_SQL = r"""
@@ -71,13 +71,30 @@ def projected_words(spark, d):
     return E.projected(words(spark, d).select("text_id", "start", "end"), tokens.select("text_id", "start", "end", F.coalesce("first", F.lit("I")).alias("label")))
 
 
-@query()
+#: Batches of at most 1750 characters by recursion: where one ends, and where the next begins.
+_WHITE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_STOP = "CASE WHEN n < 1750 THEN n WHEN length(s) > length(regexp_extract(s, '[^.!?]*$')) THEN a + 2 + length(s) - length(regexp_extract(s, '[^.!?]*$')) ELSE least(a + 1750, n) END"
+_CUT = "SELECT *, substr(x, a + 3, greatest(least(a + 1750, n) - a - 2, 0)) AS s FROM"
+BATCHES_SQL = f"""WITH RECURSIVE d AS (SELECT doc_id AS text_id, source, coalesce(text, '') AS x, length(coalesce(text, '')) AS n FROM documents),
+r AS (SELECT text_id, n, CAST(0 AS BIGINT) AS a, CAST({_STOP} AS BIGINT) AS stop FROM ({_CUT} (SELECT *, CAST(0 AS BIGINT) AS a FROM d))
+  UNION ALL SELECT text_id, n, a, CAST({_STOP} AS BIGINT) FROM ({_CUT} (SELECT r.text_id, r.n, x, CASE WHEN stop + length(regexp_extract(substr(x, stop + 1), '^{_WHITE}*')) < r.n THEN stop + length(regexp_extract(substr(x, stop + 1), '^{_WHITE}*')) ELSE stop END AS a FROM r JOIN d ON d.text_id = r.text_id WHERE stop < r.n))),
+"""
+
+
+@query(BATCHES_SQL.rstrip().rstrip(",") + ' SELECT text_id, a AS start, stop AS "end" FROM r')
 def character_budget_batches(spark, d):
-    """Batches of at most 1750 characters (tested against the plain loop)."""
+    """Batches of at most 1750 characters."""
     return A.budget_batches(texts(spark, d), 1750)
 
 
-@query()
+OVER_SQL = BATCHES_SQL + WORDS_SQL.strip() + """
+b AS (SELECT *, unnest(range(a // 256, greatest(stop - 1, a) // 256 + 1)) AS k FROM r), w AS (SELECT text_id, start, "end" AS e, unnest(range(start // 256, ("end" - 1) // 256 + 1)) AS k FROM words),
+m AS (SELECT DISTINCT b.text_id, a, w.start FROM b JOIN w ON w.text_id = b.text_id AND w.k = b.k AND w.start < stop AND a < e),
+c AS (SELECT text_id, a, count(*) AS n FROM m GROUP BY 1, 2)
+SELECT source, count(*) AS batches, count(*) FILTER (n > 300) AS over_limit, CAST(sum(greatest(n - 300, 0)) AS BIGINT) AS words_lost, round(sum(greatest(n - 300, 0)) * 100 / sum(n), 4) AS pct FROM c JOIN t USING (text_id) GROUP BY source"""
+
+
+@query(OVER_SQL)
 def over_limit_batches(spark, d):
     """Batches with more words than a model takes, by source: batches, words past the limit, share of all words."""
     limit = 300
