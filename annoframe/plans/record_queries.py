@@ -340,8 +340,10 @@ def spans_without_gaps(spark, d):
     return L.cut_out(s, texts(spark, d)).drop("label")
 
 
-@query()
+@query(with_words(""", b AS (SELECT text_id, (word_id - 1) // 2 AS k, min(start) AS start, max("end") AS "end", count(*) AS n FROM words GROUP BY 1, 2)
+SELECT text_id, row_number() OVER (PARTITION BY text_id ORDER BY start) AS grp, start, "end", n AS n_pairs FROM b WHERE n > 1"""))
 def linked_conflict_groups(spark, d):
-    """Conflict groups by the rule for layers whose own spans may overlap (tested against a plain loop)."""
+    """Words against pairs of words: the conflicts of a pair share it, and so are one group."""
     w = words(spark, d)
-    return D.linked_groups(D.conflicts(L.labelled(w), L.trimmed(w)))
+    pairs = w.groupBy("text_id", F.expr("(word_id - 1) div 2").alias("k")).agg(F.min("start").alias("start"), F.max("end").alias("end")).select("text_id", "start", "end", F.lit("pair").alias("label"))
+    return D.linked_groups(D.conflicts(L.labelled(w), pairs))
