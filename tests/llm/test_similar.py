@@ -68,3 +68,34 @@ def test_ids_and_empty_tables(spark):
     docs = spark.createDataFrame(rows, KIND)
     assert sorted(r.text for r in similar.keep_one(docs).collect()) == sorted(rows[k][1] for k in (0, 1, 3))
     assert similar.keep_one(docs.where(F.lit(False))).count() == 0
+
+
+def test_texts_that_only_share_a_passage_are_not_paired(spark, monkeypatch):
+    """120 texts of a passage and a few words of their own each: 7,140 pairs, below the similarity."""
+    rng = random.Random(3)
+    passage = " ".join(f"p{k}" for k in range(50))
+    texts = [passage + " " + " ".join(f"own{rng.randrange(10**9)}" for _ in range(rng.randint(7, 12))) for _ in range(120)]
+    texts += [texts[0] + " end", "first " + texts[1]]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], KIND).repartition(3)
+    met, verified = [], similar.verified
+    monkeypatch.setattr(similar, "verified", lambda pairs, *a: met.append(pairs.count()) or verified(pairs, *a))
+    assert similar.keep_one(docs).count() == 120
+    assert sum(met) < 300
+
+
+def test_places_lose_no_pair():
+    """Of random sets that are similar, the first shared element's places allow it."""
+    from pyspark.sql import SparkSession
+
+    rng, rows = random.Random(7), []
+    for _ in range(3000):
+        n, swap = rng.randint(1, 60), rng.randint(0, 8)
+        a = sorted(rng.sample(range(1000), n))
+        b = sorted((set(a) - set(rng.sample(a, min(n, swap)))) | set(rng.sample(range(1000), rng.randint(0, 6)))) or [0]
+        x, y = set(a), set(b)
+        if len(x & y) >= 0.8 * len(x | y) - 1e-9:
+            first = min(x & y)
+            rows.append((len(a), a.index(first), len(b), b.index(first)))
+            assert a.index(first) <= len(a) - similar.shared_least(len(a), 0.8) and b.index(first) <= len(b) - similar.shared_least(len(b), 0.8)
+    frame = SparkSession.getActiveSession().createDataFrame(rows, "n long, i long, m long, j long")
+    assert frame.where(~similar.go_together(*map(F.col, "nimj"), 0.8)).count() == 0 and len(rows) > 300
