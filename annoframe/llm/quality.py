@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, cut, kth_largest, unit_hash, whole_row
 from .hashing import WORDS_AND_MARKS, hashed_tokens, mix, slices
+from .tokens import forget
 
 BUCKETS = 1 << 14
 PAIR = np.uint64(0xD6E8FEB86659FD93)
@@ -63,6 +64,7 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of a task's buckets by language: of all texts, and of the texts labelled good."""
+    forget()
     counts: dict[str | None, np.ndarray] = {}
     for batch in batches:
         good = np.array(batch.column("good").fill_null(0).to_pylist(), bool)

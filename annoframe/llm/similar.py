@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 from .common import arrow_schema, components, cut, sent_if_small, stored
 from .hashing import hashed_tokens, mix, slices
 from .simhash import LONG, SHORT, cost, keep_least, links
+from .tokens import forget
 
 K = np.uint64(0xC13FA9A902A6328F)
-SAMPLE, LISTED, SEEN = 50_000, 1 << 18, 3
+SAMPLE, LISTED, SEEN = 8_000, 1 << 17, 3  # texts sampled; shingles known to be common, at most; texts that one of those is in
 BITS = 4  # that linked fingerprints differ in
 
 
@@ -93,6 +94,7 @@ def nodes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
     listed, counts = common_shingles(docs, width)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for a, b, texts in slices(batch.column("text"), size=1 << 20):
                 name, size, fp, prefix = [], [], [], []

@@ -31,6 +31,11 @@ def memo(path: str, keeps_space: bool, capacity: int = 1_000_000) -> "ChunkMemo"
     return _MEMO[path]
 
 
+def forget() -> None:
+    """Let a worker's memos go; called by stages without tokenizers that share its workers with one that has them."""
+    _MEMO.clear()
+
+
 class Known(dict):
     """Ids by chunk.  A chunk that it lacks is noted in `new` and gets a place to be filled."""
 
