@@ -46,7 +46,7 @@ BRANCH, FREQUENT = 32, 16
 BITS = 5  # of a digit
 HEAD = FREQUENT * BRANCH  # words with a path of their own
 TAILS = BRANCH - FREQUENT
-ROWS1, ROWS2 = 1 << 14, 1 << 16  # weight rows of each feature of the first digit, and of later ones; 16-bit numbers sort fast
+ROWS1, ROWS2 = 1 << 14, 1 << 15  # weight rows of each feature of the first digit, and of later ones; 16-bit numbers sort fast
 WEIGHT_ROWS = 3 * ROWS1 + 2 * ROWS2
 END = np.uint64(0)
 BEFORE = np.uint64(1)  # stands before the first word
