@@ -3,7 +3,8 @@ shingles have a Jaccard similarity of 0.8 or more.
 
 Majority-bit fingerprints of two such texts differ in about 10 of 64 bits at 0.8, often in more, which is beyond what small
 Hamming balls reach.  So the links that `simhash` finds among the texts' fingerprints come first and unite most copies, and
-a join that loses no pair finds what they leave.  Every link is verified on the whole sets.
+a join that loses no pair finds what they leave.  Every link is verified on the whole sets,
+after a bound from short sketches has left out most other pairs.
 
 The join: shingles have one order, rare ones first, hashes among equals.  Of two sets of similarity t or more, the first
 shingle that they share is among the first n - ceil(t n) + 1 of each (n its size), so only those are indexed, with their
@@ -38,8 +39,9 @@ from .simhash import LONG, SHORT, cost, keep_least, links
 from .tokens import forget
 
 K = np.uint64(0xC13FA9A902A6328F)
-SAMPLE, LISTED, SEEN = 8_000, 1 << 17, 3  # texts sampled; shingles known to be common, at most; texts that one of those is in
+SAMPLE, LISTED, SEEN = 20_000, 1 << 17, 3  # texts sampled; shingles known to be common, at most; texts that one of those is in
 BITS = 4  # that linked fingerprints differ in
+SKETCH = 128  # classes of hashes that a set's elements are counted by
 
 
 def shingles_of(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
@@ -90,38 +92,45 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def nodes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """doc_id, own, node (hash of the set), n (its size), fp, prefix (the shingles to index, in order) of every row."""
+    """doc_id, own, node (hash of the set), n (its size), fp, sketch (elements by class), prefix (the shingles to index, in
+    order) of every row."""
     listed, counts = common_shingles(docs, width)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         for batch in batches:
             for a, b, texts in slices(batch.column("text"), size=1 << 20):
-                name, size, fp, prefix = [], [], [], []
+                name, size, fp, sketch, prefix = [], [], [], [], []
                 for h in shingles_of(texts, width):
                     fp.append(majority(h))
                     h = np.unique(h)
                     name.append(xxhash.xxh64_intdigest(h.tobytes(), 7))
                     size.append(len(h))
+                    sketch.append(np.bincount((h >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH))
                     most = len(h) - shared_least(len(h), similarity) + 1 if len(h) else 0
                     if len(listed):
                         place = np.minimum(np.searchsorted(listed, h), len(listed) - 1)
                         h = h[np.argsort(np.where(listed[place] == h, counts[place], 0), kind="stable")]
                     prefix.append(h[:most])
-                columns = [pa.array(np.array(name, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), lists(prefix)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], batch.column("own")[a:b], *columns], names=["doc_id", "own", "node", "n", "fp", "prefix"])
+                columns = [pa.array(np.array(name, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), lists(sketch), lists(prefix)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], batch.column("own")[a:b], *columns], names=["doc_id", "own", "node", "n", "fp", "sketch", "prefix"])
 
-    return docs.select("doc_id", "own", "text").mapInArrow(of, arrow_schema(docs, "doc_id, own", "node long, n long, fp long, prefix array<long>"))
+    return docs.select("doc_id", "own", "text").mapInArrow(of, arrow_schema(docs, "doc_id, own", "node long, n long, fp long, sketch array<long>, prefix array<long>"))
 
 
 def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are that similar."""
+    """The pairs (a, b) of nodes whose whole sets are that similar.  Two sets share no more than the lesser counts of each class
+    of their sketches add up to; only pairs that this leaves open are looked at as a whole."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in slices(batch.column("text"), size=1 << 20):
                 yield pa.RecordBatch.from_arrays([batch.column("node")[a:b], lists([np.unique(h) for h in shingles_of(texts, width)])], names=["node", "shingles"])
 
+    sketches = rows.dropDuplicates(["node"]).select("node", "n", "sketch")
+    open_ = pairs.join(sketches.toDF("a", "n", "of_a"), "a").join(sketches.toDF("b", "m", "of_b"), "b")
+    most = F.aggregate(F.zip_with("of_a", "of_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda acc, x: acc + x)
+    pairs = cut(open_.where(most >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("m")) - F.lit(1e-9)).select("a", "b"))
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     one = sent_if_small(cut(rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min("own").alias("own"))))
     texts = docs.select("own", "text").join(one, "own").dropDuplicates(["node"]).select("node", "text")
