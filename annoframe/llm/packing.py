@@ -39,7 +39,7 @@ from .tokens import memo, tokenizer_path
 
 WINDOW, PIECE = 4096, 1024
 STRETCH = 64  # rounds laid out by one group
-CHUNKS = 400_000  # of text that a worker remembers; it keeps them while other stages run
+CHUNKS = 1_000_000  # of text that a worker remembers, until a stage without tokenizers lets them go
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int, wide: int) -> DataFrame:
