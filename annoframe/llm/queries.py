@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest_index, languages, maxent, mixing, packing, quality, secrets, simhash, transport_stream, wavelet
+from . import digest_index, languages, maxent, mixing, packing, quality, secrets, sentencepieces, simhash, transport_stream, wavelet
 from .common import documents, stored
 
 
@@ -80,5 +80,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_transport_stream, op3_source_mixing, op4_wavelet_tokens, op5_simhash_groups, op6_language_mixture, op7_mixture_packing, op8_maxent_scores, op9_digest_index, op10_secret_scan)}
+def op13_sentencepiece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null text counts as empty: no ids, and the hashes of the empty string."""
+    rows = sentencepieces.encoded(documents(spark, sf_dir))
+    ids = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_transport_stream, op3_source_mixing, op4_wavelet_tokens, op5_simhash_groups, op6_language_mixture, op7_mixture_packing, op8_maxent_scores, op9_digest_index, op10_secret_scan, op13_sentencepiece_agenda)}
 ORACLES = {"op3_source_mixing": OP3_SQL, "op9_digest_index": OP9_SQL}
