@@ -13,7 +13,8 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_matches_sql(spark, name):
     c = duckdb.connect()
-    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for table in ("documents", "embeddings", "conversations"):
+        c.sql(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     want = c.sql(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, FOLDER).toPandas()[list(want.columns)]
     plain = lambda f: sorted(tuple(f"{v:.6g}" if isinstance(v, float) else str(v) for v in r) for r in f.itertuples(index=False))
