@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest_index, languages, maxent, mixing, packing, quality, repair, secrets, sentencepieces, simhash, transport_stream, wavelet
+from . import digest_index, languages, maxent, mixing, negatives, packing, quality, repair, secrets, sentencepieces, simhash, transport_stream, wavelet
 from .common import documents, stored
 
 
@@ -80,6 +80,23 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("label", label))
+
+
+OP11_SQL = """
+WITH v AS (SELECT row_number() OVER () AS own, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.own AS a_own, a.vec_id AS anchor_id, b.own AS b_own, b.vec_id AS id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda x: coalesce(x[1] * x[2], 0))) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.own <> b.own AND a.vec_id % 100 = 0),
+p AS (SELECT a_own, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY a_own ORDER BY score DESC, id NULLS LAST) AS nth FROM s WHERE same QUALIFY nth <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.a_own, nth ORDER BY s.score DESC, s.id NULLS LAST) AS rank
+  FROM p JOIN s ON p.a_own = s.a_own AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score QUALIFY rank <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n
+"""
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nulls count as one space, null turns come first, a null conv_id is a conversation."""
     conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
@@ -127,5 +144,5 @@ def op13_sentencepiece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_transport_stream, op3_source_mixing, op4_wavelet_tokens, op5_simhash_groups, op6_language_mixture, op7_mixture_packing, op8_maxent_scores, op9_digest_index, op10_secret_scan, op12_conversation_repair, op13_sentencepiece_agenda)}
-ORACLES = {"op3_source_mixing": OP3_SQL, "op9_digest_index": OP9_SQL, "op12_conversation_repair": OP12_SQL}
+QUERIES = {f.__name__: f for f in (op1_quality_resampling, op2_transport_stream, op3_source_mixing, op4_wavelet_tokens, op5_simhash_groups, op6_language_mixture, op7_mixture_packing, op8_maxent_scores, op9_digest_index, op10_secret_scan, op11_hard_negatives, op12_conversation_repair, op13_sentencepiece_agenda)}
+ORACLES = {"op3_source_mixing": OP3_SQL, "op9_digest_index": OP9_SQL, "op11_hard_negatives": OP11_SQL, "op12_conversation_repair": OP12_SQL}
