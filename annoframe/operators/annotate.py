@@ -6,20 +6,43 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Span = tuple[int, int, str]
 Annotator = Callable[[str], list[Span]]
+_MODELS: dict[str, object] = {}
 SPANS = "array<struct<start:bigint,end:bigint,label:string>>"
 
 
-def annotate(texts: DataFrame, make: Callable[[], Annotator]) -> DataFrame:
-    """text_id, spans, error of every text.  `make` runs once per task and gives the function for one text; where that
-    fails, the text gets no spans and the error's text, and the run goes on.  Null text is empty."""
+def worker_model(model: str | None, make: Callable[[], object]) -> object:
+    """What `make` gives, made once in the life of a worker for each name of a model; without a name, anew."""
+    if model is None:
+        return make()
+    if model not in _MODELS:
+        _MODELS[model] = make()
+    return _MODELS[model]
+
+
+def shipped(spark: SparkSession, path: str) -> str:
+    """Have Spark send a model's file or folder, which the driver can read, to all executors; the name by which
+    `shipped_path` finds it there."""
+    spark.sparkContext.addFile(path, recursive=True)
+    return path.rstrip("/").rpartition("/")[2]
+
+
+def shipped_path(name: str) -> str:
+    return SparkFiles.get(name)
+
+
+def annotate(texts: DataFrame, make: Callable[[], Annotator], model: str | None = None) -> DataFrame:
+    """text_id, spans, error of every text.  `make` gives the function for one text; where that fails, the text gets no spans
+    and the error's text, and the run goes on.  With the name of a model, `make` runs once per Python worker, which keeps
+    what it gives for all tasks and queries that name that model; else once per task.  Null text is empty."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        annotator = make()
+        annotator = worker_model(model, make)
         for batch in batches:
             spans, errors = [], []
             for text in batch["text"]:
@@ -34,12 +57,12 @@ def annotate(texts: DataFrame, make: Callable[[], Annotator]) -> DataFrame:
     return texts.select("text_id", "text").mapInPandas(run, f"text_id long, spans {SPANS}, error string")
 
 
-def annotate_with_status(texts: DataFrame, make: Callable[[], Callable[[str], tuple[list[Span], dict[str, str]]]]) -> DataFrame:
+def annotate_with_status(texts: DataFrame, make: Callable[[], Callable[[str], tuple[list[Span], dict[str, str]]]], model: str | None = None) -> DataFrame:
     """text_id, spans, status of every text, where a text's function gives spans and a status that is kept as metadata.
-    After an error there are no spans and the status holds `error`.  Null text is empty."""
+    After an error there are no spans and the status holds `error`.  model: as in `annotate`.  Null text is empty."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mapper = make()
+        mapper = worker_model(model, make)
         for batch in batches:
             out = []
             for text_id, text in batch[["text_id", "text"]].itertuples(index=False, name=None):

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from difflib import SequenceMatcher
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -207,21 +211,58 @@ def carried(source: DataFrame, target: DataFrame, layer: DataFrame) -> DataFrame
     return met.join(layer, met["from_id"] == layer["text_id"]).select(F.col("to_id").alias("text_id"), "from_id", "start", "end", "label")
 
 
-def near_copies(t: DataFrame) -> DataFrame:
-    """Texts that share file and first ten characters with an earlier text, the first of the key: shared lines over all
-    lines of the two, near from 0.7, far from 0.1, exact at 1."""
-    k = t.where("text is not null").select("text_id", F.concat_ws("||", "source", F.substring("text", 1, 10)).alias("key"), "text")
+def _candidates(t: DataFrame, title: str | None) -> tuple[DataFrame, DataFrame]:
+    """Texts with their key (file, first 20 characters of the title, first ten of the text; -- for what is null), and the pairs
+    of a text with the first of its key."""
+    part = lambda c, n: F.coalesce(F.substring(c, 1, n), F.lit("--"))
+    key = F.concat_ws("||", F.coalesce("source", F.lit("--")), part(title, 20) if title else F.lit("--"), F.substring("text", 1, 10))
+    k = t.where("text is not null").select("text_id", key.alias("key"), "text")
     first = k.groupBy("key").agg(F.min("text_id").alias("first_id"))
-    pairs = k.join(first, "key").where("text_id > first_id").select("text_id", "first_id")
+    return k, k.join(first, "key").where("text_id > first_id")
+
+
+def _graded(rows: DataFrame) -> DataFrame:
+    out = rows.select("text_id", "first_id", "ratio").where("ratio >= 0.1")
+    return out.withColumn("class", F.when(F.col("ratio") == 1, "exact").when(F.col("ratio") < 0.7, "far").otherwise("near"))
+
+
+def near_copies(t: DataFrame, title: str | None = None) -> DataFrame:
+    """Texts that share file, start of title and first ten characters with an earlier text, the first of the key: shared lines
+    over all lines of the two wherever they stand, near from 0.7, far from 0.1, exact at 1.  A cheap bound of `near_copies_in_order`."""
+    k, met = _candidates(t, title)
+    pairs = met.select("text_id", "first_id")
     lines = k.select("text_id", F.explode(F.split("text", "\n")).alias("line")).groupBy("text_id", "line").agg(F.count("*").alias("n"))
     sizes = lines.groupBy("text_id").agg(F.sum("n").alias("size"))
     a = pairs.join(lines, "text_id").select("text_id", "first_id", "line", F.col("n").alias("n_a"))
     b = lines.select(F.col("text_id").alias("first_id"), "line", F.col("n").alias("n_b"))
     shared = a.join(b, ["first_id", "line"]).groupBy("text_id", "first_id").agg(F.sum(F.least("n_a", "n_b")).alias("shared"))
     s = shared.join(sizes, "text_id").join(sizes.select(F.col("text_id").alias("first_id"), F.col("size").alias("first_size")), "first_id")
-    ratio = F.round(F.col("shared") / (F.col("size") + F.col("first_size") - F.col("shared")), 2)
-    out = s.select("text_id", "first_id", ratio.alias("ratio")).where("ratio >= 0.1")
-    return out.withColumn("class", F.when(F.col("ratio") == 1, "exact").when(F.col("ratio") < 0.7, "far").otherwise("near"))
+    return _graded(s.withColumn("ratio", F.round(F.col("shared") / (F.col("size") + F.col("first_size") - F.col("shared")), 2)))
+
+
+def lines_in_order(a: str, b: str) -> tuple[int, int]:
+    """Lines of two texts that a line diff leaves as they are, and those and all that it removes or adds.  A moved line is one
+    removed and one added; lines keep their ends, so a last line without one differs from one with it."""
+    x, y = a.splitlines(keepends=True), b.splitlines(keepends=True)
+    equal = sum(m.size for m in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks())
+    return equal, len(x) + len(y) - equal
+
+
+def near_copies_in_order(t: DataFrame, title: str | None = None) -> DataFrame:
+    """The same pairs by a line diff that keeps the order of lines: equal lines over equal and differing ones.  Pairs meet in a
+    join by the first text, whose copies Spark splits among tasks, and are compared in Arrow batches.  Two empty texts are exact."""
+    k, met = _candidates(t, title)
+    pairs = met.select("text_id", "first_id", "text").join(k.select(F.col("text_id").alias("first_id"), F.col("text").alias("first_text")), "first_id")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ratios = []
+            for own, first in zip(batch.column("text").to_pylist(), batch.column("first_text").to_pylist()):
+                equal, total = lines_in_order(first, own)
+                ratios.append(round(equal / total, 2) if total else 1.0)
+            yield pa.RecordBatch.from_arrays([batch.column("text_id"), batch.column("first_id"), pa.array(ratios, pa.float64())], names=["text_id", "first_id", "ratio"])
+
+    return _graded(pairs.select("text_id", "first_id", "text", "first_text").mapInArrow(compared, "text_id long, first_id long, ratio double"))
 
 
 def carried_by_place(pairs: DataFrame, source_words: DataFrame, target_words: DataFrame, attributes: list[str]) -> DataFrame:

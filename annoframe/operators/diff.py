@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,23 +89,68 @@ def by_category(diff: DataFrame, category: DataFrame) -> DataFrame:
     return n.withColumn("pct", F.round(F.col("n") * 100 / F.sum("n").over(Window.partitionBy()), 4))  # one row per category
 
 
+class LinkedGroup:
+    """A group of conflicts that goes on while either side continues one of its own spans."""
+
+    def __init__(self, start: int):
+        self.start, self.sides, self.last, self.n = start, ({}, {}), [start, start], 0
+
+    def takes(self, pair: tuple[tuple[int, int], tuple[int, int]]) -> bool:
+        """Whether a span of either side is in the group, or begins where one of the same side ends."""
+        return any(span in spans.get(span[1], ()) or span[0] in spans for span, spans in zip(pair, self.sides))
+
+    def add(self, pair: tuple[tuple[int, int], tuple[int, int]]) -> None:
+        self.n += 1
+        for k, (span, spans) in enumerate(zip(pair, self.sides)):
+            own = spans.setdefault(span[1], set())
+            if span not in own:
+                own.add(span)
+                self.last[k] = span[1]
+
+    def forget(self, low: int) -> None:
+        """Spans that end before `low` go: pairs come in order of place, so none can touch those any more."""
+        for spans in self.sides:
+            for end in [e for e in spans if e < low]:
+                del spans[end]
+
+
 def linked_groups(pairs: DataFrame) -> DataFrame:
-    """Conflict groups of layers whose own spans may overlap: text_id, grp (from 1), start, end, n_pairs.  In order of place,
-    a pair joins the last group if one of its spans is in it or begins where one of its spans ends.  A group reaches from its
-    first start to the last end.  One text's pairs are walked in one group."""
-
-    def walk(batch: pd.DataFrame) -> pd.DataFrame:
-        rows = batch[["a_start", "a_end", "b_start", "b_end"]].drop_duplicates()
-        rows["low"], rows["high"] = rows[["a_start", "b_start"]].min(axis=1), rows[["a_end", "b_end"]].max(axis=1)
-        out, spans, ends = [], set(), set()
-        for a, b, c, d, low, high in rows.sort_values(["low", "high", "a_start", "a_end", "b_start", "b_end"]).itertuples(index=False):
-            if not out or not ({(a, b), (c, d)} & spans or {a, c} & ends):
-                out.append([low, high, 0])
-                spans, ends = set(), set()
-            spans |= {(a, b), (c, d)}
-            ends |= {b, d}
-            out[-1][1] = max(out[-1][1], high)
-            out[-1][2] += 1
-        return pd.DataFrame([(batch["text_id"].iloc[0], k, *g) for k, g in enumerate(out, 1)], columns=["text_id", "grp", "start", "end", "n_pairs"])
-
-    return pairs.groupBy("text_id").applyInPandas(walk, "text_id long, grp long, start long, end long, n_pairs long")
+    """Conflict groups of layers whose own spans may overlap: text_id, grp (from 1), start, end, n_pairs (different ones).  In order of
+    place (of the earlier span, then of the later one), a pair joins the last group if its span of either side is in that
+    group, or begins where a span of the same side in it ends.  A group reaches from the start of its first pair to where the
+    later of the two sides' last added spans ends.
+
+    Rows are dealt by text and sorted by place; a task walks them in Arrow batches and carries the open group from batch to
+    batch.  Spans that no later pair can touch are let go, so a text of any number of conflicts takes bounded memory."""
+    a, b = (F.struct(F.col(f"{p}_start").alias("start"), F.col(f"{p}_end").alias("end")) for p in "ab")
+    placed = pairs.select("text_id", *[F.col(c).cast("long") for c in ("a_start", "a_end", "b_start", "b_end")], F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
+    dealt = placed.repartition("text_id").sortWithinPartitions("text_id", "x", "y", "a_start", "a_end").drop("x", "y")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = before = group = None
+        grp, seen = 0, 0
+
+        def shown(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["text_id", "grp", "start", "end", "n_pairs"])
+
+        for batch in batches:
+            out = []
+            for own, *places in zip(*[batch.column(c).to_pylist() for c in ("text_id", "a_start", "a_end", "b_start", "b_end")]):
+                pair = (places[0], places[1]), (places[2], places[3])
+                if group and own == text and pair == before:
+                    continue
+                low = min(pair)[0]
+                if group and (own != text or not group.takes(pair)):
+                    out.append((text, grp, group.start, max(group.last), group.n))
+                    group = None
+                grp = grp if group else grp + 1 if own == text else 1
+                text, before, group, seen = own, pair, group or LinkedGroup(low), seen + 1
+                group.add(pair)
+                if seen % 1000 == 0:
+                    group.forget(low)
+            if out:
+                yield shown(out)
+        if group:
+            yield shown([(text, grp, group.start, max(group.last), group.n)])
+
+    return dealt.mapInArrow(walk, "text_id long, grp long, start long, end long, n_pairs long")

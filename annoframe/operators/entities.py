@@ -42,10 +42,12 @@ def runs(texts: DataFrame, pattern: str, gaps: str) -> DataFrame:
 
 
 def grouped(entities: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Entities with the tokens inside them: text_id, start, end, label, n_tokens (0 where there are none)."""
+    """Entities with the tokens inside them: text_id, start, end, label, n_tokens.  Reading one without tokens fails."""
     inside = touching(entities, tokens).where("b.start >= a.start and b.end <= a.end and b.start < b.end")
     n = inside.groupBy("text_id", F.col("a.start").alias("start"), F.col("a.end").alias("end")).agg(F.count("*").alias("n_tokens"))
-    return entities.select("text_id", "start", "end", "label").join(n, ["text_id", "start", "end"], "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)))
+    said = F.concat(F.lit("no tokens in entity "), F.concat_ws(":", "text_id", "start", "end"))
+    met = entities.select("text_id", "start", "end", "label").join(n, ["text_id", "start", "end"], "left")
+    return met.where(F.assert_true(F.col("n_tokens").isNotNull(), said).isNull())
 
 
 def projected(words: DataFrame, tokens: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -105,6 +105,17 @@ def sparse(layer: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return layer, skipped
 
 
+def written_sparse(texts_with_spans: DataFrame, path: str) -> dict[str, int]:
+    """Write a layer (text_id, spans of every text, null or empty where there are none) without texts that have none, and count
+    on the way: texts, skipped, spans.  The counts come with the write, from the one pass over the input."""
+    counts = Observation()
+    n = F.coalesce(F.size("spans"), F.lit(0))
+    n = F.when(n > 0, n).otherwise(0)  # size of null is -1 in some settings
+    seen = texts_with_spans.observe(counts, F.count("*").alias("texts"), F.count_if(n == 0).alias("skipped"), F.coalesce(F.sum(n), F.lit(0)).alias("spans"))
+    seen.where(n > 0).write.parquet(path)
+    return {k: int(v) for k, v in counts.get.items()}
+
+
 def swapped(layer: DataFrame, a: str, b: str, flag: str) -> DataFrame:
     """Two attributes exchanged and the flag turned over.  A span with more than one annotation is an error."""
     said = F.concat(F.lit("more than one annotation at "), F.concat_ws(":", "text_id", "start", "end"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Brackets, quotes, and words that a clause may start with.
@@ -12,15 +12,20 @@ AND_WORDS, BUT_WORDS = ("ja", "ning", "ega", "või"), ("aga", "kuigi")
 LINK_WORDS = ("et", "kui", "millal", "kus", "kuhu", "kust", "sest", "kuid", "nagu", "ehkki", "siis", "kuni", "otsekui", "justkui", "kuna", "kuidas", "kas")
 LINK_LEMMAS = ("mis", "kes", "milline", "see", "missugune")
 
+MAPPED = 1_000  # rules for facts from one layer, a list made by hand, at most
+
 
 def facts(layer: DataFrame, name: str, mapping: DataFrame) -> DataFrame:
     """mapping: facts_layer, fact_attr and value_attr (columns of the layer or null), fact_name, value, fact_type.  text_id and
     its facts (start, end, fact_name, value, fact_type): the fact's name is the mapping's or else the attribute's value, its
-    value the attribute's or else the mapping's."""
+    value the attribute's or else the mapping's.  More than `MAPPED` rules for a layer are an error."""
     attributes = [c for c in layer.columns if c not in ("text_id", "start", "end")]
     values = F.create_map(*[x for c in attributes for x in (F.lit(c), F.col(c).cast("string"))])
-    own = mapping.where(F.col("facts_layer") == name).select("fact_attr", "fact_name", "value_attr", "value", "fact_type")
-    met = layer.select("text_id", "start", "end", values.alias("a")).crossJoin(F.broadcast(own.limit(10_000)))  # a mapping is a list by hand
+    own = mapping.where(F.col("facts_layer") == name).select("fact_attr", "fact_name", "value_attr", "value", "fact_type").limit(MAPPED + 1).collect()
+    if len(own) > MAPPED:
+        raise ValueError(f"more than {MAPPED} facts are mapped from layer {name}")
+    rules = F.array(*[F.struct(*[F.lit(r[c]).cast("string").alias(c) for c in r.__fields__]) for r in own]) if own else F.array().cast("array<struct<fact_attr:string,fact_name:string,value_attr:string,value:string,fact_type:string>>")
+    met = layer.select("text_id", "start", "end", values.alias("a"), F.explode(rules).alias("m")).select("text_id", "start", "end", "a", "m.*")
     told = F.struct("start", "end", F.coalesce("fact_name", F.try_element_at("a", F.col("fact_attr"))).alias("fact_name"), F.coalesce(F.try_element_at("a", F.col("value_attr")), "value").alias("value"), F.col("fact_type").alias("fact_type"))
     return met.select("text_id", told.alias("f")).where("f.fact_name is not null").groupBy("text_id").agg(F.array_sort(F.collect_list("f")).alias("facts"))
 
@@ -37,6 +42,16 @@ def tasks(a: DataFrame, b: DataFrame) -> DataFrame:
     return sides.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "side", "label"))).alias("spans"))
 
 
+def write_tasks(rows: DataFrame, folder: str, a_file: int = 1_000) -> None:
+    """Tasks as JSON, one to a line, at most so many in a file."""
+    rows.write.option("maxRecordsPerFile", a_file).json(folder)
+
+
+def read_tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """Tasks that were written, with the spans that annotators left in them."""
+    return spark.read.schema("text_id long, spans array<struct<start:long,end:long,side:string,label:string>>").json(folder)
+
+
 def split_parts(texts: DataFrame, cuts: DataFrame) -> DataFrame:
     """cuts: text_id, chunk (from 0), start, end.  Parts of texts with more than one: number, file name, text; `_split_document`
     says that a part is one of several."""

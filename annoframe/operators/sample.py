@@ -7,14 +7,34 @@ from pyspark.sql import functions as F
 
 from annoframe.operators.collection import numbered
 
+FEW = 10_000  # rows that a top-k brings into one task
+
 
 def turn(seed: int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
 
 
 def pick(rows: DataFrame, k: int, seed: int, key: str) -> DataFrame:
-    """k rows, all if there are fewer."""
-    return rows.orderBy(turn(seed, F.col(key)), key).limit(k)
+    """k rows, all if there are fewer.  Up to `FEW` of them by a top-k; more by the place where the k-th hash stands: rows are
+    counted by the hash's first three digits, then within the stretch that holds it by the next three, until that stretch
+    is short.  What is before it is taken by a filter, without an order, and the rest by a top-k of the stretch."""
+    own = turn(seed, F.col(key))
+    if k <= FEW:
+        return rows.orderBy(own, key).limit(k)
+    known, left = "", k  # all rows whose hash is below `known` are in; so many are to come from those that begin with it
+    while len(known) < 30:
+        digits = F.substring(own, len(known) + 1, 3).alias("digits")
+        counts = rows.where(own.startswith(known)).groupBy(digits).agg(F.count("*").alias("n")).orderBy("digits").collect()  # 4096 at most
+        for r in counts:
+            if r.n >= left:
+                break
+            left -= r.n
+        else:
+            return rows.where((own < known) | own.startswith(known))  # fewer than k in all
+        known += r.digits
+        if r.n <= FEW:
+            break
+    return rows.where(own < known).union(rows.where(own.startswith(known)).orderBy(own, key).limit(left))
 
 
 def pick_bounded(rows: DataFrame, k: int, seed: int, key: str, size: str, least: int, most: int) -> DataFrame:

@@ -9,13 +9,13 @@ from annoframe.operators import entities as E
 from annoframe.operators import layers as L
 from annoframe.plans.base import LAYERS_SQL, SHAPE_SQL, WORDS_SQL, query, texts, with_words, words
 
-#: Entities: the first three letters of words that start with a capital; tokens: words in pieces of three.
+#: Entities: the first three letters of words that start with a capital; tokens: words in pieces of three.  A piece ends at every third
+#: letter of a word and at its end, so the last one up to a place needs no table of pieces.
 ENTITIES_SQL = r"""
 ent AS (SELECT text_id, start, start + 3 AS "end", "end" AS w_end, token FROM words WHERE regexp_matches(token, '^[A-Z]') AND length(token) >= 3),
-piece AS (SELECT text_id, start AS w_start, start + k AS start, least(start + k + 3, "end") AS "end" FROM (SELECT *, unnest(range(0, length(token), 3)) AS k FROM words)),
 tail AS (SELECT *, CASE WHEN regexp_matches(substr(token, 4, 1), '[\p{L}\p{N}]') THEN "end" + length(regexp_extract(substr(token, 4), '^[^\x{00a0}"'',.:;?!]+')) END AS stop FROM ent),
-grown AS (SELECT tail.text_id, tail.start, max(p."end") AS new_end FROM tail JOIN piece p ON p.text_id = tail.text_id AND p.w_start = tail.start AND p.start >= tail."end" AND p."end" <= stop GROUP BY 1, 2),
-fixed AS (SELECT text_id, start, coalesce(new_end, "end") AS "end", new_end IS NOT NULL AS grown, stop FROM tail LEFT JOIN grown USING (text_id, start)),
+grown AS (SELECT *, CASE WHEN stop >= w_end THEN w_end WHEN (stop - start) // 3 >= 2 THEN start + 3 * ((stop - start) // 3) END AS new_end FROM tail),
+fixed AS (SELECT text_id, start, coalesce(new_end, "end") AS "end", new_end IS NOT NULL AS grown, stop FROM grown),
 """
 
 
@@ -45,7 +45,7 @@ def voted_labels(spark, d):
     return A.voted(versions)
 
 
-@query(with_words(' SELECT e.text_id, e.start, e."end", count(p.start) AS n_tokens FROM ent e LEFT JOIN piece p ON p.text_id = e.text_id AND p.start >= e.start AND p."end" <= e."end" GROUP BY 1, 2, 3', ENTITIES_SQL))
+@query(with_words(' SELECT text_id, start, "end", 1 AS n_tokens FROM ent', ENTITIES_SQL))
 def entity_tokens(spark, d):
     return E.grouped(*_entities(spark, d)).drop("label")
 

@@ -94,9 +94,10 @@ def unsplit_documents(spark, d):
 @query(with_words(""", s AS (SELECT text_id, start, "end", 'a' AS side, label FROM la UNION ALL SELECT text_id, start, "end", 'b', label FROM lb)
 SELECT text_id, md5(string_agg(printf('%s:%d-%d:%s', side, start, "end", label), ' ' ORDER BY start, "end", side, label)) AS spans, count(*) AS n FROM s GROUP BY text_id""", LAYERS_SQL))
 def annotation_tasks(spark, d):
-    """One task per text with the spans of two versions."""
-    w = words(spark, d)
-    t = R.tasks(L.labelled(w), L.trimmed(w))
+    """One task per text with the spans of two versions, written as JSON files and read back."""
+    w, folder = words(spark, d), new_folder(spark, "tasks")
+    R.write_tasks(R.tasks(L.labelled(w), L.trimmed(w)), folder)
+    t = R.read_tasks(spark, folder)
     shown = F.transform("spans", lambda s: F.format_string("%s:%d-%d:%s", s["side"], s["start"], s["end"], s["label"]))
     return t.select("text_id", F.md5(F.array_join(shown, " ")).alias("spans"), F.size("spans").cast("long").alias("n"))
 

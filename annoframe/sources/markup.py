@@ -2,18 +2,21 @@
 
 Files with one block per document are read with the block's opening tag as record separator, so that Spark splits them
 anywhere.  Numbers inside a file come from counts per split and a running sum over the splits of a file (logs too); no task
-sees a whole file but for archives.  A block starts where its tag stands at a line's start; a missing closing tag is tolerated, and text before
+sees a whole file but for archives, which one task lists and many unpack.  A block starts where its tag stands at a line's start; a missing closing tag is tolerated, and text before
 the first block is dropped.  Empty files give no rows; attributes that repeat keep their last value.
 """
 
 from __future__ import annotations
 
+import bz2
 import io
+import struct
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -166,28 +169,63 @@ def tei_members(members: DataFrame, div: str = "div1", sentence_break: str = "\n
     return out if keep_empty else out.where("text <> ''")
 
 
-def members_of(files: DataFrame, ending: str = ".xml", focus: list[str] | None = None) -> DataFrame:
-    """files: path, content (bytes of .zip and .tar archives).  archive, member, content (text) of the files in them; `focus`
-    keeps members of these names.  An archive is read in one task, as neither form can be split, one member at a time."""
+PACKED = "archive string, nth long, at long, member string, kind string, crc long, size long, raw binary"
+SHARE = 4 << 20  # bytes of an archive that go to one place
+
+
+def listed_members(files: DataFrame, ending: str = ".xml", focus: list[str] | None = None) -> DataFrame:
+    """files: path, content (bytes of .zip and .tar archives).  archive, nth, at (bytes before it), member, kind (stored, deflate,
+    bzip2), crc (null if not known), size, raw (the member's bytes as they lie in the archive).  A zip's directory and a plain tar's
+    headers say where each member lies, so none is unpacked here; a compressed tar is one stream and is unpacked as it is read."""
     wanted = set(focus) if focus is not None else None
+    kinds = {zipfile.ZIP_STORED: "stored", zipfile.ZIP_DEFLATED: "deflate", zipfile.ZIP_BZIP2: "bzip2"}
 
     def chosen(name: str) -> bool:
         return name.endswith(ending) and (wanted is None or name.rpartition("/")[2] in wanted)
 
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def in_zip(raw: bytes) -> Iterator[tuple]:
+        with zipfile.ZipFile(io.BytesIO(raw)) as z:
+            for m in z.infolist():
+                if chosen(m.filename):
+                    if m.flag_bits & 1 or m.compress_type not in kinds:
+                        raise ValueError(f"member {m.filename} is encrypted or of a kind that is not read")
+                    name, extra = struct.unpack_from("<HH", raw, m.header_offset + 26)  # lengths in the member's own header
+                    at = m.header_offset + 30 + name + extra
+                    yield at, m.filename, kinds[m.compress_type], m.CRC, m.file_size, raw[at : at + m.compress_size]
+
+    def in_tar(raw: bytes) -> Iterator[tuple]:
+        with tarfile.open(fileobj=io.BytesIO(raw), mode="r:*") as t:
+            for m in t:
+                if m.isfile() and chosen(m.name):
+                    yield m.offset_data, m.name, "stored", None, m.size, t.extractfile(m).read()
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, raw in zip(*[batch.column(c).to_pylist() for c in ("path", "content")]):
+                for nth, m in enumerate((in_zip if name.endswith(".zip") else in_tar)(raw)):
+                    yield pa.RecordBatch.from_pylist([dict(zip(names, (name, nth, *m)))], schema=schema)
+
+    schema = pa.schema([("archive", pa.string()), ("nth", pa.int64()), ("at", pa.int64()), ("member", pa.string()), ("kind", pa.string()), ("crc", pa.int64()), ("size", pa.int64()), ("raw", pa.binary())])
+    names = schema.names
+    return files.select("path", "content").mapInArrow(members, PACKED)
+
+
+def members_of(files: DataFrame, ending: str = ".xml", focus: list[str] | None = None) -> DataFrame:
+    """archive, member, content (text) of the files in archives (path, content); `focus` keeps members of these names.  The listing pass
+    reads an archive once; its members are then dealt to tasks by ranges of `SHARE` bytes, and unpacked, checked and decoded there,
+    so one large archive keeps many tasks busy.  A member whose size or checksum is wrong is an error."""
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, raw in zip(batch["path"], batch["content"]):
-                if name.endswith(".zip"):
-                    with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                        for m in filter(chosen, z.namelist()):
-                            yield pd.DataFrame({"archive": [name], "member": [m], "content": [z.read(m).decode()]})
-                else:
-                    with tarfile.open(fileobj=io.BytesIO(raw), mode="r:*") as t:
-                        for m in t:
-                            if m.isfile() and chosen(m.name):
-                                yield pd.DataFrame({"archive": [name], "member": [m.name], "content": [t.extractfile(m).read().decode()]})
+            for archive, member, kind, crc, size, raw in zip(*[batch.column(c).to_pylist() for c in ("archive", "member", "kind", "crc", "size", "raw")]):
+                plain = zlib.decompress(raw, -15) if kind == "deflate" else bz2.decompress(raw) if kind == "bzip2" else raw
+                if len(plain) != size or crc is not None and zlib.crc32(plain) != crc:
+                    raise ValueError(f"member {member} of {archive} is damaged")
+                yield pa.RecordBatch.from_pydict({"archive": [archive], "member": [member], "content": [plain.decode()]})
 
-    return files.select("path", "content").mapInPandas(members, "archive string, member string, content string")
+    places = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # unpacking is work, so small shares are not put together
+    dealt = listed_members(files, ending, focus).withColumn("share", F.floor(F.col("at") / SHARE)).repartition(places, "archive", "share")
+    return dealt.drop("share").mapInArrow(unpacked, "archive string, member string, content string")
 
 
 def archive_members(spark: SparkSession, path: str, ending: str = ".xml", focus: list[str] | None = None) -> DataFrame:
@@ -196,11 +234,11 @@ def archive_members(spark: SparkSession, path: str, ending: str = ".xml", focus:
 
 
 def json_documents(spark: SparkSession, root: str, schema: str, name: str = "doc*.json") -> DataFrame:
-    """Documents kept one to a file below <collection>/<file>/<group>/<id>/: schema, and id and name from the path.  Rows are in
+    """Documents kept one to a file below <collection>/<file>/<group>/<id>/ (or such folders written name=value): schema, and id and name from the path.  Rows are in
     no order; their numeric path_id gives it."""
     raw = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", name).option("multiLine", "true").json(root)
     place = F.col("_metadata.file_path")
-    return raw.select("*", F.regexp_extract(place, r"/(\d+)/[^/]+$", 1).try_cast("long").alias("path_id"), F.regexp_extract(place, r"([^/]+)$", 1).alias("path_name"))
+    return raw.select("*", F.regexp_extract(place, r"/(?:[^/=]+=)?(\d+)/[^/]+$", 1).try_cast("long").alias("path_id"), F.regexp_extract(place, r"([^/]+)$", 1).alias("path_name"))
 
 
 def index_rows(spark: SparkSession, path: str, schema: str, separator: str = "|||", header: bool = False) -> DataFrame:

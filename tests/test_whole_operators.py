@@ -85,25 +85,57 @@ def test_containment_and_overlap(spark):
     assert got == want
 
 
+def linked(pairs):
+    """Groups of (a, b) pairs of one text by the rule: each side is tested against its own side of the last group."""
+    groups = []
+    for a, b in sorted(set(pairs), key=lambda p: (min(p), max(p), p[0])):
+        goes_on = groups and any(s in own or s[0] in [e for _, e in own] for s, own in zip((a, b), groups[-1][:2]))
+        if not goes_on:
+            groups.append([[], [], 0])
+        for s, own in zip((a, b), groups[-1]):
+            if s not in own:
+                own.append(s)
+        groups[-1][2] += 1
+    return [(min(a[0][0], b[0][0]), max(a[-1][1], b[-1][1]), n) for a, b, n in groups]
+
+
+PAIRS = "text_id long, a_start long, a_end long, a_label string, b_start long, b_end long, b_label string"
+
+
 def test_linked_groups(spark):
     rng = random.Random(4)
     a, b = ([s for s in spans(rng, 50, most=120) if s[1] < s[2]] for _ in range(2))
     pairs = diff.conflicts(*(spark.createDataFrame([(*s, "l") for s in v], SPAN) for v in (a, b))).cache()
-    want, of = Counter(), defaultdict(set)
+    want, of = Counter(), defaultdict(list)
     for r in pairs.collect():
-        of[r.text_id].add((min(r.a_start, r.b_start), max(r.a_end, r.b_end), r.a_start, r.a_end, r.b_start, r.b_end))
+        of[r.text_id].append(((r.a_start, r.a_end), (r.b_start, r.b_end)))
     for k, rows in of.items():
-        groups = []
-        for low, high, *s in sorted(rows):
-            own = [tuple(s[:2]), tuple(s[2:])]
-            if groups and any(x in groups[-1] or x[0] in [e for _, e in groups[-1]] for x in own):
-                groups[-1] += own
-            else:
-                groups.append(list(own))
-        want.update((k, n, min(x for x, _ in g), max(x for _, x in g), len(g) // 2) for n, g in enumerate(groups, 1))
+        want.update((k, n, *g) for n, g in enumerate(linked(rows), 1))
     assert Counter(tuple(r) for r in diff.linked_groups(pairs).collect()) == want
 
 
+def test_a_span_does_not_continue_one_of_the_other_side(spark):
+    rows = [(1, 0, 8, "x", 5, 10, "y"), (1, 10, 15, "x", 12, 14, "y"), (2, 0, 8, "x", 5, 10, "y"), (2, 8, 15, "x", 12, 14, "y"), (3, 0, 9, "x", 2, 3, "y"), (3, 0, 9, "x", 4, 5, "y")]
+    got = sorted(tuple(r) for r in diff.linked_groups(spark.createDataFrame(rows, PAIRS)).collect())
+    assert got == [(1, 1, 0, 10, 1), (1, 2, 10, 15, 1), (2, 1, 0, 15, 2), (3, 1, 0, 9, 2)]
+
+
+def test_a_long_group_keeps_few_spans(spark):
+    """One text whose conflicts are all linked, over many batches; what a group holds stays short."""
+    group, most = diff.LinkedGroup(0), 0
+    for k in range(20_000):
+        pair = (10 * k, 10 * k + 10), (10 * k + 2, 10 * k + 6)
+        assert not k or group.takes(pair)
+        group.add(pair)
+        if k % 1000 == 0:
+            group.forget(10 * k)
+        most = max(most, sum(map(len, group.sides)))
+    assert most < 2100
+    rows = spark.range(30_000).selectExpr("7L as text_id", "10 * id as a_start", "10 * id + 10 as a_end", "'x' as a_label", "10 * id + 2 as b_start", "10 * id + 6 as b_end", "'y' as b_label")
+    assert [tuple(r) for r in diff.linked_groups(rows).collect()] == [(7, 1, 0, 300_000, 30_000)]
+    assert diff.linked_groups(rows.where("false")).count() == 0
+
+
 def test_spans_without_gaps(spark):
     t = frame(spark, ["one  two three", "abc"])
     s = spark.createDataFrame([(0, 1, 0, 3, "x"), (0, 1, 5, 8, "x"), (0, 1, 9, 14, "x"), (0, 2, 0, 3, "y"), (0, 2, 9, 14, "y"), (1, 1, 0, 1, "z"), (1, 1, 1, 2, "z")], "text_id long, span_id long, start long, end long, label string")
