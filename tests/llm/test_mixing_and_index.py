@@ -1,6 +1,7 @@
 """Source mixing and the digest index against plain loops."""
 
 import hashlib
+import shutil
 import math
 from collections import Counter
 
@@ -87,13 +88,13 @@ def test_reopened_index(spark, docs, tmp_path):
     path, tables = f"file://{tmp_path}/index", spark.catalog.listTables()
     frame = lambda *r: digest_index.digested(spark.createDataFrame(list(r), "doc_id long, text string"))
     first = digest_index.DigestIndex(spark, path, buckets=4)
-    assert first.add(frame((1, "same text"), (2, "other"))).count() == 2
+    assert first.add(frame((1, "same text"), (2, "other")), 1).count() == 2
     first.close()
     with pytest.raises(ValueError):
         digest_index.DigestIndex(spark, path, buckets=8)
     later = digest_index.DigestIndex(spark, path)
     assert later.buckets == 4
-    fresh = later.add(frame((9, "Same Text"), (None, "third"), (0, "OTHER")))
+    fresh = later.add(frame((9, "Same Text"), (None, "third"), (0, "OTHER")), 2)
     assert [r.keep_id for r in fresh.collect()] == [None]
     got = {(r.doc_id, r.keep_id, r.group_size) for r in later.resolve(frame((1, "same text"), (9, "Same Text"), (0, "OTHER"), (None, "third"))).collect()}
     assert got == {(1, 9, 2), (9, 9, 2), (0, 2, 2), (None, None, 1)}
@@ -104,6 +105,27 @@ def test_reopened_index(spark, docs, tmp_path):
     assert spark.catalog.listTables() == tables
 
 
+def test_a_batch_counts_once(spark, tmp_path):
+    frame = lambda *r: digest_index.digested(spark.createDataFrame(list(r), "doc_id long, text string"))
+    one, two = frame((1, "a"), (2, "b"), (4, "A")), frame((3, "a"), (7, "c"), (0, "B"))
+    index = digest_index.DigestIndex(spark, f"file://{tmp_path}/index", buckets=3)
+    told = lambda: {(r.digest, r.keep_id, r.group_size) for r in index.rows().collect()}
+    index.add(one, 1)
+    index.add(two, 2)
+    want = {(norm("a"), 4, 3), (norm("b"), 2, 2), (norm("c"), 7, 1)}
+    assert told() == want
+    for batch, again in ((1, one), (2, two), (2, two)):
+        assert index.add(again, batch).count() == (2 if batch == 1 else 1)
+        assert told() == want
+    for name in ("rows", "changes"):  # broken off between the two writes
+        shutil.rmtree(tmp_path / "index" / name / "batch=2")
+        index.spark.sql(f"REFRESH TABLE {index.table}")
+        index.add(two, 2)
+        assert told() == want
+    assert spark.table(index.table).count() == 3  # one row for each digest, whatever came later
+    index.close()
+
+
 def test_keep_one(spark, docs, empty, rows):
     keep, _ = groups(rows)
     kept = digest_index.keep_one(docs)
@@ -111,6 +133,6 @@ def test_keep_one(spark, docs, empty, rows):
     assert Counter((norm(r.text), -1 if r.doc_id is None else r.doc_id) for r in kept.collect()) == Counter(keep.items())
     assert digest_index.keep_one(empty).count() == 0
     index = digest_index.DigestIndex(spark)
-    first = digest_index.keep_one(docs.where("doc_id < 100"), index).count()
-    assert first + digest_index.keep_one(docs.where("doc_id is null or doc_id >= 100"), index).count() == len(keep)
-    assert digest_index.keep_one(docs, index).count() == 0
+    first = digest_index.keep_one(docs.where("doc_id < 100"), index, 0).count()
+    assert first + digest_index.keep_one(docs.where("doc_id is null or doc_id >= 100"), index, 1).count() == len(keep)
+    assert digest_index.keep_one(docs, index, 2).count() == 0
