@@ -1,11 +1,14 @@
 """Operator 7, mixture-controlled packing: deficit round-robin over source queues.
 
-Every source is a queue of its documents, cut into pieces of at most `piece` tokens (a document of up to so many stays
-whole).  In each round every queue, in order of source, gets a quantum, its target share of a window's tokens, on top of
+Every source is a queue of its documents, cut where the tokens that a round gives it end, so that it can always give what it
+is owed; a source that a round owes less than `LEAST` tokens is cut where as many rounds' tokens end as make that up.  (With
+`piece`, documents are cut into pieces of at most so many tokens instead, and shorter ones stay whole, at the price of windows
+off their targets by up to a piece a source.)  In each round every queue, in order of source, gets a quantum, its target share of a window's tokens, on top of
 what it was owed; it gives pieces as long as what it is owed covers the next one, and the rest is its deficit, carried into
 the next round.  Pieces are laid one after the other and the row of tokens is cut every `window` tokens, so sequences are
-full but for the last, and each holds every source's target share up to the deficits, which stay below one piece a source.
-A document is cut at the ends of its pieces and of sequences only.
+full but for the last, and each holds every source's target share up to the deficits: below a token for each source that
+a round owes `LEAST`, below so many for others, and below one piece where `piece` is given.  A document is cut at the ends of
+its pieces and of sequences only.
 
 As a queue is owed n quanta after n rounds, a piece goes out in the first round n whose n quanta reach the tokens of its
 queue up to its end.  So prefix sums give the schedule: any task knows the deficits before its own documents, and no round
@@ -37,7 +40,7 @@ from .common import arrow_schema, cut, sent_if_small, stored, sums_before
 from .hashing import runs
 from .tokens import memo, tokenizer_path
 
-WINDOW, PIECE = 4096, 1024
+WINDOW, LEAST = 4096, 32
 STRETCH = 64  # rounds laid out by one group
 CHUNKS = 1_000_000  # of text that a worker remembers, until a stage without tokenizers lets them go
 
@@ -86,16 +89,23 @@ def queued(rows: DataFrame, targets: dict[str | None, float] | None, window: int
     return met.withColumn("first", F.col("base") + F.col("place")).drop("b_task", "b_source", "base", "task", "place")
 
 
-def pieces(rows: DataFrame, piece: int, *columns: Column | str) -> DataFrame:
+def pieces(rows: DataFrame, piece: int | None, *columns: Column | str) -> DataFrame:
     """One row per piece of a document: the columns, turn, first (tokens of its queue before it), start, length, round, stretch."""
-    starts = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(piece).cast("long"))
-    cut_up = rows.select(*columns, "n", "turn", "quantum", "first", F.explode(starts).alias("start"))
-    cut_up = cut_up.withColumn("length", F.least(F.lit(piece), F.col("n") - F.col("start"))).withColumn("first", F.col("first") + F.col("start"))
+    if piece:
+        starts = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(piece).cast("long"))
+    else:
+        step = F.col("quantum") * F.ceil(F.lit(float(LEAST)) / F.col("quantum"))  # of the queue, in whole rounds
+        places = F.sequence(F.floor(F.col("first") / step), F.floor((F.col("first") + F.col("n")) / step) + 1)
+        ends = F.transform(places, lambda m: F.floor(m * step) - F.col("first"))
+        starts = F.concat(F.array(F.lit(0).cast("long")), F.filter(ends, lambda x: (x > 0) & (x < F.col("n"))))
+    cut_up = rows.withColumn("starts", starts).select(*columns, "n", "turn", "quantum", "first", "starts", F.posexplode("starts").alias("nth", "start"))
+    length = F.coalesce(F.get("starts", F.col("nth") + 1), F.col("n")) - F.col("start")
+    cut_up = cut_up.withColumn("length", length).withColumn("first", F.col("first") + F.col("start")).drop("starts", "nth")
     round_ = F.ceil((F.col("first") + F.col("length")) / F.col("quantum"))
     return cut_up.withColumn("round", round_).withColumn("stretch", F.floor(F.col("round") / STRETCH)).drop("quantum")
 
 
-def pack(docs: DataFrame, targets: dict[str | None, float] | None = None, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
+def pack(docs: DataFrame, targets: dict[str | None, float] | None = None, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, window: int = WINDOW, piece: int | None = None) -> DataFrame:
     """One row per stretch of a document in a sequence: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source, ids (unsigned 32-bit)."""
     path = tokenizer_path(tokenizer)
     wide = 2 if max(end_id, *memo(path, keeps_space=False, capacity=CHUNKS).tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4

@@ -71,15 +71,31 @@ def plain_round_robin(queues, quanta):
     return out
 
 
+@pytest.mark.parametrize("piece", [24, None])
 @pytest.mark.parametrize("targets", [None, {"s0": 1, "s1": 5, "s2": 2.5, "s3": 1e-3, None: 2}])
-def test_packing_is_deficit_round_robin(docs, rows, targets):
-    window, piece = 64, 24
+def test_packing_is_deficit_round_robin(docs, rows, targets, piece):
+    window = 64
     got = packing.pack(docs, targets, window=window, piece=piece).collect()
+    counts = Counter()
+    for p in got:
+        counts[p.source] += p.length
+    weights = {s: (targets or counts)[s] for s in counts}
+    quantum = {s: window * w / sum(weights.values()) for s, w in weights.items()}
+    ends = Counter()  # where a queue's rounds end, for cuts that follow them
+
+    def starts(source, n):
+        if piece:
+            return list(range(0, n, piece))
+        step, first = quantum[source] * math.ceil(packing.LEAST / quantum[source]), ends[source]
+        ends[source] += n
+        return [0] + [a - first for m in range(int(first / step), int((first + n) / step) + 2) if 0 < (a := math.floor(m * step)) - first < n]
+
     # a queue's order is that of its documents' first tokens in the sequences; its documents and lengths are the library's
     queues, found = defaultdict(list), Counter()
     for p in sorted(got, key=lambda p: (p.sequence_id, p.offset)):
         if p.start == 0:
-            queues[p.source] += [((p.doc_id, p.doc_tokens, a), min(piece, p.doc_tokens - a)) for a in range(0, p.doc_tokens, piece)]
+            own = starts(p.source, p.doc_tokens)
+            queues[p.source] += [((p.doc_id, p.doc_tokens, a), b - a) for a, b in zip(own, [*own[1:], p.doc_tokens])]
             found[p.doc_id, p.doc_tokens, p.source] += 1
     assert found == Counter((r[0], len(x) + 1, r[3]) for r, x in zip(rows, library("word_bpe_49k.json", [r[1] for r in rows])))
     order = sorted(queues, key=lambda s: (s is None, s or ""))
@@ -98,7 +114,7 @@ def test_packing_is_deficit_round_robin(docs, rows, targets):
     assert Counter((p.doc_id, p.doc_tokens, p.start, p.length, p.sequence_id, p.offset) for p in got) == want
 
 
-@pytest.mark.parametrize(("window", "piece"), [(64, 24), (4096, 1024), (100, 4000)])
+@pytest.mark.parametrize(("window", "piece"), [(64, 24), (4096, 1024), (100, 4000), (64, None), (4096, None)])
 def test_packing_loses_nothing(docs, empty, rows, window, piece):
     whole = Counter((r[0], r[3], np.array([*x, 2], "<u4").tobytes()) for r, x in zip(rows, library("word_bpe_49k.json", [r[1] for r in rows])))
     pieces = packing.pack(docs, window=window, piece=piece).collect()
@@ -121,6 +137,22 @@ def test_packing_loses_nothing(docs, empty, rows, window, piece):
     assert packing.pack(empty).count() == 0
 
 
+def test_windows_of_many_sources_hold_their_targets(spark):
+    """As the query packs: 20 sources, one of a third of all tokens and one of few."""
+    rng = random.Random(8)
+    sources = [f"s{k}" for k in range(18)] + ["hot"] * 10
+    rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([3, 30, 300, 2000]))), rng.choice(sources)) for k in range(600)] + [(600, "a b c " * 15, "few")]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    share, of = Counter(), defaultdict(Counter)
+    for p in pieces:
+        share[p.source] += p.length
+        of[p.sequence_id][p.source] += p.length
+    total, last = sum(share.values()), max(of)
+    off = sorted(sum(abs(own[s] / 4096 - share[s] / total) for s in share) / 2 for k, own in of.items() if k < last)
+    assert len(share) == 20 and len(off) > 20 and off[len(off) // 2] < 0.02 and off[-2] < 0.1
+    assert len(pieces) < len(rows) + 2 * 20 * (last + 1)
+
+
 def test_windows_hold_target_shares_and_short_documents_stay_whole(spark):
     rng = random.Random(2)
     rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(5, 60))), rng.choice(["x", "x", "x", "y", "z"])) for k in range(1500)]
