@@ -7,9 +7,11 @@ outside all base spans; what a base span leaves of a longer run is a candidate o
 `markov`.
 
 Both models and the threshold are trained from labelled samples (`labelled`: value, random).  By default
-(`default_samples`) random strings are digests in four spellings, which are random by construction, and ordinary ones are
+(`default_samples`) random strings are digests in four spellings, which are random by construction.  Ordinary ones are
 the words of about `max_docs` documents (all if there are fewer; picked by a hash of their id), alone and joined as
-identifiers are; that bound is the only one.  Half of the samples train the models, the others set the threshold: the least value that at most
+identifiers are, and names of the shapes that code and markup are full of (`ordinary_names`: camel and snake case, paths, dotted
+names, versions, dates, numbers, rules of one character), made from common words; those bounds are the only ones.  Pairs that
+neither sort shows are smoothed so far that a few odd ones don't make a name a secret.  Half of the samples train the models, the others set the threshold: the least value that at most
 `false_rate` of the ordinary ones exceed.  `quality_of` gives precision and recall on any labelled strings.
 
 DataFrame functions only.  Every text is matched once: the pieces between matches (`split`) and the matches
@@ -41,6 +43,18 @@ TOKEN = r"[A-Za-z0-9+/_=-]{12,}"
 PATTERNS = (ASSIGN, ACCESS, HEX, TOKEN)
 KINDS = ("assign", "access", "hex", "markov")
 MARKOV = 3
+SMOOTH = 20.0  # added to the count of each pair by `default_models`
+#: Common words of names in code.
+NAME_WORDS = (
+    "get set add put new old is has to from by of in on at with and or not all any first last next previous index count size length total sum max min average "
+    "user name account balance id key value item list array map table row column field type class object node tree path file folder directory root home local "
+    "lib bin usr var etc opt share data base model view controller service server client request response message error warning status code result test main "
+    "python java script http https www com org net html json xml text image video audio document page header footer title body content description config "
+    "setting option default property attribute create read update delete remove insert select filter order group join load save open close start stop run "
+    "begin end time date year month day hour minute second event handler listener manager factory builder helper util common core public private static "
+    "final function method return string number integer float double boolean true false null address email phone customer order product price currency payment "
+    "version release build package module import export width height color background border margin window screen button label input output"
+).split()
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 
 
@@ -129,11 +143,41 @@ def default_samples(docs: DataFrame, max_docs: int = 2_000, n_random: int = 20_0
     joined = F.when(form == 0, F.concat_ws("_", "w", "x", "y")).when(form == 1, F.concat_ws("-", "w", "x", "y")).when(form == 2, F.concat("w", F.initcap("x"), F.initcap("y"))).when(form == 3, F.upper(F.concat_ws("_", "w", "x")))
     joined = joined.when(form == 4, F.concat_ws("_", "w", "x", "n")).otherwise(F.concat_ws("/", "w", "x", "y"))
     ordinary = three.select(F.explode(F.array("w", joined)).alias("value"), F.lit(False).alias("random"))
-    return random.union(ordinary)
-
-
-def fit(samples: DataFrame, smooth: float = 0.5, false_rate: float = 0.001) -> Models:
-    """Models from one half of the samples (by a hash of the value), the threshold from the ordinary ones of the other."""
+    return random.union(ordinary).union(ordinary_names(spark))
+
+
+def ordinary_names(spark: SparkSession, n: int = 60_000) -> DataFrame:
+    """value, random (false): names of two to five common words in the ways that code and markup join them, some with numbers;
+    versions, dates and numbers; rules of one character."""
+    words = F.array(*map(F.lit, NAME_WORDS))
+    pick = lambda k: F.get(words, F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(len(NAME_WORDS))).cast("int"))
+    roll = lambda k, most: F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(most)).cast("int")
+    own = F.slice(F.array(*[pick(k) for k in range(5)]), 1, roll(10, 4) + 2)
+    upper = F.transform(own, F.initcap)
+    number = roll(11, 10_000).cast("string")
+    camel = F.concat(F.element_at(own, 1), F.array_join(F.slice(upper, 2, 4), ""))
+    day = F.date_format(F.date_add(F.lit("1990-01-01"), roll(12, 15_000)), "yyyy-MM-dd")
+    clock = F.format_string("%02d-%02d-%02d", roll(13, 24), roll(14, 60), roll(15, 60))
+    mark = F.substring(F.lit("-=_+/.axX0oO1z*"), roll(16, 15) + 1, F.lit(1))
+    digits = F.concat(*[F.abs(F.xxhash64(F.lit(k), "id")).cast("string") for k in (17, 18)])
+    forms = [
+        camel, F.array_join(upper, ""), F.array_join(own, "_"), F.array_join(own, "-"), F.upper(F.array_join(own, "_")), F.array_join(own, "."), F.array_join(own, "/"),
+        F.concat(F.lit("/"), F.array_join(own, "/")), F.concat(F.array_join(own, "_"), F.lit("_"), number), F.concat(camel, number), F.concat(F.array_join(own, "-"), F.lit("-v"), roll(19, 20).cast("string")),
+        F.array_join(own, ""), F.concat(F.array_join(own, "/"), F.lit("."), pick(20)), F.concat(F.lit("__"), F.array_join(own, "_"), F.lit("__")), F.concat(day, F.lit("T"), clock), F.concat(F.replace(day, F.lit("-"), F.lit("")), F.replace(clock, F.lit("-"), F.lit(""))),
+        F.substring(digits, F.lit(1), roll(21, 16) + 12), F.repeat(mark, roll(23, 12) + 12), F.repeat(pick(25), 3),
+        F.concat(F.array_join(upper, "-"), F.lit("_"), day), F.concat(F.array_join(own, "+"), F.lit("="), number), F.concat(F.array_join(own, "_"), F.lit("="), pick(26)), F.concat(F.upper(pick(27)), F.lit("-"), F.lpad(number, 8, "0")),
+    ]
+    return spark.range(n).select(F.get(F.array(*forms), roll(28, len(forms))).alias("value"), F.lit(False).alias("random"))
+
+
+def default_models(docs: DataFrame) -> Models:
+    """Models of the default samples."""
+    return fit(default_samples(docs), SMOOTH, repeats=False)
+
+
+def fit(samples: DataFrame, smooth: float = 0.5, false_rate: float = 0.001, repeats: bool = True) -> Models:
+    """Models from one half of the samples (by a hash of the value), the threshold from the ordinary ones of the other.
+    Without `repeats`, a character that follows itself never speaks for randomness, as in long rules of one."""
     held = F.pmod(F.xxhash64(F.lit(11), "value"), F.lit(2)) == 1
     samples = cut(samples.where("value is not null").select("value", F.col("random").cast("int").alias("r"), held.alias("held")))
     pairs = samples.where("not held").select("r", F.explode(transitions(F.col("value"))).alias("pair"))
@@ -144,6 +188,8 @@ def fit(samples: DataFrame, smooth: float = 0.5, false_rate: float = 0.001) -> M
     first = {(r, a): sum(n for (q, p), n in count.items() if q == r and p[0] == a) for r in (0, 1) for a in seen}
     log = lambda r, p: math.log((count.get((r, p), 0) + smooth) / (first[r, p[0]] + smooth * len(seen)))
     ratio = {a + b: log(1, a + b) - log(0, a + b) for a in seen for b in seen}
+    if not repeats:
+        ratio |= {a + a: min(0.0, ratio[a + a]) for a in seen}
     models = Models(ratio, 0.0, 0.0)
     others = samples.where("held and r = 0").where(F.length("value") >= TOKEN_MIN).agg(F.percentile(score(models, F.col("value")), 1 - false_rate)).first()[0]
     return models._replace(threshold=max(0.0, others or 0.0))
@@ -194,7 +240,7 @@ def listed(spans: Column) -> Column:
 
 def scan(docs: DataFrame, models: Models | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov."""
-    models = models or fit(default_samples(docs))
+    models = models or default_models(docs)
     rows = scanned(docs)
     of_text = found_spans(rows, models).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("all"))
     every = F.coalesce("all", F.array().cast("array<struct<start:int,kind:int,end:int>>"))

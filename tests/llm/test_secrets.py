@@ -67,7 +67,7 @@ def frame(spark, texts):
 
 @pytest.fixture(scope="module")
 def models(frame):
-    return secrets.fit(secrets.default_samples(frame, n_random=4000))
+    return secrets.default_models(frame)
 
 
 def test_spans_against_a_plain_scorer(frame, models, texts):
@@ -104,6 +104,34 @@ def test_held_out_strings(models, spark):
     assert precision > 0.98 and recall > 0.95, (precision, recall)
 
 
+#: Names of many shapes, most of whose words are not those that the models are trained on.
+OUTSIDE = """getUserAccountBalanceById /usr/local/lib/python aaaaaaaaaaaaaaaaaaaa ConcurrentHashMapSegment java/util/concurrent/atomic org.apache.commons
+kubernetes-dashboard-metrics quarterly_revenue_forecast_2023 XMLHttpRequestUpload MAX_RETRY_ATTEMPTS_EXCEEDED parseInlineMarkdownTokens node_modules/typescript
+=================== --------------------- ____________________ 2023-11-04T09-12-55 20231104091255 000000000000000000 neighbourhoodSearchRadius libgstreamer-plugins
+docker-compose-override thirdparty/openssl/crypto convolutionalLayerWeights Donaudampfschifffahrt verfassungsgerichtlich internationalisation Rechtsanwaltskanzlei
+mediterranean_temperature_anomaly isPermissionGrantedForResource SELECT_FOR_UPDATE_NOWAIT abstractSingletonProxyFactoryBean hexadecimalDigestLength
+photosynthesis-chloroplast-membrane unbelievablyLongMethodName BufferedInputStreamReader hahahahahahahaha lorem_ipsum_dolor_sit_amet sphinx-autodoc-typehints
+incrementAndGetAtomicReference /home/gutenberg/manuscripts/chapter temporaryDirectoryCleanup glyphRasterizationCache responsabilidades desenvolvimento
+desproporcionadamente anticonstitutionnellement electroencephalograph wp-content/uploads/thumbnails fetchJsonWithExponentialBackoff whiskeyTangoFoxtrot""".split()
+
+
+def test_ordinary_names_from_outside_are_left_alone(models, spark, frame):
+    text = " ; ".join(OUTSIDE)
+    found = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), models).first()
+    assert found.n_markov <= 1, [text[int(a) : int(b)] for k, a, b in (s.split(":") for s in found.spans.split(",")) if k == "markov"]
+
+
+def test_tokens_of_known_shapes_are_found(models, spark):
+    """Shapes of real tokens with random parts: precision and recall on strings that share nothing with the training."""
+    rng = random.Random(41)
+    some = lambda n, letters=LETTERS: "".join(rng.choices(letters, k=n))
+    shapes = [lambda: "ghp_" + some(36), lambda: "xoxb-" + some(12, string.digits) + "-" + some(24), lambda: "sk_live_" + some(24), lambda: "eyJ" + some(40), lambda: "AIza" + some(35), lambda: "glpat-" + some(20), lambda: some(40, LETTERS + "+/"), lambda: "npm_" + some(36)]
+    secret = [rng.choice(shapes)() for _ in range(800)]
+    held = spark.createDataFrame([(v, True) for v in secret] + [(v, False) for v in OUTSIDE * 10], "value string, random boolean")
+    precision, recall = secrets.quality_of(models, held)
+    assert precision > 0.97 and recall > 0.97, (precision, recall)
+
+
 def test_no_samples_and_empty_tables(spark, frame, empty, texts):
     none = secrets.fit(spark.createDataFrame([("abc", True)], "value string, random boolean"))
     assert none.threshold == math.inf
