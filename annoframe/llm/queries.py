@@ -32,10 +32,12 @@ l AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS full_, sum(w) OVER () - coalesce
 c AS (SELECT *, max(CASE WHEN cap / w >= (total - full_) / rest THEN (total - full_) / rest END) OVER () AS common FROM l),
 t AS (SELECT source, source_size, least(cap, coalesce(w * common, cap)) AS target FROM c),
 r AS (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY floor(log2(size + 1.0::DOUBLE) * 64), salt, size, doc_id NULLS LAST) AS n FROM d),
-p AS (SELECT r.doc_id, r.size, t.source_size, t.target, CAST(n AS DOUBLE) AS n, CASE WHEN t.source_size = 0 THEN 0.0 ELSE t.target / t.source_size END AS rate,
-        CAST(CAST('0x' || substr(md5('5|' || coalesce(r.source, '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE AS o
-      FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target, CAST((floor(o + n * rate) - floor(o + (n - 1.0::DOUBLE) * rate)) * size AS BIGINT) AS taken FROM p
+p AS (SELECT r.doc_id, r.size, t.source_size, t.target, CAST(n AS DOUBLE) AS n, CASE WHEN t.source_size = 0 THEN 0.0 ELSE t.target / t.source_size END AS rate, r.source
+      FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source),
+x AS (SELECT p.*, k, CAST(CAST('0x' || substr(md5('5|' || k || '|' || coalesce(source, '')), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE AS o FROM p, range(32) AS z(k)),
+y AS (SELECT *, CAST((floor(o + n * rate) - floor(o + (n - 1.0::DOUBLE) * rate)) * size AS BIGINT) AS taken FROM x),
+b AS (SELECT source, arg_min(k, (abs(taken - target), k)) AS best FROM (SELECT source, k, CAST(sum(taken) AS BIGINT) AS taken, any_value(target) AS target FROM y GROUP BY source, k) GROUP BY source)
+SELECT doc_id, size, source_size, target, taken FROM y JOIN b ON y.source IS NOT DISTINCT FROM b.source AND y.k = b.best
 """
 
 

@@ -1,9 +1,10 @@
 """Source mixing and the digest index against plain loops."""
 
 import hashlib
-import shutil
 import math
-from collections import Counter
+import random
+import shutil
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,13 +47,17 @@ def test_mixing(docs, empty, rows):
     order = lambda r: (math.floor(math.log2(r[2] + 1) * 64), int(hashlib.md5(str(r[0] if r[0] is not None else r[1] or "").encode()).hexdigest()[:2], 16), r[2], r[0] is None, r[0] or 0)
     want = Counter()
     for source in sizes:
-        at = start = int(hashlib.md5(f"5|{source or ''}".encode()).hexdigest()[:8], 16) / 2**32
         rate = goal[source] / sizes[source] if sizes[source] else 0.0
         own = sorted(((d, t, len(words(t))) for d, t, _, s in rows if s == source), key=order)
-        for n, (doc_id, _, size) in enumerate(own, 1):
-            now = start + n * rate
-            want[doc_id, size, math.floor(now) - math.floor(at)] += 1
-            at = now
+        draws = []
+        for k in range(mixing.OFFSETS):  # the offset whose words come nearest
+            at = start = int(hashlib.md5(f"5|{k}|{source or ''}".encode()).hexdigest()[:8], 16) / 2**32
+            drawn = []
+            for n, (doc_id, _, size) in enumerate(own, 1):
+                drawn.append((doc_id, size, math.floor(start + n * rate) - math.floor(at)))
+                at = start + n * rate
+            draws.append((abs(sum(c * s for _, s, c in drawn) - goal[source]), k, drawn))
+        want.update(min(draws)[2])
     assert Counter((r.doc_id, r.size, r.copies) for r in got) == want
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in got)
@@ -64,6 +69,18 @@ def test_mixing(docs, empty, rows):
     assert mixing.mix(empty).count() == 0
 
 
+def test_words_come_near_their_targets(spark):
+    """Sources of a few dozen documents, some with one very long text of up to a fifth of their words."""
+    rng = random.Random(3)
+    rows = [(k, "w " * min(4000, int(rng.paretovariate(0.9) * 20)), f"s{k % 12}") for k in range(900)]
+    found = defaultdict(lambda: [0, 0.0, 0])
+    for r in mixing.mixed_counts(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        own = found[r.source]
+        own[0], own[1], own[2] = own[0] + r.copies * r.size, r.target, max(own[2], r.size)
+    for taken, target, longest in found.values():
+        assert abs(taken - target) <= max(0.03 * target, 0.3 * longest), (taken, target, longest)
+
+
 def norm(text):
     return hashlib.sha256((text or "").encode().translate(LOWER)).hexdigest()
 
