@@ -11,11 +11,12 @@ The first softmax has hashed features of the word before, of the two before toge
 skip feature); later ones have the word before and the skip feature, each together with the digits so far.  Every softmax
 starts from the training shares.
 
-Training: rounds over disjoint folds of the training texts, so that all take part once.  In a round each of `workers` tasks
-(by default as many as cores) makes AdaGrad steps on its texts from the same weights; the changes of each weight row that a
-task touched are averaged by how often, in one aggregation, and added on the driver.  What is exchanged grows with rounds,
-workers and weight rows (`WEIGHT_ROWS` x `BRANCH` floats at most), not with the corpus.  Weights, and so scores, depend on
-how the input is split among workers; counts and base scores don't.  Scoring runs in sparse batches: only weight rows of
+Training: rounds over disjoint folds of the training texts, so that all take part once.  In a round each shard of a fold
+makes AdaGrad steps on its texts from the same weights; the changes of each weight row that a shard touched are averaged by
+how often, in one aggregation, and added on the driver.  A text's fold, shard and place in it follow from a hash of the row, and
+the number of shards from the number of training tokens (`shards_for`), so weights and scores are the same on any cluster
+and however the input is split.  What is exchanged grows with rounds, shards and weight rows (`WEIGHT_ROWS` x `BRANCH` floats at
+most).  Scoring runs in sparse batches: only weight rows of
 features that occur.
 
 Counts of all training words are kept as a table of hashes.  Scoring looks the `common` most frequent ones up inside tasks;
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -52,6 +54,7 @@ END = np.uint64(0)
 BEFORE = np.uint64(1)  # stands before the first word
 K1, K2, K3, K4 = (np.uint64(k) for k in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC13FA9A902A6328F, 0xD1B54A32D192ED03))
 BATCH = 1 << 14
+SHARD, FEWEST, MOST = 8_000_000, 6, 4096  # training tokens of a shard in a round; shards in a round, at least and at most
 
 
 class Vocabulary(NamedTuple):
@@ -175,12 +178,12 @@ def update(table: np.ndarray, squares: np.ndarray, touched: np.ndarray, f: np.nd
 
 
 def trainer(v: Vocabulary, start: Weights, rate: float, damping: float):
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def one_shard(columns: Iterator[pa.Array]) -> Iterator[pa.RecordBatch]:
         w = Weights(start.first.copy(), start.later.copy())
         squares = [np.full(len(x), damping, np.float32) for x in w]  # rows that are rarely met move little
         touched = [np.zeros(len(x), np.int64) for x in w]
-        for batch in batches:
-            for _, _, texts in slices(batch.column("text"), size=1 << 20):
+        for column in columns:
+            for _, _, texts in slices(column, size=1 << 20):
                 t, tails, first = tokens(texts)
                 one, two = histories(t, first)
                 for a in range(0, len(t), BATCH):
@@ -201,6 +204,20 @@ def trainer(v: Vocabulary, start: Weights, rate: float, damping: float):
             names = ["layer", "row", "n", *[f"w{j}" for j in range(BRANCH)]]
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(rows), pa.int32()), pa.array(rows, pa.int64()), pa.array(n), *[pa.array(np.ascontiguousarray(change[:, j], np.float32)) for j in range(BRANCH)]], names=names)
 
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in order of shard; each shard by itself."""
+
+        def runs() -> Iterator[tuple[int, pa.Array]]:
+            for batch in batches:
+                shard = batch.column("shard").to_numpy()
+                ends = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+                for a, b in zip(ends, ends[1:]):
+                    if b > a:
+                        yield int(shard[a]), batch.column("text")[a:b]
+
+        for _, own in groupby(runs(), key=lambda x: x[0]):
+            yield from one_shard(column for _, column in own)
+
     return train
 
 
@@ -283,11 +300,17 @@ def vocabulary(counts: Counts, common: int, depth: int | None = None) -> tuple[V
     return v, h[order], c[order]
 
 
-def train(docs: DataFrame, v: Vocabulary, rounds: int = 3, workers: int | None = None, rate: float = 1.0, damping: float = 10.0) -> Weights:
+def shards_for(tokens: int, rounds: int) -> int:
+    return min(MOST, max(FEWEST, -(-tokens // (rounds * SHARD))))
+
+
+def train(docs: DataFrame, v: Vocabulary, rounds: int = 3, shards: int = FEWEST, rate: float = 1.0, damping: float = 10.0) -> Weights:
+    """docs: text, key (a hash of the row).  Rows with one key are the same row."""
     w = Weights(np.zeros((3 * ROWS1, BRANCH), np.float32), np.zeros((2 * ROWS2, BRANCH), np.float32))
-    workers = workers or docs.sparkSession.sparkContext.defaultParallelism
+    dealt = docs.withColumn("shard", F.pmod(F.xxhash64(F.lit(5), "key"), F.lit(shards)).cast("int"))
     for k in range(rounds):
-        fold = docs.where(F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(rounds)) == k).select("text").coalesce(workers)
+        fold = dealt.where(F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(rounds)) == k)
+        fold = fold.repartitionById(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "text")
         means = [(F.sum(f"w{j}") / F.sum("n")).cast("float").alias(f"w{j}") for j in range(BRANCH)]
         got = fold.mapInArrow(trainer(v, w, rate, damping), CHANGES).groupBy("layer", "row").agg(*means).toArrow()  # WEIGHT_ROWS at most
         layers, rows = got.column("layer").to_numpy(), got.column("row").to_numpy()
@@ -354,10 +377,10 @@ def scorer(v: Vocabulary, w: Weights, words: np.ndarray, counts: np.ndarray):
 def scored(docs: DataFrame, held_out, keep: list, common: int = 1 << 17, **training) -> DataFrame:
     """The `keep` columns of each row with n_tokens, n_known, train_tokens, base_score, score.
     held_out: a condition; rows that meet it are not learnt from."""
-    learn = docs.where(~held_out).select("text")
+    learn = docs.where(~held_out).select("text", F.xxhash64("text", *keep).alias("key"))
     counts = counted(learn)
     v, words, c = vocabulary(counts, common)
-    w = train(learn, v, **training)
+    w = train(learn, v, **({"shards": shards_for(counts.n, training.get("rounds", 3))} | training))
     rows = docs.select(F.struct(*keep).alias("row"), F.monotonically_increasing_id().alias("key"), "text")
     schema = arrow_schema(rows, "row, key", "n_tokens long, n_common long, base double, model double, rare array<struct<h:long,n:long>>")
     first = stored(rows.mapInArrow(scorer(v, w, words, c), schema), "scored")

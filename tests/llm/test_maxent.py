@@ -101,7 +101,7 @@ def test_probabilities_of_all_words_sum_to_one(many):
     rows, docs = many
     counts = maxent.counted(docs)
     v, _, _ = maxent.vocabulary(counts, 1000, 2)
-    w = maxent.train(docs, v)
+    w = maxent.train(docs.select("text", F.xxhash64("text").alias("key")), v)
     table = counts.table.collect()
     assert len(table) > maxent.HEAD
     # all words after the same two, and an unknown word of each leaf, which stands for all unknown words there
@@ -127,6 +127,13 @@ def test_counts_and_base_scores(docs, empty, rows):
     assert maxent.scored(docs, F.lit(True), [F.col("doc_id")]).agg(F.sum("n_known")).first()[0] == 0
 
 
+def test_scores_do_not_depend_on_how_the_input_is_split(docs):
+    rest = languages.is_held_out(F.col("doc_id"), 7, 2)
+    every = [sorted((str(r.doc_id), r.n_tokens, r.score) for r in maxent.scored(docs.repartition(n), rest, [F.col("doc_id")]).collect()) for n in (2, 7)]
+    assert all(a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-5) for a, b in zip(*every))
+    assert [maxent.shards_for(n, 3) for n in (0, 10**8, 10**9, 10**15)] == [6, 6, 42, 4096]
+
+
 def test_leaves_grow_with_the_vocabulary():
     assert [maxent.depth_for(n) for n in (0, 1, 10**4, 10**6, 10**7, 10**8, 10**9, 10**11)] == sorted(maxent.depth_for(n) for n in (0, 1, 10**4, 10**6, 10**7, 10**8, 10**9, 10**11))
     for n in (10**5, 10**6, 10**8, 10**10):
