@@ -6,8 +6,10 @@ agenda, until none is left.  What remains are pieces; a character that is none g
 
 In a vocabulary whose pieces have the space mark at their start only, no merge crosses a mark that follows something else,
 nor a character that is in no longer piece (the line end).  A text is cut there into chunks, and each worker remembers
-the ids of short ones, a bounded number of them.  Every chunk that a worker solves is checked against the sentencepiece
-library, those of an Arrow batch in one call; a difference is an error.  Decoding is the library's own.
+the ids of short ones, a bounded number of them.  The short chunks that an Arrow batch brings anew are solved together: each has a
+row of pairs as its agenda, and every round merges the best pair of each; for long ones the agenda is a heap.  Every chunk
+that a worker solves is checked against the sentencepiece library, a thousand in one call; a difference is an error.
+Decoding is the library's own.
 
 Edge cases: null text is empty and has no ids.  Characters, byte pieces and names of control pieces in a text are plain
 text, as for the library.  Long chunks without spaces are solved by the same agenda, in time n log n, and not remembered.
@@ -32,6 +34,7 @@ from .tokens import tokenizer_path
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 REMEMBERED, SHORT = 1_000_000, 48  # chunks that a worker remembers, and their length in characters at most
+NONE = np.iinfo(np.int32).max  # place of a pair that makes no piece
 PROBE = "  a b\t c　ﬁé \n"
 _WORKER: dict[str, "Pieces"] = {}
 
@@ -43,6 +46,19 @@ def worker_pieces(path: str) -> "Pieces":
     return _WORKER[path]
 
 
+class Known(dict):
+    """Ids by chunk, as bytes.  A chunk that it lacks is noted in `new` and gets a place to be filled."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> bytearray:
+        place = self[chunk] = bytearray()
+        self.new.append(chunk)
+        return place
+
+
 class Pieces:
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -58,15 +74,23 @@ class Pieces:
         longer = [p for p in self.ids if len(p) > 1]
         self.cuts = not any(re.search(f"[^{MARK}]{MARK}", p) for p in longer) and not any("\n" in p for p in longer)
         self.chunks = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+" if self.cuts else r"(?s).+").findall
-        self.line = len(lib.encode("\n")) - 1 if self.cuts else 0  # ids of a line end; the mark before it is another
-        self.known: dict[str, bytes] = {}
+        self.line = lib.encode("\n")[1:] if self.cuts else []  # of a line end; the mark before it is another
+        self.known = Known()
+        # for agendas of many chunks at once: ids of characters, and for each two ids that make a piece its place by score and its id
+        self.of_char = np.full(0x110000, -1, np.int32)
+        for p, k in self.ids.items():
+            if len(p) == 1:
+                self.of_char[ord(p)] = k
+        place = {x: k for k, x in enumerate(sorted({self.scores[p] for p in longer}, reverse=True))}
+        pairs = sorted((self.ids[p[:k]] << 32 | self.ids[p[k:]], place[self.scores[p]], self.ids[p]) for p in longer for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids)
+        self.pairs, self.places, self.joined = (np.array(x, t) for x, t in zip(zip(*pairs), (np.int64, np.int32, np.int32)))
 
     @staticmethod
     def normal(text: str) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
 
     def merged(self, chunk: str) -> list[int]:
-        """Ids of a chunk by the agenda."""
+        """Ids of one chunk; its agenda is a heap."""
         symbols, scores = list(chunk), self.scores
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -100,28 +124,103 @@ class Pieces:
                 out += [self.bytes[b] for b in s.encode()] if own is None else [own]
         return out
 
-    def check(self, chunks: list[str], found: list[list[int]]) -> None:
-        """Compare with the library, which puts a mark before a text: a chunk that has none follows a line end here, and a
-        line end follows every chunk."""
-        line = "\n" if self.cuts else ""
-        said = self.library.encode([(c[1:] if c[0] == MARK else line + c) + line for c in chunks])
-        for c, own, ids in zip(chunks, found, said):
-            if own != ids[0 if c[0] == MARK else 1 + self.line : len(ids) - self.line]:
+    def looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place by score (NONE if they make no piece; id -1 is none) and joint id of pairs of ids."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        there = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(there, self.places[at], NONE), self.joined[at]
+
+    def merged_together(self, symbols: np.ndarray) -> np.ndarray:
+        """symbols: ids of the characters of chunks of one length, a row each.  Each chunk's agenda is a row of places by score;
+        in a round every chunk merges its best pair.  The ids that are left, others -1."""
+        m, n = symbols.shape
+        symbols, row = symbols.copy(), np.arange(m)
+        agenda, joint = np.full((m, n), NONE, np.int32), np.zeros((m, n), np.int32)
+        if n > 1:
+            place, own = self.looked_up(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+            agenda[:, :-1], joint[:, :-1] = place.reshape(m, n - 1), own.reshape(m, n - 1)
+        after = np.broadcast_to(np.arange(1, n + 1), (m, n)).copy()
+        before = np.broadcast_to(np.arange(-1, n - 1), (m, n)).copy()
+        while len(row):
+            a = agenda[row].argmin(1)  # the leftmost of equals
+            row, a = (x[agenda[row, a] < NONE] for x in (row, a))
+            if not len(row):
+                break
+            b = after[row, a]
+            c, z = after[row, b], before[row, a]
+            symbols[row, a] = joint[row, a]
+            symbols[row, b], agenda[row, b] = -1, NONE
+            after[row, a] = c
+            inner = c < n
+            before[row[inner], c[inner]] = a[inner]
+            right = np.where(inner, symbols[row, np.minimum(c, n - 1)], -1)
+            agenda[row, a], joint[row, a] = self.looked_up(symbols[row, a], right)
+            r, k, z = row[z >= 0], a[z >= 0], z[z >= 0]
+            agenda[r, z], joint[r, z] = self.looked_up(symbols[r, z], symbols[r, k])
+        return symbols
+
+    def solved(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks as bytes: short ones of known characters together, others one by one."""
+        out: list[bytes] = [b""] * len(chunks)
+        by_length: dict[int, list[int]] = {}
+        for k, c in enumerate(chunks):
+            by_length.setdefault(len(c) if len(c) <= SHORT else 0, []).append(k)
+        alone = by_length.pop(0, [])
+        for n, own in by_length.items():
+            points = np.frombuffer("".join([chunks[k] for k in own]).encode("utf-32-le"), np.uint32).reshape(-1, n)
+            symbols = self.of_char[points]
+            plain = (symbols >= 0).all(1)
+            alone += [own[k] for k in np.flatnonzero(~plain).tolist()]
+            own = [own[k] for k in np.flatnonzero(plain).tolist()]
+            left = self.merged_together(symbols[plain])
+            ends = 4 * np.cumsum((left >= 0).sum(1))
+            raw, at = left[left >= 0].astype("<i4").tobytes(), 0
+            for k, end in zip(own, ends.tolist()):
+                out[k] = raw[at:end]
+                at = end
+        for k in alone:
+            out[k] = np.array(self.merged(chunks[k]), "<i4").tobytes()
+        return out
+
+    def check(self, chunks: list[str], found: list[bytes]) -> None:
+        """Compare with the library: chunks in one text, each between line ends, where a model's chunks can be cut so."""
+        if self.cuts:
+            line = np.array(self.line, "<i4").tobytes()
+            said = self.library.encode("\n" + "\n".join(chunks) + "\n")
+            if np.array(said[1:], "<i4").tobytes() == line + line.join(found) + line:
+                return
+        for c, ids in zip(chunks, found):
+            own = np.frombuffer(ids, "<i4").tolist()
+            if not self.cuts or c[0] == MARK:
+                said = self.library.encode(c[1:] + ("\n" if self.cuts else ""))
+            else:
+                said = self.library.encode("\n" + c + "\n")[1 + len(self.line) :]
+            if own != said[: len(said) - len(self.line)]:
                 raise ValueError(f"the agenda differs from the library on {c[:80]!r}")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.chunks(self.normal(t)) for t in texts]
-        known, seen = self.known, {c for chunks in cut for c in chunks}
-        new = [c for c in seen if c not in known]
-        found = [self.merged(c) for c in new]
-        for a in range(0, len(new), 10_000):
-            self.check(new[a : a + 10_000], found[a : a + 10_000])
-        own = {c: np.array(ids, "<i4").tobytes() for c, ids in zip(new, found)}
-        if len(known) + len(new) > REMEMBERED:
-            known = self.known = {c: known[c] for c in seen if c in known}
-        known |= {c: x for c, x in own.items() if len(c) <= SHORT}
-        own = {c: x for c, x in own.items() if len(c) > SHORT}
-        return [np.frombuffer(b"".join([known[c] if c in known else own[c] for c in chunks]), "<i4") for chunks in cut]
+        find = self.known.__getitem__
+        places = [list(map(find, self.chunks(self.normal(t)))) for t in texts]  # one look at each chunk; new ones are filled below
+        known, new = self.known, self.known.new
+        try:
+            found = self.solved(new)
+            for a in range(0, len(new), 1000):
+                self.check(new[a : a + 1000], found[a : a + 1000])
+        except BaseException:
+            self.known = Known()  # no place may stay unfilled
+            raise
+        for c, ids in zip(new, found):
+            known[c] += ids
+        out = [np.frombuffer(b"".join(p), "<i4") for p in places]
+        if len(known) > REMEMBERED:
+            self.known = Known()
+        else:
+            for c in new:
+                if len(c) > SHORT:
+                    del known[c]
+            known.new = []
+        return out
 
 
 def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
