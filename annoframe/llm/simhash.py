@@ -87,9 +87,9 @@ def cost(plan: tuple, n: int) -> float:
     return len(plan) + sum(balls) + PAIR_COST * met
 
 
-def links(distinct: DataFrame, most: int = 4, plan: tuple = SHORT) -> DataFrame:
+def links(distinct: DataFrame, most: int = 4, plan: tuple = SHORT, few: int = 0) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints (column fp) that differ in at most `most` bits: as many as give the
-    components of all such pairs."""
+    components of all such pairs.  few: as of `components`."""
     assert sum(bits for bits, _ in plan) == 64 and sum(r + 1 for _, r in plan) > most
 
     def dealt(rows: DataFrame, name: str, near: bool) -> DataFrame:
@@ -106,7 +106,7 @@ def links(distinct: DataFrame, most: int = 4, plan: tuple = SHORT) -> DataFrame:
     first = dealt(distinct.select("fp"), "a", False).groupBy("seg", "value").agg(F.min("a").alias("a"))
     probes = dealt(distinct.select("fp"), "b", True)
     stars = cut(first.hint("merge").join(probes, ["seg", "value"]).where((F.col("a") != F.col("b")) & within).select(*pair).distinct())
-    member = components(stars).select(F.col("node").alias("fp"), "root")
+    member = components(stars, few).select(F.col("node").alias("fp"), "root")
     rooted = cut(distinct.select("fp").join(member, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")))
     met = dealt(rooted, "a", False).hint("merge").join(dealt(rooted, "b", True), ["seg", "value"])
     apart = (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & within

@@ -14,8 +14,8 @@ for all texts; which shingles are common is read off a sample of texts, so that
 places part those that share only such lines.
 
 Candidates: in each bucket (texts with one indexed shingle) every text is compared with a leader; then, as only components are asked
-for, texts of a bucket that are not in one component yet.  Those are met by classes of (size, place) that can go together, so that
-texts that only share a passage are never paired one by one.  A large family that the leaders link costs its size; texts of one bucket
+for, texts of a bucket that are not in one component yet.  Those are met by classes of (size, place) that can go together by these and by how many elements of
+each of some classes of hashes they hold at most, so that texts that only share a passage are never paired one by one.  A large family that the leaders link costs its size; texts of one bucket
 that could go together and do not cost the square of their number, as none may be left out.
 
 Edge cases: fewer than `width` words make one shingle; texts without words have the same, empty set; texts with one set
@@ -41,7 +41,8 @@ from .tokens import forget
 K = np.uint64(0xC13FA9A902A6328F)
 SAMPLE, LISTED, SEEN = 20_000, 1 << 17, 3  # texts sampled; shingles known to be common, at most; texts that one of those is in
 BITS = 4  # that linked fingerprints differ in
-SKETCH = 128  # classes of hashes that a set's elements are counted by
+SKETCH, COARSE = 128, 32  # classes of hashes that a set's elements are counted by; fewer, for many sets at once
+FEW = 500_000  # links that one task unites
 
 
 def shingles_of(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
@@ -92,8 +93,8 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def nodes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """doc_id, own, node (hash of the set), n (its size), fp, sketch (elements by class), prefix (the shingles to index, in
-    order) of every row."""
+    """doc_id, own, node (hash of the set), n (its size), fp, sketch and coarse (elements by class), prefix (the shingles to
+    index, in order) of every row."""
     listed, counts = common_shingles(docs, width)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,27 +113,34 @@ def nodes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
                         place = np.minimum(np.searchsorted(listed, h), len(listed) - 1)
                         h = h[np.argsort(np.where(listed[place] == h, counts[place], 0), kind="stable")]
                     prefix.append(h[:most])
-                columns = [pa.array(np.array(name, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), lists(sketch), lists(prefix)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], batch.column("own")[a:b], *columns], names=["doc_id", "own", "node", "n", "fp", "sketch", "prefix"])
+                coarse = [x.reshape(COARSE, -1).sum(1) for x in sketch]
+                columns = [pa.array(np.array(name, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), lists(sketch).cast(pa.list_(pa.int32())), lists(coarse).cast(pa.list_(pa.int32())), lists(prefix)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], batch.column("own")[a:b], *columns], names=["doc_id", "own", "node", "n", "fp", "sketch", "coarse", "prefix"])
 
-    return docs.select("doc_id", "own", "text").mapInArrow(of, arrow_schema(docs, "doc_id, own", "node long, n long, fp long, sketch array<long>, prefix array<long>"))
+    return docs.select("doc_id", "own", "text").mapInArrow(of, arrow_schema(docs, "doc_id, own", "node long, n long, fp long, sketch array<int>, coarse array<int>, prefix array<long>"))
 
 
-def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are that similar.  Two sets share no more than the lesser counts of each class
-    of their sketches add up to; only pairs that this leaves open are looked at as a whole."""
+def one_each(rows: DataFrame) -> DataFrame:
+    """One row of every node.  Most nodes have one row, so only those that repeat are moved."""
+    several = sent_if_small(cut(rows.groupBy("node").agg(F.count("*").alias("c")).where("c > 1").select("node")))
+    return rows.join(several, "node", "left_anti").union(rows.join(several, "node", "left_semi").dropDuplicates(["node"]))
+
+
+def verified(pairs: DataFrame, single: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets are that similar.  single: a row of each node.  Two sets share no more than the
+    lesser counts of each class of their sketches add up to; only pairs that this leaves open are looked at as a whole."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in slices(batch.column("text"), size=1 << 20):
                 yield pa.RecordBatch.from_arrays([batch.column("node")[a:b], lists([np.unique(h) for h in shingles_of(texts, width)])], names=["node", "shingles"])
 
-    sketches = rows.dropDuplicates(["node"]).select("node", "n", "sketch")
+    asked = lambda of: sent_if_small(cut(of.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+    sketches = single.select("node", "n", "sketch").join(asked(pairs), "node", "left_semi")
     open_ = pairs.join(sketches.toDF("a", "n", "of_a"), "a").join(sketches.toDF("b", "m", "of_b"), "b")
     most = F.aggregate(F.zip_with("of_a", "of_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda acc, x: acc + x)
     pairs = cut(open_.where(most >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("m")) - F.lit(1e-9)).select("a", "b"))
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    one = sent_if_small(cut(rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min("own").alias("own"))))
+    one = sent_if_small(cut(single.select("node", "own").join(asked(pairs), "node", "left_semi")))
     texts = docs.select("own", "text").join(one, "own").dropDuplicates(["node"]).select("node", "text")
     whole = stored(texts.mapInArrow(sets, "node long, shingles array<long>"), "shingles")
     both = pairs.join(whole.toDF("a", "of_a"), "a").join(whole.toDF("b", "of_b"), "b")
@@ -149,7 +157,7 @@ def go_together(n: Column, i: Column, m: Column, j: Column, similarity: float) -
 def groups_of(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, own, group (the least node reachable) of every row.  docs: doc_id, text, own (hash of the text)."""
     rows = stored(nodes(docs, width, similarity), "nodes")
-    single = rows.dropDuplicates(["node"])
+    single = one_each(rows)
     near = tested = None
     member = rows.sparkSession.createDataFrame([], "node long, root long")
 
@@ -160,14 +168,14 @@ def groups_of(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataF
         new = cut(new if tested is None else new.join(tested, ["a", "b"], "left_anti"))
         tested = new if tested is None else tested.union(new)
         if not new.isEmpty():
-            found = cut(verified(new, rows, docs, width, similarity))
+            found = cut(verified(new, single, docs, width, similarity))
             near = found if near is None else near.union(found)
-            member = cut(components(near))
+            member = sent_if_small(components(near, FEW))
 
     # fingerprints: texts with the same one, and links between fingerprints, each by one text of a fingerprint
     of_fp = cut(single.groupBy("fp").agg(F.min("node").alias("rep")))
     n = of_fp.count()
-    linked = links(of_fp.select("fp"), BITS, min(SHORT, LONG, key=lambda p: cost(p, n)))
+    linked = links(of_fp.select("fp"), BITS, min(SHORT, LONG, key=lambda p: cost(p, n)), FEW)
     reps = linked.join(of_fp.toDF("a", "x"), "a").join(of_fp.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     tested_now(reps.union(single.join(of_fp, "fp").select("node", "rep")))
 
@@ -183,13 +191,19 @@ def groups_of(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataF
     stars = rooted().join(leader, "h").where((F.col("root") != F.col("x.root")) & go_together(F.col("n"), F.col("i"), F.col("x.n"), F.col("x.i"), similarity))
     tested_now(stars.select(F.col("node").alias("a"), F.col("x.node").alias("b")))
 
-    left = rooted()
-    classes = cut(left.groupBy("h", "n", "i").agg(F.min("root").alias("low"), F.max("root").alias("high")))
-    mixed = classes.groupBy("h").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("h")
-    classes = classes.join(mixed, "h", "left_semi")
-    x, y = classes.toDF("h", "n", "i", "low", "high"), classes.toDF("h", "m", "j", "low_", "high_")
-    together = go_together(F.col("n"), F.col("i"), F.col("m"), F.col("j"), similarity) & (F.least("low", "low_") != F.greatest("high", "high_"))
-    together = x.join(y, "h").where(together & (F.struct("n", "i") <= F.struct("m", "j"))).select("h", "n", "i", "m", "j")
+    # classes of size and place in buckets of several components, with the most that any text of a class has in each coarse class of elements
+    mixed = rooted().groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
+    left = stored(rooted().join(mixed, "h", "left_semi"), "left")
+    asked = sent_if_small(cut(left.select("node").distinct()))
+    counts = single.join(asked, "node", "left_semi").select("node", *[F.get("coarse", k).alias(f"k{k}") for k in range(COARSE)])
+    most = [F.max(f"k{k}").alias(f"k{k}") for k in range(COARSE)]
+    classes = stored(left.join(counts, "node").groupBy("h", "n", "i").agg(F.min("root").alias("low"), F.max("root").alias("high"), *most), "classes")
+    x, y = classes.alias("x"), classes.alias("y")
+    shared_most = sum((F.least(f"x.k{k}", f"y.k{k}") for k in range(1, COARSE)), F.least("x.k0", "y.k0"))
+    together = go_together(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), similarity) & (F.least("x.low", "y.low") != F.greatest("x.high", "y.high"))
+    together &= shared_most >= F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - F.lit(1e-9)
+    together = x.join(y, (F.col("x.h") == F.col("y.h")) & together & (F.struct("x.n", "x.i") <= F.struct("y.n", "y.i")))
+    together = together.select(F.col("x.h").alias("h"), F.col("x.n").alias("n"), F.col("x.i").alias("i"), F.col("y.n").alias("m"), F.col("y.i").alias("j"))
     a = left.select("h", "n", "i", F.col("node").alias("a"), F.col("root").alias("root_a")).join(together, ["h", "n", "i"])
     b = left.select("h", F.col("n").alias("m"), F.col("i").alias("j"), F.col("node").alias("b"), F.col("root").alias("root_b"))
     tested_now(a.join(b, ["h", "m", "j"]).where("root_a <> root_b").select("a", "b"))
