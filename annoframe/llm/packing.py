@@ -121,20 +121,22 @@ def pack(docs: DataFrame, targets: dict[str | None, float] | None = None, tokeni
         for batch in batches:
             for a in range(0, len(batch), 2000):
                 part = batch.slice(a, 2000)
-                owner, out = [], []
-                for k, (at, start, n, raw) in enumerate(zip(*[part.column(c).to_pylist() for c in ("at", "start", "n", "ids")])):
-                    ids = np.frombuffer(raw, f"<u{wide}").astype("<u4").tobytes()
-                    length, done = len(ids) // 4, 0
-                    while done < length:  # at most one end of a sequence for each `window` tokens
-                        sequence, offset = divmod(at + done, window)
-                        take = min(length - done, window - offset)
-                        own = ids[4 * done : 4 * (done + take)]
-                        owner.append(k)
-                        out.append((start + done, take, zlib.crc32(own), n, sequence, offset, own))
-                        done += take
-                own = pa.array(owner, pa.int64())
-                columns = [pa.array(x, t) for x, t in zip(zip(*out), [pa.int64()] * 6 + [pa.binary()])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(own), *columns[:6], part.column("source").take(own), columns[6]], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "ids"])
+                at, start = (part.column(c).to_numpy() for c in ("at", "start"))
+                raw = part.column("ids").to_pylist()
+                length = np.fromiter(map(len, raw), np.int64, len(raw)) // wide
+                # a piece is cut where sequences end: into one part more than the ends inside it
+                parts = (at + length - 1) // window - at // window + 1
+                own = np.repeat(np.arange(len(raw)), parts)
+                nth = np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)
+                sequence = at[own] // window + nth
+                begin = np.maximum(at[own], sequence * window)
+                take = np.minimum((at + length)[own], (sequence + 1) * window) - begin
+                ids = np.frombuffer(b"".join(raw), f"<u{wide}").astype("<u4").tobytes()
+                ends = np.concatenate(([0], 4 * np.cumsum(take))).tolist()  # pieces and parts follow each other in `ids`
+                cut_up = [ids[x:y] for x, y in zip(ends, ends[1:])]
+                owner = pa.array(own)
+                columns = [start[own] + begin - at[own], take, np.fromiter(map(zlib.crc32, cut_up), np.int64, len(cut_up)), part.column("n").to_numpy()[own], sequence, begin - sequence * window]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(owner), *map(pa.array, columns), part.column("source").take(owner), pa.array(cut_up, pa.binary())], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "ids"])
 
     schema = arrow_schema(docs, "doc_id", "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string, ids binary")
     return laid.select("doc_id", "source", "ids", "start", "n", "at").mapInArrow(split, schema)
