@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 SPAN = ["text_id", "start", "end"]
 
 
-def _annotations(layer: DataFrame) -> DataFrame:
-    return layer.groupBy(*SPAN).agg(F.array_sort(F.collect_set("label")).alias("labels"))
-
-
 def span_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """text_id, start, end, a, b (label lists or null), status: unchanged, modified, missing (only in a), extra (only in b)."""
-    met = _annotations(a).withColumnRenamed("labels", "a").join(_annotations(b).withColumnRenamed("labels", "b"), SPAN, "full")
+    """text_id, start, end, a, b (label lists or null), status: unchanged, modified, missing (only in a), extra (only in b).  Both
+    versions are put together and grouped, so spans are moved and sorted once and not joined."""
+    of = lambda x, side: x.select(*SPAN, "label", F.lit(side).alias("of_a"))
+    labels = lambda own: F.when(F.bool_or(own), F.array_sort(F.collect_set(F.when(own, F.col("label")))))
+    met = of(a, True).union(of(b, False)).groupBy(*SPAN).agg(labels(F.col("of_a")).alias("a"), labels(~F.col("of_a")).alias("b"))
     status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").when(F.col("a") == F.col("b"), "unchanged").otherwise("modified")
     return met.withColumn("status", status)
 

@@ -287,14 +287,21 @@ def escaped(x: Column) -> Column:
     return F.when(x.rlike(r"[^\x20-\x7E\xA1-\xAC\xAE-\u0377]"), F.array_join(each, "")).otherwise(x)
 
 
+#: Anything but plain printable characters: quotes, backslashes, and all past the first few hundred.
+SPECIAL = r"[^\x20-\x26\x28-\x5B\x5D-\x7E\xA1-\xAC\xAE-\u0377]"
+
+
 def python_list(tokens: Column) -> Column:
-    """How Python prints a list of strings, the text that sentence fingerprints are taken of."""
+    """How Python prints a list of strings, the text that sentence fingerprints are taken of.  A list is looked at once; only one
+    with a special character has its tokens looked at one by one."""
     def quoted(x: Column) -> Column:
         plain = escaped(F.replace(x, F.lit("\\"), F.lit("\\\\")))
         single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
         return F.when(x.contains("'") & ~x.contains('"'), F.concat(F.lit('"'), plain, F.lit('"'))).otherwise(single)
 
-    return F.concat(F.lit("["), F.array_join(F.transform(tokens, quoted), ", "), F.lit("]"))
+    plain = ~F.array_join(tokens, " ").rlike(SPECIAL) & (F.size(tokens) > 0)
+    simple = F.concat(F.lit("['"), F.array_join(tokens, "', '"), F.lit("']"))
+    return F.when(plain, simple).otherwise(F.concat(F.lit("["), F.array_join(F.transform(tokens, quoted), ", "), F.lit("]")))
 
 
 def fingerprint(tokens: Column) -> Column:
