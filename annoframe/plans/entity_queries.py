@@ -34,6 +34,21 @@ def annotated_numbers(spark, d):
     return layer
 
 
+def long_ones(text, spans):
+    """The second of a chain: drops numbers of one digit, and tells those of a year's length."""
+    return [(a, b, "year" if b - a == 4 else label) for a, b, label in spans if b - a > 1]
+
+
+@query(with_words(""" , n AS (SELECT text_id, unnest(regexp_extract_all(text, '[0-9]+|[^0-9]+')) AS piece, generate_subscripts(regexp_extract_all(text, '[0-9]+|[^0-9]+'), 1) AS pos FROM t),
+m AS (SELECT *, CAST(coalesce(sum(length(piece)) OVER (PARTITION BY text_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM n)
+SELECT text_id, start, start + length(piece) AS "end", CASE WHEN length(piece) = 4 THEN 'year' ELSE 'number' END AS label FROM m WHERE regexp_matches(piece, '^[0-9]{2}')"""))
+def chained_numbers(spark, d):
+    """Two annotators in a chain, made once a worker."""
+    make = A.chained(A.pattern_annotator("[0-9]+", "number"), lambda: long_ones)
+    layer, _ = A.good_and_bad(A.annotate(texts(spark, d), make, model="chained numbers"))
+    return layer
+
+
 @query(with_words(f""", v AS (SELECT text_id, start, "end", {SHAPE_SQL} AS label FROM words UNION ALL SELECT text_id, start, "end", CASE WHEN length(token) <= 3 THEN 'other' ELSE {SHAPE_SQL} END FROM words UNION ALL SELECT text_id, start, "end", CASE WHEN word_id = 1 THEN 'first' ELSE {SHAPE_SQL} END FROM words),
 c AS (SELECT text_id, start, "end", label, count(*) AS votes FROM v GROUP BY ALL)
 SELECT text_id, start, "end", label, votes FROM (SELECT *, row_number() OVER (PARTITION BY text_id, start, "end" ORDER BY votes DESC, label) AS nth FROM c) WHERE nth = 1"""))
