@@ -76,7 +76,7 @@ def arrow_schema(rows: DataFrame, kept: str, added: str) -> StructType:
     return StructType([rows.schema[c.strip()] for c in kept.split(",") if c.strip()] + StructType.fromDDL(added).fields)
 
 
-def sent_if_small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+def sent_if_small(df: DataFrame, most: int = 300_000) -> DataFrame:
     """A frame of a few numbers a row, marked for broadcast if it has at most so many rows; else joined by shuffle.  The
     frame is counted, so it should be stored or cut."""
     return F.broadcast(df) if df.count() <= most else df

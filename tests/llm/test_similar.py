@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from annoframe.llm import similar
+from annoframe.llm import common, similar
 
 KIND = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -83,6 +83,22 @@ def test_texts_that_only_share_a_passage_are_not_paired(spark, monkeypatch):
     assert sum(met) < 300
 
 
+def test_one_task_and_star_rounds_unite_alike(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(k, k + 1) for k in range(1000, 1060)] + [(-5, 7), (3, 3)]
+    edges = spark.createDataFrame(rows, "a long, b long").repartition(3)
+    rounds, at_once = (sorted(map(tuple, common.components(edges, few).collect())) for few in (0, 10_000))
+    assert rounds == at_once and len(at_once) > 100
+    assert common.components(edges.where("false"), 10).count() == 0
+
+
+def test_texts_with_one_set_are_one_node(spark):
+    """Many texts that differ in case or in repeats of their shingles only, and repeated rows."""
+    texts = [("Alpha beta gamma delta epsilon zeta " * k).title() if k % 2 else "alpha beta gamma delta epsilon zeta " * k for k in (2, 3, 4, 5)] * 3
+    docs = spark.createDataFrame([(k % 7, t, "en", "s", 0) for k, t in enumerate(texts)], KIND).repartition(3)
+    assert [r.doc_id for r in similar.keep_one(docs).collect()] == [0]
+
+
 def test_places_lose_no_pair():
     """Of random sets that are similar, the first shared element's places allow it."""
     from pyspark.sql import SparkSession
