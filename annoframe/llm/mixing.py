@@ -89,10 +89,13 @@ def drawn(rows: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.
     rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
     ranked = cut(met.select(*columns, "source_size", "target", (F.col("before") + F.col("inside")).cast("double").alias("rank"), rate.alias("rate")))
     copies = lambda start: (F.floor(start + F.col("rank") * F.col("rate")) - F.floor(start + (F.col("rank") - 1.0) * F.col("rate"))).cast("long")
-    taken = [F.sum(copies(offset(seed, F.lit(k), F.col("source"))) * F.col("size")).alias(f"taken{k}") for k in range(OFFSETS)]
-    sums = ranked.groupBy("source").agg(F.first("target").alias("goal"), *taken)
+    starts = F.array(*[offset(seed, F.lit(k), F.col("source")) for k in range(OFFSETS)])
+    drawn_starts = sent_if_small(cut(sizes.select(F.col("source").alias("o_source"), starts.alias("starts"))), 10_000)
+    met = ranked.join(drawn_starts, F.col("source").eqNullSafe(F.col("o_source")))
+    taken = [F.sum(copies(F.get("starts", k)) * F.col("size")).alias(f"taken{k}") for k in range(OFFSETS)]
+    sums = met.groupBy("source").agg(F.first("target").alias("goal"), F.first("starts").alias("starts"), *taken)
     off = F.array(*[F.struct(F.abs(F.col(f"taken{k}") - F.col("goal")).alias("off"), F.lit(k).alias("k")) for k in range(OFFSETS)])
-    best = sent_if_small(cut(sums.select(F.col("source").alias("o_source"), offset(seed, F.array_min(off)["k"], F.col("source")).alias("start"))), 10_000)
+    best = sent_if_small(cut(sums.select(F.col("source").alias("o_source"), F.get("starts", F.array_min(off)["k"]).alias("start"))), 10_000)
     return ranked.join(best, F.col("source").eqNullSafe(F.col("o_source"))).withColumn("copies", copies(F.col("start"))).select(*columns, "source_size", "target", "copies")
 
 
