@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, cut, sent_if_small, stored, sums_before
 from .hashing import runs
-from .tokens import memo, tokenizer_path
+from .tokens import forget, memo, tokenizer_path
 
 WINDOW, LEAST = 4096, 32
 STRETCH = 64  # rounds laid out by one group
@@ -118,6 +118,7 @@ def pack(docs: DataFrame, targets: dict[str | None, float] | None = None, tokeni
     laid = laid.withColumn("at", F.col("base") + F.coalesce(F.sum("length").over(earlier), F.lit(0)))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # all texts are encoded
         for batch in batches:
             for a in range(0, len(batch), 2000):
                 part = batch.slice(a, 2000)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
 
 #: Marks the first chunk of a text; texts that hold it take the direct path.
 FIRST = "\x00"
@@ -32,8 +33,11 @@ def memo(path: str, keeps_space: bool, capacity: int = 1_000_000) -> "ChunkMemo"
 
 
 def forget() -> None:
-    """Let a worker's memos go; called by stages without tokenizers that share its workers with one that has them."""
-    _MEMO.clear()
+    """Let a worker's memos go, and memory that Arrow keeps; called by stages without tokenizers that share its workers with one
+    that has them."""
+    if _MEMO:
+        _MEMO.clear()
+        pa.default_memory_pool().release_unused()
 
 
 class Known(dict):
