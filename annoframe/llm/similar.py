@@ -41,7 +41,7 @@ from .tokens import forget
 K = np.uint64(0xC13FA9A902A6328F)
 SAMPLE, LISTED, SEEN = 20_000, 1 << 17, 3  # texts sampled; shingles known to be common, at most; texts that one of those is in
 BITS = 4  # that linked fingerprints differ in
-SKETCH, COARSE = 128, 32  # classes of hashes that a set's elements are counted by; fewer, for many sets at once
+SKETCH, COARSE = 128, 64  # classes of hashes that a set's elements are counted by; fewer, for many sets at once
 FEW = 500_000  # links that one task unites
 
 
