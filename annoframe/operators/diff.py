@@ -22,11 +22,10 @@ def span_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def annotation_status(diff: DataFrame) -> DataFrame:
-    """Of modified spans: each label common, missing or extra."""
-    d = diff.where("status = 'modified'")
+    """Of modified spans: each label common, missing or extra.  All come from one pass over the diff."""
     sides = {"COMMON": F.array_intersect("a", "b"), "MISSING": F.array_except("a", "b"), "EXTRA": F.array_except("b", "a")}
-    parts = [d.select(*SPAN, F.lit(k).alias("annotation_status"), F.explode(v).alias("label")) for k, v in sides.items()]
-    return parts[0].union(parts[1]).union(parts[2])
+    told = lambda k, v: F.transform(v, lambda x: F.struct(F.lit(k).alias("annotation_status"), x.alias("label")))
+    return diff.where("status = 'modified'").select(*SPAN, F.inline(F.concat(*[told(k, v) for k, v in sides.items()])))
 
 
 def conflicts(a: DataFrame, b: DataFrame, bucket: int = 64) -> DataFrame:
@@ -113,17 +112,18 @@ class LinkedGroup:
                 del spans[end]
 
 
-def linked_groups(pairs: DataFrame) -> DataFrame:
+def linked_groups(pairs: DataFrame, by_text: bool = False) -> DataFrame:
     """Conflict groups of layers whose own spans may overlap: text_id, grp (from 1), start, end, n_pairs (different ones).  In order of
     place (of the earlier span, then of the later one), a pair joins the last group if its span of either side is in that
     group, or begins where a span of the same side in it ends.  A group reaches from the start of its first pair to where the
     later of the two sides' last added spans ends.
 
     Rows are dealt by text and sorted by place; a task walks them in Arrow batches and carries the open group from batch to
-    batch.  Spans that no later pair can touch are let go, so a text of any number of conflicts takes bounded memory."""
+    batch.  Spans that no later pair can touch are let go, so a text of any number of conflicts takes bounded memory.  by_text: a
+    text's pairs are in one task already (of layers that were cut by_text) and are only sorted."""
     a, b = (F.struct(F.col(f"{p}_start").alias("start"), F.col(f"{p}_end").alias("end")) for p in "ab")
     placed = pairs.select("text_id", *[F.col(c).cast("long") for c in ("a_start", "a_end", "b_start", "b_end")], F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
-    dealt = placed.repartition("text_id").sortWithinPartitions("text_id", "x", "y", "a_start", "a_end").drop("x", "y")
+    dealt = (placed if by_text else placed.repartition("text_id")).sortWithinPartitions("text_id", "x", "y", "a_start", "a_end").drop("x", "y")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = before = group = None

@@ -105,15 +105,15 @@ def long_sentences(spark, d):
 TREE_SQL = ", tree AS (SELECT text_id, 1 AS sent_id, word_id AS id, CASE WHEN word_id % 7 = 1 THEN 0 WHEN word_id % 3 = 0 THEN word_id - 2 ELSE word_id - 1 END AS head, token FROM words) "
 
 
-def tree(spark, d):
+def tree(spark, d, by_text=False):
     head = F.when(F.col("word_id") % 7 == 1, 0).when(F.col("word_id") % 3 == 0, F.col("word_id") - 2).otherwise(F.col("word_id") - 1)
-    return words(spark, d).select("text_id", F.lit(1).alias("sent_id"), F.col("word_id").alias("id"), head.alias("head"), "token")
+    return words(spark, d, by_text).select("text_id", F.lit(1).alias("sent_id"), F.col("word_id").alias("id"), head.alias("head"), "token")
 
 
 @query(with_words(TREE_SQL + """, k AS (SELECT text_id, sent_id, head AS id, count(*) AS n, min(id) AS f FROM tree GROUP BY ALL)
 SELECT a.text_id, a.sent_id, a.id, a.head, a.token, p.token AS parent, coalesce(k.n, 0) AS n_children, coalesce(k.f, 0) AS first_child FROM tree a LEFT JOIN tree p ON p.text_id = a.text_id AND p.sent_id = a.sent_id AND p.id = a.head LEFT JOIN k ON k.text_id = a.text_id AND k.sent_id = a.sent_id AND k.id = a.id"""))
 def dependency_parents(spark, d):
-    return L.parents(tree(spark, d)).withColumn("first_child", F.coalesce("first_child", F.lit(0)))
+    return L.parents(tree(spark, d, by_text=True)).withColumn("first_child", F.coalesce("first_child", F.lit(0)))
 
 
 @query(with_words(TREE_SQL + " SELECT text_id, id, (id - 1) // 100 AS chunk, (id - 1) % 100 + 1 AS local FROM tree"))
@@ -140,8 +140,7 @@ def model_safe_texts(spark, d):
 
 @query(with_words(""" SELECT w.text_id, start, replace(substr(text, greatest(start - 40, 0) + 1, least("end" + 40, length(text)) - greatest(start - 40, 0)), chr(10), '\\n') AS context FROM words w JOIN t USING (text_id)""".replace("\\\\n", "\\n")))
 def context_snippets(spark, d):
-    w = words(spark, d).join(texts(spark, d).select("text_id", "text"), "text_id")
-    return w.select("text_id", "start", L.snippet(F.col("text"), F.col("start"), F.col("end"), 40).alias("context"))
+    return L.snippets(words(spark, d, by_text=True).select("text_id", "start", "end"), texts(spark, d), 40).drop("end")
 
 
 TAGS_SQL = """, tags AS (SELECT *, CASE WHEN kind = 0 THEN 'O' WHEN word_id % 5 = 2 THEN 'B-k' || kind ELSE 'I-k' || kind END AS tag FROM (SELECT *, length(token) % 3 AS kind FROM words)),
@@ -424,7 +423,7 @@ def near_copies_in_file(spark, d):
 # --- comparison ---------------------------------------------------------------------------------------------------
 
 def both(spark, d):
-    w = words(spark, d)
+    w = words(spark, d, by_text=True)
     return L.labelled(w), L.trimmed(w)
 
 
