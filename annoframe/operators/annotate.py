@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 Span = tuple[int, int, str]
 Annotator = Callable[[str], list[Span]]
 _MODELS: dict[str, object] = {}
+HELD = 50_000  # spans of a batch that a worker gives on
 SPANS = "array<struct<start:bigint,end:bigint,label:string>>"
 
 
@@ -41,20 +46,33 @@ def annotate(texts: DataFrame, make: Callable[[], Annotator], model: str | None
     and the error's text, and the run goes on.  With the name of a model, `make` runs once per Python worker, which keeps
     what it gives for all tasks and queries that name that model; else once per task.  Null text is empty."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def told(ids: list, counts: list, spans: list[Span], errors: list) -> pa.RecordBatch:
+        ends = pa.array([None if n is None else b - n for n, b in zip(counts, accumulate(n or 0 for n in counts))] + [len(spans)], pa.int32())
+        columns = list(zip(*spans)) or [[], [], []]
+        items = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string()))], names=["start", "end", "label"])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(ends, items), pa.array(errors, pa.string())], names=["text_id", "spans", "error"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spans of few texts are held at a time: given on once there are `HELD`."""
         annotator = worker_model(model, make)
         for batch in batches:
-            spans, errors = [], []
-            for text in batch["text"]:
+            ids, counts, spans, errors = [], [], [], []
+            for text_id, text in zip(batch.column("text_id"), batch.column("text")):
                 try:
-                    found, error = [{"start": a, "end": b, "label": c} for a, b, c in annotator(text or "")], None
+                    found, error = [(a, b, c) for a, b, c in annotator(text.as_py() or "")], None
                 except Exception as e:
                     found, error = None, f"{type(e).__name__}: {e}"
-                spans.append(found)
+                ids.append(text_id.as_py())
+                counts.append(None if found is None else len(found))
+                spans += found or []
                 errors.append(error)
-            yield pd.DataFrame({"text_id": batch["text_id"], "spans": pd.Series(spans, dtype=object), "error": pd.Series(errors, dtype=object)})
+                if len(spans) >= HELD:
+                    yield told(ids, counts, spans, errors)
+                    ids, counts, spans, errors = [], [], [], []
+            if ids:
+                yield told(ids, counts, spans, errors)
 
-    return texts.select("text_id", "text").mapInPandas(run, f"text_id long, spans {SPANS}, error string")
+    return texts.select(F.col("text_id").cast("long").alias("text_id"), "text").mapInArrow(run, f"text_id long, spans {SPANS}, error string")
 
 
 def annotate_with_status(texts: DataFrame, make: Callable[[], Callable[[str], tuple[list[Span], dict[str, str]]]], model: str | None = None) -> DataFrame:
@@ -155,12 +173,24 @@ def pair_annotations(a: list[dict], b: list[dict], attributes: list[str], focus:
 def aligned(rows: DataFrame, attributes: list[str], focus: list[str]) -> DataFrame:
     """rows: text_id, start, end, a, b (arrays of maps, null for none).  One row per pair: status, a_nth, b_nth, equal."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Equal pairs of lists are aligned once a batch."""
         for batch in batches:
-            out = []
-            for t, s, e, a, b in batch[["text_id", "start", "end", "a", "b"]].itertuples(index=False, name=None):
-                a, b = ([dict(x) for x in v] if v is not None else [] for v in (a, b))
-                out += [(t, s, e, *p) for p in pair_annotations(a, b, attributes, focus)]
-            yield pd.DataFrame(out, columns=["text_id", "start", "end", "status", "a_nth", "b_nth", "equal"])
-
-    return rows.select("text_id", "start", "end", "a", "b").mapInPandas(run, "text_id long, start long, end long, status string, a_nth int, b_nth int, equal array<string>")
+            own = batch.column("ab").dictionary_encode()
+            out, ends = [], [0]
+            for x in own.dictionary.to_pylist():
+                sides = json.loads(x)
+                out += pair_annotations(sides.get("a") or [], sides.get("b") or [], attributes, focus)
+                ends.append(len(out))
+            ends, at = np.array(ends), own.indices.to_numpy()
+            n = ends[at + 1] - ends[at]  # rows of each
+            row = np.repeat(np.arange(len(at)), n)
+            pick = pa.array(np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + ends[at][row])
+            columns = list(zip(*out)) or [[], [], [], []]
+            pairs = [pa.array(c, t).take(pick) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string())))]
+            spans = [batch.column(c).take(pa.array(row)) for c in ("text_id", "start", "end")]
+            yield pa.RecordBatch.from_arrays([*spans, *pairs], names=["text_id", "start", "end", "status", "a_nth", "b_nth", "equal"])
+
+    place = [F.col(c).cast("long").alias(c) for c in ("text_id", "start", "end")]
+    both = F.to_json(F.struct("a", "b"), {"ignoreNullFields": "false"})
+    return rows.select(*place, both.alias("ab")).mapInArrow(run, "text_id long, start long, end long, status string, a_nth int, b_nth int, equal array<string>")
