@@ -56,7 +56,8 @@ def records(diff: DataFrame, pairs: DataFrame) -> DataFrame:
     single = one.select("text_id", F.when(a, F.col("start")).alias("a_start"), F.when(a, F.col("end")).alias("a_end"), F.try_element_at("a", F.lit(1)).alias("a_annt"), F.when(b, F.col("start")).alias("b_start"), F.when(b, F.col("end")).alias("b_end"), F.try_element_at("b", F.lit(1)).alias("b_annt"))
     both = pairs.select("text_id", "a_start", "a_end", F.col("a_label").alias("a_annt"), "b_start", "b_end", F.col("b_label").alias("b_annt"))
     # a span that is in a conflict is no longer told as missing or extra
-    hit = pairs.select("text_id", F.col("a_start").alias("start"), F.col("a_end").alias("end"), F.lit(True).alias("of_a")).union(pairs.select("text_id", "b_start", "b_end", F.lit(False))).distinct()
+    side = lambda p: F.struct(F.col(f"{p}_start").alias("start"), F.col(f"{p}_end").alias("end"), F.lit(p == "a").alias("of_a"))
+    hit = pairs.select("text_id", F.inline(F.array(side("a"), side("b")))).distinct()
     lone = single.withColumn("of_a", F.when(F.col("b_start").isNull(), True).when(F.col("a_start").isNull(), False))
     lone = lone.withColumn("start", F.coalesce("a_start", "b_start")).withColumn("end", F.coalesce("a_end", "b_end"))
     return lone.join(hit, ["text_id", "start", "end", "of_a"], "left_anti").select(*both.columns).union(both)
