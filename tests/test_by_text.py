@@ -11,6 +11,7 @@ from annoframe.operators import diff as D
 from annoframe.operators import entities as E
 from annoframe.operators import layers as L
 from annoframe.operators import layout
+from annoframe.sources import store as S
 
 TEXTS = [(1, "Ab. cd 12, Éf"), (2, None), (3, ""), (4, "  x\n\ny. "), (5, "𝒳y Zed! " * 300)]
 
@@ -89,3 +90,15 @@ def test_spans_of_few_texts_are_held(spark, monkeypatch):
 
 def test_parts_are_enough_for_joins(spark, texts):
     assert pieces.parts_for(texts) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_small_groups_are_one_file(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id AS text_id", "concat('t', id) AS text", "concat('s', id % 3) AS source")
+    S.write_layout(rows, f"file://{tmp_path}/x", "source", F.expr("text_id div 100"))
+    n = len(list((tmp_path / "x").rglob("*.parquet")))
+    assert 60 <= n <= 60 + 4  # by up to eight tasks each before
+    found = S.read_layout(spark, f"file://{tmp_path}/x", ["s1", "s2"], [0, 3, 77], "source")
+    assert sorted(r.text_id for r in found.collect()) == [k for k in [*range(100), *range(300, 400)] if k % 3]
+    assert len(found.inputFiles()) <= 4 + 4  # only the folders asked for are listed
+    assert S.read_layout(spark, f"file://{tmp_path}/x", ["none"], None, "source").count() == 0
+    assert S.read_layout(spark, f"file://{tmp_path}/x", file="source").count() == 2000
