@@ -6,6 +6,7 @@ import math
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -61,6 +62,19 @@ def removed(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go as soon as it has run; else they stay until the driver collects its garbage.  For
+    queries whose rows are stored, cut or taken by the driver, as a frame that runs twice would make its shuffles again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def columns_of(df: DataFrame) -> list[Column]:
     """All columns, whatever characters their names have."""
     return [df["`" + c.replace("`", "``") + "`"] for c in df.columns]

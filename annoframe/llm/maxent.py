@@ -15,7 +15,7 @@ Training: rounds over disjoint folds of the training texts, so that all take par
 makes AdaGrad steps on its texts from the same weights; the changes of each weight row that a shard touched are averaged by
 how often, in one aggregation, and added on the driver.  A text's fold, shard and place in it follow from a hash of the row, and
 the number of shards from the number of training tokens (`shards_for`), so weights and scores are the same on any cluster
-and however the input is split.  What is exchanged grows with rounds, shards and weight rows (`WEIGHT_ROWS` x `BRANCH` floats at
+and however the input is split.  A round's weights and shuffles leave the disks with it.  What is exchanged grows with rounds, shards and weight rows (`WEIGHT_ROWS` x `BRANCH` floats at
 most).  Scoring runs in sparse batches: only weight rows of
 features that occur.
 
@@ -33,15 +33,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, stored
+from .common import arrow_schema, shuffles_dropped, stored
 from .hashing import hashed_tokens, mix, slices
 
 BRANCH, FREQUENT = 32, 16
@@ -177,8 +179,16 @@ def update(table: np.ndarray, squares: np.ndarray, touched: np.ndarray, f: np.nd
     touched[rows] += n
 
 
-def trainer(v: Vocabulary, start: Weights, rate: float, damping: float):
+def no_weights() -> Weights:
+    return Weights(np.zeros((3 * ROWS1, BRANCH), np.float32), np.zeros((2 * ROWS2, BRANCH), np.float32))
+
+
+def trainer(model: Broadcast, rate: float, damping: float):
+    """model: the classes and the weights to start from, None for zeros."""
+
     def one_shard(columns: Iterator[pa.Array]) -> Iterator[pa.RecordBatch]:
+        v, start = model.value
+        start = start or no_weights()
         w = Weights(start.first.copy(), start.later.copy())
         squares = [np.full(len(x), damping, np.float32) for x in w]  # rows that are rarely met move little
         touched = [np.zeros(len(x), np.int64) for x in w]
@@ -252,7 +262,8 @@ class Counts(NamedTuple):
 
 def counted(train: DataFrame) -> Counts:
     words = train.select("text").mapInArrow(count_words, "h long, tail short, n long")
-    table = stored(words.groupBy("h").agg(F.first("tail").alias("tail"), F.sum("n").alias("c")), "word-counts")
+    with shuffles_dropped(train.sparkSession):
+        table = stored(words.groupBy("h").agg(F.first("tail").alias("tail"), F.sum("n").alias("c")), "word-counts")
     n, v = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     return Counts(table, n, v)
 
@@ -304,15 +315,26 @@ def shards_for(tokens: int, rounds: int) -> int:
     return min(MOST, max(FEWEST, -(-tokens // (rounds * SHARD))))
 
 
+@contextmanager
+def sent(spark: SparkSession, value: object) -> Iterator[Broadcast]:
+    """A value that tasks read, whose copies on the disks of the driver and all executors go at the end."""
+    one = spark.sparkContext.broadcast(value)
+    try:
+        yield one
+    finally:
+        one.destroy(blocking=True)
+
+
 def train(docs: DataFrame, v: Vocabulary, rounds: int = 3, shards: int = FEWEST, rate: float = 1.0, damping: float = 10.0) -> Weights:
     """docs: text, key (a hash of the row).  Rows with one key are the same row."""
-    w = Weights(np.zeros((3 * ROWS1, BRANCH), np.float32), np.zeros((2 * ROWS2, BRANCH), np.float32))
+    w = no_weights()
     dealt = docs.withColumn("shard", F.pmod(F.xxhash64(F.lit(5), "key"), F.lit(shards)).cast("int"))
     for k in range(rounds):
         fold = dealt.where(F.pmod(F.xxhash64(F.lit(3), "key"), F.lit(rounds)) == k)
         fold = fold.repartitionById(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "text")
         means = [(F.sum(f"w{j}") / F.sum("n")).cast("float").alias(f"w{j}") for j in range(BRANCH)]
-        got = fold.mapInArrow(trainer(v, w, rate, damping), CHANGES).groupBy("layer", "row").agg(*means).toArrow()  # WEIGHT_ROWS at most
+        with sent(docs.sparkSession, (v, w if k else None)) as model, shuffles_dropped(docs.sparkSession):
+            got = fold.mapInArrow(trainer(model, rate, damping), CHANGES).groupBy("layer", "row").agg(*means).toArrow()  # WEIGHT_ROWS at most
         layers, rows = got.column("layer").to_numpy(), got.column("row").to_numpy()
         for layer in range(2):
             own = layers == layer
@@ -339,12 +361,13 @@ def log_chances(v: Vocabulary, w: Weights, t: np.ndarray, tails: np.ndarray, fir
     return out, outside
 
 
-def scorer(v: Vocabulary, w: Weights, words: np.ndarray, counts: np.ndarray):
+def scorer(fitted: Broadcast):
     """A function for mapInArrow over (row, key, text): row, key, tokens, the parts of both scores that need no join, and
-    the other words with their numbers."""
-    log_counts = np.log10(counts + 1.0)
+    the other words with their numbers.  fitted: classes, weights, the common words (sorted) and their counts."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, w, words, counts = fitted.value
+        log_counts = np.log10(counts + 1.0)
         for batch in batches:
             for a, b, texts in slices(batch.column("text"), size=1 << 20):
                 t, tails, first = tokens(texts)
@@ -383,7 +406,8 @@ def scored(docs: DataFrame, held_out, keep: list, common: int = 1 << 17, **train
     w = train(learn, v, **({"shards": shards_for(counts.n, training.get("rounds", 3))} | training))
     rows = docs.select(F.struct(*keep).alias("row"), F.monotonically_increasing_id().alias("key"), "text")
     schema = arrow_schema(rows, "row, key", "n_tokens long, n_common long, base double, model double, rare array<struct<h:long,n:long>>")
-    first = stored(rows.mapInArrow(scorer(v, w, words, c), schema), "scored")
+    with sent(docs.sparkSession, (v, w, words, c)) as model:
+        first = stored(rows.mapInArrow(scorer(model), schema), "scored")
     other = first.select("key", F.explode("rare").alias("x")).select("key", "x.h", "x.n")
     met = other.join(counts.table.select("h", "c"), "h")  # words that are not there have count 0 and add nothing
     late = met.groupBy("key").agg(F.sum("n").alias("n_late"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("log_late"))

@@ -1,9 +1,11 @@
 """The maximum-entropy model against plain loops over softmaxes."""
 
+import gc
 import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -158,3 +160,18 @@ def test_context_helps_on_held_out_texts(spark):
     rest = languages.is_held_out(F.col("doc_id"), 7, 2)
     r = maxent.scored(docs, rest, [rest.alias("h")]).where("h").agg((F.sum("score") / F.sum("n_tokens")).alias("m"), (F.sum("base_score") / F.sum("n_tokens")).alias("b")).first()
     assert r.m > r.b + 0.7  # of log10(70 / 3) = 1.37 at most
+
+
+def test_rounds_leave_the_disk(spark, many):
+    """What tasks and driver wrote for a round's weights and shuffles is gone after it."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    left = lambda: {f for d in (*manager.localDirsString(), spark.sparkContext._temp_dir) for f in Path(d).rglob("*") if f.is_file() and f.stat().st_size > 1 << 16}
+    docs = many[1].select("text", F.xxhash64("text").alias("key"))
+    v, _, _ = maxent.vocabulary(maxent.counted(docs), 1000, 2)
+    gc.disable()  # as long as nothing is collected
+    try:
+        before = left()
+        maxent.train(docs, v)
+        assert not left() - before
+    finally:
+        gc.enable()
