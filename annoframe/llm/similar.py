@@ -14,7 +14,7 @@ for all texts; which shingles are common is read off a sample of texts, so that
 places part those that share only such lines.
 
 Candidates: in each bucket (texts with one indexed shingle) every text is compared with a leader; then, as only components are asked
-for, texts of a bucket that are not in one component yet.  Those are met by classes of (size, place) that can go together by these and by how many elements of
+for, texts of a bucket that are not in one component yet.  Those are met by classes of (size, place) that can go together by these (only such are moved on) and by how many elements of
 each of some classes of hashes they hold at most, so that texts that only share a passage are never paired one by one.  A large family that the leaders link costs its size; texts of one bucket
 that could go together and do not cost the square of their number, as none may be left out.
 
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, components, cut, sent_if_small, stored
+from .common import arrow_schema, components, cut, removed, sent_if_small, shuffles_dropped, stored, stored_at
 from .hashing import hashed_tokens, mix, slices
 from .simhash import LONG, SHORT, cost, keep_least, links
 from .tokens import forget
@@ -127,8 +127,8 @@ def one_each(rows: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, single: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are that similar.  single: a row of each node.  Two sets share no more than the
-    lesser counts of each class of their sketches add up to; only pairs that this leaves open are looked at as a whole."""
+    """The pairs (a, b) of nodes whose whole sets are that similar, cut.  single: a row of each node.  Two sets share no more than
+    the lesser counts of each class of their sketches add up to; only pairs that this leaves open are looked at as a whole."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,10 +142,12 @@ def verified(pairs: DataFrame, single: DataFrame, docs: DataFrame, width: int, s
     pairs = cut(open_.where(most >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("m")) - F.lit(1e-9)).select("a", "b"))
     one = sent_if_small(cut(single.select("node", "own").join(asked(pairs), "node", "left_semi")))
     texts = docs.select("own", "text").join(one, "own").dropDuplicates(["node"]).select("node", "text")
-    whole = stored(texts.mapInArrow(sets, "node long, shingles array<long>"), "shingles")
+    whole, path = stored_at(texts.mapInArrow(sets, "node long, shingles array<long>"), "shingles")
     both = pairs.join(whole.toDF("a", "of_a"), "a").join(whole.toDF("b", "of_b"), "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
-    return both.where(common >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - common) - F.lit(1e-9)).select("a", "b")
+    found = cut(both.where(common >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - common) - F.lit(1e-9)).select("a", "b"))
+    removed(docs.sparkSession, path)
+    return found
 
 
 def go_together(n: Column, i: Column, m: Column, j: Column, similarity: float) -> Column:
@@ -168,7 +170,7 @@ def groups_of(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataF
         new = cut(new if tested is None else new.join(tested, ["a", "b"], "left_anti"))
         tested = new if tested is None else tested.union(new)
         if not new.isEmpty():
-            found = cut(verified(new, single, docs, width, similarity))
+            found = verified(new, single, docs, width, similarity)
             near = found if near is None else near.union(found)
             member = sent_if_small(components(near, FEW))
 
@@ -182,7 +184,7 @@ def groups_of(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataF
     # shingles: leaders of buckets, then all that is left
     index = single.select("node", "n", F.posexplode("prefix").alias("i", "h"))
     buckets = index.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    shared = stored(index.join(buckets, "h", "left_semi"), "shared")
+    shared, shared_path = stored_at(index.join(buckets, "h", "left_semi"), "shared")
 
     def rooted() -> DataFrame:
         return shared.join(member, "node", "left").select("h", "node", "n", "i", F.coalesce("root", "node").alias("root"))
@@ -191,22 +193,32 @@ def groups_of(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataF
     stars = rooted().join(leader, "h").where((F.col("root") != F.col("x.root")) & go_together(F.col("n"), F.col("i"), F.col("x.n"), F.col("x.i"), similarity))
     tested_now(stars.select(F.col("node").alias("a"), F.col("x.node").alias("b")))
 
-    # classes of size and place in buckets of several components, with the most that any text of a class has in each coarse class of elements
+    # classes of size and place in buckets of several components, first those that can go together with any by these alone
     mixed = rooted().groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("h")
-    left = stored(rooted().join(mixed, "h", "left_semi"), "left")
+    mixed, mixed_path = stored_at(rooted().join(mixed, "h", "left_semi"), "mixed")
+    removed(docs.sparkSession, shared_path)
+    by_place = go_together(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), similarity) & (F.least("x.low", "y.low") != F.greatest("x.high", "y.high"))
+    roots = [F.min("root").alias("low"), F.max("root").alias("high")]
+    classes = mixed.groupBy("h", "n", "i").agg(*roots)
+    met = classes.alias("x").join(classes.alias("y"), (F.col("x.h") == F.col("y.h")) & by_place, "left_semi")
+    left, left_path = stored_at(mixed.join(met.select("h", "n", "i"), ["h", "n", "i"], "left_semi"), "left")
+    removed(docs.sparkSession, mixed_path)
+
+    # those with the most that any text of a class has in each coarse class of elements
     asked = sent_if_small(cut(left.select("node").distinct()))
     counts = single.join(asked, "node", "left_semi").select("node", *[F.get("coarse", k).alias(f"k{k}") for k in range(COARSE)])
     most = [F.max(f"k{k}").alias(f"k{k}") for k in range(COARSE)]
-    classes = stored(left.join(counts, "node").groupBy("h", "n", "i").agg(F.min("root").alias("low"), F.max("root").alias("high"), *most), "classes")
+    classes, classes_path = stored_at(left.join(counts, "node").groupBy("h", "n", "i").agg(*roots, *most), "classes")
     x, y = classes.alias("x"), classes.alias("y")
     shared_most = sum((F.least(f"x.k{k}", f"y.k{k}") for k in range(1, COARSE)), F.least("x.k0", "y.k0"))
-    together = go_together(F.col("x.n"), F.col("x.i"), F.col("y.n"), F.col("y.i"), similarity) & (F.least("x.low", "y.low") != F.greatest("x.high", "y.high"))
-    together &= shared_most >= F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - F.lit(1e-9)
+    together = by_place & (shared_most >= F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - F.lit(1e-9))
     together = x.join(y, (F.col("x.h") == F.col("y.h")) & together & (F.struct("x.n", "x.i") <= F.struct("y.n", "y.i")))
     together = together.select(F.col("x.h").alias("h"), F.col("x.n").alias("n"), F.col("x.i").alias("i"), F.col("y.n").alias("m"), F.col("y.i").alias("j"))
     a = left.select("h", "n", "i", F.col("node").alias("a"), F.col("root").alias("root_a")).join(together, ["h", "n", "i"])
     b = left.select("h", F.col("n").alias("m"), F.col("i").alias("j"), F.col("node").alias("b"), F.col("root").alias("root_b"))
     tested_now(a.join(b, ["h", "m", "j"]).where("root_a <> root_b").select("a", "b"))
+    for path in (left_path, classes_path):
+        removed(docs.sparkSession, path)
 
     return rows.select("doc_id", "own", "node").join(member, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("group"))
 
@@ -214,4 +226,5 @@ def groups_of(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataF
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group, as `simhash.keep_one` does."""
     ids = docs.select("doc_id", "text", F.xxhash64("text").alias("own"))
-    return keep_least(docs, groups_of(ids, width, similarity))
+    with shuffles_dropped(docs.sparkSession):
+        return keep_least(docs, groups_of(ids, width, similarity))

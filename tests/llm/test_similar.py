@@ -1,6 +1,8 @@
 """The pipeline's near copies against brute-force Jaccard similarity."""
 
+import gc
 import random
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -115,3 +117,36 @@ def test_places_lose_no_pair():
             assert a.index(first) <= len(a) - similar.shared_least(len(a), 0.8) and b.index(first) <= len(b) - similar.shared_least(len(b), 0.8)
     frame = SparkSession.getActiveSession().createDataFrame(rows, "n long, i long, m long, j long")
     assert frame.where(~similar.go_together(*map(F.col, "nimj"), 0.8)).count() == 0 and len(rows) > 300
+
+
+def test_stored_tables_and_shuffles_go(spark, monkeypatch):
+    """Only the rows' own table stays of those that near_dedup stores, and no shuffle files of its queries; classes that meet
+    no other by size and place are not moved on with their counts."""
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    passage = rng.choices(vocabulary, k=12)
+    texts = [" ".join(passage + rng.choices(vocabulary, k=n)) for n in range(60, 3000, 60)]  # one of a size
+    texts += [" ".join(edited(rng, texts[0].split(), 3)), " ".join(rng.choices(vocabulary, k=80))]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], KIND).repartition(3)
+    kept, rows, stored_at = [], {}, similar.stored_at
+
+    def seen(df, name):
+        out, path = stored_at(df, name)
+        rows[name] = out.count()
+        kept.append(path)
+        return out, path
+
+    monkeypatch.setattr(similar, "stored_at", seen)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f.name for d in manager.localDirsString() for f in Path(d).rglob("shuffle_*.data")}
+    gc.disable()  # as long as nothing is collected
+    try:
+        before = shuffles()
+        out = similar.keep_one(docs)
+        assert not shuffles() - before
+    finally:
+        gc.enable()
+    assert kept and not [p for p in kept if Path(p.removeprefix("file://")).exists()]
+    assert rows["left"] < rows["mixed"]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert out.count() == len(set(brute(list(enumerate(texts)))))
