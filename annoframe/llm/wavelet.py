@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, cut, shared_dir, stored, sums_before
 from .hashing import runs
-from .tokens import memo, tokenizer_path
+from .tokens import BYTES, TEXTS, memo, tokenizer_path
 
 MAGIC = b"WAVMAT01"
 BLOCK = 1 << 15  # bytes of a plane compressed together
@@ -173,21 +173,23 @@ def write(docs: DataFrame, folder: str | None = None, tokenizer: str = "byte_bpe
         from pyspark import TaskContext
 
         words, number, nth = memo(path, keeps_space=True), TaskContext.get().partitionId() << FILES_BITS, 0
-        raw, names, held = [], [], 0
+        raw, sizes, names, held = [], [], [], 0
 
         def closed() -> pa.RecordBatch:
-            nonlocal raw, names, held, nth
-            shard, sizes = number + nth, np.fromiter(map(len, raw), np.int64, len(raw))
-            save(f"{folder}/shard-{shard:015d}.wm", encode(np.concatenate(raw), np.concatenate(([0], np.cumsum(sizes)))))
-            out = pa.RecordBatch.from_arrays([pa.concat_arrays(names), pa.array([shard] * len(sizes), pa.int64()), pa.array(np.arange(len(sizes))), pa.array(sizes)], names=["doc_id", "shard", "nth", "n"])
-            raw, names, held, nth = [], [], 0, nth + 1
+            nonlocal raw, sizes, names, held, nth
+            shard, n = number + nth, np.concatenate(sizes)
+            save(f"{folder}/shard-{shard:015d}.wm", encode(np.concatenate(raw), np.concatenate(([0], np.cumsum(n)))))
+            out = pa.RecordBatch.from_arrays([pa.concat_arrays(names), pa.array([shard] * len(n), pa.int64()), pa.array(np.arange(len(n))), pa.array(n)], names=["doc_id", "shard", "nth", "n"])
+            raw, sizes, names, held, nth = [], [], [], 0, nth + 1
             return out
 
         for batch in batches:
-            for a, b in runs(batch.column("text"), 500):
-                raw += [np.append(np.frombuffer(x, "<u4"), end_id).astype("<u4") for x in words.encode([t or "" for t in batch.column("text")[a:b].to_pylist()])]
+            for a, b in runs(batch.column("text"), TEXTS, BYTES):
+                ids, n = words.encoded(batch.column("text")[a:b])
+                raw.append(np.insert(ids, np.cumsum(n), end_id))
+                sizes.append(n + 1)
                 names.append(batch.column("doc_id")[a:b])
-                held += sum(map(len, raw[a - b :]))
+                held += len(raw[-1])
                 if held >= shard_ids:
                     yield closed()
         if raw:
