@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_schema, cut, sent_if_small, stored, sums_before
 from .hashing import runs
-from .tokens import forget, memo, tokenizer_path
+from .tokens import BYTES, TEXTS, forget, memo, tokenizer_path
 
 WINDOW, LEAST = 4096, 32
 STRETCH = 64  # rounds laid out by one group
@@ -51,16 +51,18 @@ def tokenized(docs: DataFrame, path: str, end_id: int, wide: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, task, so_far = memo(path, keeps_space=False, capacity=CHUNKS), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for a, b in runs(batch.column("text"), 500):
+            for a, b in runs(batch.column("text"), TEXTS, BYTES):
                 part = batch.slice(a, b - a)
-                ids = [np.frombuffer(x, "<u4") for x in words.encode([t or "" for t in part.column("text").to_pylist()])]
-                packed = [np.append(x, end_id).astype(f"<u{wide}").tobytes() for x in ids]
-                n = [len(x) // wide for x in packed]
+                ids, n = words.encoded(part.column("text"))
+                raw, n = np.insert(ids, np.cumsum(n), end_id).astype(f"<u{wide}"), n + 1
+                ends = pa.array(np.concatenate(([0], wide * np.cumsum(n))), pa.int32())  # an error if too large
+                packed = pa.Array.from_buffers(pa.binary(), len(n), [None, ends.buffers()[1], pa.py_buffer(raw)])
+                n = n.tolist()
                 places = []
                 for source, k in zip(part.column("source").to_pylist(), n):
                     places.append(so_far.get(source, 0))
                     so_far[source] = places[-1] + k
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), pa.array(packed, pa.binary()), pa.array(n, pa.int64()), pa.array([task] * len(n), pa.int64()), pa.array(places, pa.int64())], names=["doc_id", "source", "ids", "n", "task", "place"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), packed, pa.array(n, pa.int64()), pa.array([task] * len(n), pa.int64()), pa.array(places, pa.int64())], names=["doc_id", "source", "ids", "n", "task", "place"])
 
     return docs.select("doc_id", "source", "text").mapInArrow(encode, arrow_schema(docs, "doc_id, source", "ids binary, n long, task long, place long"))
 
