@@ -51,3 +51,8 @@ def test_places_are_kept_in_two_parts(spark):
     got = L.words(rows, by_text=True)
     assert sorted(got.collect()) == sorted(L.words(rows).collect())
     assert pieces.cut_lists(rows, pieces.words).schema["low"].dataType.simpleString() == "array<tinyint>"
+
+
+def test_known_sentences_move_fingerprints(spark, capsys):
+    found = moves(registry.QUERIES["known_sentences"](spark, FOLDER), capsys)
+    assert len(found) == 2 and all("hashpartitioning(text_id" in x and "REPARTITION_BY_NUM" in x for x in found)  # one for each side
