@@ -56,3 +56,8 @@ def test_places_are_kept_in_two_parts(spark):
 def test_known_sentences_move_fingerprints(spark, capsys):
     found = moves(registry.QUERIES["known_sentences"](spark, FOLDER), capsys)
     assert len(found) == 2 and all("hashpartitioning(text_id" in x and "REPARTITION_BY_NUM" in x for x in found)  # one for each side
+
+
+def test_syntax_lines_move_texts_once(spark, capsys):
+    found = moves(registry.QUERIES["syntax_token_lines"](spark, FOLDER), capsys)
+    assert len(found) == 2 and all("hashpartitioning(text_id" in x and "REPARTITION_BY_NUM" in x for x in found)  # one for each side
