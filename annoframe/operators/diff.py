@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,6 +50,45 @@ def conflict_groups(pairs: DataFrame) -> DataFrame:
     return p.groupBy("text_id", "grp").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_pairs"))
 
 
+Span = tuple[int, int, str]  # start, end, label
+
+
+def conflicts_in(a: list[Span], b: list[Span]) -> list[tuple[Span, Span]]:
+    """The conflicts of one text's spans, each side in order of place: one walk over both, with the spans that are still open."""
+    out, opened, i, j = [], ([], []), 0, 0
+    a, b = ([x for x in v if x[0] < x[1]] for v in (a, b))
+    while i < len(a) or j < len(b):
+        side = 0 if j == len(b) or i < len(a) and a[i][0] <= b[j][0] else 1
+        span = b[j] if side else a[i]
+        i, j = (i, j + 1) if side else (i + 1, j)
+        for spans in opened:
+            spans[:] = [x for x in spans if x[1] > span[0]]
+        out += [(x, span) if side else (span, x) for x in opened[1 - side] if x[:2] != span[:2]]
+        opened[side].append(span)
+    return out
+
+
+def in_conflict(start: np.ndarray, end: np.ndarray, other_start: np.ndarray, other_end: np.ndarray) -> np.ndarray:
+    """Whether each span that is not empty overlaps one of the other side that is not its equal.  Spans of several texts are laid end to end."""
+    overlapping = np.searchsorted(np.sort(other_start), end, "left") - np.searchsorted(np.sort(other_end), start, "right")
+    width = int(max(end.max(initial=0), other_end.max(initial=0))) + 1
+    found, n = np.unique(other_start * width + other_end - other_start, return_counts=True)
+    at = np.searchsorted(found, key := start * width + end - start)
+    equal = np.append(found, -1)[at] == key
+    return (start < end) & (overlapping > np.where(equal, np.append(n, 0)[at], 0))
+
+
+def groups_in(pairs: list[tuple[Span, Span]]) -> list[tuple[int, int]]:
+    """Start and end of the `conflict_groups` of one text's conflicts."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted({(min(x[0], y[0]), max(x[1], y[1])) for x, y in pairs}):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], end)
+        else:
+            out.append((start, end))
+    return out
+
+
 def records(diff: DataFrame, pairs: DataFrame) -> DataFrame:
     """The flat seven-column table: one side or both, with the first label."""
     one = diff.where("status <> 'unchanged'")

@@ -1,14 +1,20 @@
 """Queries that move little: what is dealt anew and what is stored, and the forms that it is kept in, against plainer ones."""
 
 import os
+import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from annoframe import registry
 from annoframe.functions import pieces
+from annoframe.operators import collection as C
+from annoframe.operators import diff as D
+from annoframe.operators import entities as E
 from annoframe.operators import layers as L
+from annoframe.operators import records as R
 from annoframe.sources import markup as M
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,7 +23,7 @@ FOLDER = "/root/testdata/sf0.001"
 def moves(rows, capsys):
     capsys.readouterr()
     rows.explain()
-    return re.findall(r"Exchange (?!SinglePartition)[^\n]*", capsys.readouterr().out)
+    return re.findall(r"(?<!Broadcast)Exchange (?!SinglePartition)[^\n]*", capsys.readouterr().out)
 
 
 def stored(spark, name):
@@ -61,3 +67,37 @@ def test_known_sentences_move_fingerprints(spark, capsys):
 def test_syntax_lines_move_texts_once(spark, capsys):
     found = moves(registry.QUERIES["syntax_token_lines"](spark, FOLDER), capsys)
     assert len(found) == 2 and all("hashpartitioning(text_id" in x and "REPARTITION_BY_NUM" in x for x in found)  # one for each side
+
+
+@pytest.mark.parametrize("name", ["printed_differences", "stacked_differences"])
+def test_printing_moves_texts_and_counts(spark, capsys, name):
+    rows = registry.QUERIES[name](spark, FOLDER)
+    assert not [x for x in moves(rows, capsys) if re.search(r"\b(start|end|low|bucket|place)#", x)]
+    rows.explain()
+    assert "MapInArrow run_lists" not in capsys.readouterr().out  # words are not dealt
+
+
+def test_conflicts_of_one_text_are_those_of_the_join(spark):
+    draw = random.Random(5)
+    sides = [[(k, a, a + draw.randint(0, 6), draw.choice("xy")) for k in range(20) for a in draw.sample(range(60), 12)] for _ in "ab"]
+    a, b = (spark.createDataFrame(v, "text_id long, start long, end long, label string") for v in sides)
+    pairs = D.conflicts(a, b)
+    want, groups = {}, {}
+    for r in pairs.collect():
+        want.setdefault(r.text_id, []).append(((r.a_start, r.a_end, r.a_label), (r.b_start, r.b_end, r.b_label)))
+    for r in D.conflict_groups(pairs).orderBy("text_id", "start").collect():
+        groups.setdefault(r.text_id, []).append((r.start, r.end))
+    for k in range(20):
+        x, y = ([s[1:] for s in sorted(v) if s[0] == k] for v in sides)
+        got = D.conflicts_in(x, y)
+        assert sorted(got) == sorted(want.get(k, [])) and D.groups_in(got) == groups.get(k, [])
+        start, end, other_start, other_end = (np.array([s[i] for s in v]) for v, i in ((x, 0), (x, 1), ([s for s in y if s[0] < s[1]], 0), ([s for s in y if s[0] < s[1]], 1)))
+        assert [s for s, hit in zip(x, D.in_conflict(start, end, other_start, other_end)) if hit] == sorted({p[0] for p in got}, key=x.index)
+
+
+def test_first_ids_are_those_of_all_rows(spark):
+    rows = spark.createDataFrame([(k, f"s{k % 3}", n) for k in range(50) for n in range(k % 4)], "text_id long, file string, n long")
+    whole = C.global_ids(rows.withColumn("block", F.expr("text_id div 7")).withColumn("place", F.struct("text_id", "n")), "file", "place", "block")
+    want = {(r.text_id, r.n): r.global_id for r in whole.collect()}
+    first = C.first_ids(rows.groupBy("text_id", "file").agg(F.count("*").alias("n")), "file", "text_id", F.expr("text_id div 7"))
+    assert {(r.text_id, j): r.first_id + j for r in first.collect() for j in range(r.n)} == want
