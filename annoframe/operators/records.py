@@ -42,9 +42,15 @@ def tasks(a: DataFrame, b: DataFrame) -> DataFrame:
     return sides.groupBy("text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "side", "label"))).alias("spans"))
 
 
-def write_tasks(rows: DataFrame, folder: str, a_file: int = 1_000) -> None:
-    """Tasks as JSON, one to a line, at most so many in a file."""
-    rows.write.option("maxRecordsPerFile", a_file).json(folder)
+def listed_tasks(lists: DataFrame) -> DataFrame:
+    """The same tasks of layers that are lists already: text_id, a, b (start, end, label).  No rows move."""
+    of = lambda c: F.transform(c, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(c).alias("side"), x["label"].alias("label")))
+    return lists.select("text_id", F.sort_array(F.concat(of("a"), of("b"))).alias("spans")).where(F.size("spans") > 0)
+
+
+def write_tasks(rows: DataFrame, folder: str, a_file: int = 1_000, packed: bool = False) -> None:
+    """Tasks as JSON, one to a line, at most so many in a file, which is packed if asked."""
+    rows.write.option("maxRecordsPerFile", a_file).option("compression", "gzip" if packed else "none").json(folder)
 
 
 def read_tasks(spark: SparkSession, folder: str) -> DataFrame:

@@ -101,3 +101,14 @@ def test_first_ids_are_those_of_all_rows(spark):
     want = {(r.text_id, r.n): r.global_id for r in whole.collect()}
     first = C.first_ids(rows.groupBy("text_id", "file").agg(F.count("*").alias("n")), "file", "text_id", F.expr("text_id div 7"))
     assert {(r.text_id, j): r.first_id + j for r in first.collect() for j in range(r.n)} == want
+
+
+def test_tasks_are_written_packed_and_move_no_rows(spark, tmp_path, capsys):
+    texts = spark.read.parquet(f"{FOLDER}/documents.parquet").selectExpr("doc_id AS text_id", "text")
+    lists = R.listed_tasks(L.two_versions(texts))
+    assert moves(lists, capsys) == []
+    w = L.words(texts)
+    assert sorted(map(str, lists.collect())) == sorted(map(str, R.tasks(L.labelled(w), L.trimmed(w)).collect()))
+    R.write_tasks(lists, f"file://{tmp_path}/t", packed=True)
+    assert all(f.endswith(".json.gz") for f in os.listdir(tmp_path / "t") if f.startswith("part-"))
+    assert R.read_tasks(spark, f"file://{tmp_path}/t").count() == lists.count()
