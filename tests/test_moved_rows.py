@@ -112,3 +112,20 @@ def test_tasks_are_written_packed_and_move_no_rows(spark, tmp_path, capsys):
     R.write_tasks(lists, f"file://{tmp_path}/t", packed=True)
     assert all(f.endswith(".json.gz") for f in os.listdir(tmp_path / "t") if f.startswith("part-"))
     assert R.read_tasks(spark, f"file://{tmp_path}/t").count() == lists.count()
+
+
+def test_entities_meet_texts_as_lists(spark, capsys):
+    rows = registry.QUERIES["entities_without_infixes"](spark, FOLDER)
+    rows.explain()
+    assert not re.search(r"\b(Window|posexplode\(regexp)", capsys.readouterr().out)  # runs of characters are no rows
+
+
+def test_entities_of_odd_texts(spark):
+    span = "text_id long, start long, end long, label string"
+    texts = spark.createDataFrame([(1, "x Abcde Fg\u0085HijⅠk"), (2, None)], "text_id long, text string")
+    found = spark.createDataFrame([(1, 2, 5, "e"), (1, 2, 5, "f"), (1, 8, 9, "e"), (2, 0, 3, "e"), (3, 0, 3, "e")], span)
+    tokens = spark.createDataFrame([(1, 2, 5, "t"), (1, 5, 7, "t"), (1, 8, 10, "t"), (2, 0, 3, "t")], span)
+    got = sorted(tuple(r) for r in E.expanded(found, tokens, texts).collect())
+    assert got == [(1, 2, 7, "e", True), (1, 2, 7, "f", True), (1, 8, 9, "e", False), (2, 0, 3, "e", False), (3, 0, 3, "e", False)]
+    left = sorted(tuple(r) for r in E.without_infixes(E.expanded(found, tokens, texts).drop("grown"), texts).collect())
+    assert left == [(1, 2, 7, "e"), (1, 2, 7, "f"), (2, 0, 3, "e"), (3, 0, 3, "e")]
