@@ -16,6 +16,7 @@ from annoframe.operators import entities as E
 from annoframe.operators import layers as L
 from annoframe.operators import records as R
 from annoframe.sources import markup as M
+from annoframe.sources import store as S
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -129,3 +130,17 @@ def test_entities_of_odd_texts(spark):
     assert got == [(1, 2, 7, "e", True), (1, 2, 7, "f", True), (1, 8, 9, "e", False), (2, 0, 3, "e", False), (3, 0, 3, "e", False)]
     left = sorted(tuple(r) for r in E.without_infixes(E.expanded(found, tokens, texts).drop("grown"), texts).collect())
     assert left == [(1, 2, 7, "e"), (1, 2, 7, "f"), (2, 0, 3, "e"), (3, 0, 3, "e")]
+
+
+def test_document_folders_are_listed_by_group(spark, tmp_path):
+    rows = spark.range(120).selectExpr("id AS text_id", "concat('t', id) AS text", "concat('s', id % 2) AS source")
+    S.write_documents(rows, f"file://{tmp_path}/x", "source", F.expr("text_id div 60"), "text_id")
+    sc, at = spark.sparkContext, f"file://{tmp_path}/x"
+    sc.setJobGroup("listing", "")
+    found = M.json_documents(spark, at, "text string", "*.json")
+    stages = [sc.statusTracker().getStageInfo(s) for j in sc.statusTracker().getJobIdsForGroup("listing") for s in sc.statusTracker().getJobInfo(j).stageIds]
+    sc.setJobGroup("", "")
+    assert sum(s.numTasks for s in stages) <= 4  # as many as groups; before a task for each document
+    assert {r.path_id: r.text for r in found.collect()} == {k: f"t{k}" for k in range(120)}
+    alone = M.json_documents(spark, f"{at}/source=s0/doc_group=0/text_id=4", "text string", "*.json")
+    assert [(r.path_id, r.text) for r in alone.collect()] == [(4, "t4")]
