@@ -40,8 +40,10 @@ def clustered(rows: DataFrame, table: str, key: str = "text_id", buckets: int =
 def write_layout(rows: DataFrame, folder: str, file: str, group: Column) -> None:
     """Documents in folders by file and group of ids, so that a reader of one file or group opens no other.  Rows are dealt by ranges
     of both and of a hash of the row, so that a small group is one file, or two at a range's edge, and a large one is written by
-    several tasks."""
-    dealt = rows.withColumn("doc_group", group).repartitionByRange(file, "doc_group", F.xxhash64(*rows.columns))
+    several tasks.  The number of ranges is given, as files cost more than bytes: else Spark would put small ranges of many files
+    together."""
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("doc_group", group).repartitionByRange(ranges, file, "doc_group", F.xxhash64(*rows.columns))
     dealt.write.options(**TASKS_COMMIT).partitionBy(file, "doc_group").parquet(folder)
 
 

@@ -144,3 +144,9 @@ def test_document_folders_are_listed_by_group(spark, tmp_path):
     assert {r.path_id: r.text for r in found.collect()} == {k: f"t{k}" for k in range(120)}
     alone = M.json_documents(spark, f"{at}/source=s0/doc_group=0/text_id=4", "text string", "*.json")
     assert [(r.path_id, r.text) for r in alone.collect()] == [(4, "t4")]
+
+
+def test_a_layout_of_many_small_files_is_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id AS text_id", "concat('t', id) AS text", "concat('s', id % 3) AS source")
+    S.write_layout(rows, f"file://{tmp_path}/x", "source", F.expr("text_id div 100"))
+    assert len({f.name.split("-")[1] for f in (tmp_path / "x").rglob("part-*.parquet")}) >= 3  # one before
