@@ -133,15 +133,15 @@ def test_entities_of_odd_texts(spark):
 
 
 def test_document_folders_are_listed_by_group(spark, tmp_path):
-    rows = spark.range(120).selectExpr("id AS text_id", "concat('t', id) AS text", "concat('s', id % 2) AS source")
-    S.write_documents(rows, f"file://{tmp_path}/x", "source", F.expr("text_id div 60"), "text_id")
+    rows = spark.range(240).selectExpr("id AS text_id", "concat('t', id) AS text", "concat('s', id % 2) AS source")
+    S.write_documents(rows, f"file://{tmp_path}/x", "source", F.expr("text_id div 120"), "text_id")
     sc, at = spark.sparkContext, f"file://{tmp_path}/x"
     sc.setJobGroup("listing", "")
     found = M.json_documents(spark, at, "text string", "*.json")
     stages = [sc.statusTracker().getStageInfo(s) for j in sc.statusTracker().getJobIdsForGroup("listing") for s in sc.statusTracker().getJobInfo(j).stageIds]
     sc.setJobGroup("", "")
     assert sum(s.numTasks for s in stages) <= 4  # as many as groups; before a task for each document
-    assert {r.path_id: r.text for r in found.collect()} == {k: f"t{k}" for k in range(120)}
+    assert {r.path_id: r.text for r in found.collect()} == {k: f"t{k}" for k in range(240)}
     alone = M.json_documents(spark, f"{at}/source=s0/doc_group=0/text_id=4", "text string", "*.json")
     assert [(r.path_id, r.text) for r in alone.collect()] == [(4, "t4")]
 
